@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import chat, urlfilter
+from . import chat, quality_rules, urlfilter
 
 QUERIES = {
     "op2_url_filter": urlfilter.op2_url_filter,
+    "op6_quality_rules": quality_rules.op6_quality_rules,
     "op9_chat_formatting": chat.op9_chat_formatting,
 }
 
 ORACLE_SQL = {
     "op2_url_filter": urlfilter.ORACLE_SQL,
+    "op6_quality_rules": quality_rules.ORACLE_SQL,
     "op9_chat_formatting": chat.ORACLE_SQL,
 }
