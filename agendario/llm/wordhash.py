@@ -112,9 +112,7 @@ def shingle_sets(column: pa.Array, n: int = 5) -> Iterator[np.ndarray]:
                 own = np.sort(every[lo : hi - n + 1])
                 yield own[np.r_[True, own[1:] != own[:-1]]]
             elif hi > lo:
-                h = np.uint64(hi - lo)
-                for w in words.hash[lo:hi]:
-                    h = mix(np.array([h * _SHINGLE[40] + w], np.uint64))[0]
-                yield np.array([h], np.uint64)
+                short = words.hash[lo:hi] * _SHINGLE[: hi - lo]
+                yield mix(short.sum(dtype=np.uint64, keepdims=True) + np.uint64(hi - lo))
             else:
                 yield np.zeros(0, np.uint64)
