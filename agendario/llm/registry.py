@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, jaccard, packing, quality_rules, urlfilter
+from . import bpe, chat, jaccard, packing, quality_rules, urlfilter
 
 QUERIES = {
     "op2_url_filter": urlfilter.op2_url_filter,
     "op3_token_id_output": packing.op3_token_id_output,
+    "op4_byte_bpe": bpe.op4_byte_bpe,
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op7_ngram_jaccard_join": jaccard.op7_ngram_jaccard_join,
     "op9_chat_formatting": chat.op9_chat_formatting,
