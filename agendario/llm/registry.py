@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, jaccard, packing, quality_rules, urlfilter
+from . import bpe, chat, jaccard, packing, pu_quality, quality_rules, urlfilter
 
 QUERIES = {
     "op2_url_filter": urlfilter.op2_url_filter,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_byte_bpe": bpe.op4_byte_bpe,
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op7_ngram_jaccard_join": jaccard.op7_ngram_jaccard_join,
+    "op8_quality_classifier": pu_quality.op8_quality_classifier,
     "op9_chat_formatting": chat.op9_chat_formatting,
 }
 
