@@ -35,13 +35,23 @@ SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 
 
+def _replaced(text: Column, characters: str, by: str) -> Column:
+    """Each of the characters replaced (by byte search, many times faster than ``translate``)."""
+    for c in characters:
+        text = F.replace(text, F.lit(c), F.lit(by))
+    return text
+
+
 def _words(text: Column) -> Column:
     """The words of a text, in order (one-character split, which the JVM does without a regex)."""
-    return F.array_remove(F.split(F.translate(text, SPACES[1:], " " * 5), " ", -1), "")
+    return F.array_remove(F.split(_replaced(text, SPACES[1:], " "), " ", -1), "")
 
 
 def _normal(line: Column) -> Column:
-    return F.array_join(_words(ascii_lower(line)), " ")
+    """A-Z lower-cased, white space runs to one space, trimmed."""
+    lower = F.when(F.octet_length(line) == F.length(line), F.lower(line)).otherwise(ascii_lower(line))
+    plain = F.trim(_replaced(lower, SPACES[1:], " "))
+    return F.when(F.contains(plain, F.lit("  ")), F.regexp_replace(plain, " +", " ")).otherwise(plain)
 
 
 def _covered(positions: Column) -> Column:
@@ -64,13 +74,13 @@ def measures(docs: DataFrame) -> DataFrame:
     """
     text, key = _text_key()
     one = docs.select("doc_id", "source", key.alias("key"), text.alias("text"))
-    lines = F.filter(F.split("text", "\n", -1), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
+    lines = F.filter(F.split("text", "\n", -1), lambda x: F.trim(x, F.lit(SPACES)) != "")
     two = one.select(
         "doc_id",
         "source",
         "key",
-        F.length(F.translate("text", SPACES, "")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(_replaced(F.col("text"), SPACES, "")).cast("long").alias("word_chars"),
+        (F.length("text") - F.length(_replaced(F.col("text"), SYMBOLS, ""))).cast("long").alias("n_symbols"),
         lines.alias("lines"),
         F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"),
     )
