@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, jaccard, packing, pu_quality, quality_rules, urlfilter
+from . import bpe, chat, decontaminate, jaccard, packing, pu_quality, quality_rules, urlfilter
 
 QUERIES = {
     "op2_url_filter": urlfilter.op2_url_filter,
     "op3_token_id_output": packing.op3_token_id_output,
     "op4_byte_bpe": bpe.op4_byte_bpe,
+    "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination,
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op7_ngram_jaccard_join": jaccard.op7_ngram_jaccard_join,
     "op8_quality_classifier": pu_quality.op8_quality_classifier,

@@ -24,6 +24,9 @@ _LOWER[65:91] += 32
 _BYTE_LOWER = _BYTE[_LOWER]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
+#: ASCII punctuation counts as white space too where edited copies are to be met.
+_SPACE_OR_MARK = _SPACE.copy()
+_SPACE_OR_MARK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -65,11 +68,11 @@ def pieces(offs: np.ndarray, most: int = MAX_BYTES) -> Iterator[tuple[int, int]]
 class Words:
     """Words of consecutive documents: ``start``/``end`` byte places, ``doc_at`` word offsets, ``hash``."""
 
-    def __init__(self, raw: np.ndarray, offs: np.ndarray, lower: bool = True):
+    def __init__(self, raw: np.ndarray, offs: np.ndarray, lower: bool = True, marks: bool = True):
         base, stop = int(offs[0]), int(offs[-1])
         self.raw, self.offs = raw[base:stop], offs - base
         n = stop - base
-        word = ~_SPACE[self.raw]
+        word = ~(_SPACE if marks else _SPACE_OR_MARK)[self.raw]
         first = np.zeros(n, bool)
         first[self.offs[:-1][self.offs[:-1] < n]] = True
         begins = word.copy()
