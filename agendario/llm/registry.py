@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, jaccard, packing, pu_quality, quality_rules, urlfilter
+from . import bpe, chat, decontaminate, html_blocks, jaccard, packing, pu_quality, quality_rules, urlfilter
 
 QUERIES = {
+    "op1_html_extraction": html_blocks.op1_html_extraction,
     "op2_url_filter": urlfilter.op2_url_filter,
     "op3_token_id_output": packing.op3_token_id_output,
     "op4_byte_bpe": bpe.op4_byte_bpe,
