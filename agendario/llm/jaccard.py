@@ -3,9 +3,9 @@
 A document's set holds its distinct 5-word shingles. Two documents link when their sets'
 Jaccard similarity is at least 0.8. The join works on distinct sets only (copies share one), and
 
-1. counts in how many sets each shingle occurs. Shingles travel as binary blocks dealt by hash
-   range, about ``BLOCK_TOKENS`` to a block, so a very common shingle costs once per set and no
-   row of its own. A set links only if at least ceil(0.8 n) of its shingles are shared at all;
+1. counts in how many sets each shingle occurs. Shingles travel as binary blocks dealt by hash,
+   about ``BLOCK_TOKENS`` to a block, so a very common shingle costs once per set and no
+   row of its own; what is shared goes back to the group of rows that its set is from. A set links only if at least ceil(0.8 n) of its shingles are shared at all;
    most documents of a corpus end here, exactly.
 2. orders the shared shingles of each remaining set by (number of sets, hash_k), k = 0, 1, 2:
    three global orders. In each, linked sets must share a shingle of their prefixes. Sets that share one
@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +42,8 @@ from .wordhash import mix, shingle_sets
 SHINGLE = 5
 PERCENT = 80
 ORDERS = 3
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 3_000_000
+GROUP_ROWS = 2500
 CHUNK = 1024
 PIVOTS = 16
 
@@ -75,81 +77,117 @@ def described(docs: DataFrame) -> DataFrame:
 
 
 def _dealt(docs: DataFrame, blocks: int) -> DataFrame:
-    """Shingles of the distinct sets of each batch, one row per batch and block."""
+    """Shingles of the distinct sets of each group of rows, one row per block and group."""
+
+    def deal(texts: pa.Array, group: int) -> pa.RecordBatch | None:
+        seen: dict[bytes, np.ndarray] = {}
+        for own in shingle_sets(texts, SHINGLE):
+            if len(own):
+                seen.setdefault(_key(own), own)
+        if not seen:
+            return None
+        keys = np.frombuffer(b"".join(seen), "V16")
+        tokens = np.concatenate(list(seen.values()))
+        entry = np.repeat(np.arange(len(seen), dtype=np.int32), [len(x) for x in seen.values()])
+        block = ((tokens >> np.uint64(32)) % np.uint64(blocks)).astype(np.uint16 if blocks < 65536 else np.uint32)
+        order = np.argsort(block, kind="stable")
+        tokens, entry, block = tokens[order], entry[order], block[order]
+        cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+        out: list[list] = [[], [], [], []]
+        for lo, hi in zip(cuts, np.r_[cuts[1:], len(block)]):
+            e = entry[lo:hi]
+            at = np.flatnonzero(np.r_[True, e[1:] != e[:-1]])
+            out[0].append(int(block[lo]))
+            out[1].append(keys[e[at]].tobytes())
+            out[2].append(np.diff(np.r_[at, hi - lo]).astype(np.uint32).tobytes())
+            out[3].append(tokens[lo:hi].tobytes())
+        groups = pa.array([group] * len(out[0]), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), groups, *[pa.array(x, pa.binary()) for x in out[1:]]], ["block", "grp", "keys", "counts", "tokens"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = TaskContext.get().partitionId() << 32
         for batch in batches:
-            seen: dict[bytes, np.ndarray] = {}
-            for own in shingle_sets(batch.column(0), SHINGLE):
-                if len(own):
-                    seen.setdefault(_key(own), own)
-            if not seen:
-                continue
-            keys = np.frombuffer(b"".join(seen), "V16")
-            tokens = np.concatenate(list(seen.values()))
-            entry = np.repeat(np.arange(len(seen), dtype=np.int32), [len(x) for x in seen.values()])
-            block = ((tokens >> np.uint64(32)) % np.uint64(blocks)).astype(np.uint32)
-            order = np.argsort(block.astype(np.uint16) if blocks < 65536 else block, kind="stable")
-            tokens, entry, block = tokens[order], entry[order], block[order]
-            cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-            out: list[list] = [[], [], [], []]
-            for lo, hi in zip(cuts, np.r_[cuts[1:], len(block)]):
-                e = entry[lo:hi]
-                at = np.flatnonzero(np.r_[True, e[1:] != e[:-1]])
-                out[0].append(int(block[lo]))
-                out[1].append(keys[e[at]].tobytes())
-                out[2].append(np.diff(np.r_[at, hi - lo]).astype(np.uint32).tobytes())
-                out[3].append(tokens[lo:hi].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), *[pa.array(x, pa.binary()) for x in out[1:]]], ["block", "keys", "counts", "tokens"])
-
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "block long, keys binary, counts binary, tokens binary")
+            for at in range(0, batch.num_rows, GROUP_ROWS):
+                rows = deal(batch.column(0).slice(at, GROUP_ROWS), group)
+                group += 1
+                if rows is not None:
+                    yield rows
+
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "block long, grp long, keys binary, counts binary, tokens binary")
 
 
 def _joined(column: pa.ChunkedArray, dtype) -> np.ndarray:
-    return np.frombuffer(b"".join(x.as_py() for x in column), dtype)
+    """The values of a binary column one after another."""
+    parts = []
+    for chunk in column.chunks:
+        chunk = chunk.cast(pa.large_binary())
+        offs = np.frombuffer(chunk.buffers()[1], np.int64)[chunk.offset : chunk.offset + len(chunk) + 1]
+        parts.append(np.frombuffer(chunk.buffers()[2], np.uint8)[offs[0] : offs[-1]])
+    return (parts[0] if len(parts) == 1 else np.concatenate(parts)).view(dtype)
 
 
 def _shared_of_block(rows: pa.Table) -> pa.Table:
-    """For each set of a block, its shingles that other sets have too, with the number of sets."""
+    """For each group with sets in the block: their shingles that other sets have too, with the number of sets.
+
+    A set that several groups have (copies) counts once, for the smallest group.
+    """
+    rows = rows.sort_by("grp")
     keys, counts, tokens = _joined(rows["keys"], "V16"), _joined(rows["counts"], np.uint32), _joined(rows["tokens"], np.uint64)
+    group = np.repeat(np.arange(rows.num_rows), [len(x.as_py()) // 16 for x in rows["keys"]])
     _, first = np.unique(keys, return_index=True)
     keep = np.zeros(len(keys), bool)
     keep[first] = True
     entry = np.repeat(np.arange(len(keys), dtype=np.int32), counts)
-    mask = keep[entry]
-    tokens, entry = tokens[mask], entry[mask]
+    if not keep.all():
+        mask = keep[entry]
+        tokens, entry = tokens[mask], entry[mask]
     order = np.argsort(tokens)
     tokens, entry = tokens[order], entry[order]
+    del order
     cuts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
     runs = np.diff(np.r_[cuts, len(tokens)])
-    sets = np.repeat(runs, runs).astype(np.uint32)
-    many = sets > 1
-    tokens, entry, sets = tokens[many], entry[many], sets[many]
+    many = np.repeat(runs > 1, runs)
+    tokens, entry, sets = tokens[many], entry[many], np.repeat(runs[runs > 1], runs[runs > 1]).astype(np.uint32)
     order = np.argsort(entry, kind="stable")
     tokens, entry, sets = tokens[order], entry[order], sets[order]
-    at = np.flatnonzero(np.r_[True, entry[1:] != entry[:-1]]) if len(entry) else np.zeros(0, np.int64)
-    ends = np.r_[at[1:], len(entry)]
+    names, out = rows["grp"].to_pylist(), [[], [], [], [], []]
+    cuts = np.searchsorted(group[entry], np.arange(rows.num_rows + 1))
+    for g, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
+        if hi > lo:
+            at = np.flatnonzero(np.r_[True, entry[lo + 1 : hi] != entry[lo : hi - 1]])
+            size = np.diff(np.r_[at, hi - lo]).astype(np.uint32)
+            for column, value in zip(out, (names[g], keys[entry[lo:hi][at]].tobytes(), size.tobytes(), tokens[lo:hi].tobytes(), sets[lo:hi].tobytes())):
+                column.append(value)
+    return pa.table([pa.array(out[0], pa.int64()), *[pa.array(x, pa.binary()) for x in out[1:]]], ["grp", "keys", "counts", "tokens", "sets"])
+
+
+def _by_set(rows: pa.Table) -> pa.Table:
+    """One row per set of a group: its shared shingles of all blocks, ascending."""
+    keys, counts = _joined(rows["keys"], "V16"), _joined(rows["counts"], np.uint32)
+    tokens, sets = _joined(rows["tokens"], np.uint64), _joined(rows["sets"], np.uint32)
+    names, place = np.unique(keys, return_inverse=True)
+    owner = np.repeat(place, counts)
+    order = np.lexsort((tokens, owner))
+    tokens, sets = tokens[order], sets[order]
+    cuts = np.searchsorted(owner[order], np.arange(len(names) + 1))
+    ends = list(zip(cuts[:-1], cuts[1:]))
     return pa.table({
-        "set_key": pa.array([keys[entry[a]].tobytes() for a in at], pa.binary()),
-        "tokens": pa.array([tokens[a:b].tobytes() for a, b in zip(at, ends)], pa.binary()),
-        "sets": pa.array([sets[a:b].tobytes() for a, b in zip(at, ends)], pa.binary()),
+        "set_key": pa.array([k.tobytes() for k in names], pa.binary()),
+        "n_shared": pa.array(np.diff(cuts), pa.int64()),
+        "tokens": pa.array([tokens[a:b].tobytes() for a, b in ends], pa.binary()),
+        "sets": pa.array([sets[a:b].tobytes() for a, b in ends], pa.binary()),
     })
 
 
 def candidates(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The sets that may link at all: set_key, n, tokens and sets (pieces of one binary each)."""
+    """The sets that may link at all: set_key, n, tokens (ascending) and sets (binary columns)."""
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     blocks = max(1, -(-int(total) // BLOCK_TOKENS))
-    shared = _dealt(docs, blocks).groupBy("block").applyInArrow(_shared_of_block, "set_key binary, tokens binary, sets binary")
-    per = shared.groupBy("set_key").agg(
-        F.sum(F.octet_length("tokens") / 8).cast("long").alias("n_shared"), F.collect_list(F.struct("tokens", "sets")).alias("pieces")
-    )
+    shared = _dealt(docs, blocks).groupBy("block").applyInArrow(_shared_of_block, "grp long, keys binary, counts binary, tokens binary, sets binary")
+    per = shared.groupBy("grp").applyInArrow(_by_set, "set_key binary, n_shared long, tokens binary, sets binary")
     sizes = sets.where(F.col("set_key").isNotNull()).groupBy("set_key").agg(F.max("n_shingles").alias("n"))
-    return (
-        per.join(sizes, "set_key")
-        .where(F.col("n_shared") >= F.floor((PERCENT * F.col("n") + 99) / 100))
-        .select("set_key", "n", F.col("pieces.tokens").alias("tokens"), F.col("pieces.sets").alias("sets"))
-    )
+    least = F.floor((PERCENT * F.col("n") + 99) / 100)
+    return per.join(sizes, "set_key").where(F.col("n_shared") >= least).select("set_key", "n", "tokens", "sets")
 
 
 def _prefix(tokens: np.ndarray, sets: np.ndarray, n: int, order: int) -> np.ndarray:
@@ -161,10 +199,8 @@ def _prefix(tokens: np.ndarray, sets: np.ndarray, n: int, order: int) -> np.ndar
     return np.lexsort((mix(tokens * _ODD[order] + np.uint64(order)), sets))[:size]
 
 
-def _set_of(tokens, sets) -> tuple[np.ndarray, np.ndarray]:
-    t, s = np.frombuffer(b"".join(tokens), np.uint64), np.frombuffer(b"".join(sets), np.uint32)
-    by = np.argsort(t)
-    return t[by], s[by]
+def _set_of(tokens: bytes, sets: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(tokens, np.uint64), np.frombuffer(sets, np.uint32)
 
 
 def _first_prefixes(alive: DataFrame) -> DataFrame:
@@ -249,7 +285,7 @@ def _across(members: pa.Table, probes: pa.Table) -> pa.Table:
     """Edges between labels (a of a probe, b of a member) that a link connects; each at most once."""
     edges: dict[tuple[bytes, bytes], None] = {}
     if members.num_rows and probes.num_rows:
-        m, q = _Members(members), _Members(probes)
+        m, q = _Members(members), _Members(probes.rename_columns([c.removeprefix("probe_") for c in probes.column_names]))
         labels = np.array(m.labels, object)
         for i in range(len(q.keys)):
             open_ = labels != q.labels[i]
@@ -277,7 +313,7 @@ def linked_sets(alive: DataFrame) -> DataFrame:
     large = labels.where(F.col("chunks") > 1)
     if not large.take(1):
         return labels.select("set_key", "label")
-    pivot = F.pmod(F.xxhash64("set_key", F.lit(1)), F.col("chunks") * (CHUNK // PIVOTS)) == 0
+    pivot = F.pmod(F.xxhash64("set_key", F.lit(1)), F.col("chunks") * max(1, CHUNK // PIVOTS)) == 0
     tied = _compared(alive, large, large.where(pivot).withColumn("part", F.lit(0)), large.select("pool", F.lit(1).alias("parts")).distinct())
     large = stored(_merged(large, tied), "labels")
 
@@ -295,8 +331,9 @@ def _compared(alive: DataFrame, members: DataFrame, probes: DataFrame, parts: Da
     left = members.join(parts, "pool").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     right = probes.drop("chunk").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     keep = ("pool", "chunk", "part", "set_key", "label", "n", "tokens", "sets")
-    left, right = (x.join(alive, "set_key").select(*keep) for x in (left, right))
-    return left.groupBy("pool", "chunk", "part").cogroup(right.groupBy("pool", "chunk", "part")).applyInArrow(_across, _OUT)
+    left = left.join(alive, "set_key").select(*keep)
+    right = right.join(alive, "set_key").select(*[F.col(c).alias(f"probe_{c}") for c in keep])
+    return left.groupBy("pool", "chunk", "part").cogroup(right.groupBy("probe_pool", "probe_chunk", "probe_part")).applyInArrow(_across, _OUT)
 
 
 def similar(docs: DataFrame) -> DataFrame:
