@@ -33,7 +33,7 @@ from .shared import new_path, table
 
 END_ID = 2
 BLOCK_IDS = 1 << 16
-MEMO = 300_000
+MEMO = 1_200_000
 
 _LOADED: dict = {}
 
@@ -63,7 +63,13 @@ def unpack(payload: bytes, bits: int, start: int, n: int) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of whole texts as little-endian 32-bit bytes, piece by piece through a bounded table."""
+    """Ids of whole texts as little-endian 32-bit bytes, piece by piece through a bounded table.
+
+    New pieces are encoded many to a string, one after another as they could stand in a text; their
+    ids are told apart by the tokens' lengths in bytes.
+    """
+
+    JOINED = 512
 
     def __init__(self, vocabulary: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -71,17 +77,34 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.encode_special_tokens = True
+        # A token of a byte-level vocabulary has one character for each byte.
+        size = self.tokenizer.get_vocab_size()
+        self.bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
         self.known: dict[str, bytes] = {}
 
+    def _learn(self, new: list[str]) -> None:
+        plain = [p for p in new if p[0] in " \n" and len(p) > 1 and not p[1].isspace() and not p[-1].isspace()]
+        alone = list(set(new).difference(plain))
+        for p, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
+            self.known[p] = np.array(e.ids, "<u4").tobytes()
+        groups = [plain[k : k + self.JOINED] for k in range(0, len(plain), self.JOINED)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            ends = np.cumsum([len(p.encode()) for p in group])
+            at = [0, *np.searchsorted(np.cumsum(self.bytes[ids]), ends, "right").tolist()]
+            data = ids.tobytes()
+            for p, lo, hi in zip(group, at, at[1:]):
+                self.known[p] = data[4 * lo : 4 * hi]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [pieces(x) for x in texts]
         if len(self.known) > MEMO:
             self.known = {}
         known = self.known
-        new = list({p for ps in cut for p in ps if p not in known})
-        for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            known[p] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([known[p] for p in ps]) for ps in cut]
+        new = list(set().union(*cut).difference(known))
+        if new:
+            self._learn(new)
+        return [b"".join(map(known.__getitem__, ps)) for ps in cut]
 
 
 def _encoder(name: int, vocabulary) -> Encoder:
