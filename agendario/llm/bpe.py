@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from .pieces import pieces, pretoken_pattern
 from .shared import table
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 32_000_000
 
 _CODEC = "zstd"
 _LOADED: dict = {}
@@ -45,61 +46,62 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class _Slots:
-    """Distinct words of a block and the documents as slots."""
+    """Distinct words of a block, numbered as they are met, and its documents as slots in word order.
+
+    Frequent words are met early and get small numbers, so the planes of their bytes compress well.
+    """
 
     def __init__(self, pattern):
         self.find = pattern.findall
         self.slot: dict[str, int] = {}
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
         self.ids: list = []
-        self.docs: list[np.ndarray] = []
+        self.sizes: list[int] = []
+        self.places: list[bytes] = []
         self.chars = 0
 
-    def add(self, doc_id, text: str) -> None:
-        known, slot = self.known, self.slot
-        out = []
-        for p in pieces(text):
-            at = known.get(p)
-            if at is None:
-                at = known[p] = np.array([slot.setdefault(w, len(slot)) for w in self.find(p)], np.uint32).tobytes()
-            out.append(at)
+    def add(self, doc_id, text: str, places: bool) -> None:
+        known, slot, cut = self.known, self.slot, pieces(text)
+        for p in dict.fromkeys(cut):
+            if p not in known:
+                known[p] = array("I", [slot.setdefault(w, len(slot)) for w in self.find(p)]).tobytes()
         self.ids.append(doc_id)
-        self.docs.append(np.frombuffer(b"".join(out), np.uint32))
         self.chars += len(text)
+        if places:
+            at = b"".join([known[p] for p in cut])
+            self.places.append(at)
+            self.sizes.append(len(at) // 4)
+
+    def words_row(self, block: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([list(self.slot)], pa.list_(pa.string()))], ["block", "words"])
+
+    def places_row(self, block: int) -> pa.RecordBatch:
+        every = np.frombuffer(b"".join(self.places), np.uint8)
+        planes = pa.compress(every.reshape(-1, 4).T.tobytes(), _CODEC, asbytes=True)
+        columns = [pa.array([block], pa.int64()), pa.array([self.ids], pa.list_(pa.int64())), pa.array([self.sizes], pa.list_(pa.int32())), pa.array([planes], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["block", "doc_ids", "sizes", "places"])
+
+
+def _blocks(docs: DataFrame, pattern: str, places: bool) -> DataFrame:
+    """One row per block: its words, or its documents. Both number blocks and words alike, by the scan's order."""
 
-    def row(self, block: int) -> pa.RecordBatch:
-        """Slots are numbered by frequency, so that their bytes compress well."""
-        every = np.concatenate(self.docs)
-        order = np.argsort(-np.bincount(every, minlength=len(self.slot)), kind="stable")
-        rank = np.empty(len(order), np.uint32)
-        rank[order] = np.arange(len(order), dtype=np.uint32)
-        planes = rank[every].view(np.uint8).reshape(-1, 4).T.tobytes() if len(every) else b""
-        words = np.array(list(self.slot), object)[order].tolist() if self.slot else []
-        sizes = [len(x) for x in self.docs]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([block], pa.int64()), pa.array([words], pa.list_(pa.string())), pa.array([self.ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())), pa.array([pa.compress(planes, _CODEC, asbytes=True)], pa.binary())],
-            ["block", "words", "doc_ids", "sizes", "places"],
-        )
-
-
-def _blocks(docs: DataFrame, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled, seq = pretoken_pattern(pattern), 0
+        spelled, block = pretoken_pattern(pattern), TaskContext.get().partitionId() << 32
         now = _Slots(spelled)
-        first = TaskContext.get().partitionId() << 32
+        row = _Slots.places_row if places else _Slots.words_row
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    now.add(doc_id, text or "")
+                    now.add(doc_id, text or "", places)
                     if now.chars >= BLOCK_CHARS:
-                        yield now.row(first + seq)
-                        now, seq = _Slots(spelled), seq + 1
+                        yield row(now, block)
+                        now, block = _Slots(spelled), block + 1
         if now.ids:
-            yield now.row(first + seq)
+            yield row(now, block)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "block long, words array<string>, doc_ids array<long>, sizes array<int>, places binary")
+    return rows.mapInArrow(run, "block long, doc_ids array<long>, sizes array<int>, places binary" if places else "block long, words array<string>")
 
 
 def _encoding(name: str, ranks, pattern: str):
@@ -118,16 +120,20 @@ def _places(row: dict) -> np.ndarray:
 
 
 def encode(docs: DataFrame, vocabulary_path: str, pattern: str) -> DataFrame:
-    """doc_id, ids (little-endian 32-bit) and decoded bytes of every row of ``docs`` (doc_id, text)."""
-    return _assembled(docs, vocabulary_path, pattern, "doc_id long, ids binary, decoded binary", lambda doc_id, ids, decimal, data: (doc_id, b"".join(ids), b"".join(data)))
+    """doc_id, ids and decoded bytes of every row of ``docs`` (doc_id, text)."""
+
+    def of(doc_id, decimal, data):
+        return doc_id, [int(x) for x in ",".join(decimal).split(",") if x], b"".join(data)
+
+    return _assembled(docs, vocabulary_path, pattern, "doc_id long, ids array<int>, decoded binary", of)
 
 
 def digests(docs: DataFrame, vocabulary_path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row of ``docs`` (doc_id, text)."""
 
-    def of(doc_id, ids, decimal, data):
-        said, whole = ",".join(decimal).encode(), b"".join(data)
-        return doc_id, sum(map(len, ids)) // 4, hashlib.sha256(said).hexdigest(), hashlib.sha256(whole).hexdigest()
+    def of(doc_id, decimal, data):
+        said, whole = ",".join(decimal), b"".join(data)
+        return doc_id, said.count(",") + (said != ""), hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(whole).hexdigest()
 
     return _assembled(docs, vocabulary_path, pattern, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", of)
 
@@ -137,7 +143,8 @@ def _assembled(docs: DataFrame, vocabulary_path: str, pattern: str, schema: str,
     known = read_ranks(vocabulary_path)
     ranks = spark.sparkContext.broadcast(known)
     name = hashlib.md5(repr(sorted(known.values())[-3:]).encode() + vocabulary_path.encode()).hexdigest()
-    kinds = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
+    width = "H" if max(known.values(), default=0) < 1 << 16 else "I"
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
     fields = [(x.split()[0], kinds[x.split()[1]]) for x in schema.split(", ")]
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,32 +154,46 @@ def _assembled(docs: DataFrame, vocabulary_path: str, pattern: str, schema: str,
             out = []
             for word in batch.column(2).to_pylist():
                 if word != last:
-                    last, ids = word, np.array(encoding.encode_ordinary(word), "<u4").tobytes()
+                    last, ids = word, array(width, encoding.encode_ordinary(word))
                 out.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["of_block", "slot", "ids"])
+            # One row per block and batch, not per word: what goes back is little more than the ids.
+            block, slots = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            order = np.argsort(block, kind="stable")
+            cuts = np.flatnonzero(np.r_[True, np.diff(block[order]) != 0, True]) if len(order) else np.zeros(1, int)
+            rows: list[list] = [[], [], [], []]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                own = order[lo:hi]
+                coded_ = [out[i] for i in own]
+                for column, value in zip(rows, (int(block[own[0]]), slots[own].astype("<u4").tobytes(), array("I", map(len, coded_)).tobytes(), b"".join(coded_))):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), *[pa.array(x, pa.binary()) for x in rows[1:]]], ["of_block", "slots", "sizes", "ids"])
 
     def assemble(ids: pa.Table, blocks: pa.Table) -> pa.Table:
         token = {v: k for k, v in ranks.value.items()}
-        slots, coded = ids["slot"].to_numpy(), ids["ids"].to_pylist()
-        by_slot, decimal, data = ([b""] * len(coded) for _ in range(3))
-        for s, c in zip(slots.tolist(), coded):
-            own = np.frombuffer(c, "<u4").tolist()
-            by_slot[s], decimal[s], data[s] = c, ",".join(map(str, own)), b"".join([token[i] for i in own])
+        said = {i: str(i) for i in token}
+        rows = ids.to_pylist()
+        total = sum(len(r["slots"]) // 4 for r in rows)
+        decimal, data = [""] * total, [b""] * total
+        for r in rows:
+            at, flat = 0, memoryview(r["ids"]).cast(width).tolist()
+            for s, n in zip(memoryview(r["slots"]).cast("I").tolist(), memoryview(r["sizes"]).cast("I").tolist()):
+                own = flat[at : at + n]
+                at += n
+                decimal[s], data[s] = ",".join([said[i] for i in own]), b"".join([token[i] for i in own])
         out: list[tuple] = []
         for row in blocks.to_pylist():
-            places, at = _places(row).tolist(), 0
+            places, at = _places(row), 0
             for doc_id, n in zip(row["doc_ids"], row["sizes"]):
-                own = places[at : at + n]
+                own = places[at : at + n].tolist()
                 at += n
-                out.append(result(doc_id, [by_slot[s] for s in own], [decimal[s] for s in own], [data[s] for s in own]))
+                out.append(result(doc_id, [decimal[s] for s in own], [data[s] for s in own]))
         columns = list(zip(*out)) if out else [[] for _ in fields]
         return pa.table({f: pa.array(c, k) for (f, k), c in zip(fields, columns)})
 
-    blocks = _blocks(docs, pattern)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    words = blocks.select(F.col("block").alias("of_block"), F.posexplode("words").alias("slot", "word"))
-    back = words.repartition(parts, "word").sortWithinPartitions("word").mapInArrow(coded, "of_block long, slot int, ids binary")
-    held = blocks.select("block", "doc_ids", "sizes", "places")
+    words = _blocks(docs, pattern, False).select(F.col("block").alias("of_block"), F.posexplode("words").alias("slot", "word"))
+    back = words.repartition(parts, "word").sortWithinPartitions("word").mapInArrow(coded, "of_block long, slots binary, sizes binary, ids binary")
+    held = _blocks(docs, pattern, True)
     return back.groupBy("of_block").cogroup(held.groupBy("block")).applyInArrow(assemble, schema)
 
 
