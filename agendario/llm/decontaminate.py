@@ -226,4 +226,4 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of ``docs`` that hold no test item, with all their columns."""
     found = contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
     gone = found.select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_anti")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")

@@ -360,5 +360,8 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     gone = similar(docs.select("doc_id", "text")).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id")).distinct()
     again = F.row_number().over(Window.partitionBy("doc_id", F.md5(F.coalesce("text", F.lit("")))).orderBy("doc_id"))
-    left = docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti").withColumn("again_", again)
-    return left.where((F.col("again_") == 1) | F.col("doc_id").isNull()).drop("again_")
+    mark = "again"
+    while mark in docs.columns:
+        mark += "_"
+    left = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti").withColumn(mark, again)
+    return left.where((F.col(mark) == 1) | F.col("doc_id").isNull()).drop(mark)

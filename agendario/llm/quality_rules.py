@@ -1,6 +1,6 @@
 """Quality rules: cross-document line frequency beside per-document counts, in column expressions.
 
-A line (a ``\\n``-split piece with a word) is normalised (A-Z lower-cased, white space runs to one
+A line (a ``\\n``-split piece with a word) is normalised (lower-cased, white space runs to one
 space, trimmed) and hashed by MD5. Per host (``source``) the distinct documents with that line are
 counted; a line in ``max_documents`` of them or more is boilerplate and is removed. A document of
 which fewer than ``min_words`` words or less than ``min_share`` per cent remain is depleted and
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import ascii_lower, table
+from .shared import table
 
 MAX_DOCUMENTS = 20
 MIN_WORDS = 10
@@ -42,16 +42,25 @@ def _replaced(text: Column, characters: str, by: str) -> Column:
     return text
 
 
-def _words(text: Column) -> Column:
-    """The words of a text, in order (one-character split, which the JVM does without a regex)."""
-    return F.array_remove(F.split(_replaced(text, SPACES[1:], " "), " ", -1), "")
+def _plain(text: Column) -> Column:
+    """The text with one kind of white space within lines; most texts have no other and are only searched."""
+    return F.when(F.rlike(text, F.lit(r"[\t\x0b\x0c\r]")), _replaced(text, "\t\x0b\x0c\r", " ")).otherwise(text)
 
 
-def _normal(line: Column) -> Column:
-    """A-Z lower-cased, white space runs to one space, trimmed."""
-    lower = F.when(F.octet_length(line) == F.length(line), F.lower(line)).otherwise(ascii_lower(line))
-    plain = F.trim(_replaced(lower, SPACES[1:], " "))
-    return F.when(F.contains(plain, F.lit("  ")), F.regexp_replace(plain, " +", " ")).otherwise(plain)
+def _words(plain: Column) -> Column:
+    """The words, in order (one-character split, which the JVM does without a regex)."""
+    return F.array_remove(F.split(F.replace(plain, F.lit("\n"), F.lit(" ")), " ", -1), "")
+
+
+def _lines(docs: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and ``normal``: the normalised ``\\n``-split lines of ``text``, blank ones as empty strings.
+
+    The whole text is normalised before it is split, so that little is left to do per line.
+    """
+    lower = docs.select(*keep, F.lower("text").alias("lower"))
+    plain = lower.select(*keep, _plain(F.col("lower")).alias("plain"))
+    even = F.when(F.contains("plain", F.lit("  ")), F.regexp_replace("plain", " +", " ")).otherwise(F.col("plain"))
+    return plain.select(*keep, F.transform(F.split(even, "\n", -1), lambda x: F.trim(x)).alias("normal"))
 
 
 def _covered(positions: Column) -> Column:
@@ -75,14 +84,16 @@ def measures(docs: DataFrame) -> DataFrame:
     text, key = _text_key()
     one = docs.select("doc_id", "source", key.alias("key"), text.alias("text"))
     lines = F.filter(F.split("text", "\n", -1), lambda x: F.trim(x, F.lit(SPACES)) != "")
+    one = one.withColumn("plain", _plain(F.col("text")))
+    symbols = F.when(F.rlike("text", F.lit(f"[{SYMBOLS}]")), F.length("text") - F.length(_replaced(F.col("text"), SYMBOLS, ""))).otherwise(0)
     two = one.select(
         "doc_id",
         "source",
         "key",
-        F.length(_replaced(F.col("text"), SPACES, "")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(_replaced(F.col("text"), SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(_replaced(F.col("plain"), " \n", "")).cast("long").alias("word_chars"),
+        symbols.cast("long").alias("n_symbols"),
         lines.alias("lines"),
-        F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"),
+        F.transform(_words(F.col("plain")), lambda w: F.xxhash64(w)).alias("words"),
     )
     places = F.when(F.size("words") >= WINDOW, F.sequence(F.lit(0), F.size("words") - WINDOW)).otherwise(F.array().cast("array<int>"))
     three = two.select(
@@ -111,11 +122,10 @@ def measures(docs: DataFrame) -> DataFrame:
 def line_rows(docs: DataFrame) -> DataFrame:
     """One row per line with a word: source, key, pos, line (MD5), words, other (smallest other line)."""
     text, key = _text_key()
-    normal = F.filter(F.transform(F.split(text, "\n", -1), _normal), lambda x: x != "")
-    hashed = docs.select("source", key.alias("key"), normal.alias("normal")).select(
+    hashed = _lines(docs.select("source", key.alias("key"), text.alias("text")), "source", "key").select(
         "source",
         "key",
-        F.transform("normal", lambda x: F.struct(F.unhex(F.md5(x)).alias("line"), (F.length(x) - F.length(F.replace(x, F.lit(" "))) + 1).alias("words"))).alias("rows"),
+        F.transform(F.array_remove("normal", ""), lambda x: F.struct(F.unhex(F.md5(x)).alias("line"), (F.length(x) - F.length(F.replace(x, F.lit(" "))) + 1).alias("words"))).alias("rows"),
     )
     least = hashed.withColumn("least", F.slice(F.sort_array(F.array_distinct("rows.line")), 1, 2))
     flat = least.select("source", "key", "least", F.posexplode("rows").alias("pos", "row"))
@@ -162,9 +172,9 @@ def cleaned(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
         .agg(F.collect_set("line").alias("gone"))
     )
     text, key = _text_key()
-    kept = F.filter(F.split("text", "\n", -1), lambda x: ~F.array_contains("gone", F.unhex(F.md5(_normal(x)))))
+    kept = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("gone", F.unhex(F.md5(F.get("normal", i)))))
     return (
-        docs.select("doc_id", text.alias("text"), key.alias("key"))
+        _lines(docs.select("doc_id", text.alias("text"), key.alias("key")), "doc_id", "text", "key")
         .join(gone, "key", "left")
         .select("doc_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"))
     )
@@ -181,7 +191,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
     text, key = _text_key()
     rejected = assess(docs).where(~F.col("kept")).select(F.col("key").alias("rejected_key")).distinct()
-    return docs.join(rejected, key == F.col("rejected_key"), "left_anti")
+    return docs.join(rejected, key == rejected["rejected_key"], "left_anti")
 
 
 _WS = "[ \\t\\n\\x0b\\x0c\\r]+"
@@ -198,7 +208,7 @@ WITH d AS (
   SELECT r, sum(least(5, coalesce(nxt - i, 5))) AS n_repeat_words
   FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS nxt FROM twice) GROUP BY r
 ), l AS (
-  SELECT r, source, pos, raw, trim(regexp_replace(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WS}', ' ', 'g')) AS line
+  SELECT r, source, pos, raw, trim(regexp_replace(lower(raw), '{_WS}', ' ', 'g')) AS line
   FROM (SELECT r, source, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d)
   WHERE regexp_matches(raw, '[^\\x20\\x09-\\x0D]')
 ), h AS (
