@@ -33,7 +33,7 @@ from .shared import new_path, table
 
 END_ID = 2
 BLOCK_IDS = 1 << 16
-MEMO = 1_200_000
+MEMO = 2_000_000
 
 _LOADED: dict = {}
 
