@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import dates, similarity, text
-from ..operators import cluster, metrics, resolve, sinks, snapshot, temporal
+from ..functions import dates, names, similarity, text
+from ..operators import agenda, cluster, lookup, metrics, resolve, sinks, snapshot, temporal
 from ..sources import readers
 from ..sources.tables import table
 
@@ -367,3 +367,123 @@ def day_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("ts").alias("day"), F.col("user_id").alias("place"), F.col("event_id").alias("row_id"), F.concat_ws(" ", "event_type", F.hour("ts").cast("string")).alias("name"), F.lit("").alias("venue"), F.lit(1).alias("priority")
     )
     return cluster.clusters(rows, ["day", "place"])
+
+
+ALIASES = [("widget", "W"), ("ring", "R"), ("red", "colour"), ("blue", "colour")]
+_ALIAS = "CASE {} " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in ALIASES) + " END"
+
+
+@query(f"""WITH w AS (SELECT p_partkey, string_split(p_name, ' ')[2] AS b, string_split(p_name, ' ')[1] AS a FROM part)
+SELECT p_partkey, coalesce({_ALIAS.format("b")}, {_ALIAS.format("a")}) AS name FROM w""")
+def alias_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = F.split("p_name", " ")
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.array(F.get(words, F.lit(1)), F.get(words, F.lit(0))).alias("tried"))
+    return lookup.first_hit(rows, "p_partkey", "tried", spark.createDataFrame(ALIASES, "alias string, name string"), "alias", "name")
+
+
+VENDORS = [("example.com", "A"), ("example.net", "B"), ("tionsh.example.net", "C"), ("net", "D")]
+
+
+@query(f"""WITH d AS (SELECT page_id, regexp_replace(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1)), '^www\\.', '') AS h FROM pages),
+v(s, vendor) AS (VALUES {", ".join(str(v) for v in VENDORS)}), m AS (SELECT page_id, vendor, row_number() OVER (PARTITION BY page_id ORDER BY length(s) DESC) AS r FROM d JOIN v ON h = s OR ends_with(h, '.' || s))
+SELECT d.page_id, vendor FROM d LEFT JOIN m ON d.page_id = m.page_id AND r = 1""")
+def vendor_of_link(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "pages").select("page_id", text.domain_suffixes(text.url_domain(F.col("url"))).alias("suffixes"))
+    return lookup.longest_suffix(rows, "page_id", "suffixes", spark.createDataFrame(VENDORS, "suffix string, vendor string"), "suffix", "vendor")
+
+
+KEYWORDS = [(1, "mit license", "licensed"), (2, "que", "es_or_fr"), (3, "und", "de"), (4, "of the", "en")]
+_K = _NORM.replace("TEXT", "text")
+_KEYS = " ".join(f"WHEN contains(' ' || k || ' ', ' {w} ') THEN '{g}'" for _, w, g in KEYWORDS)
+
+
+@query(f"SELECT doc_id, CASE {_KEYS} END AS label FROM (SELECT doc_id, {_K} AS k FROM documents)")
+def keyword_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("doc_id", text.norm_key(F.col("text")).alias("key"))
+    return lookup.first_keyword(rows, "doc_id", "key", spark.createDataFrame(KEYWORDS, "pos int, keyword string, label string"))
+
+
+@query(f"""WITH {_VOTES}, n AS (SELECT l_suppkey, p_type, count(*) AS n FROM v GROUP BY ALL),
+r AS (SELECT *, max(n) OVER (PARTITION BY l_suppkey) AS b, CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY n DESC, p_type) AS INT) AS rank FROM n) SELECT l_suppkey, p_type, n, rank FROM r WHERE n >= 0.9 * b AND rank <= 4""")
+def strong_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = _votes(spark, sf_dir).groupBy("l_suppkey", "p_type").agg(F.count("*").alias("n"))
+    return lookup.strong(n, ["l_suppkey"], "p_type", "n", 0.9, 4)
+
+
+@query(f"""WITH {_A}, f AS (SELECT day, place, arg_min(hour, event_id) AS o FROM a WHERE source = 'purchase' GROUP BY ALL)
+SELECT source, count(*) AS n, count(*) FILTER (WHERE hour = o) AS same, count(*) FILTER (WHERE hour < o) AS earlier, count(*) FILTER (WHERE hour > o) AS later FROM a JOIN f USING (day, place) WHERE source <> 'purchase' GROUP BY source""")
+def hour_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = announcements(spark, sf_dir)
+    return agenda.hour_accuracy(a.where("source <> 'purchase'"), a.where("source = 'purchase'"), ["day", "place"], "source", "hour", "event_id")
+
+
+RATES = [("click", 0.8), ("view", 0.5), ("error", 0.3), ("signup", 0.6)]
+
+
+@query(f"""WITH {_A}, q(source, rate) AS (VALUES {", ".join(str(r) for r in RATES)}), v AS (SELECT day, place, hour, max(rate) AS rate FROM a LEFT JOIN q USING (source) GROUP BY ALL)
+SELECT day, place, max(hour) FILTER (WHERE rate >= 0.65) AS hour FROM v GROUP BY day, place HAVING count(*) FILTER (WHERE rate >= 0.65) = 1 AND count(*) FILTER (WHERE rate <= 0.55) = count(*) - 1 AND count(*) > 1""", days=("day",))
+def hours_by_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates = spark.createDataFrame(RATES, "source string, rate double")
+    return agenda.hours_by_accuracy(announcements(spark, sf_dir), ["day", "place"], "hour", "source", rates)
+
+
+@query("""WITH l AS (SELECT l_suppkey, l_shipdate, l_returnflag = 'A' AS o, l_partkey FROM lineitem), s AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS day, list(DISTINCT l_partkey) FILTER (WHERE o) AS t, list(DISTINCT l_partkey) FILTER (WHERE NOT o) AS f FROM l GROUP BY ALL)
+SELECT l_suppkey, day, CAST(len(t) AS INT) AS n_theirs, CAST(len(f) AS INT) AS n_others FROM s WHERE len(t) > 0 AND len(f) > 0 AND NOT list_has_any(t, f)""", days=("day",))
+def line_up_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").select("l_suppkey", F.to_date("l_shipdate").alias("day"), (F.col("l_returnflag") == "A").alias("official"), "l_partkey")
+    found = agenda.line_up_conflicts(rows, ["l_suppkey", "day"], "official", "l_partkey")
+    return found.select("l_suppkey", "day", F.size("theirs").alias("n_theirs"), F.size("others").alias("n_others"))
+
+
+@query(f"""WITH {_A}, u AS (SELECT place, max(day) AS until FROM a WHERE source = 'purchase' GROUP BY place)
+SELECT event_id FROM a JOIN u USING (place) WHERE source <> 'purchase' AND day <= until AND NOT EXISTS (SELECT 1 FROM a b WHERE b.source = 'purchase' AND b.day = a.day AND b.place = a.place)""")
+def official_absences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = announcements(spark, sf_dir)
+    official = a.where("source = 'purchase'")
+    until = official.groupBy("place").agg(F.max("day").alias("until"))
+    return agenda.absences(a.where("source <> 'purchase'"), official, ["day", "place"], "day", until, "place").select("event_id")
+
+
+FIXES = [("2024-01-02", None, None, 2, "note", "any"), ("2024-01-02", 3, "view", 1, "discard", "one"), ("2024-01-05", None, "error", 3, "discard", "errors")]
+
+
+@query(f"""WITH {_A}, f(d, p, s, pos, action, note) AS (VALUES {", ".join("(DATE " + repr(f[0]) + ", " + ", ".join("NULL" if x is None else repr(x) for x in f[1:]) + ")" for f in FIXES)}),
+j AS (SELECT event_id, action, note, row_number() OVER (PARTITION BY event_id ORDER BY pos) AS r FROM a LEFT JOIN f ON a.day = f.d AND (p IS NULL OR p = place) AND (s IS NULL OR s = source))
+SELECT event_id, action, note FROM j WHERE r = 1""")
+def correction_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(FIXES, "day string, place long, source string, pos int, action string, note string").withColumn("day", F.to_date("day"))
+    return agenda.apply_rules(announcements(spark, sf_dir), F.broadcast(rules), "day", ["place", "source"]).select("event_id", "action", "note")
+
+
+@query(f"""WITH {_A}, i AS (SELECT DISTINCT source, place * 1000 + hour AS item FROM a WHERE day >= DATE '2024-01-16'), p AS (SELECT DISTINCT place * 1000 + hour AS item FROM a WHERE day < DATE '2024-01-16'), c AS (SELECT item, count(*) AS k FROM i GROUP BY item)
+SELECT source, count(*) AS total, count(*) FILTER (WHERE k = 1) AS exclusive, count(*) FILTER (WHERE p.item IS NULL) AS "new" FROM i JOIN c USING (item) LEFT JOIN p USING (item) GROUP BY source""")
+def source_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = announcements(spark, sf_dir).withColumn("item", F.col("place") * 1000 + F.col("hour"))
+    late = F.col("day") >= F.lit("2024-01-16").cast("date")
+    return agenda.source_report(rows.where(late), rows.where(~late), "source", "item")
+
+
+@query(f"""WITH {_A}, b AS (SELECT DISTINCT place, source FROM a WHERE day < DATE '2024-01-05'), n AS (SELECT DISTINCT place, source FROM a WHERE day >= DATE '2024-01-27'),
+j AS (SELECT coalesce(b.source, n.source) AS source, b.place AS was, n.place AS now FROM b FULL JOIN n ON b.place = n.place AND b.source = n.source)
+SELECT source, count(now) AS total, count(*) FILTER (WHERE was IS NULL) AS entered, count(*) FILTER (WHERE now IS NULL) AS "left" FROM j GROUP BY source""")
+def group_movement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = announcements(spark, sf_dir)
+    return agenda.movement(a.where("day < '2024-01-05'"), a.where("day >= '2024-01-27'"), "place", "source")
+
+
+@query("""SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) >= 4 AND max(CAST(o_orderpriority = '1-URGENT' AS INT)) = 0""")
+def unconfirmed_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agenda.unconfirmed(table(spark, sf_dir, "orders"), "o_custkey", F.col("o_orderpriority") == "1-URGENT")
+
+
+@query("""SELECT o_custkey, max(CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 1 END) AS weight, CAST(least(count(*), 3) AS BIGINT) AS bonus, CAST(min(o_orderdate) AS DATE) AS first FROM orders GROUP BY o_custkey ORDER BY weight DESC, bonus DESC, first, o_custkey LIMIT 50""", days=("first",))
+def gap_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A top-k report: the limit is the feature."""
+    rows = table(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
+    return agenda.gaps(rows, "o_custkey", F.when(F.col("o_orderstatus") == "P", 2).otherwise(1), "day", 50)
+
+
+@query("""SELECT p_partkey, array_to_string(list_sort(list_distinct(string_split(lower(p_name || ' ' || p_type), ' '))), ' ') AS key FROM part""")
+def festival_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    title = F.concat_ws(" ", "p_name", "p_type", F.lit("XII Festival de 2026"))
+    return table(spark, sf_dir, "part").select("p_partkey", names.festival_key(title).alias("key"))
