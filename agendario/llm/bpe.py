@@ -12,6 +12,9 @@ positions, in compact form. Then
 A word occurs at most once per block, so a very frequent word costs a row per block, not one per
 occurrence. Blocks hold about ``BLOCK_CHARS`` characters, or one document where that is longer.
 
+The documents are read twice (words, places), so ``docs`` must give the same rows in the same order
+each time, as a table scan does; store it first where it is the result of a shuffle.
+
 Defined cases: null text counts as empty (no ids, the digest of nothing); repeated rows and ids are each
 returned; an empty table gives no rows; other columns are ignored. Strings of special tokens inside
 a text are ordinary text.
