@@ -28,10 +28,11 @@ def new_path(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str, group_mb: int = 0) -> DataFrame:
     """Cuts the lineage: writes ``df`` as Parquet in the shared folder and reads it again.
 
-    ``group_mb`` bounds row groups where single rows are large, so that a task holds few of them.
+    ``group_mb`` bounds row groups where single rows are large, so that a task holds few of them; such
+    rows are compressed better, too.
     """
     path = new_path(df.sparkSession, name)
-    small = {"parquet.block.size": str(group_mb << 20), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"} if group_mb else {}
+    small = {"parquet.block.size": str(group_mb << 20), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1", "compression": "zstd"} if group_mb else {}
     df.write.options(**small).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
