@@ -345,7 +345,8 @@ def similar(docs: DataFrame) -> DataFrame:
     tied = stored(first.join(labels, "set_key"), "tied")
     least = tied.groupBy("label").agg(F.min("first").alias("least"))
     roots = tied.join(least, "label").select("set_key", "least")
-    owner = first.join(roots, "set_key", "left").select("set_key", F.coalesce("least", "first").alias("owner"))
+    # Stored, so that both sides of the last join are dealt anew and a set with very many copies can be split.
+    owner = stored(first.join(roots, "set_key", "left").select("set_key", F.coalesce("least", "first").alias("owner")), "owner")
     return sets.join(owner, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("owner", "doc_id").alias("component_id"))
 
 
