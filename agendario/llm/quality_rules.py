@@ -116,7 +116,10 @@ def measures(docs: DataFrame) -> DataFrame:
     again = F.filter("placed", lambda x, i: (x["h"] == F.get("placed", i - 1)["h"]) | (x["h"] == F.get("placed", i + 1)["h"]))
     five = four.withColumn("again", F.sort_array(F.transform(again, lambda x: x["i"])))
     n_repeat = F.coalesce(_covered(F.col("again")), F.lit(0)).cast("long")
-    return five.select("doc_id", "source", "key", "n_words", "word_chars", "n_symbols", "n_dup_lines", n_repeat.alias("n_repeat_words"))
+    # The counts leave through a generator: a filter on them is then applied to the counts. Pushed into the
+    # expressions above, it would compute each array again for every element.
+    counts = F.struct("n_words", "word_chars", "n_symbols", "n_dup_lines", n_repeat.alias("n_repeat_words"))
+    return five.select("doc_id", "source", "key", F.inline_outer(F.array(counts)))
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
