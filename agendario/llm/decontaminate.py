@@ -1,12 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Words are runs without white space and ASCII punctuation, A-Z lower-cased. The ``SEED``-word grams of
-the test items are looked for in all documents. A first pass counts the documents of each gram; a
-gram is rare for an item if it is in at most ``RARE`` documents or ``RARE_TIMES`` the median of the
-item's grams (an item that leaked thousands of times keeps its grams, a phrase of the language goes).
-The second pass cuts passages around rare seeds out of the documents; passages and items meet in a
-join on the seed, and each pair is aligned locally (match 1, mismatch and gap -1). A pair counts as
-contamination if its score is at least ``LEAST`` of the item's words, and ``LEAST_SCORE`` or the whole item.
+Words are runs without white space and ASCII punctuation, A-Z lower-cased. The ``SEED``-word grams of the
+test items are looked for in all documents, and every one is a seed, however many documents hold it:
+what is found in a document does not depend on the others. Passages around the seeds are cut out of the
+documents; passages and items meet in a join on the seed, and each pair is aligned locally (match 1,
+mismatch and gap -1). A pair counts as contamination if its score is at least ``LEAST`` of the item's
+words, and ``LEAST_SCORE`` or the whole item. A score is at most the number of the item's words that the
+passage holds; pairs in which that is too low (most pairs that share only a phrase) are not aligned.
 
 Which grams occur in a document is first asked of a bit table of at most ``MAX_SLOTS`` bits, all
 that is broadcast; a larger benchmark makes it less selective, never wrong, because the joins compare
@@ -30,8 +30,6 @@ from .shared import stored, table
 from .wordhash import Words, pieces, text_buffers, window_hashes
 
 SEED = 3
-RARE = 100
-RARE_TIMES = 8
 LEAST = 0.4
 #: Below this score, only a whole item counts: a few common words meet by chance.
 LEAST_SCORE = 8
@@ -100,31 +98,6 @@ class BitTable:
         return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
-def gram_documents(docs: DataFrame, grams: DataFrame) -> DataFrame:
-    """(gram, n_docs) of those grams that occur in ``docs``."""
-    known = docs.sparkSession.sparkContext.broadcast(BitTable(grams))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hits = []
-            for words in _words(batch.column(0)):
-                own = window_hashes(words, SEED)
-                hits.append(np.unique(own[known.value.has(own)]))
-            every, counts = np.unique(np.concatenate(hits) if hits else np.zeros(0, np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(every.view(np.int64), pa.int64()), pa.array(counts, pa.int64())], ["gram", "n"])
-
-    found = docs.select(F.col("text").cast("string")).mapInArrow(run, "gram long, n long")
-    return found.groupBy("gram").agg(F.sum("n").alias("n_docs")).join(grams.select("gram").distinct(), "gram", "left_semi")
-
-
-def rare_seeds(grams: DataFrame, counts: DataFrame) -> DataFrame:
-    """The (item_id, words, gram) whose gram occurs, and rarely for that item."""
-    met = grams.join(counts, "gram")
-    usual = met.groupBy("item_id", "words").agg(F.percentile("n_docs", 0.5).alias("usual")).withColumnsRenamed({"item_id": "of", "words": "w"})
-    same = F.col("item_id").eqNullSafe(F.col("of")) & (F.col("words") == F.col("w"))
-    return met.join(usual, same).where(F.col("n_docs") <= F.greatest(F.lit(RARE), RARE_TIMES * F.col("usual"))).select("item_id", "words", "gram")
-
-
 def passages(docs: DataFrame, seeds: DataFrame, margin: int) -> DataFrame:
     """Passages with a seed: doc_id, start (in words), words (binary) and grams (those that may be seeds)."""
     known = docs.sparkSession.sparkContext.broadcast(BitTable(seeds))
@@ -187,18 +160,28 @@ def align(passage: list[np.ndarray], item: list[np.ndarray]) -> tuple[np.ndarray
     return best // big, np.where(best > 0, big - 1 - best % big, 0), at_end
 
 
+def least_score(n_words: np.ndarray, least: float) -> np.ndarray:
+    """The scores from which items of so many words count."""
+    return np.minimum(n_words, np.maximum(least * n_words, LEAST_SCORE))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     """doc_id, item_id, score, n_words (of the item), start and end (words of the document)."""
     tests = stored(item_words(items), "items")
     grams = stored(item_grams(tests), "grams")
     margin = tests.agg(F.max("n_words")).first()[0] or 0
     margin += margin // 4 + SEED
-    seeds = stored(rare_seeds(grams, gram_documents(docs, grams)), "seeds")
-    found = stored(passages(docs, seeds, margin).withColumn("passage", F.monotonically_increasing_id()), "passages")
-    pairs = found.select("passage", F.explode("grams").alias("gram")).join(seeds, "gram").select("passage", "item_id", F.col("words").alias("item")).distinct()
+    found = stored(passages(docs, grams, margin).withColumn("passage", F.monotonically_increasing_id()), "passages")
+    pairs = found.select("passage", F.explode("grams").alias("gram")).join(grams, "gram").select("passage", "item_id", F.col("words").alias("item")).distinct()
+
+    def may_count(passage: bytes, item: bytes) -> bool:
+        words = np.frombuffer(item, np.uint64)
+        return np.isin(words, np.frombuffer(passage, np.uint64)).sum() >= least_score(len(words), least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            likely = [may_count(p, t) for p, t in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist())]
+            batch = batch.filter(pa.array(likely, pa.bool_()))
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
                 texts = [np.frombuffer(x, np.uint64) for x in part.column(2).to_pylist()]
@@ -210,7 +193,7 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Dat
                     [part.column(0), part.column(3), pa.array(score, pa.int64()), pa.array(n, pa.int64()), pa.array(start + first, pa.int64()), pa.array(start + last, pa.int64())],
                     ["doc_id", "item_id", "score", "n_words", "start", "end"],
                 )
-                yield rows.filter(pa.array(score >= np.minimum(n, np.maximum(least * n, LEAST_SCORE))))
+                yield rows.filter(pa.array(score >= least_score(n, least)))
 
     met = pairs.join(found.select("passage", "doc_id", "start", "words"), "passage").select("doc_id", "start", "words", "item_id", "item")
     aligned = met.mapInArrow(run, "doc_id long, item_id long, score long, n_words long, start long, end long")

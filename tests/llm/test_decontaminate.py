@@ -63,6 +63,22 @@ def test_planted_copies_are_found_and_clean_documents_left(spark):
     assert all(r["score"] == r["n_words"] == r["end"] - r["start"] for r in exact.values())
 
 
+def test_a_part_that_leaked_thousands_of_times_is_found_beside_a_few_whole_copies(spark):
+    rng = random.Random(4)
+    item = " ".join(f"item{k}" for k in range(40))
+    start = " ".join(item.split(" ")[:19])
+    whole = [(k, cases.prose(rng, 20) + " " + item, "en", "whole") for k in range(5)]
+    parts = [(10 + k, cases.prose(rng, 15) + " " + start + " " + cases.prose(rng, 15), "en", "part") for k in range(2000)]
+    phrase = [(5000 + k, cases.prose(rng, 15) + " item0 item1 item2 item3 " + cases.prose(rng, 15), "en", "phrase") for k in range(20)]
+    # The rest of this copy is edited so that only grams of the common part are left.
+    words = [w if k < 7 or k % 3 else "other" for k, w in enumerate(item.split(" "))]
+    edited_copy = [(6000, cases.prose(rng, 15) + " " + " ".join(words), "en", "edited")]
+    docs = cases.documents(spark, whole + parts + phrase + edited_copy)
+    got = {r["doc_id"]: r["score"] for r in decontaminate.contaminated(docs, spark.createDataFrame([(1, item, "d", "s")], ITEMS)).collect()}
+    assert got == {k: 40 for k in range(5)} | {10 + k: 19 for k in range(2000)} | {6000: smith_waterman(words, item.split(" "))}
+    assert got[6000] < 40
+
+
 def test_empty_tables(spark):
     items = spark.createDataFrame([], ITEMS)
     assert decontaminate.contaminated(cases.documents(spark), items).collect() == []
