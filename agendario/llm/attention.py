@@ -58,17 +58,26 @@ def windows(ids: np.ndarray, lengths: np.ndarray, start: int) -> tuple[np.ndarra
 
     The input before each target; ``start`` stands before a text's first token.
     """
+    owner, at = places(lengths)
+    return *windows_at(ids, lengths, np.cumsum(lengths) - lengths, owner, at, start), owner
+
+
+def places(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and first scored place of all windows of some texts."""
     per = -(-lengths // SCORED)
     owner = np.repeat(np.arange(len(lengths)), per)
-    at = (np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)) * SCORED
-    begin = np.cumsum(lengths) - lengths
+    return owner, (np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)) * SCORED
+
+
+def windows_at(ids: np.ndarray, lengths: np.ndarray, begin: np.ndarray, owner: np.ndarray, at: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs, first valid key and targets of the windows of these owners and places; ``begin`` is where each text begins."""
     place = at[:, None] + np.arange(-CONTEXT, SCORED)[None, :]
     place_ok = (place >= 0) & (place < lengths[owner][:, None])
     source = np.where(place_ok & (place > 0), begin[owner][:, None] + place - 1, 0)
-    inputs = np.where(place > 0, ids[source], start)
+    inputs = np.where(place > 0, ids[source].astype(np.int64), start)
     target_ok = place_ok[:, CONTEXT:]
-    targets = np.where(target_ok, ids[np.where(target_ok, begin[owner][:, None] + place[:, CONTEXT:], 0)], -1)
-    return inputs, np.maximum(CONTEXT - at, 0), targets, owner
+    targets = np.where(target_ok, ids[np.where(target_ok, begin[owner][:, None] + place[:, CONTEXT:], 0)].astype(np.int64), -1)
+    return inputs, np.maximum(CONTEXT - at, 0), targets
 
 
 def _softmax_loss(logits: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,6 +154,15 @@ class Model:
 
     def gradient(self, inputs: np.ndarray, first: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss of the targets, and its gradient by every weight."""
+        loss, g = self.met_gradient(inputs, first, targets)
+        for k in ("E", "G2", "G3"):
+            rows, values = g[k]
+            g[k] = np.zeros(self.w[k].shape, np.float32)
+            g[k][rows] = values
+        return loss, g
+
+    def met_gradient(self, inputs: np.ndarray, first: np.ndarray, targets: np.ndarray) -> tuple[float, dict]:
+        """The same; ``E``, ``G2`` and ``G3`` as the rows met and their gradients (the others are 0)."""
         w = self.w
         q, k, v, (p, total), y, inner, z_all = self.hidden(inputs, first)
         p = p / total
@@ -170,7 +188,7 @@ class Model:
                 dz += back
             else:
                 dz += back * w[gate][row]
-                g[gate] = _scattered(row, back * z, len(w[gate]))
+                g[gate] = _scattered(row, back * z)
         full = np.zeros_like(z_all)
         full[ok] = dz
         d_inner = full @ w["W2"].T
@@ -189,30 +207,40 @@ class Model:
         g["Wq"], g["Wk"], g["Wv"] = xq.T @ dqs, xs.T @ dks, xs.T @ dvs
         dx = (dks @ w["Wk"].T + dvs @ w["Wv"].T).reshape(x.shape)
         dx[:, CONTEXT:] += (dqs @ w["Wq"].T).reshape(dy.shape) + dy
-        g["E"] = _scattered(inputs.ravel(), dx.reshape(-1, DIM), len(w["E"]))
+        g["E"] = _scattered(inputs.ravel(), dx.reshape(-1, DIM))
         return loss, g
 
     def train(self, ids: np.ndarray, lengths: np.ndarray, start: int, rate: float, seed: int = 1, epochs: int = 1) -> int:
-        """Adam over all windows of some texts in random order; the number of steps."""
+        """Adam over all windows of some texts in random order; the number of steps.
+
+        Windows are cut out when their step comes, so that memory is little more than the ids.
+        """
         if not len(lengths):
             return 0
-        inputs, first, targets, _ = windows(ids, lengths, start)
+        owner, at = places(lengths)
+        begin = np.cumsum(lengths) - lengths
         rng = np.random.default_rng(seed)
         mean = {k: np.zeros_like(x) for k, x in self.w.items()}
         square = {k: np.zeros_like(x) for k, x in self.w.items()}
-        steps = max(1, epochs * len(inputs) // BATCH)
-        order = np.concatenate([rng.permutation(len(inputs)) for _ in range(epochs)])
-        for step in range(1, steps + 1):
+        steps = -(-epochs * len(owner) // BATCH)
+        order = np.concatenate([rng.permutation(len(owner)) for _ in range(epochs)])
+
+        def cut(step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             some = order[(step - 1) * BATCH : step * BATCH]
-            _, g = self.gradient(inputs[some], first[some], targets[some])
+            return windows_at(ids, lengths, begin, owner[some], at[some], start)
+
+        batch = cut(1)
+        for step in range(1, steps + 1):
+            _, g = self.met_gradient(*batch)
             now = rate * min(1.0, step / 20) * (1 - 0.9 * step / steps)
             for k, x in g.items():
-                rows = np.flatnonzero(np.any(x != 0, axis=1)) if k in ("E", "G3") else slice(None)
+                rows, x = x if isinstance(x, tuple) else (slice(None), x)
                 m, s = mean[k], square[k]
-                m[rows] = 0.9 * m[rows] + 0.1 * x[rows]
-                s[rows] = 0.98 * s[rows] + 0.02 * x[rows] ** 2
+                m[rows] = 0.9 * m[rows] + 0.1 * x
+                s[rows] = 0.98 * s[rows] + 0.02 * x**2
                 self.w[k][rows] -= (now / (1 - 0.9**step) * m[rows] / (np.sqrt(s[rows] / (1 - 0.98**step)) + 1e-6)).astype(np.float32)
-            self.tables_of(np.unique(inputs[order[step * BATCH : (step + 1) * BATCH]]))
+            batch = cut(step + 1)
+            self.tables_of(np.unique(batch[0]))
         self.tables()
         return steps
 
@@ -223,12 +251,9 @@ class Model:
         self.queries[ids] = e @ w["Wq"] / np.float32(np.sqrt(DIM))
 
 
-def _scattered(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Sums of ``values`` by row number."""
-    out = np.zeros((n, values.shape[1]), np.float32)
+def _scattered(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct row numbers and the sums of ``values`` by them."""
     order = np.argsort(rows, kind="stable")
     own = rows[order]
     cuts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.zeros(0, int)
-    if len(cuts):
-        out[own[cuts]] = np.add.reduceat(values[order], cuts, axis=0)
-    return out
+    return own[cuts], np.add.reduceat(values[order], cuts, axis=0) if len(cuts) else np.zeros((0, values.shape[1]), np.float32)

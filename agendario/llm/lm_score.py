@@ -9,7 +9,7 @@ ever in one place.
 
 Model (``attention``). Texts become subword ids. Their corpus-wide counts (at most one per entry of the
 vocabulary) are the model's biases. It starts from ``WARM_DOCUMENTS`` documents on the driver; then every task of the
-corpus trains a copy of it on one in ``TRAIN_ONE_IN`` of its documents and the copies are averaged, weighted by
+corpus trains a copy of it on all its learnable documents and the copies are averaged, weighted by
 their tokens, so what is learned grows with the input. Every text is then scored whole, in overlapping windows.
 
 Defined cases: null text counts as empty (only the end); a null id is learned from and not held out; repeated
@@ -39,7 +39,6 @@ FOLDS, HELD_OUT = 7, 2
 GROUP_ROWS = 1000
 BLOCK_WORDS = 2_000_000
 WARM_DOCUMENTS = 1500
-TRAIN_ONE_IN = 24
 RATE = 0.015
 SLICES = 64
 _END_WORD = mix(np.array([0xE0D], np.uint64))[0]
@@ -51,10 +50,6 @@ def _learned(doc_id) -> bool:
     return doc_id is None or zlib.crc32(str(doc_id).encode()) % FOLDS != HELD_OUT
 
 
-def _chosen(doc_id, one_in: int) -> bool:
-    return zlib.crc32(f"train {doc_id}".encode()) % one_in == 0
-
-
 def _packed(values: np.ndarray) -> bytes:
     """32-bit numbers as compressed byte planes."""
     return pa.compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)
@@ -196,8 +191,8 @@ def trained(groups: DataFrame, vocabulary: int, end: int) -> attention.Model:
         ids, lengths = [], []
         for batch in batches:
             for row in batch.to_pylist():
-                own, n = _texts(row, lambda d: _chosen(d, TRAIN_ONE_IN))
-                ids.append(own)
+                own, n = _texts(row, lambda d: True)
+                ids.append(own.astype("<u2"))
                 lengths.append(n)
         n = sum(map(len, ids))
         if n:

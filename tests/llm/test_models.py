@@ -85,6 +85,20 @@ def test_training_lowers_the_loss():
     assert model.score(ids, lengths, 49).sum() > 0.5 * before
 
 
+def test_training_takes_every_learnable_document(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "WARM_DOCUMENTS", 1)
+    ranks = spark.sparkContext.broadcast(lm_score.read_ranks(RANKS))
+    end = max(ranks.value.values()) + 1
+    groups = lm_score.grouped(cases.documents(spark), "every", ranks, public_tokenizers.PATTERN, end).cache()
+    expected = set()
+    for row in groups.collect():
+        lengths = np.frombuffer(row["sizes"], "<u4")
+        expected |= set(np.frombuffer(row["ids"], "<u2")[np.repeat(np.array(row["learned"]), lengths)].tolist())
+    model = lm_score.trained(groups, end + 1, end)
+    changed = np.flatnonzero((model.w["E"] != attention.initial(end + 1)["E"]).any(axis=1))
+    assert set(changed.tolist()) == expected and len(expected) > 100
+
+
 def test_lm_scores(spark, monkeypatch):
     monkeypatch.setattr(lm_score, "BLOCK_WORDS", 700)
     monkeypatch.setattr(lm_score, "GROUP_ROWS", 30)
