@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 
-CONTEXT = 16
+CONTEXT = 32
 SCORED = 32
 WINDOW = CONTEXT + SCORED
 BASE = 37

@@ -76,6 +76,19 @@ def test_windows_score_each_token_once_and_chances_add_up():
     assert first_digit.shape == (1, 37)
 
 
+def test_a_token_32_back_changes_the_chance():
+    ids, far = np.arange(96) % 50, np.arange(96) % 50
+    far[64 - 32] = 49
+    model = attention.Model(attention.initial(51), np.ones(51))
+
+    def chances(x):
+        inputs, first, targets, _ = attention.windows(x, np.array([96]), 50)
+        return model.log_chances(inputs, first, targets).ravel()
+
+    changed = np.flatnonzero(chances(ids) != chances(far))
+    assert changed[0] == 32 and 64 in changed
+
+
 def test_training_lowers_the_loss():
     ids = np.concatenate([np.tile([5, 9, 7, 3], 50) for _ in range(20)])
     lengths = np.full(20, 200)
