@@ -6,12 +6,11 @@ counted; a line in ``max_documents`` of them or more is boilerplate and is remov
 which fewer than ``min_words`` words or less than ``min_share`` per cent remain is depleted and
 rejected, as is one that fails the base rules.
 
-Which documents are distinct is told by the smallest hash among their *other* lines: exact copies,
-and near copies that share their remaining lines, count once, so a group of copies does not
-make its own text boilerplate. A document that has only the line itself counts once as well.
+Documents are distinct if their texts differ (by MD5): exact copies count once, so a group of them does
+not make its own text boilerplate; near copies are different documents.
 
-Counting runs in two steps, (host, line, document) and then (host, line), both with partial
-aggregation, so a host or line with a third of all rows is spread over all tasks.
+Lines are exploded and hashed once and stored. Counting runs in two steps, (host, line, text) and then
+(host, line), both with partial aggregation, so a host or line with a third of all rows is spread over all tasks.
 
 Defined cases: null text counts as empty (no words: base rules fail); a null host is a host
 of its own; repeated rows and repeated ids are each returned; an empty table gives no rows;
@@ -23,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import table
+from .shared import stored, table
 
 MAX_DOCUMENTS = 20
 MIN_WORDS = 10
@@ -123,28 +122,27 @@ def measures(docs: DataFrame) -> DataFrame:
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """One row per line with a word: source, key, pos, line (MD5), words, other (smallest other line)."""
+    """One row per line with a word: source, key, pos, line (MD5), words and document (MD5 of the whole text)."""
     text, key = _text_key()
-    hashed = _lines(docs.select("source", key.alias("key"), text.alias("text")), "source", "key").select(
+    named = docs.select("source", key.alias("key"), text.alias("text"), F.unhex(F.md5(text)).alias("document"))
+    hashed = _lines(named, "source", "key", "document").select(
         "source",
         "key",
+        "document",
         F.transform(F.array_remove("normal", ""), lambda x: F.struct(F.unhex(F.md5(x)).alias("line"), (F.length(x) - F.length(F.replace(x, F.lit(" "))) + 1).alias("words"))).alias("rows"),
     )
-    least = hashed.withColumn("least", F.slice(F.sort_array(F.array_distinct("rows.line")), 1, 2))
-    flat = least.select("source", "key", "least", F.posexplode("rows").alias("pos", "row"))
-    other = F.when(F.get("least", F.lit(0)) == F.col("row.line"), F.get("least", F.lit(1))).otherwise(F.get("least", F.lit(0)))
-    return flat.select("source", "key", "pos", F.col("row.line").alias("line"), F.col("row.words").alias("words"), other.alias("other"))
+    return hashed.select("source", "key", "document", F.posexplode("rows").alias("pos", "row")).select("source", "key", "document", "pos", "row.line", "row.words")
 
 
 def boilerplate(lines: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
     """(source, line) of the lines in ``max_documents`` distinct documents of a host or more."""
-    apart = lines.select("source", "line", "other").distinct()
+    apart = lines.select("source", "line", "document").distinct()
     return apart.groupBy("source", "line").agg(F.count("*").alias("n_documents")).where(F.col("n_documents") >= max_documents)
 
 
 def assess(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_words: int = MIN_WORDS, min_share: int = MIN_SHARE) -> DataFrame:
     """The counts of every row of ``docs`` with removed_words, base_failed and kept."""
-    lines = line_rows(docs)
+    lines = stored(line_rows(docs), "lines")
     common = boilerplate(lines, max_documents).select(F.col("source").alias("at"), F.col("line").alias("what"))
     removed = (
         lines.join(common, F.col("source").eqNullSafe(F.col("at")) & (F.col("line") == F.col("what")))
@@ -167,7 +165,7 @@ def assess(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_words: int =
 
 def cleaned(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
     """doc_id and text of every row without its boilerplate lines; the other lines stay as they are, in order."""
-    lines = line_rows(docs)
+    lines = stored(line_rows(docs), "lines")
     common = boilerplate(lines, max_documents).select(F.col("source").alias("at"), F.col("line").alias("what"))
     gone = (
         lines.join(common, F.col("source").eqNullSafe(F.col("at")) & (F.col("line") == F.col("what")))
@@ -200,7 +198,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 _WS = "[ \\t\\n\\x0b\\x0c\\r]+"
 ORACLE_SQL = f"""
 WITH d AS (
-  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text, md5(coalesce(text, '')) AS document FROM documents
 ), w AS (
   SELECT r, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words FROM d
 ), win AS (
@@ -211,17 +209,13 @@ WITH d AS (
   SELECT r, sum(least(5, coalesce(nxt - i, 5))) AS n_repeat_words
   FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS nxt FROM twice) GROUP BY r
 ), l AS (
-  SELECT r, source, pos, raw, trim(regexp_replace(lower(raw), '{_WS}', ' ', 'g')) AS line
-  FROM (SELECT r, source, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d)
+  SELECT r, source, document, pos, raw, trim(regexp_replace(lower(raw), '{_WS}', ' ', 'g')) AS line
+  FROM (SELECT r, source, document, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d)
   WHERE regexp_matches(raw, '[^\\x20\\x09-\\x0D]')
 ), h AS (
-  SELECT r, source, pos, raw, md5(line) AS line, len(string_split(line, ' ')) AS words FROM l
-), least2 AS (
-  SELECT r, list_sort(list(DISTINCT line))[1:2] AS m FROM h GROUP BY r
+  SELECT r, source, document, pos, raw, md5(line) AS line, len(string_split(line, ' ')) AS words FROM l
 ), common AS (
-  SELECT source, line FROM (
-    SELECT DISTINCT h.source, line, CASE WHEN m[1] = line THEN m[2] ELSE m[1] END AS other FROM h JOIN least2 USING (r)
-  ) GROUP BY source, line HAVING count(*) >= {MAX_DOCUMENTS}
+  SELECT source, line FROM h GROUP BY source, line HAVING count(DISTINCT document) >= {MAX_DOCUMENTS}
 ), gone AS (
   SELECT r, sum(words) AS removed_words FROM h JOIN common c ON h.source IS NOT DISTINCT FROM c.source AND h.line = c.line GROUP BY r
 ), dup AS (

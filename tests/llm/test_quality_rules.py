@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter, defaultdict
 from hashlib import md5
@@ -15,10 +16,8 @@ def brute(rows, limit):
         normal.append([(md5(x.encode()).digest(), len(x.split(" "))) for x in pieces if x])
     seen = defaultdict(set)
     for (d, s, t), lines in zip(rows, normal):
-        hashes = sorted({h for h, _ in lines})[:2]
         for h, _ in lines:
-            others = [x for x in hashes if x != h]
-            seen[s, h].add(others[0] if others else None)
+            seen[s, h].add(t or "")
     out = []
     for (d, s, t), lines in zip(rows, normal):
         w = cases.words_of(t)
@@ -49,6 +48,17 @@ def test_copies_do_not_make_their_own_lines_boilerplate(spark):
     assert {1000 + k for k in range(40)} <= kept
 
 
+def test_a_line_of_many_different_documents_is_removed_whatever_else_they_share(spark):
+    rng = random.Random(8)
+    menu = [cases.prose(rng, 6).replace("\n", " ") for _ in range(20)]
+    pages = ["\n".join([*menu, f"own line of page {k}"]) for k in range(100)]
+    few = ["\n".join([*menu[:2], f"rare line of page {k} " + cases.prose(rng, 30)]) for k in range(19)]
+    docs = cases.documents(spark, [(1000 + k, t, "en", "menu") for k, t in enumerate(pages)] + [(2000 + k, t, "en", "few") for k, t in enumerate(few)])
+    got = {r["doc_id"]: r for r in quality_rules.assess(docs).where("doc_id >= 1000").collect()}
+    assert all(got[1000 + k]["removed_words"] == 120 and not got[1000 + k]["kept"] for k in range(100))
+    assert all(got[2000 + k]["removed_words"] == 0 and got[2000 + k]["kept"] for k in range(19))
+
+
 def test_cleaned_drops_only_boilerplate_lines(spark):
     docs = cases.documents(spark)
     got = {r["doc_id"]: r["text"] for r in quality_rules.cleaned(docs, max_documents=5).collect() if r["doc_id"] is not None}
