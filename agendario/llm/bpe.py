@@ -13,7 +13,8 @@ A word occurs at most once per block, so a very frequent word costs a row per bl
 occurrence. Blocks hold about ``BLOCK_CHARS`` characters, or one document where that is longer.
 
 The documents are read twice (words, places), so ``docs`` must give the same rows in the same order
-each time, as a table scan does; store it first where it is the result of a shuffle.
+each time, as a table scan does; store it first where it is the result of a shuffle. A block is named by a digest of
+its number and its words, and their number goes with it: where the two reads differ, the query fails.
 
 Defined cases: null text counts as empty (no ids, the digest of nothing); repeated rows and ids are each
 returned; an empty table gives no rows; other columns are ignored. Strings of special tokens inside
@@ -75,14 +76,20 @@ class _Slots:
             self.places.append(at)
             self.sizes.append(len(at) // 4)
 
+    def named(self, number: int) -> int:
+        """The block's name: 63 bits of a digest of its number and its words in order."""
+        digest = hashlib.blake2b(number.to_bytes(8, "little"), digest_size=8)
+        digest.update("\0".join(self.slot).encode())
+        return int.from_bytes(digest.digest(), "little") >> 1
+
     def words_row(self, block: int) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([list(self.slot)], pa.list_(pa.string()))], ["block", "words"])
 
     def places_row(self, block: int) -> pa.RecordBatch:
         every = np.frombuffer(b"".join(self.places), np.uint8)
         planes = pa.compress(every.reshape(-1, 4).T.tobytes(), _CODEC, asbytes=True)
-        columns = [pa.array([block], pa.int64()), pa.array([self.ids], pa.list_(pa.int64())), pa.array([self.sizes], pa.list_(pa.int32())), pa.array([planes], pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["block", "doc_ids", "sizes", "places"])
+        columns = [pa.array([block], pa.int64()), pa.array([len(self.slot)], pa.int64()), pa.array([self.ids], pa.list_(pa.int64())), pa.array([self.sizes], pa.list_(pa.int32())), pa.array([planes], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["block", "n_slots", "doc_ids", "sizes", "places"])
 
 
 def _blocks(docs: DataFrame, pattern: str, places: bool) -> DataFrame:
@@ -98,13 +105,13 @@ def _blocks(docs: DataFrame, pattern: str, places: bool) -> DataFrame:
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     now.add(doc_id, text or "", places)
                     if now.chars >= BLOCK_CHARS:
-                        yield row(now, block)
+                        yield row(now, now.named(block))
                         now, block = _Slots(spelled), block + 1
         if now.ids:
-            yield row(now, block)
+            yield row(now, now.named(block))
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "block long, doc_ids array<long>, sizes array<int>, places binary" if places else "block long, words array<string>")
+    return rows.mapInArrow(run, "block long, n_slots long, doc_ids array<long>, sizes array<int>, places binary" if places else "block long, words array<string>")
 
 
 def _encoding(name: str, ranks, pattern: str):
@@ -176,6 +183,8 @@ def _assembled(docs: DataFrame, vocabulary_path: str, pattern: str, schema: str,
         said = {i: str(i) for i in token}
         rows = ids.to_pylist()
         total = sum(len(r["slots"]) // 4 for r in rows)
+        if [total] != blocks["n_slots"].to_pylist():
+            raise RuntimeError("the two reads of the documents differ: store them first")
         decimal, data = [""] * total, [b""] * total
         for r in rows:
             at, flat = 0, memoryview(r["ids"]).cast(width).tolist()

@@ -13,12 +13,14 @@ and looks it up again in a table of at most ``MEMO`` entries.
 
 Defined cases: null text counts as empty (only the end id); rows are ordered by (doc_id, text),
 null ids first; repeated rows are each written; an empty table gives no rows; other columns
-are ignored. The vocabulary travels from the driver as a broadcast value.
+are ignored. The vocabulary travels from the driver as a broadcast value. The string of a special token inside
+a text gives that token's id, as in the library unless ``special_as_text`` is set.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -71,12 +73,15 @@ class Encoder:
 
     JOINED = 512
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, special_as_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        special = [] if special_as_text else sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        #: Strings that the library takes out of a text before it looks for pre-tokens.
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
         # A token of a byte-level vocabulary has one character for each byte.
         size = self.tokenizer.get_vocab_size()
         self.bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
@@ -96,8 +101,17 @@ class Encoder:
             for p, lo, hi in zip(group, at, at[1:]):
                 self.known[p] = data[4 * lo : 4 * hi]
 
+    def _cut(self, text: str) -> list[str]:
+        if self.special is None or not self.special.search(text):
+            return pieces(text)
+        out, at = [], 0
+        for m in self.special.finditer(text):
+            out += [*(pieces(text[at : m.start()]) if m.start() > at else []), m[0]]
+            at = m.end()
+        return out + (pieces(text[at:]) if at < len(text) else [])
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [pieces(x) for x in texts]
+        cut = [self._cut(x) for x in texts]
         if len(self.known) > MEMO:
             self.known = {}
         known = self.known
@@ -107,18 +121,18 @@ class Encoder:
         return [b"".join(map(known.__getitem__, ps)) for ps in cut]
 
 
-def _encoder(name: int, vocabulary) -> Encoder:
+def _encoder(name: tuple, vocabulary) -> Encoder:
     """One encoder for a Python worker and vocabulary; it outlives tasks."""
     if name not in _LOADED:
         _LOADED.clear()
-        _LOADED[name] = Encoder(vocabulary.value)
+        _LOADED[name] = Encoder(vocabulary.value, name[1])
     return _LOADED[name]
 
 
 _SCHEMA = "shard int, block int, start long, bits int, n_ids int, doc_ids array<long>, n_tokens array<long>, payload binary"
 
 
-def write(docs: DataFrame, path: str, vocabulary_path: str, end_id: int = END_ID) -> None:
+def write(docs: DataFrame, path: str, vocabulary_path: str, end_id: int = END_ID, special_as_text: bool = False) -> None:
     """Encodes ``docs`` (doc_id, text) in ascending order of doc_id and writes the blocks to ``path``."""
     from tokenizers import Tokenizer
 
@@ -126,7 +140,7 @@ def write(docs: DataFrame, path: str, vocabulary_path: str, end_id: int = END_ID
     with open(vocabulary_path, encoding="utf-8") as file:
         text = file.read()
     bits = bits_for(max(Tokenizer.from_str(text).get_vocab_size(), end_id + 1))
-    vocabulary, name = spark.sparkContext.broadcast(text), zlib.crc32(text.encode())
+    vocabulary, name = spark.sparkContext.broadcast(text), (zlib.crc32(text.encode()), special_as_text)
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,9 +19,7 @@ JSON, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.pat
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(JSON)
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +38,15 @@ def test_pieces_keep_pre_tokens(library, encoding):
         assert [i for p in pieces(text) for w in pattern.findall(p) for i in encoding.encode_ordinary(w)] == encoding.encode_ordinary(text), text
 
 
+def test_special_strings_as_the_library_has_them(library):
+    some = ["end <|endoftext|> of it", "<|endoftext|>", "a<|endoftext|><|endoftext|> b", "<|endoftext|", " x <|endoftext|>\n y"]
+    as_text = Tokenizer.from_file(JSON)
+    as_text.encode_special_tokens = True
+    for encoder, expected in ((packing.Encoder(library.to_str()), library), (packing.Encoder(library.to_str(), True), as_text)):
+        got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(some)]
+        assert got == [expected.encode(x, add_special_tokens=False).ids for x in some]
+
+
 @pytest.mark.parametrize("bits", [1, 7, 13, 16, 17, 32])
 def test_bit_packing_and_random_access(bits):
     ids = np.random.default_rng(bits).integers(0, 1 << bits, 1001).astype("<u4")
@@ -74,6 +81,11 @@ def test_bpe_as_the_library(spark, encoding, monkeypatch):
         ids, data = encoding.encode_ordinary(r["text"] or ""), (r["text"] or "").encode()
         expected.append((r["doc_id"], len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(data).hexdigest()))
     assert cases.rows_of(bpe.digests(docs, RANKS, public_tokenizers.PATTERN)) == sorted(expected, key=repr)
+    first = bpe._blocks
+    monkeypatch.setattr(bpe, "_blocks", lambda docs, pattern, places: first(docs if places else docs.where("doc_id <> 3"), pattern, places))
+    with pytest.raises(Exception, match="reads of the documents differ"):
+        bpe.digests(docs, RANKS, public_tokenizers.PATTERN).collect()
+    monkeypatch.setattr(bpe, "_blocks", first)
     whole = {r["doc_id"]: r for r in bpe.encode(docs, RANKS, public_tokenizers.PATTERN).collect()}
     text = cases.texts()[3]
     assert whole[3]["ids"] == encoding.encode_ordinary(text) and bytes(whole[3]["decoded"]) == text.encode()
