@@ -1,8 +1,8 @@
 """URL filters: hashed host-suffix and path-prefix expressions joined with a rule table.
 
 Each distinct URL is expanded into the expressions (host suffix, path prefix) whose shape some
-rule has: host suffixes of whole labels, and path prefixes of the lengths that occur among the
-rules' paths (a rule's path is a prefix by characters). Expressions and rules meet in an equi-join
+rule has: host suffixes of as many labels as some rule's host has, and path prefixes of the lengths that occur
+among the rules' paths (a rule's path is a prefix by characters). Expressions and rules meet in an equi-join
 on the first four bytes of their SHA-256; the full digest then confirms a hit, and of all
 confirmed rules the longest (host and path together, then host) decides.
 
@@ -63,14 +63,16 @@ def judge(pages: DataFrame, rules: DataFrame, max_broadcast_rules: int = 100_000
     )
     #: The lengths of rule paths: at most as many values as the longest path has characters.
     lengths = [r[0] for r in known.select(F.length("rule_path")).distinct().collect()] or [0]
+    #: How many labels rule hosts have: at most as many values as the longest one has labels.
+    counts = [r[0] for r in known.select(F.size(F.split("rule_host", r"\.", -1))).distinct().collect()] or [1]
     side = known.select("prefix", F.col("digest").alias("rule_digest"), "rule_host", "rule_path", "rule_verdict")
     if side.limit(max_broadcast_rules + 1).count() <= max_broadcast_rules:
         side = F.broadcast(side)
 
     urls = pages.select("url").distinct()
     host, path = parts(F.col("url"))
-    labels = F.split("host", r"\.", -1)
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, 1 << 20), "."))
+    size = F.length("host") - F.length(F.replace("host", F.lit("."))) + 1
+    suffixes = F.filter(F.array(*[F.when(size >= n, F.substring_index("host", ".", -n)) for n in sorted(counts)]), lambda x: x.isNotNull())
     cuts = F.filter(F.array(*[F.lit(n) for n in sorted(lengths)]), lambda n: n <= F.length("path"))
     shapes = (
         urls.select("url", host.alias("host"), path.alias("path"))

@@ -1,3 +1,5 @@
+import time
+
 from agendario.llm import urlfilter
 
 SCHEMA = "page_id long, url string, html string, rule string, digest string"
@@ -33,6 +35,14 @@ def test_against_brute_force(spark):
         assert sorted(map(tuple, got.collect()), key=repr) == expected
 
 
+def test_a_host_of_very_many_labels_costs_no_more_than_the_rules_ask_for(spark):
+    rows = [(1, "http://" + "a." * 20000 + "example.org/es/x", None, "", ""), (2, "http://" + "b" * 100000 + "/", None, "", ""), (3, "http://a.org/" + "x/" * 50000, None, "", "")]
+    began = time.perf_counter()
+    got = urlfilter.judge(spark.createDataFrame(rows, SCHEMA), urlfilter.rule_table(spark)).select("page_id", "rule", "verdict").orderBy("page_id").collect()
+    assert [tuple(r) for r in got] == [(1, "example.org/es/", "block"), (2, None, "allow"), (3, "org/", "allow")]
+    assert time.perf_counter() - began < 20
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert urlfilter.judge(none, urlfilter.rule_table(spark)).collect() == []
