@@ -3,14 +3,15 @@
 Words are runs without white space and ASCII punctuation, A-Z lower-cased. The ``SEED``-word grams of the
 test items are looked for in all documents, and every one is a seed, however many documents hold it:
 what is found in a document does not depend on the others. Passages around the seeds are cut out of the
-documents; passages and items meet in a join on the seed, and each pair is aligned locally (match 1,
+documents, once for each class of item lengths (powers of two), so that a long item widens no passage of shorter
+ones; passages and items meet in a join on class and seed, and each pair is aligned locally (match 1,
 mismatch and gap -1). A pair counts as contamination if its score is at least ``LEAST`` of the item's
 words, and ``LEAST_SCORE`` or the whole item. A score is at most the number of the item's words that the
 passage holds; pairs in which that is too low (most pairs that share only a phrase) are not aligned.
 
-Which grams occur in a document is first asked of a bit table of at most ``MAX_SLOTS`` bits, all
-that is broadcast; a larger benchmark makes it less selective, never wrong, because the joins compare
-the full hashes. No pair, seed or passage is capped.
+Which grams occur in a document is first asked of a bit table of at most ``MAX_SLOTS`` bits for each class, and of at
+most ``MOST_EXACT`` grams, all that is broadcast; a larger benchmark makes it less selective, never wrong, because
+the joins compare the full hashes. No pair, seed or passage is capped.
 
 Defined cases: null or empty texts have no words; items of fewer than ``SEED`` words have no seed and
 are never found; a null item_id or doc_id is reported as such; repeated rows of a document or item give
@@ -35,7 +36,10 @@ LEAST = 0.4
 LEAST_SCORE = 8
 MAX_SLOTS = 1 << 28
 SLOTS_PER_GRAM = 64
+MOST_EXACT = 1 << 20
 CHUNK_BITS = 1 << 20
+#: Items of at most 2 ** LEAST_CLASS words are one class.
+LEAST_CLASS = 6
 #: Words of a passage at least, before passages of a long document are split (with overlap).
 LONGEST = 2048
 
@@ -62,19 +66,21 @@ def item_words(items: DataFrame) -> DataFrame:
 
 
 def item_grams(items: DataFrame) -> DataFrame:
-    """(item_id, words, gram) for every distinct gram of an item."""
+    """(item_id, words, class, gram) for every distinct gram of an item; its class is the power of two that bounds its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams = [np.unique(window_hashes(np.frombuffer(w, np.uint64), SEED)).view(np.int64).tolist() for w in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(grams, pa.list_(pa.int64()))], ["item_id", "words", "grams"])
+            own = [np.frombuffer(w, np.uint64) for w in batch.column(1).to_pylist()]
+            grams = [np.unique(window_hashes(w, SEED)).view(np.int64).tolist() for w in own]
+            classes = [max(LEAST_CLASS, (max(len(w), 1) - 1).bit_length()) for w in own]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(classes, pa.int32()), pa.array(grams, pa.list_(pa.int64()))], ["item_id", "words", "class", "grams"])
 
-    found = items.select("item_id", "words").mapInArrow(run, "item_id long, words binary, grams array<long>")
-    return found.select("item_id", "words", F.explode("grams").alias("gram"))
+    found = items.select("item_id", "words").mapInArrow(run, "item_id long, words binary, class int, grams array<long>")
+    return found.select("item_id", "words", "class", F.explode("grams").alias("gram"))
 
 
 class BitTable:
-    """Which grams are in a set, as bits of their lowest places."""
+    """Which grams are in a set: bits of their lowest places, and up to ``MOST_EXACT`` grams the grams themselves."""
 
     def __init__(self, grams: DataFrame):
         n = grams.select("gram").distinct().count()
@@ -92,38 +98,54 @@ class BitTable:
         for r in rows:
             at = r["chunk"] * (CHUNK_BITS // 8)
             self.bits[at : at + CHUNK_BITS // 8] = np.frombuffer(r["bits"], np.uint8)
+        self.exact = None
+        if n <= MOST_EXACT:
+            self.exact = np.sort(np.array([r["gram"] for r in grams.select("gram").distinct().collect()], np.int64).view(np.uint64))
 
-    def has(self, grams: np.ndarray) -> np.ndarray:
+    def hits(self, grams: np.ndarray) -> np.ndarray:
+        """Places of the grams that are in the set (beyond ``MOST_EXACT``: and of some others)."""
         at = grams & np.uint64(self.slots - 1)
-        return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        found = np.flatnonzero((self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1)
+        if self.exact is None or not len(found):
+            return found
+        own = grams[found]
+        place = np.minimum(np.searchsorted(self.exact, own), len(self.exact) - 1)
+        return found[self.exact[place] == own]
 
 
-def passages(docs: DataFrame, seeds: DataFrame, margin: int) -> DataFrame:
-    """Passages with a seed: doc_id, start (in words), words (binary) and grams (those that may be seeds)."""
-    known = docs.sparkSession.sparkContext.broadcast(BitTable(seeds))
-    longest = max(LONGEST, 6 * margin)
+def passages(docs: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Passages with a seed: doc_id, class (of the items sought), start (in words), words (binary) and grams (those that may be seeds)."""
+    # At most one class for each bit of an item's length.
+    classes = sorted(r["class"] for r in seeds.select("class").distinct().collect())
+    tables = [(c, (1 << c) + (1 << c) // 4 + SEED, BitTable(seeds.where(F.col("class") == c))) for c in classes]
+    known = docs.sparkSession.sparkContext.broadcast(tables)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for doc_id, words in zip(batch.column(0).to_pylist(), _words(batch.column(1))):
                 own = window_hashes(words, SEED)
-                hit = np.flatnonzero(known.value.has(own))
-                if not len(hit):
-                    continue
-                cuts = np.flatnonzero(np.r_[True, np.diff(hit) > 2 * margin, True])
-                for a, b in zip(cuts[:-1], cuts[1:]):
-                    lo, hi = max(0, int(hit[a]) - margin), min(len(words), int(hit[b - 1]) + SEED + margin)
-                    for start in range(lo, max(lo + 1, hi - 2 * margin), longest - 2 * margin):
-                        end = min(hi, start + longest)
-                        inside = np.unique(own[hit[(hit >= start) & (hit <= end - SEED)]]).view(np.int64).tolist()
-                        if inside:
-                            for column, value in zip(out, (doc_id, start, words[start:end].tobytes(), inside)):
+                for c, margin, bits in known.value:
+                    hit = bits.hits(own)
+                    if len(hit):
+                        for start, end, inside in cut(own, hit, len(words), margin):
+                            for column, value in zip(out, (doc_id, c, start, words[start:end].tobytes(), inside)):
                                 column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], ["doc_id", "start", "words", "grams"])
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], ["doc_id", "class", "start", "words", "grams"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, start long, words binary, grams array<long>")
+    def cut(own: np.ndarray, hit: np.ndarray, n_words: int, margin: int) -> Iterator[tuple[int, int, list[int]]]:
+        longest = max(LONGEST, 6 * margin)
+        cuts = np.flatnonzero(np.r_[True, np.diff(hit) > 2 * margin, True])
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            lo, hi = max(0, int(hit[a]) - margin), min(n_words, int(hit[b - 1]) + SEED + margin)
+            for start in range(lo, max(lo + 1, hi - 2 * margin), longest - 2 * margin):
+                end = min(hi, start + longest)
+                inside = np.unique(own[hit[(hit >= start) & (hit <= end - SEED)]]).view(np.int64).tolist()
+                if inside:
+                    yield start, end, inside
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, class int, start long, words binary, grams array<long>")
 
 
 def align(passage: list[np.ndarray], item: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -169,10 +191,8 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Dat
     """doc_id, item_id, score, n_words (of the item), start and end (words of the document)."""
     tests = stored(item_words(items), "items")
     grams = stored(item_grams(tests), "grams")
-    margin = tests.agg(F.max("n_words")).first()[0] or 0
-    margin += margin // 4 + SEED
-    found = stored(passages(docs, grams, margin).withColumn("passage", F.monotonically_increasing_id()), "passages")
-    pairs = found.select("passage", F.explode("grams").alias("gram")).join(grams, "gram").select("passage", "item_id", F.col("words").alias("item")).distinct()
+    found = stored(passages(docs, grams).withColumn("passage", F.monotonically_increasing_id()), "passages")
+    pairs = found.select("passage", "class", F.explode("grams").alias("gram")).join(grams, ["class", "gram"]).select("passage", "item_id", F.col("words").alias("item")).distinct()
 
     def may_count(passage: bytes, item: bytes) -> bool:
         words = np.frombuffer(item, np.uint64)
@@ -206,7 +226,13 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows of ``docs`` that hold no test item, with all their columns."""
-    found = contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
-    gone = found.select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+    """The rows of ``docs`` that hold no test item, with all their columns.
+
+    Rows are decided by their texts: equal texts share a verdict, and an id that several texts have, or null ids,
+    take no other row with them.
+    """
+    key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    found = contaminated(docs.select(key.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    # Stored, so that the join deals it anew and a text with very many copies can be split.
+    gone = stored(found.select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
+    return docs.join(gone, key == gone["gone_id"], "left_anti")

@@ -79,6 +79,28 @@ def test_a_part_that_leaked_thousands_of_times_is_found_beside_a_few_whole_copie
     assert got[6000] < 40
 
 
+def test_a_very_long_item_widens_no_passage_of_the_others(spark):
+    rng = random.Random(6)
+    short, long = cases.prose(rng, 20).replace("\n", " "), " ".join(f"long{k}" for k in range(3000))
+    docs = spark.createDataFrame([(1, cases.prose(rng, 5000) + " " + short + " " + cases.prose(rng, 5000)), (2, "so " + long + " end"), (3, cases.prose(rng, 300))], "doc_id long, text string")
+    items = decontaminate.item_words(spark.createDataFrame([(1, short), (2, long)], "item_id long, text string"))
+    found = decontaminate.passages(docs, decontaminate.item_grams(items)).collect()
+    assert all(len(r["words"]) // 8 <= 400 for r in found if r["doc_id"] == 1)
+    got = decontaminate.contaminated(docs, spark.createDataFrame([(1, short), (2, long)], "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["score"]) for r in got) == [(1, 1, 20), (2, 2, 3000)]
+
+
+def test_stage_decides_by_row(spark, tmp_path):
+    rng = random.Random(2)
+    item, clean = cases.prose(rng, 40).replace("\n", " "), cases.prose(rng, 60)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(None, item), (None, clean), (7, clean), (8, item), (8, clean), (9, None), (None, None)]
+    got = decontaminate.stage(spark, spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, gone_id string"), str(tmp_path))
+    assert got.columns == ["doc_id", "text", "gone_id"]
+    assert cases.rows_of(got.select("doc_id", "text")) == sorted([r for r in rows if r[1] != item], key=repr)
+    assert decontaminate.stage(spark, cases.empty(spark), str(tmp_path)).collect() == []
+
+
 def test_empty_tables(spark):
     items = spark.createDataFrame([], ITEMS)
     assert decontaminate.contaminated(cases.documents(spark), items).collect() == []
