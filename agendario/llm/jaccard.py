@@ -7,6 +7,8 @@ Jaccard similarity is at least 0.8. The join works on distinct sets only (copies
    about ``BLOCK_TOKENS`` to a block, so a very common shingle costs once per set and no
    row of its own; what is shared goes back to the group of rows that its set is from. A set links only if at least ceil(0.8 n) of its shingles are shared at all;
    most documents of a corpus end here, exactly.
+   Sets with the same shared shingles and the same size are one class: they link with the same other sets, and
+   with each other or not at all by their size alone. Only one set of each class goes on.
 2. orders the shared shingles of each remaining set by (number of sets, hash_k), k = 0, 1, 2:
    three global orders. In each, linked sets must share a shingle of their prefixes. Sets that share one
    in the first order are tied together into pools; no link leaves a pool.
@@ -32,11 +34,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import stored, table
+from .shared import met, stored, table
 from .wordhash import mix, shingle_sets
 
 SHINGLE = 5
@@ -63,7 +65,7 @@ def least_overlap(n):
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """doc_id, set_key (null for an empty set) and n_shingles of every row."""
+    """doc_id, digest (MD5 of the text), set_key (null for an empty set) and n_shingles of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -71,9 +73,14 @@ def described(docs: DataFrame) -> DataFrame:
             for own in shingle_sets(batch.column(1), SHINGLE):
                 keys.append(_key(own) if len(own) else None)
                 sizes.append(len(own))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64())], ["doc_id", "set_key", "n_shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64())], ["doc_id", "digest", "set_key", "n_shingles"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, set_key binary, n_shingles long")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _digest(F.col("text")))
+    return rows.mapInArrow(run, "doc_id long, digest binary, set_key binary, n_shingles long")
+
+
+def _digest(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit(""))))
 
 
 def _dealt(docs: DataFrame, blocks: int) -> DataFrame:
@@ -173,6 +180,7 @@ def _by_set(rows: pa.Table) -> pa.Table:
     ends = list(zip(cuts[:-1], cuts[1:]))
     return pa.table({
         "set_key": pa.array([k.tobytes() for k in names], pa.binary()),
+        "core": pa.array([_key(tokens[a:b]) for a, b in ends], pa.binary()),
         "n_shared": pa.array(np.diff(cuts), pa.int64()),
         "tokens": pa.array([tokens[a:b].tobytes() for a, b in ends], pa.binary()),
         "sets": pa.array([sets[a:b].tobytes() for a, b in ends], pa.binary()),
@@ -180,14 +188,14 @@ def _by_set(rows: pa.Table) -> pa.Table:
 
 
 def candidates(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The sets that may link at all: set_key, n, tokens (ascending) and sets (binary columns)."""
+    """The sets that may link at all: set_key, core (key of the shared shingles), n, n_shared, tokens (ascending) and sets."""
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     blocks = max(1, -(-int(total) // BLOCK_TOKENS))
     shared = _dealt(docs, blocks).groupBy("block").applyInArrow(_shared_of_block, "grp long, keys binary, counts binary, tokens binary, sets binary")
-    per = shared.groupBy("grp").applyInArrow(_by_set, "set_key binary, n_shared long, tokens binary, sets binary")
+    per = shared.groupBy("grp").applyInArrow(_by_set, "set_key binary, core binary, n_shared long, tokens binary, sets binary")
     sizes = sets.where(F.col("set_key").isNotNull()).groupBy("set_key").agg(F.max("n_shingles").alias("n"))
     least = F.floor((PERCENT * F.col("n") + 99) / 100)
-    return per.join(sizes, "set_key").where(F.col("n_shared") >= least).select("set_key", "n", "tokens", "sets")
+    return per.join(sizes, "set_key").where(F.col("n_shared") >= least).select("set_key", "core", "n", "n_shared", "tokens", "sets")
 
 
 def _prefix(tokens: np.ndarray, sets: np.ndarray, n: int, order: int) -> np.ndarray:
@@ -220,8 +228,9 @@ def _first_prefixes(alive: DataFrame) -> DataFrame:
 def pools(alive: DataFrame) -> DataFrame:
     """(node, root): sets that share a prefix token of the first order, transitively."""
     rows = _first_prefixes(alive)
+    most = alive.agg(F.sum(F.col("n") / 5 + 1).cast("long")).first()[0] or 0
     heads = rows.groupBy("token").agg(F.min("set_key").alias("head"), F.count("*").alias("k")).where(F.col("k") > 1)
-    return components(rows.join(heads, "token").select(F.col("set_key").alias("a"), F.col("head").alias("b")))
+    return components(met(rows, heads, "token", most).select(F.col("set_key").alias("a"), F.col("head").alias("b")))
 
 
 class _Members:
@@ -302,6 +311,21 @@ def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
 
 def linked_sets(alive: DataFrame) -> DataFrame:
     """(set_key, label) of the candidates: equal labels mean one component."""
+    classes = stored(alive.groupBy("core", "n").agg(F.min("set_key").alias("first"), F.count("*").alias("k"), F.max("n_shared").alias("n_shared")), "classes")
+    firsts = stored(alive.join(classes.select(F.col("first").alias("set_key")), "set_key", "left_semi"), "firsts")
+    labels = linked_classes(firsts)
+    size = labels.groupBy("label").agg(F.count("*").alias("together"))
+    # A class that links with another is one component; alone, it is one if its own sets link with each other.
+    own = 100 * F.col("n_shared") >= PERCENT * (2 * F.col("n") - F.col("n_shared"))
+    decided = classes.join(labels.join(size, "label").withColumnRenamed("set_key", "first"), "first", "left")
+    decided = decided.select("core", "n", "k", F.coalesce("label", "first").alias("label"), (own | (F.coalesce("together", F.lit(1)) > 1)).alias("one"))
+    decided = stored(decided.withColumn("class", F.struct("core", "n")).select("class", "k", "label", "one"), "decided")
+    members = alive.select("set_key", F.struct("core", "n").alias("class"))
+    return met(members, decided, "class", alive.count()).select("set_key", F.when(F.col("one"), F.col("label")).otherwise(F.col("set_key")).alias("label"))
+
+
+def linked_classes(alive: DataFrame) -> DataFrame:
+    """(set_key, label) of sets that no other has both shared shingles and size of."""
     pool = pools(alive).select(F.col("node").alias("set_key"), F.col("root").alias("pool"))
     pool = stored(pool, "pools")
     sizes = pool.groupBy("pool").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
@@ -336,18 +360,24 @@ def _compared(alive: DataFrame, members: DataFrame, probes: DataFrame, parts: Da
     return left.groupBy("pool", "chunk", "part").cogroup(right.groupBy("probe_pool", "probe_chunk", "probe_part")).applyInArrow(_across, _OUT)
 
 
+def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``described`` and (set_key, label) of the sets that may link."""
+    sets = stored(described(docs), "sets")
+    return sets, stored(linked_sets(stored(candidates(docs, sets), "alive")), "linked")
+
+
 def similar(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text)."""
-    sets = stored(described(docs), "sets")
-    alive = stored(candidates(docs, sets), "alive")
-    labels = linked_sets(alive)
-    first = sets.where(F.col("set_key").isNotNull()).groupBy("set_key").agg(F.min("doc_id").alias("first"))
-    tied = stored(first.join(labels, "set_key"), "tied")
-    least = tied.groupBy("label").agg(F.min("first").alias("least"))
-    roots = tied.join(least, "label").select("set_key", "least")
-    # Stored, so that both sides of the last join are dealt anew and a set with very many copies can be split.
-    owner = stored(first.join(roots, "set_key", "left").select("set_key", F.coalesce("least", "first").alias("owner")), "owner")
-    return sets.join(owner, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("owner", "doc_id").alias("component_id"))
+    sets, labels = grouped(docs)
+    some = sets.where(F.col("set_key").isNotNull())
+    first = some.groupBy("set_key").agg(F.min("doc_id").alias("first"), F.count("*").alias("k"))
+    tied = stored(first.join(labels, "set_key", "left").withColumn("label", F.coalesce("label", "set_key")), "tied")
+    least = tied.groupBy("label").agg(F.min("first").alias("least"), F.count("*").alias("k"))
+    n, n_rows = tied.count(), sets.count()
+    owner = stored(met(tied.select("set_key", "label", F.col("k").alias("copies")), least, "label", n).select("set_key", F.col("least").alias("owner"), F.col("copies").alias("k")), "owner")
+    # Empty sets link with nothing; they take no part in the join.
+    named = met(some, owner, "set_key", n_rows).select("doc_id", "n_shingles", F.coalesce("owner", "doc_id").alias("component_id"))
+    return named.unionByName(sets.where(F.col("set_key").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,14 +385,27 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays: the one with the smallest id.
+    """One row of each component stays: the one with the smallest id (null ids last), then the smallest MD5 of its text.
 
-    Rows that repeat an id and its text stay once; rows without an id can't be named and stay.
+    Rows are told apart by id and text, so an id that several texts have is decided text by text, and of rows that
+    agree in both one stays. Rows with an empty set link with nothing and stay.
     """
-    gone = similar(docs.select("doc_id", "text")).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id")).distinct()
-    again = F.row_number().over(Window.partitionBy("doc_id", F.md5(F.coalesce("text", F.lit("")))).orderBy("doc_id"))
-    mark = "again"
+    sets, labels = grouped(docs.select("doc_id", "text"))
+    rows = sets.where(F.col("set_key").isNotNull()).groupBy("doc_id", "digest", "set_key").agg(F.count("*").alias("same"))
+    rows = stored(rows.join(labels, "set_key", "left").withColumn("label", F.coalesce("label", "set_key")), "rows")
+    order = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "digest")
+    best = rows.groupBy("label").agg(F.min(order).alias("best"), F.count("*").alias("k"))
+    stays = order.eqNullSafe(F.col("best"))
+    decided = met(rows, best, "label", rows.count()).where(~stays | (F.col("same") > 1))
+    decided = stored(decided.select(F.col("doc_id").alias("row_id"), F.col("digest").alias("row_digest"), stays.alias("once")), "decided")
+    many = decided.where("once")
+
+    def this(side: DataFrame) -> Column:
+        return docs["doc_id"].cast("long").eqNullSafe(side["row_id"]) & (_digest(docs["text"]) == side["row_digest"])
+
+    left = docs.join(decided, this(decided), "left_anti")
+    mark = "digest"
     while mark in docs.columns:
         mark += "_"
-    left = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti").withColumn(mark, again)
-    return left.where((F.col(mark) == 1) | F.col("doc_id").isNull()).drop(mark)
+    again = docs.join(many, this(many), "left_semi").withColumn(mark, _digest(docs["text"]))
+    return left.unionByName(again.dropDuplicates(["doc_id", mark]).drop(mark))

@@ -1,6 +1,8 @@
+import random
+import time
 from collections import Counter, defaultdict
 
-from agendario.llm import jaccard
+from agendario.llm import components, jaccard, shared
 
 from . import cases
 
@@ -45,5 +47,42 @@ def test_stage(spark):
     assert ids[5] == 1 and ids[None] == 2
 
 
+def test_stage_decides_by_row(spark):
+    rng = random.Random(5)
+    a, b = cases.prose(rng, 40), cases.prose(rng, 40)
+
+    def kept(*rows):
+        docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, row_digest string")
+        got = jaccard.stage(spark, docs, "")
+        assert got.columns == docs.columns
+        return sorted([tuple(r)[:2] for r in got.collect()], key=repr)
+
+    assert kept((1, b), (5, a), (5, b), (9, a)) == [(1, b), (5, a)]
+    assert kept((None, a), (7, a), (8, b), (8, a)) == sorted([(7, a), (8, b)], key=repr)
+    assert kept((3, a), (3, a), (3, a), (4, ""), (4, ""), (None, None)) == sorted([(3, a), (4, ""), (4, ""), (None, None)], key=repr)
+    assert kept((None, a), (None, a), (None, b)) == sorted([(None, a), (None, b)], key=repr)
+
+
+def test_sets_that_share_all_but_their_own_words(spark):
+    """One class of 5,000 sets in one pool, none of which links: linear, since only one set of the class goes on."""
+    rng = random.Random(1)
+    menu = cases.prose(rng, 120).replace("\n", " ")
+    rows = [(k, menu + " " + " ".join(f"own{k}x{i}" for i in range(25))) for k in range(5000)]
+    rows += [(6000 + k, menu + " " + " ".join(f"few{k}x{i}" for i in range(5))) for k in range(300)]
+    sets = jaccard.stored(jaccard.described(spark.createDataFrame(rows, "doc_id long, text string")), "sets")
+    assert jaccard.candidates(spark.createDataFrame(rows, "doc_id long, text string"), sets).count() == 5300
+    began = time.perf_counter()
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[k] == k for k in range(5000)) and all(got[6000 + k] == 6000 for k in range(300))
+    assert time.perf_counter() - began < 60
+
+
+def test_hot_keys_are_met_by_broadcast_with_the_same_result(spark, monkeypatch):
+    monkeypatch.setattr(components, "met", lambda rows, keyed, key, total: shared.met(rows, keyed, key, total, least=2))
+    monkeypatch.setattr(jaccard, "met", lambda rows, keyed, key, total: shared.met(rows, keyed, key, total, least=2))
+    docs = cases.documents(spark)
+    assert cases.rows_of(jaccard.similar(docs)) == brute([(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
 def test_empty_table(spark):
     assert jaccard.stage(spark, cases.empty(spark), "").collect() == []
