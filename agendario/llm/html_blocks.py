@@ -1,16 +1,18 @@
 """Main text of web pages: flat text blocks classified by a small decision tree.
 
 A page is cut into flat blocks at block-level tags. A block's features are its word count and
-link density, those of its two neighbours, and where it stands (within an article, within
-navigation, notices, adverts, comments and the like, told by element names, roles and words in class
-and id; heading or list item). A decision tree over them is trained on ``LABELLED``, a small table of
-pages with a label for every block, and decides which blocks are main text.
+link density, those of its two neighbours, and element facts: heading, list item, within an article, within
+navigation and the like by element or role, after the page's first heading, whether the page marks an
+article at all, and whether an enclosing element is named as a whole (class or id) by one of a few ``NAMES``. A decision
+tree over them is trained on ``LABELLED``, a small table of page layouts with a label for every block, filled with
+words of varying number, and decides which blocks are main text.
 
 Script, style, form controls, comments and markup never become text. Character references
 are decoded, white space inside a block becomes one space, blocks are joined by two newlines.
 
 Defined cases: null or empty html gives an empty text; a page cut off inside a tag loses that tag
-only; broken quotes end at the next ``>``; repeated rows are each returned; null ids and urls stay; an empty
+only; broken quotes end at the next ``>``; repeated rows are each returned; null ids and urls stay; a dropped
+element without its end tag loses only that tag, but script, style, textarea, title and iframe run to the end of the page; an empty
 table gives no rows; other columns are ignored. Each page is one row from start to end: nothing is
 shuffled.
 """
@@ -29,10 +31,16 @@ from pyspark.sql import functions as F
 
 from .shared import table
 
-#: Elements that are dropped with all they hold.
-_DROPPED = "script|style|noscript|template|svg|iframe|object|video|audio|canvas|textarea|select|datalist|button|title"
+#: Elements that are dropped with all they hold; the first ones run to the end of the page where they are not closed.
+_RAW = "script|style|textarea|title|iframe"
+_SHORT, _LONG = "svg|select|datalist|button", "object|video|audio|canvas"
+#: What the others can't hold: there, one that was never closed ends.
+_BEYOND = "article|section|main|div|body|nav|footer|header|aside|form|ul|ol|table|h[1-6]"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<drop>{_DROPPED})\b[^>]*+>.*?(?:</(?P=drop)\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b[^>]*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?:{_SHORT}|{_LONG})\b[^>]*+(?<=/)>|<(?P<short>{_SHORT})\b[^>]*+>(?:(?!</?(?:{_BEYOND}|p)\b).)*?</(?P=short)\s*>"
+    rf"|<(?P<long>{_LONG})\b[^>]*+>(?:(?!</?(?:{_BEYOND})\b).)*?</(?P=long)\s*>"
+    r"|<(?:noscript|template)\b[^>]*+>(?:(?!<(?:noscript|template)\b).)*?</(?:noscript|template)\s*>"
     r"|<(?P<end>/?)(?P<name>[a-z][^\s/>]*+)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?/a-z][^>]*+(?:>|\Z)",
     re.S | re.I,
@@ -46,17 +54,8 @@ _AREAS = frozenset("html head body nav header footer aside form dialog menu arti
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _BOILER_TAGS = frozenset("head nav footer aside form dialog menu".split())
 _BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
-_BOILER_WORDS = frozenset(
-    """ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted
-    sidebar side rail widget widgets nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager
-    footer foot colophon copyright legal cookie cookies consent gdpr privacy notice notices notification alert warning popup
-    modal overlay newsletter subscribe subscription signup login signin register form search share sharing social follow
-    related recommended recommendations similar trending popular latest more tags comment comments commentlist respond
-    reply replies disqus discussion feedback skip toolbar teaser""".split()
-)
-_HEADER_WORDS = frozenset("header masthead topbar top branding logo".split())
-_ARTICLE_WORDS = frozenset("article post entry story content main text body".split())
-_WORD = re.compile(r"[a-z]+")
+#: Whole class or id names of parts that no element tells.
+NAMES = frozenset("ad ads advert advertisement comments comment-list comment-respond cookie-banner cookie-notice newsletter sidebar related share".split())
 _ATTR = re.compile(r"""(?<![\w-])(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 
 
@@ -69,8 +68,9 @@ class Block:
     link_words: int = 0
     heading: bool = False
     item: bool = False
-    boiler: bool = False
+    outside: bool = False
     article: bool = False
+    named: bool = False
 
     @property
     def link_density(self) -> float:
@@ -80,13 +80,14 @@ class Block:
 @dataclass
 class _Area:
     name: str
-    boiler: bool
-    article: bool
+    outside: bool = False
+    article: bool = False
+    named: bool = False
 
 
 @dataclass
 class _State:
-    areas: list[_Area] = field(default_factory=lambda: [_Area("", False, False)])
+    areas: list[_Area] = field(default_factory=lambda: [_Area("")])
     parts: list[tuple[str, bool]] = field(default_factory=list)
     links: int = 0
     heading: bool = False
@@ -95,20 +96,12 @@ class _State:
 
 def _entered(name: str, attrs: str, outer: _Area) -> _Area:
     said = {k.lower(): (v or "").strip("\"'").lower() for k, v in _ATTR.findall(attrs)} if attrs else {}
-    named = _WORD.findall(f"{said.get('class', '')} {said.get('id', '')}")
-    words = set(named)
-    if name == "article":  # only whole names: those of its parts often tell what else is on the page
-        words = set(f"{said.get('class', '')} {said.get('id', '')}".split())
-    elif words & {"has", "with", "no", "without", "open"}:
-        words = set()
-    article = outer.article or name in ("article", "main") or said.get("role") in ("main", "article") or bool(words & _ARTICLE_WORDS)
-    within = outer.article or name in ("article", "main")
+    article = outer.article or name in ("article", "main") or said.get("role") in ("main", "article")
     hidden = "hidden" in said or said.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", said.get("style", "")))
-    boiler = name in _BOILER_TAGS or said.get("role") in _BOILER_ROLES or bool(words & _BOILER_WORDS) or hidden
-    boiler |= not within and (name == "header" or bool(words & _HEADER_WORDS))
+    outside = name in _BOILER_TAGS or said.get("role") in _BOILER_ROLES or hidden or (name == "header" and not outer.article)
     # The page's own frame may be named after what it holds.
-    boiler &= name not in ("html", "body", "main") or hidden
-    return _Area(name, outer.boiler or boiler, article)
+    named = name not in ("html", "body", "main", "article") and not NAMES.isdisjoint(f"{said.get('class', '')} {said.get('id', '')}".split())
+    return _Area(name, outer.outside or outside, article, outer.named or named)
 
 
 def blocks(page: str) -> list[Block]:
@@ -121,7 +114,7 @@ def blocks(page: str) -> list[Block]:
             if text:
                 linked = " ".join("".join(t if link else " " for t, link in state.parts).split())
                 area = state.areas[-1]
-                out.append(Block(text, text.count(" ") + 1, linked.count(" ") + 1 if linked else 0, state.heading, state.item, area.boiler, area.article))
+                out.append(Block(text, text.count(" ") + 1, linked.count(" ") + 1 if linked else 0, state.heading, state.item, area.outside, area.article, area.named))
             state.parts.clear()
 
     def said(raw: str) -> None:
@@ -149,7 +142,7 @@ def blocks(page: str) -> list[Block]:
                 while state.areas.pop().name != name:
                     pass
         elif name in _AREAS and name not in _VOID and not m["attrs"].endswith("/"):
-            state.areas.append(_entered(name, m["attrs"], state.areas[-1]) if name != "span" else _Area(name, state.areas[-1].boiler, state.areas[-1].article))
+            state.areas.append(_entered(name, m["attrs"], state.areas[-1]) if name != "span" else _Area(name, state.areas[-1].outside, state.areas[-1].article, state.areas[-1].named))
         if name != "span":
             state.links = state.links if name in ("div", "section") else 0
             state.heading = name in _HEADINGS and not end
@@ -159,66 +152,78 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "heading", "item", "boiler", "article")
+FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "heading", "item", "outside", "article", "named", "headed", "marked")
 
 
 def features(page: list[Block]) -> np.ndarray:
     """One row per block; a missing neighbour has no words and no links."""
-    edge = Block()
+    edge, headed, marked = Block(), False, any(b.article for b in page)
     rows = []
     for before, own, after in zip([edge, *page[:-1]], page, [*page[1:], edge]):
-        rows.append([own.words, own.link_density, before.words, before.link_density, after.words, after.link_density, own.heading, own.item, own.boiler, own.article])
+        headed |= own.heading and not own.outside
+        rows.append([own.words, own.link_density, before.words, before.link_density, after.words, after.link_density, own.heading, own.item, own.outside, own.article, own.named, headed, marked])
     return np.array(rows, float).reshape(len(rows), len(FEATURES))
 
 
-#: Pages with a label before the text of every block: ``+`` main text, ``-`` not.
+#: Layouts of pages. A letter after ``+`` (main text) or ``-`` (not) stands for a block: p long and s short
+#: paragraph, h heading, i list item, m paragraph with a link in it, k short link, l linked paragraph, t bare line.
 LABELLED = (
-    "<nav><ul><li><a href=/>-Home</a></li><li><a href=/a>-World news</a></li><li><a href=/b>-Sports</a></li></ul></nav>"
-    "<article><h1>+A flood in the valley</h1><p>+The river rose by two metres during the night and many people left their houses.</p><p>+Help came.</p></article>"
-    "<footer>-All rights reserved by the valley paper, its owners and its many writers since 1901.</footer>",
-    "<div class=ad>-Buy the new kettle now and get a second kettle for the price of none, only this week in our shops.</div>"
-    "<article><h1>+Kettles compared</h1><p>+Yes.</p><p>+We boiled water in <a href=/k>+nine kettles</a> and timed each one of them three times.</p></article>"
-    "<aside>-Our editor writes a letter every week about kitchens, cooks and the things that they love.</aside>",
-    "<header><div>-The Daily Lamp, light for all since the year of the comet</div></header>"
-    "<main><h2>+On lamps</h2><p>+A lamp gives light to those who read at night, and its history is long.</p><ul><li>+Oil</li><li>+Gas lamps of the streets</li></ul></main>"
-    "<div id=comments><h3>-Comments</h3><p>-I have owned such a lamp for years and it never failed me, thank you for the fine text.</p><p>-Me too.</p></div>",
-    "<div class=cookie-notice>-We use small files to learn how you read our pages; by staying you agree to that.</div>"
-    "<div><h1>+A walk by the sea</h1><p>+The path starts at the old pier and follows the coast for nine miles until the lighthouse.</p>"
-    "<p>+Bring water and a warm coat, since the wind off the sea is cold even in the months of summer.</p></div>"
-    "<div><a href=/1>-Next walk</a> <a href=/2>-Last walk</a></div><footer>-Contact</footer>",
-    "<form><p>-Enter your name and the place where you live to get our letter each month, free of charge.</p></form>"
-    "<article><p>+Bees dance to tell where flowers are, and other bees read the dance and fly there at once.</p><p>+See <a href=/bees>+the whole study</a></p></article>"
-    "<div class=related><h3>-More like this</h3><ul><li><a href=/w>-Wasps and how they build</a></li><li>-Ants carry many times their weight</li></ul></div>",
-    "<ul><li><a href=/x>-Start</a></li><li><a href=/y>-Shop</a></li></ul><p>+The town hall was built of red stone in the years after the great fire and stands to this day.</p>"
-    "<p>+Its tower holds four bells.</p><p><a href=/z>-Print</a> <a href=/zz>-Send to a friend</a></p>",
-    "<article><header><h1>+Night trains return</h1></header><p>+Three lines open in spring.</p><blockquote>+I slept well, said one of the first who rode on the new train.</blockquote>"
-    "<section class=comments><p>-I want a line to the south as well, and with a coach for bicycles please, soon.</p></section></article>"
-    "<div class=sidebar><p>-Ten places that everyone has to see once in their life, picked for you by people who travel.</p></div>",
-    "<article><h2>+Rules</h2><ol><li>+Wash your hands</li><li>+Read <a href=/r>+the list</a> of names</li></ol><table><tr><td>+one</td><td>+two</td></tr></table></article>"
-    "<nav>-You are here: <a href=/>-Home</a></nav><footer><p>-Imprint</p><p>-The views in this place are those of their authors alone and not those of the house.</p></footer>",
-    "<div role=dialog><p>-Sign in to read on, or make a new account; it takes less than one minute of your time.</p></div><article><p>+Short.</p><p>+Words.</p><p>+A longer end with some more words in it than before.</p></article>",
-    "<div class=share><a href=/f>-Share</a></div><div class=content><h1>+Maps</h1><p>+Old maps show seas where there are none, and monsters in each of them to fill the page.</p><p>+Fin.</p></div><div class=banner>-Sale</div>",
-    "<article><p><a href=/q>+A link that is a whole paragraph of the text itself</a></p><p>+And what follows it.</p></article><aside><p>-Poll: do you like maps?</p></aside>",
-    "<header><h1>-The Harbour Post</h1><p>-News of ships</p></header><article><h1>+Ships</h1></article><footer>-End</footer>",
-)
-
-_MARK = re.compile(r"[+-]")
-
-
-def labelled_table() -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels (1: main text) of all blocks of ``LABELLED``."""
+    "<nav><ul>-k-k-k</ul></nav><div>-t</div><article>+h+p+s+p+m+p</article><footer>-t</footer>",
+    "<nav><ul>-k-k-k-k</ul></nav><div>-p</div><article>+h+s+p+p+s</article><footer>-p</footer>",
+    "<header>-t</header><main>+h+p+m<ul>+i+i+i</ul>+s</main><footer>-s</footer>",
+    "<header>-h-t</header><article>+h</article><footer>-t</footer>",
+    "<div>-t-k</div><article><header>+h+s</header>+p+l+p<blockquote>+s</blockquote>+p</article><aside>-h-p-p</aside>",
+    "<article>+s+s+s+p</article><div>-h<ul>-k-k-k</ul></div><div>-p</div>",
+    "<article>+h+p<form>-p-s</form>+p</article><aside>-p</aside><div>-k-k</div>",
+    "<article>+h+p+p<section class=comments>-h-p-s-p</section></article><div class=sidebar>-p-k</div>",
+    "<article>+h+p<div class=ad>-t</div>+p+s<div class=share>-k-k</div></article>",
+    "<div><ul>-k-k-k</ul></div><div>+h+p+s+p+p</div><div>-k-k-k</div><div>-k</div>",
+    "<div>-t</div><ul>-k-k-k-k</ul><div>+h+p+p+s+p</div><div>-k-k</div><footer>-p</footer>",
+    "<div>-p</div><div>+h+p+m+s+p</div><div>-k-k-k-k</div>",
+    "<div>-s</div><div>+h+p+p</div><ul>-k-k-k</ul>",
+    "<ul>-k-k-k</ul>+p+p+s+p<div>-k-k</div>",
+    "<ul>-k-k</ul>+p+s+s+p+m<ul>-k-k-k</ul><footer>-t</footer>",
+    "<div>-k-k-k</div><div>+h+p<ul>+i+i+i+i</ul>+p</div><div>-h-k-k-k</div>",
+    "<div>-k-k-k</div><div>+h+s+p+l+p</div><div>-h-k-k-k-k</div><div>-k</div>",
+    "<div role=dialog>-p-s</div><div>+h+p+p</div><div id=comments>-h-p-s-p</div>",
+    "<div class=cookie-notice>-p</div><ul>-k-k</ul><div>+h+p+s+p</div><div class=related>-h-l-l</div>",
+    "<div>-k-k-k</div>+p+s+p<div>-k-s-k</div>",
+    "<div>-k-s-k-k</div><div>+h+p+s+p</div><div>-k-s-k-k</div>",
+    "<article>+h+p+s</article>", "<article>+p</article>", "<article>+s</article>", "<main>+h+m+s</main>", "<article>+l+p</article>", "<article>+h+p+l</article>",
+    "<nav>-k-k-k</nav><article>+h+s</article>", "<div>-t</div><article>+p+s+p</article>", "<div class=cookie-notice>-p</div><main>+h+m</main>", "<div>-p</div><article>+h+s+p</article>",
+    "<div>-t</div><article>+h+s+s</article><footer>-t</footer>", "<nav>-k</nav>", "<nav><ul>-k-k-k</ul></nav><footer>-p</footer>", "<aside>-p</aside><article>+s+p+i+i</article>",
+    "<div>+h+p+s</div>", "<div>+h+p+p+s</div>", "<div>-k-k-k</div><div>+h+p+s</div>", "<div>-k-k-k</div><div>+p+p+s</div><footer>-p</footer>", "<p>-k-k-k</p>", "<article>+s+l+s</article><div>-k-k</div>",
+)
+_FORMS = {
+    "p": ("<p>{}</p>", 9, 60), "s": ("<p>{}</p>", 1, 8), "h": ("<h2>{}</h2>", 1, 12), "i": ("<li>{}</li>", 1, 12), "m": ("<p>{} <a href=x>{}</a> {}</p>", 3, 20),
+    "k": ("<li><a href=x>{}</a></li>", 1, 4), "l": ("<p><a href=x>{}</a></p>", 5, 14), "t": ("<div>{}</div>", 3, 14),
+}
+_BLOCK = re.compile(r"([+-])([pshimklt])(?![a-z])")
+
+
+def labelled_table(copies: int = 10, seed: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels (1: main text) of all blocks of ``LABELLED``, each layout filled ``copies`` times."""
+    rng = np.random.default_rng(seed)
+
+    def filled(m: re.Match) -> str:
+        form, low, high = _FORMS[m[2]]
+        texts = [" ".join(["word"] * int(rng.integers(low, high + 1))) for _ in range(form.count("{}"))]
+        texts[0] = m[1] + texts[0]
+        return form.format(*texts)
+
     xs, ys = [], []
-    for page in LABELLED:
-        found = blocks(page)
-        xs.append(features(found))
-        ys += [b.text[0] == "+" for b in found]
+    for layout in LABELLED:
+        for _ in range(copies):
+            found = blocks(re.sub(r"(?<=[>pshimklt])" + _BLOCK.pattern + r"|^" + _BLOCK.pattern, lambda m: filled(_BLOCK.fullmatch(m[0])), layout))
+            xs.append(features(found))
+            ys += [b.text[0] == "+" for b in found]
     return np.concatenate(xs), np.array(ys, int)
 
 
 class Tree:
     """A binary decision tree by Gini impurity: nodes are (feature, threshold, low, high) or a label."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 2):
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 10, least: int = 3):
         self.root = self._grow(x, y, depth, least)
 
     def _grow(self, x: np.ndarray, y: np.ndarray, depth: int, least: int):

@@ -14,6 +14,10 @@ PAGES = {
     "notice": ("<div class='cookie-banner'><p>We use files of many kinds to see what you read, say yes.</p></div><main><header><h1>Own head</h1></header><p>A link <a href='>'>in it</a> stays.</p></main>", "Own head\n\nA link in it stays."),
     "hidden": ("<article><p>Seen.</p><div hidden><p>Not seen by any reader of the page.</p></div></article>", "Seen."),
     "wrapper": ("<body class='with-sidebar'><div class='has-sidebar'><article class='post comments-open'><p>Kept all the same.</p></article></div></body>", "Kept all the same."),
+    "unclosed controls": ("<article><p>a</p><button>Send<p>All the rest of it.</p><svg class=x/><p>End.</p><svg><path d=x></svg><p>Very end <select><option>no</select> yes</p><button>x</button></article>", "a\n\nSend\n\nAll the rest of it.\n\nEnd.\n\nVery end yes"),
+    "a name in a name": ("<div class='text-latest-release'><h1>New release</h1><p>The new release brings a long list of changes that people have waited for since spring.</p><p>Get it now.</p></div>", "New release\n\nThe new release brings a long list of changes that people have waited for since spring.\n\nGet it now."),
+    "plain notice": ("<div><p>We use cookies to give you the best experience on our pages, by going on you agree to that.</p></div><div><h1>T</h1><p>Some text of the article that is long enough to count as such.</p><p>And more of it follows here, in words.</p></div>", "T\n\nSome text of the article that is long enough to count as such.\n\nAnd more of it follows here, in words."),
+    "plain notice before an article": ("<div><p>We use cookies to give you the best experience on our pages, by going on you agree to that.</p></div><article><h1>T</h1><p>Some text.</p></article>", "T\n\nSome text."),
     "empty": ("", ""),
     "no text": ("<nav><a href=x>y</a></nav>", ""),
 }
@@ -24,6 +28,20 @@ def test_the_tree_fits_its_table():
     assert np.mean([TREE.predict(r) == t for r, t in zip(x, y)]) >= 0.95
 
 
+def used(node):
+    return set() if isinstance(node, int) else {html_blocks.FEATURES[node[0]]} | used(node[2]) | used(node[3])
+
+
+def test_the_tree_splits_on_words_and_links_of_neighbours():
+    assert {"words", "links", "words_before", "links_before", "links_after"} <= used(TREE.root)
+
+
+def test_names_do_not_matter_where_elements_tell():
+    page = "<html><body><nav><ul><li><a href=/a>One</a></li><li><a href=/b>Two words</a></li></ul></nav><div {}>Buy a kettle of the best kind today.</div><article {}><h1>Head</h1><p><b>Bold.<br><p>Long enough text of the article with a <a href=x>link</a> in it.<p>Be.</p></article><footer {}>&copy; me</footer></body></html>"
+    texts = {html_blocks.main_text(page.format(a, b, c), TREE) for a in ("class=ad", "class=zzq", "id=main-content") for b in ("", "class='post latest comments-open'") for c in ("", "id=text")}
+    assert texts == {"Head\n\nBold.\n\nLong enough text of the article with a link in it.\n\nBe."}
+
+
 def test_pages(spark):
     rows = [(i, name, html, "clash", "x") for i, (name, (html, _)) in enumerate(PAGES.items())] + [(None, None, None, "", ""), (0, "plain", PAGES["plain"][0], "", "")]
     got = [tuple(r) for r in html_blocks.extracted(spark.createDataFrame(rows, SCHEMA)).collect()]
