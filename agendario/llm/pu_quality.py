@@ -5,19 +5,24 @@ unlabelled web text. A small network (one hidden layer) minimises the non-negati
 
     prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))
 
-in which R_p and R_u are the mean logistic losses over positives and unlabelled rows. The class
-prior is estimated as the share of 1 among the labelled rows that may be learned from. Inputs are statistics of the
+in which R_p and R_u are the mean logistic losses over positives and unlabelled rows. Inputs are statistics of the
 text alone. Rows whose crc32 of the id is divisible by 5 are held out: neither their labels nor
 their texts are used.
 
-The fit runs on the driver on a bounded sample: at most ``MAX_POSITIVES`` positives and
-``MAX_UNLABELLED`` unlabelled rows, those with the smallest hashed ids. The texts are scored in
-Arrow batches, each whole.
+The statistics of all texts are computed once and stored. Standardisation and fit cover every unlabelled row that
+may be learned from: in each of ``ROUNDS`` rounds every task trains a copy of the network on its own rows, all of them,
+beside the positives, and the copies are averaged, weighted by their rows. Only the trusted positives are
+bounded: at most ``max_positives`` (a parameter of ``fit``), those with the smallest hashed ids.
+
+The class prior comes from positives and unlabelled rows alone: a first network, fitted on half of both, tells the
+two apart. On the other half, each region of highest scores has a ratio of its unlabelled to its positive
+share, which is no less than the prior and near it where hardly a negative is left. The region with the least
+ratio plus ``ERRORS`` standard errors decides, so that a few rows do not.
 
 Defined cases: null or empty text has all statistics 0 and gets the model's score of that; an id
 with contradicting labels is no trusted positive; null labels are ignored; a null id is never
-held out and never learned from; without any trusted positive every score is the prior (0.5
-without labels); repeated rows are each returned; extra columns are ignored.
+held out and never learned from; with fewer than two trusted positives every score is 0.5; rows of equal statistics get equal
+scores; repeated rows are each returned; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,19 +31,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import table
+from .shared import stored, table
 from .wordhash import Words, pieces, text_buffers, window_hashes
 
 MAX_POSITIVES = 10_000
-MAX_UNLABELLED = 20_000
 FOLDS = 5
 THRESHOLD = 0.3
 HIDDEN = 12
-STEPS = 600
+ROUNDS = 3
+#: Steps of a task and round at least, even where it has few rows.
+LEAST_STEPS = 200
 BATCH = 2048
+ERRORS = 2
+#: The region that decides on the prior holds at least this share of the positives.
+LEAST_SHARE = 0.5
+BINS = 2000
 
 _CLASSES = {
     "symbol": b"#*$%&|<>@^~=+_{}[]\\/",
@@ -102,112 +113,190 @@ def features(column: pa.Array) -> np.ndarray:
 
 
 class Model:
-    """A network with one hidden layer on standardised features."""
-
-    def __init__(self, positives: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int = 11):
-        self.prior = prior
-        self.weights = None
-        if not len(positives) or not len(unlabelled):
-            return
-        every = np.concatenate([positives, unlabelled])
-        self.mean, self.scale = every.mean(0), every.std(0) + 1e-3
+    """A network with one hidden layer on standardised features; without weights, one score for all."""
+
+    def __init__(self, mean: np.ndarray | None = None, scale: np.ndarray | None = None, seed: int = 11):
+        self.mean, self.scale, self.weights = mean, scale, None
+        if mean is not None:
+            rng = np.random.default_rng(seed)
+            self.weights = [rng.normal(0, 0.4, (N_FEATURES, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 0.4, HIDDEN), np.zeros(1)]
+
+    def ready(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.mean) / self.scale, -6, 6)
+
+    def score(self, x: np.ndarray) -> np.ndarray:
+        if self.weights is None:
+            return np.full(len(x), 0.5)
+        w = self.weights
+        return 1 / (1 + np.exp(-np.clip(np.tanh(self.ready(x) @ w[0] + w[1]) @ w[2] + w[3], -30, 30)))
+
+    def train(self, p: np.ndarray, u: np.ndarray, prior: float, rate: float, seed: int) -> None:
+        """Adam on the non-negative risk of positives and unlabelled rows (both ready); every row of ``u`` is used."""
         rng = np.random.default_rng(seed)
-        w = [rng.normal(0, 0.4, (N_FEATURES, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 0.4, HIDDEN), np.zeros(1)]
+        w = [x.copy() for x in self.weights]
         first, second = [np.zeros_like(x) for x in w], [np.zeros_like(x) for x in w]
-        p, u = self._ready(positives), self._ready(unlabelled)
-        for step in range(1, STEPS + 1):
-            pb, ub = p[rng.integers(0, len(p), BATCH)], u[rng.integers(0, len(u), BATCH)]
-            x = np.concatenate([pb, ub])
+        epochs = -(-LEAST_STEPS * BATCH // len(u))
+        order = np.concatenate([rng.permutation(len(u)) for _ in range(epochs)])
+        steps = -(-len(order) // BATCH)
+        for step in range(1, steps + 1):
+            ub = u[order[(step - 1) * BATCH : step * BATCH]]
+            n, m = min(len(p), BATCH), len(ub)
+            x = np.concatenate([p[rng.integers(0, len(p), n)], ub])
             hidden = np.tanh(x @ w[0] + w[1])
             g = hidden @ w[2] + w[3]
             chance = 1 / (1 + np.exp(-g))
             loss_minus = np.logaddexp(0, g)
-            negative = loss_minus[BATCH:].mean() - prior * loss_minus[:BATCH].mean()
+            negative = loss_minus[n:].mean() - prior * loss_minus[:n].mean()
             d = np.zeros(len(x))
-            d_minus = np.r_[-prior * chance[:BATCH], chance[BATCH:]] / BATCH
+            d_minus = np.r_[-prior * chance[:n] / n, chance[n:] / m]
             if negative >= 0:
-                d[:BATCH] = -prior * (1 - chance[:BATCH]) / BATCH
+                d[:n] = -prior * (1 - chance[:n]) / n
                 d += d_minus
             else:  # the risk of negatives can't be below 0: undo the step that made it so
                 d -= d_minus
             back = np.outer(d, w[2]) * (1 - hidden**2)
             grads = [x.T @ back + 1e-4 * w[0], back.sum(0), hidden.T @ d + 1e-4 * w[2], d.sum(keepdims=True)]
-            rate = 0.02 * (1 - step / (STEPS + 1))
+            now = rate * (1 - step / (steps + 1))
             for k, grad in enumerate(grads):
                 first[k] = 0.9 * first[k] + 0.1 * grad
                 second[k] = 0.99 * second[k] + 0.01 * grad**2
-                w[k] = w[k] - rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
+                w[k] = w[k] - now * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
         self.weights = w
 
-    def _ready(self, x: np.ndarray) -> np.ndarray:
-        return np.clip((x - self.mean) / self.scale, -6, 6)
-
-    def score(self, x: np.ndarray) -> np.ndarray:
-        if self.weights is None:
-            return np.full(len(x), self.prior)
-        w = self.weights
-        return 1 / (1 + np.exp(-np.clip(np.tanh(self._ready(x) @ w[0] + w[1]) @ w[2] + w[3], -30, 30)))
-
 
 def _fold(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
 
 
-def _sample(docs: DataFrame, ids: DataFrame | None, most: int) -> np.ndarray:
-    """Features of at most ``most`` rows of ``docs``, with these ids if given, by smallest hashed id."""
-    some = docs.select("doc_id") if ids is None else ids
-    chosen = some.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+_X = [f"x{k}" for k in range(N_FEATURES)]
+
+
+def described(docs: DataFrame) -> DataFrame:
+    """doc_id and the statistics x0, x1, ... of every row of ``docs`` (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = features(batch.column(0))
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in rows], pa.binary())], ["x"])
+            x = features(batch.column(1)).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c) for c in x.T]], ["doc_id", *_X])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, " + ", ".join(f"{x} float" for x in _X))
+
 
-    # At most ``most`` ids: a proven bound for the broadcast.
-    rows = docs.join(F.broadcast(chosen), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(F.col("text").cast("string"))
-    found = rows.mapInArrow(run, "x binary").collect()
-    return np.array([np.frombuffer(r["x"]) for r in found]).reshape(len(found), N_FEATURES)
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return np.stack([batch.column(x).to_numpy(zero_copy_only=False) for x in _X], axis=1).astype(float)
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """The model from ``docs`` (doc_id, text) and ``labels`` (doc_id, quality), held-out rows left out."""
-    open_ = docs.select("doc_id", "text").where(_fold(F.col("doc_id")) != 0)
-    ids = open_.select("doc_id").distinct()
-    known = (
-        labels.where(F.col("quality").isNotNull() & (_fold(F.col("doc_id")) != 0))
-        .groupBy("doc_id").agg(F.min("quality").alias("quality"))
-        .join(ids, "doc_id", "left_semi")
-    )
-    prior = known.agg(F.avg("quality")).first()[0]
-    positives = _sample(open_, known.where(F.col("quality") == 1).select("doc_id"), MAX_POSITIVES)
-    return Model(positives, _sample(open_, None, MAX_UNLABELLED), 0.5 if prior is None else min(float(prior), 0.99))
+def _round(rows: DataFrame, model: Model, positives: np.ndarray, prior: float, rate: float) -> None:
+    """Every task trains a copy on its rows; the copies' mean is the model's new weights."""
+    shared = rows.sparkSession.sparkContext.broadcast((model, model.ready(positives)))
+    shapes = [x.shape for x in model.weights]
 
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        copy, p = shared.value
+        parts = [copy.ready(_matrix(b)) for b in batches if b.num_rows]
+        if parts:
+            u = np.concatenate(parts)
+            task = TaskContext.get().partitionId()
+            own = Model(copy.mean, copy.scale)
+            own.weights = copy.weights
+            own.train(p, u, prior, rate, seed=task)
+            flat = np.concatenate([x.ravel() for x in own.weights])
+            yield pa.RecordBatch.from_arrays([pa.array([task % 64], pa.int32()), pa.array([float(len(u))]), pa.array([flat.tobytes()], pa.binary())], ["part", "n", "w"])
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` (doc_id, text) with score and predicted."""
-    weights = docs.sparkSession.sparkContext.broadcast(model)
+    def mean(out: pa.Table) -> pa.Table:
+        n = out["n"].to_numpy()
+        w = sum(k * np.frombuffer(x.as_py()) for k, x in zip(n, out["w"])) / n.sum()
+        return pa.table({"part": out["part"].slice(0, 1), "n": pa.array([float(n.sum())]), "w": pa.array([w.tobytes()], pa.binary())})
+
+    copies = rows.select(*_X).mapInArrow(train, "part int, n double, w binary").groupBy("part").applyInArrow(mean, "part int, n double, w binary").collect()
+    if not copies:
+        return
+    total = sum(r["n"] for r in copies)
+    flat, at = sum(r["n"] / total * np.frombuffer(r["w"]) for r in copies), 0
+    for k, shape in enumerate(shapes):
+        size = int(np.prod(shape))
+        model.weights[k] = flat[at : at + size].reshape(shape)
+        at += size
+
+
+def estimated_prior(rows: DataFrame, model: Model, positives: np.ndarray) -> float:
+    """The ratio of unlabelled to positive share in the region of highest scores where it is surely lowest."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def bins(scores: np.ndarray) -> np.ndarray:
+        return np.minimum((scores * BINS).astype(int), BINS - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BINS, np.int64)
+        for b in batches:
+            total += np.bincount(bins(shared.value.score(_matrix(b))), minlength=BINS)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some], pa.int64())], ["bin", "n"])
+
+    u, p = np.zeros(BINS), np.bincount(bins(model.score(positives)), minlength=BINS)
+    # At most ``BINS`` rows.
+    for r in rows.select(*_X).mapInArrow(run, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect():
+        u[r["bin"]] = r["n"]
+    above_u, above_p = u[::-1].cumsum() / max(u.sum(), 1), p[::-1].cumsum() / p.sum()
+    ok = above_p >= LEAST_SHARE
+    above_u, above_p = above_u[ok], above_p[ok]
+    ratio = above_u / above_p
+    error = np.sqrt((1 - above_p) / above_p / p.sum() + (1 - above_u) / np.maximum(above_u, 1e-9) / max(u.sum(), 1))
+    return float(np.clip(ratio[np.argmin(ratio * (1 + ERRORS * error))], 0.01, 0.99))
+
+
+def fit(rows: DataFrame, labels: DataFrame, max_positives: int = MAX_POSITIVES, rounds: int = ROUNDS) -> Model:
+    """The model from ``rows`` (of ``described``) and ``labels`` (doc_id, quality), held-out rows left out.
+
+    ``max_positives`` bounds the trusted positives; the unlabelled rows have no bound.
+    """
+    open_ = rows.where(_fold(F.col("doc_id")) != 0)
+    known = labels.where(F.col("quality").isNotNull() & (_fold(F.col("doc_id")) != 0)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    trusted = known.where(F.col("quality") == 1).select("doc_id")
+    chosen = trusted.join(open_.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_positives)
+    # At most ``max_positives`` ids: a proven bound for the broadcast and for what is collected.
+    found = open_.join(F.broadcast(chosen), "doc_id", "left_semi").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    if len(found) < 2:
+        return Model()
+    positives = np.array([[r[x] for x in _X] for r in found], float)
+    stats = open_.agg(*[F.avg(x) for x in _X], *[F.stddev_pop(x) for x in _X]).first()
+    mean, scale = np.array(stats[:N_FEATURES]), np.array(stats[N_FEATURES:]) + 1e-3
+    half, side = F.xxhash64("doc_id", F.lit(7)) % 2 == 0, np.arange(len(positives)) % 2 == 0
+    first = Model(mean, scale)
+    _round(open_.where(half), first, positives[side], 0.5, 0.01)
+    prior = estimated_prior(open_.where(~half), first, positives[~side])
+    model = Model(mean, scale)
+    for k in range(rounds):
+        _round(open_, model, positives, prior, 0.02 / (1 + k))
+    model.prior = prior
+    return model
+
+
+def scored(rows: DataFrame, model: Model) -> DataFrame:
+    """doc_id, held_out, score and predicted of every row of ``described``."""
+    weights = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = weights.value.score(features(batch.column(1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(weights.value.score(_matrix(batch)), pa.float64())], ["doc_id", "score"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double")
     held = F.coalesce(_fold(F.col("doc_id")) == 0, F.lit(False))
-    return rows.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    found = rows.mapInArrow(run, "doc_id long, score double")
+    return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return scored(docs, fit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality")))
+    rows = stored(described(table(spark, sf_dir, "documents")), "statistics")
+    return scored(rows, fit(rows, table(spark, sf_dir, "labels").select("doc_id", "quality")))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of ``docs`` whose text the classifier takes for quality 1, with all their columns."""
-    model = spark.sparkContext.broadcast(fit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality")))
+    rows = stored(described(docs), "statistics")
+    model = spark.sparkContext.broadcast(fit(rows, table(spark, sf_dir, "labels").select("doc_id", "quality")))
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        return pa.array(model.value.score(features(texts)), pa.float64())
+        return pa.array(model.value.score(features(texts).astype(np.float32).astype(float)), pa.float64())
 
     return docs.where(score(F.col("text").cast("string")) >= THRESHOLD)

@@ -24,7 +24,8 @@ def test_classifier_on_held_out_rows(spark):
     texts = {5000 + k: (junk(rng, k), 0) if k % 7 == 0 else (cases.prose(rng, rng.randint(15, 120)), 1) for k in range(700)}
     docs = cases.documents(spark, [(d, t, "en", "q") for d, (t, _) in texts.items()])
     labels = spark.createDataFrame([(d, q, "x") for d, (_, q) in texts.items()] + [(None, 1, "x"), (5001, None, "x"), (3, 1, "x"), (3, 0, "x")], "doc_id long, quality int, text string")
-    got = pu_quality.scored(docs, pu_quality.fit(docs, labels)).collect()
+    rows = pu_quality.stored(pu_quality.described(docs), "statistics")
+    got = pu_quality.scored(rows, pu_quality.fit(rows, labels)).collect()
     assert len(got) == docs.count()
     held = [r for r in got if r["held_out"] and r["doc_id"] in texts]
     assert len(held) > 80 and all(zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 for r in held)
@@ -32,16 +33,33 @@ def test_classifier_on_held_out_rows(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in got)
 
 
+def test_prior_and_scores_without_any_label_0(spark):
+    """The prior comes from positives and unlabelled rows; equal texts get equal scores; the positives' bound moves little."""
+    rng = random.Random(3)
+    for share in (0.85, 0.5):
+        texts = {k: (cases.prose(rng, rng.randint(15, 120)), 1) if rng.random() < share else (junk(rng, k), 0) for k in range(1500)}
+        texts[1500] = texts[1501] = texts[0]
+        rows = pu_quality.stored(pu_quality.described(spark.createDataFrame([(d, t) for d, (t, _) in texts.items()], "doc_id long, text string")), "statistics")
+        labels = spark.createDataFrame([(d, q) for d, (_, q) in texts.items() if q == 1 and d % 3], "doc_id long, quality int")
+        true = np.mean([q for _, q in texts.values()])
+        for most in (10_000, 150):
+            model = pu_quality.fit(rows, labels, max_positives=most)
+            assert abs(model.prior - true) < (0.05 if most > 150 else 0.1)
+            got = {r["doc_id"]: r for r in pu_quality.scored(rows, model).collect()}
+            assert np.mean([got[d]["predicted"] == q for d, (_, q) in texts.items() if got[d]["held_out"]]) > 0.95
+            assert got[0]["score"] == got[1500]["score"] == got[1501]["score"]
+
+
 def test_features_of_awkward_texts():
     x = pu_quality.features(pa.array(["", None, " \n", *cases.texts()], pa.string()))
     assert x.shape == (len(cases.texts()) + 3, pu_quality.N_FEATURES) and np.isfinite(x).all() and not x[:3].any()
 
 
 def test_without_labels_the_score_is_the_prior(spark):
-    docs = cases.documents(spark)
+    rows, nothing = pu_quality.described(cases.documents(spark)), pu_quality.described(cases.empty(spark))
     none = spark.createDataFrame([], "doc_id long, quality int")
-    assert {r["score"] for r in pu_quality.scored(docs, pu_quality.fit(docs, none)).collect()} == {0.5}
-    assert pu_quality.scored(cases.empty(spark), pu_quality.fit(cases.empty(spark), none)).collect() == []
+    assert {r["score"] for r in pu_quality.scored(rows, pu_quality.fit(rows, none)).collect()} == {0.5}
+    assert pu_quality.scored(nothing, pu_quality.fit(nothing, none)).collect() == []
 
 
 def test_gradient():

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
@@ -29,8 +30,9 @@ def test_against_brute_force(spark, tmp_path):
     verdict = {k: kept for k, *_, kept, _ in rules([(k, s, t) for k, (_, s, t) in enumerate(rows)], 20)}
     kept = [r for k, r in enumerate(rows) if verdict[k]]
     left = docs.where("doc_id is not null").join(spark.createDataFrame([(r[0],) for r in kept if r[0] is not None], "doc_id long").distinct(), "doc_id", "left_semi")
-    model = pu_quality.fit(left.unionByName(docs.where("doc_id is null and text is not null")), spark.createDataFrame(labels, "doc_id long, quality int"))
-    good = [r for r in kept if model.score(pu_quality.features(pa.array([r[2]], pa.string())))[0] >= 0.3]
+    rows_left = pu_quality.stored(pu_quality.described(left.unionByName(docs.where("doc_id is null and text is not null"))), "statistics")
+    model = pu_quality.fit(rows_left, spark.createDataFrame(labels, "doc_id long, quality int"))
+    good = [r for r in kept if model.score(pu_quality.features(pa.array([r[2]], pa.string())).astype(np.float32).astype(float))[0] >= 0.3]
     roots = {d: root for d, _, root in components([(d, t) for d, _, t in good])}
     alone = list(dict.fromkeys(r for r in good if r[0] is None or roots[r[0]] == r[0]))
     clean = {(d, t) for d, _, t in alone if not any(x in t for x in items)}
