@@ -157,57 +157,70 @@ class Model:
         loss, g = self.met_gradient(inputs, first, targets)
         for k in ("E", "G2", "G3"):
             rows, values = g[k]
-            g[k] = np.zeros(self.w[k].shape, np.float32)
+            g[k] = np.zeros(self.w[k].shape, values.dtype)
             g[k][rows] = values
         return loss, g
 
     def met_gradient(self, inputs: np.ndarray, first: np.ndarray, targets: np.ndarray) -> tuple[float, dict]:
-        """The same; ``E``, ``G2`` and ``G3`` as the rows met and their gradients (the others are 0)."""
+        """The same; ``E``, ``G2`` and ``G3`` as the rows met and their gradients (the others are 0).
+
+        Gradients by keys, values and queries are summed by id before they go through the weights.
+        """
         w = self.w
-        q, k, v, (p, total), y, inner, z_all = self.hidden(inputs, first)
-        p = p / total
+        q, k, v, (p, total), y, inner, z = self.hidden(inputs, first)
+        p /= total
         flat = targets.ravel()
         ok = np.flatnonzero(flat >= 0)
-        z, t = z_all[ok], flat[ok]
+        part = len(ok) < len(flat)
+        t = flat[ok] if part else flat
+        z_ok = z.take(ok, axis=0) if part else z
         n = max(len(ok), 1)
-        a, ab = t // (BASE * BASE), t // BASE
-        g: dict[str, np.ndarray] = {}
-        dz = np.zeros_like(z)
-        loss = 0.0
-        for name, gate, row, bias, digit in (("1", None, None, self.b1, a), ("2", "G2", a, self.b2[a], ab % BASE), ("3", "G3", ab, self.b3[ab], t % BASE)):
-            gated = z if gate is None else z * w[gate][row]
-            logits = gated @ w["U" + name] + bias
-            log_chance, total = _softmax_loss(logits, digit)
+        ab, c = np.divmod(t, BASE)
+        a, b = np.divmod(ab, BASE)
+        g: dict = {}
+        dz, loss = None, 0.0
+        for name, row, digit in (("1", None, a), ("2", a, b), ("3", ab, c)):
+            gate = None if row is None else w["G" + name].take(row, axis=0)
+            gated = z_ok if row is None else z_ok * gate
+            logits = gated @ w["U" + name]
+            logits += self.b1 if row is None else (self.b2 if name == "2" else self.b3).take(row, axis=0)
+            log_chance, sums = _softmax_loss(logits, digit)
             loss -= float(log_chance.sum()) / n
-            d = logits / total[:, None]
-            d[np.arange(len(d)), digit] -= 1
-            d /= n
-            g["U" + name] = gated.T @ d
-            back = d @ w["U" + name].T
-            if gate is None:
-                dz += back
+            logits *= (1 / (n * sums))[:, None]
+            logits.ravel()[np.arange(0, logits.size, BASE) + digit] -= 1 / n
+            g["U" + name] = gated.T @ logits
+            back = logits @ w["U" + name].T
+            if row is None:
+                dz = back
             else:
-                dz += back * w[gate][row]
-                g[gate] = _scattered(row, back * z)
-        full = np.zeros_like(z_all)
-        full[ok] = dz
+                g["G" + name] = _scattered(row, back * z_ok)
+                back *= gate
+                dz += back
+        full = dz
+        if part:
+            full = np.zeros_like(z)
+            full[ok] = dz
         d_inner = full @ w["W2"].T
-        d_inner[inner <= 0] = 0
+        d_inner *= inner > 0
         g["W2"], g["W1"], g["c1"] = inner.T @ full, y.T @ d_inner, d_inner.sum(0)
-        dy = (full + d_inner @ w["W1"].T).reshape(len(inputs), SCORED, DIM)
-        dv = p.transpose(0, 2, 1) @ dy
-        dp = dy @ v.transpose(0, 2, 1)
-        ds = p * (dp - (dp * p).sum(2, keepdims=True))
-        g["R"] = np.bincount(_OFFSET.ravel(), ds.sum(0).ravel(), WINDOW).astype(np.float32)
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        x = w["E"][inputs]
-        scale = np.float32(1 / np.sqrt(DIM))
-        xq = x[:, CONTEXT:].reshape(-1, DIM)
-        xs, dks, dvs, dqs = x.reshape(-1, DIM), dk.reshape(-1, DIM), dv.reshape(-1, DIM), dq.reshape(-1, DIM) * scale
-        g["Wq"], g["Wk"], g["Wv"] = xq.T @ dqs, xs.T @ dks, xs.T @ dvs
-        dx = (dks @ w["Wk"].T + dvs @ w["Wv"].T).reshape(x.shape)
-        dx[:, CONTEXT:] += (dqs @ w["Wq"].T).reshape(dy.shape) + dy
-        g["E"] = _scattered(inputs.ravel(), dx.reshape(-1, DIM))
+        full += d_inner @ w["W1"].T
+        dy = full.reshape(len(inputs), SCORED, DIM)
+        ds = dy @ v.transpose(0, 2, 1)
+        own = p * ds
+        ds -= own.sum(2, keepdims=True)
+        ds *= p
+        g["R"] = np.bincount(_OFFSET.ravel(), ds.sum(0).ravel(), WINDOW).astype(ds.dtype)
+        both = np.concatenate([ds.transpose(0, 2, 1) @ q, p.transpose(0, 2, 1) @ dy], axis=2)
+        ids, by_key = _scattered(inputs.ravel(), both.reshape(-1, 2 * DIM))
+        scored, by_query = _scattered(inputs[:, CONTEXT:].ravel(), np.concatenate([ds @ k, dy], axis=2).reshape(-1, 2 * DIM))
+        e, wkv = w["E"].take(ids, axis=0), np.concatenate([w["Wk"], w["Wv"]], axis=1)
+        by_weight = e.T @ by_key
+        g["Wk"], g["Wv"] = by_weight[:, :DIM], by_weight[:, DIM:]
+        dq = by_query[:, :DIM] / np.float32(np.sqrt(DIM))
+        g["Wq"] = w["E"].take(scored, axis=0).T @ dq
+        de = by_key @ wkv.T
+        de[np.searchsorted(ids, scored)] += dq @ w["Wq"].T + by_query[:, DIM:]
+        g["E"] = ids, de
         return loss, g
 
     def train(self, ids: np.ndarray, lengths: np.ndarray, start: int, rate: float, seed: int = 1, epochs: int = 1) -> int:
@@ -224,6 +237,7 @@ class Model:
         square = {k: np.zeros_like(x) for k, x in self.w.items()}
         steps = -(-epochs * len(owner) // BATCH)
         order = np.concatenate([rng.permutation(len(owner)) for _ in range(epochs)])
+        seen = np.zeros(len(self.w["E"]), bool)
 
         def cut(step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             some = order[(step - 1) * BATCH : step * BATCH]
@@ -232,28 +246,34 @@ class Model:
         batch = cut(1)
         for step in range(1, steps + 1):
             _, g = self.met_gradient(*batch)
-            now = rate * min(1.0, step / 20) * (1 - 0.9 * step / steps)
+            now = np.float32(rate * min(1.0, step / 20) * (1 - 0.9 * step / steps) / (1 - 0.9**step))
+            late = np.float32(1 / (1 - 0.98**step))
             for k, x in g.items():
                 rows, x = x if isinstance(x, tuple) else (slice(None), x)
-                m, s = mean[k], square[k]
-                m[rows] = 0.9 * m[rows] + 0.1 * x
-                s[rows] = 0.98 * s[rows] + 0.02 * x**2
-                self.w[k][rows] -= (now / (1 - 0.9**step) * m[rows] / (np.sqrt(s[rows] / (1 - 0.98**step)) + 1e-6)).astype(np.float32)
+                m, s = mean[k][rows], square[k][rows]
+                m *= np.float32(0.9)
+                m += np.float32(0.1) * x
+                s *= np.float32(0.98)
+                s += np.float32(0.02) * x * x
+                mean[k][rows], square[k][rows] = m, s
+                self.w[k][rows] -= now * m / (np.sqrt(s * late) + np.float32(1e-6))
             batch = cut(step + 1)
-            self.tables_of(np.unique(batch[0]))
+            seen[:] = False
+            seen[batch[0]] = True
+            self.tables_of(np.flatnonzero(seen))
         self.tables()
         return steps
 
     def tables_of(self, ids: np.ndarray) -> None:
         """The looked-up rows that the next step needs."""
-        w, e = self.w, self.w["E"][ids]
+        w, e = self.w, self.w["E"].take(ids, axis=0)
         self.keys_values[ids] = e @ np.concatenate([w["Wk"], w["Wv"]], axis=1)
         self.queries[ids] = e @ w["Wq"] / np.float32(np.sqrt(DIM))
 
 
 def _scattered(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct row numbers and the sums of ``values`` by them."""
-    order = np.argsort(rows, kind="stable")
-    own = rows[order]
+    """The distinct row numbers (below 65,536), ascending, and the sums of ``values`` by them."""
+    order = np.argsort(rows.astype(np.uint16), kind="stable")
+    own = rows.take(order)
     cuts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.zeros(0, int)
-    return own[cuts], np.add.reduceat(values[order], cuts, axis=0) if len(cuts) else np.zeros((0, values.shape[1]), np.float32)
+    return own[cuts], np.add.reduceat(values.take(order, axis=0), cuts, axis=0) if len(cuts) else np.zeros((0, values.shape[1]), values.dtype)
