@@ -313,11 +313,12 @@ def linked_sets(alive: DataFrame) -> DataFrame:
     """(set_key, label) of the candidates: equal labels mean one component."""
     classes = stored(alive.groupBy("core", "n").agg(F.min("set_key").alias("first"), F.count("*").alias("k"), F.max("n_shared").alias("n_shared")), "classes")
     firsts = stored(alive.join(classes.select(F.col("first").alias("set_key")), "set_key", "left_semi"), "firsts")
-    labels = linked_classes(firsts)
-    size = labels.groupBy("label").agg(F.count("*").alias("together"))
+    labels = stored(linked_classes(firsts), "labels")
+    size = labels.groupBy("label").agg(F.count("*").alias("together")).withColumn("k", F.col("together"))
+    sized = met(labels, size, "label", firsts.count()).withColumnRenamed("set_key", "first")
     # A class that links with another is one component; alone, it is one if its own sets link with each other.
     own = 100 * F.col("n_shared") >= PERCENT * (2 * F.col("n") - F.col("n_shared"))
-    decided = classes.join(labels.join(size, "label").withColumnRenamed("set_key", "first"), "first", "left")
+    decided = classes.join(sized, "first", "left")
     decided = decided.select("core", "n", "k", F.coalesce("label", "first").alias("label"), (own | (F.coalesce("together", F.lit(1)) > 1)).alias("one"))
     decided = stored(decided.withColumn("class", F.struct("core", "n")).select("class", "k", "label", "one"), "decided")
     members = alive.select("set_key", F.struct("core", "n").alias("class"))
