@@ -10,12 +10,15 @@ MONTHS = ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agost
 
 
 def parse_hour(text: Column) -> Column:
-    """First ``HH:MM``, ``HH.MM`` or ``HHhMM``, else ``21 h``; null for hours beyond 23 and minutes beyond 59."""
-    full = r"(?:^|[^0-9])([01]?[0-9]|2[0-3])[:.hH]([0-5][0-9])(?:[^0-9]|$)"
-    short = r"(?:^|[^0-9])([01]?[0-9]|2[0-3]) ?[hH](?:[^a-zA-Z0-9]|$)"
-    h, m = F.regexp_extract(text, full, 1), F.regexp_extract(text, full, 2)
-    only = F.regexp_extract(text, short, 1)
-    return F.when(h != "", F.concat(F.lpad(h, 2, "0"), F.lit(":"), m)).when(only != "", F.concat(F.lpad(only, 2, "0"), F.lit(":00")))
+    """First time of day in a text, minutes after ``:``, ``.`` or ``h``; else the first bare ``21 h``; null if out of range."""
+    hour, minute = (F.regexp_extract(text, r"([0-9]+)[:.hH]([0-9]+)", i) for i in (1, 2))
+    bare = F.regexp_extract(text, r"([0-9]+) ?[hH]", 1)
+
+    def shown(h: Column, m: Column) -> Column:
+        ok = (F.length(h) <= 2) & (F.length(m) == 2) & (F.try_to_number(h, F.lit("99")) < 24) & (F.try_to_number(m, F.lit("99")) < 60)
+        return F.when(ok, F.concat(F.lpad(h, 2, "0"), F.lit(":"), m))
+
+    return F.when(hour != "", shown(hour, minute)).when(bare != "", shown(bare, F.lit("00")))
 
 
 def minutes(hour: Column) -> Column:
@@ -52,6 +55,40 @@ def parse_date(text: Column, today: Column) -> Column:
     )
 
 
+def months_between(start: Column, end: Column) -> Column:
+    """The first days of the months that a window touches: one listing page each."""
+    return F.sequence(F.trunc(start, "month"), F.trunc(end, "month"), F.expr("INTERVAL 1 MONTH"))
+
+
+def weeks_between(start: Column, end: Column) -> Column:
+    """The Mondays of the weeks that a window touches."""
+    return F.sequence(F.trunc(start, "week"), F.trunc(end, "week"), F.expr("INTERVAL 7 DAYS"))
+
+
+def iso_hour(stamp: Column) -> Column:
+    """The time of day of an ISO stamp; midnight means that none was given."""
+    return F.nullif(F.nullif(F.regexp_extract(stamp, r"T(\d{2}:\d{2})", 1), F.lit("")), F.lit("00:00"))
+
+
+def day_named(text: Column, day: Column) -> Column:
+    """Whether a text names a date: ISO, ``d/m/y`` or ``d de month``, with and without leading zeros."""
+    d, m, y = F.dayofmonth(day).cast("string"), F.month(day).cast("string"), F.year(day).cast("string")
+    name = F.element_at(F.array(*map(F.lit, MONTHS)), F.month(day))
+    padded = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), "[^a-z0-9/-]+", " "), F.lit(" "))
+    said = [day.cast("string"), F.concat_ws("/", d, m, y), F.concat_ws("/", F.lpad(d, 2, "0"), F.lpad(m, 2, "0"), y), F.concat_ws(" ", d, F.lit("de"), name)]
+    out = F.lit(False)
+    for x in said:
+        out |= F.contains(padded, F.concat(F.lit(" "), x, F.lit(" ")))
+    return out
+
+
+def hour_named(text: Column, hour: Column) -> Column:
+    """Whether a text has the time ``HH:MM`` with ``:``, ``.`` or ``h`` between, and no digit around."""
+    h, m = F.left(hour, F.lit(2)).cast("int").cast("string"), F.right(hour, F.lit(2))
+    plain = F.concat(F.lit("x"), F.regexp_replace(F.regexp_replace(F.lower(text), r"([0-9])[.h]([0-9])", "$1:$2"), r"(^|[^0-9])0([0-9]:)", "$1$2"), F.lit("x"))
+    return F.rlike(plain, F.concat(F.lit("[^0-9]"), h, F.lit(":"), m, F.lit("[^0-9]")))
+
+
 def recurrences(start: Column, end: Column, weekdays: Column, most: int = 8) -> Column:
     """The first ``most`` days between two dates on the given ISO weekdays (1: Monday)."""
     days = F.when(start <= end, F.sequence(start, end)).otherwise(F.array().cast("array<date>"))

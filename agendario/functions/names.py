@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -9,31 +11,39 @@ from pyspark.sql.types import StringType
 
 from .text import norm_key
 
-#: Words that do not tell festivals apart.
-FESTIVAL_STOP = ("festival", "fest", "de", "del", "la", "el", "los", "las", "en", "y", "edicion", "the", "of")
-#: Encodings that UTF-8 bytes are often read as, in the order tried.
-WRONG_ENCODINGS = ("cp1252", "latin-1", "cp850", "cp437", "cp775")
+#: Encodings that UTF-8 bytes are often taken for.
+TAKEN_FOR = ("cp1252", "latin-1", "cp437", "cp850", "cp775")
+_ORDINAL = r"^(\d+|[ivx]+)$"
 
 
-def festival_key(title: Column) -> Column:
-    """Sorted distinct words of a festival's name, without years, ordinals and common words."""
+def festival_key(title: Column, common: Column) -> Column:
+    """Sorted distinct words of a festival's name, without numbers, ordinals and the words of ``common`` (an array)."""
     words = F.split(norm_key(title), " ")
-    kept = F.filter(words, lambda w: ~w.isin(*FESTIVAL_STOP) & ~w.rlike(r"^(\d+|[ivx]+|20\d\d)$") & (w != ""))
+    kept = F.filter(words, lambda w: ~F.array_contains(common, w) & ~w.rlike(_ORDINAL) & (w != ""))
     return F.array_join(F.array_sort(F.array_distinct(kept)), " ")
 
 
-def line_up(title: Column) -> tuple[Column, Column, Column]:
-    """(festival, artists, incomplete) of ``Festival X: A, B y C``; null festival if the title has no such list."""
+def same_festival(key: Column, other: Column, least: int = 2) -> Column:
+    """Equal keys of at least ``least`` words."""
+    return (key == other) & (F.size(F.split(key, " ")) >= least)
+
+
+def is_festival(title: Column) -> Column:
+    """The title has the word festival or fest outside parentheses."""
+    return F.regexp_replace(title, r"\([^)]*\)", " ").rlike(r"(?i)(^|[^a-z])fest(ival)?([^a-z]|$)")
+
+
+def line_up(title: Column, open_end: Column) -> tuple[Column, Column, Column]:
+    """(festival, artists, incomplete) of ``Festival X: A, B y C``; null festival if the title has no such list.
+
+    An entry that starts with a key of ``open_end`` (an array, such as "and more") is no artist and tells that the
+    list goes on.
+    """
     clear = title.rlike(r"(?i)^[^:]*\bfest(ival)?\b[^:]*:")
-    rest = F.regexp_replace(title, r"^[^:]*:\s*", "")
-    parts = F.filter(F.transform(F.split(rest, r"\s*(?:,|\+| y )\s*"), lambda x: F.trim(x)), lambda x: x != "")
-    more = r"(?i)^(y )?(mas|más|muchos mas|muchos más|otros|more|tba).*$"
-    artists = F.filter(parts, lambda x: ~x.rlike(more))
-    return (
-        F.when(clear, F.trim(F.substring_index(title, ":", 1))),
-        F.when(clear, artists).otherwise(F.array().cast("array<string>")),
-        clear & (F.size(artists) < F.size(parts)),
-    )
+    parts = F.filter(F.transform(F.split(F.regexp_replace(title, r"^[^:]*:", ""), r",|\+| y "), lambda x: F.trim(x)), lambda x: x != "")
+    artists = F.filter(parts, lambda x: ~F.exists(open_end, lambda m: F.startswith(F.concat(norm_key(x), F.lit(" ")), F.concat(m, F.lit(" ")))))
+    none = F.array().cast("array<string>")
+    return F.when(clear, F.trim(F.substring_index(title, ":", 1))), F.when(clear, artists).otherwise(none), clear & (F.size(artists) < F.size(parts))
 
 
 def honoured(title: Column) -> Column:
@@ -48,21 +58,23 @@ def only_country(title: Column, codes: tuple[str, ...]) -> Column:
     return F.when(F.size(found) == 1, F.get(found, F.lit(0)))
 
 
+def _oddness(text: str) -> int:
+    """How many signs stand where text has letters: symbols, controls and signs between letters."""
+    return sum(unicodedata.category(c) in ("Sc", "Sk", "So", "Sm", "Cc", "Co", "Cn") or c in "\u00c3\u00c2\ufffd" for c in text if not c.isascii())
+
+
 def repaired(text: str) -> str:
-    """A text whose UTF-8 was read as another encoding, word by word, where that gives a plausible word."""
-    def word(w: str) -> str:
-        if w.isascii():
-            return w
-        for name in WRONG_ENCODINGS:
-            try:
-                out = w.encode(name).decode("utf-8")
-            except UnicodeError:
-                continue
-            if len(out) < len(w) and all(c.isprintable() and ord(c) < 0x2200 for c in out):
-                return out
-        return w
-
-    return " ".join(word(w) for w in text.split(" "))
+    """Of the text and its readings as UTF-8 that was taken for another encoding, the one with the fewest odd signs.
+
+    The whole text is read again, not each word; it stays as it is on a tie.
+    """
+    readings = [text]
+    for name in TAKEN_FOR if not text.isascii() else ():
+        try:
+            readings.append(text.encode(name).decode("utf-8"))
+        except UnicodeError:
+            pass
+    return min(readings, key=lambda x: (_oddness(x), len(x)) if x != text else (_oddness(x), len(x) - 0.5))
 
 
 @F.arrow_udf(StringType())

@@ -20,7 +20,8 @@ ACCENTED, PLAIN = _folds()
 
 
 def fold_accents(text: Column) -> Column:
-    return F.translate(text, ACCENTED, PLAIN)
+    """Accented letters as plain ones; most texts have none, and only those with one are translated."""
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, ACCENTED, PLAIN)).otherwise(text)
 
 
 def norm_key(text: Column) -> Column:
@@ -82,7 +83,7 @@ def domain_suffixes(host: Column) -> Column:
 
 def prices(text: Column) -> Column:
     """The sorted distinct amounts of a price text (``10 - 12,5 €``)."""
-    found = F.regexp_extract_all(text, F.lit(r"(\d+(?:[.,]\d{1,2})?)"), 1)
+    found = F.regexp_extract_all(text, F.lit(r"([0-9]+(?:[.,][0-9]{1,2})?)"), 1)
     return F.array_sort(F.array_distinct(F.transform(found, lambda x: F.replace(x, F.lit(","), F.lit(".")).cast("double"))))
 
 

@@ -278,21 +278,28 @@ def url_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", text.url_clean(F.col("url")).alias("url"))
 
 
-PRICES = ["15€", "10-15 €", "Entrada libre", "10 + G.G", "desde 12,5 € (taquilla 18)", "", "gratis", "????"]
-HOURS = ["21:30", "a las 9.05", "20h30", "21 h", "25:00", "", "puertas 19:00, 20:30", "2130"]
+_LINES = "l AS (SELECT doc_id, CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INT) AS pos, unnest(string_split(text, chr(10))) AS line FROM documents)"
 
 
-@query("SELECT t AS text, CASE WHEN regexp_matches(lower(t), 'gratis|gratuit|libre|free') THEN 0.0::DOUBLE ELSE list_min(list_transform(regexp_extract_all(t, '(\\d+(?:[.,]\\d{1,2})?)', 1), lambda x: CAST(replace(x, ',', '.') AS DOUBLE))) END AS price FROM (VALUES " + ", ".join(f"('{p}')" for p in PRICES) + ") AS v(t)")
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+
+
+@query(f"""WITH {_LINES} SELECT doc_id, pos, CASE WHEN regexp_matches(lower(line), 'gratis|gratuit|libre|free') THEN 0.0::DOUBLE ELSE list_min(list_transform(regexp_extract_all(line, '([0-9]+(?:[.,][0-9]{{1,2}})?)', 1), lambda x: CAST(replace(x, ',', '.') AS DOUBLE))) END AS price FROM l""")
 def price_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(p,) for p in PRICES], "text string")
-    return rows.select("text", text.price_min(F.col("text")).alias("price"))
+    """The least amount of every line of every document."""
+    return _lines(spark, sf_dir).select("doc_id", "pos", text.price_min(F.col("line")).alias("price"))
+
+
+_AT = [f"regexp_extract(line, '([0-9]+)[:.hH]([0-9]+)', {i})" for i in (1, 2)]
+_BARE = "regexp_extract(line, '([0-9]+) ?[hH]', 1)"
 
 
-@query("""WITH v(t) AS (VALUES """ + ", ".join(f"('{h}')" for h in HOURS) + """), x AS (SELECT t, regexp_extract(t, '(?:^|[^0-9])([01]?[0-9]|2[0-3])[:.hH]([0-5][0-9])(?:[^0-9]|$)', 1) AS h, regexp_extract(t, '(?:^|[^0-9])([01]?[0-9]|2[0-3])[:.hH]([0-5][0-9])(?:[^0-9]|$)', 2) AS m, regexp_extract(t, '(?:^|[^0-9])([01]?[0-9]|2[0-3]) ?[hH](?:[^a-zA-Z0-9]|$)', 1) AS o FROM v)
-SELECT t AS text, CASE WHEN h <> '' THEN lpad(h, 2, '0') || ':' || m WHEN o <> '' THEN lpad(o, 2, '0') || ':00' END AS hour FROM x""")
+@query(f"""WITH {_LINES}, x AS (SELECT doc_id, pos, CASE WHEN {_AT[0]} <> '' THEN {_AT[0]} ELSE {_BARE} END AS h, CASE WHEN {_AT[0]} <> '' THEN {_AT[1]} ELSE '00' END AS m FROM l)
+SELECT doc_id, pos, CASE WHEN h <> '' AND length(h) <= 2 AND length(m) = 2 AND TRY_CAST(h AS INT) < 24 AND TRY_CAST(m AS INT) < 60 THEN lpad(h, 2, '0') || ':' || m END AS hour FROM x""")
 def hour_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(h,) for h in HOURS], "text string")
-    return rows.select("text", dates.parse_hour(F.col("text")).alias("hour"))
+    """The first time of day of every line of every document."""
+    return _lines(spark, sf_dir).select("doc_id", "pos", dates.parse_hour(F.col("line")).alias("hour"))
 
 
 @query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents), h AS (SELECT *, CASE WHEN length(line) < 60 THEN line END AS head FROM l)
@@ -486,4 +493,5 @@ def gap_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT p_partkey, array_to_string(list_sort(list_distinct(string_split(lower(p_name || ' ' || p_type), ' '))), ' ') AS key FROM part""")
 def festival_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.concat_ws(" ", "p_name", "p_type", F.lit("XII Festival de 2026"))
-    return table(spark, sf_dir, "part").select("p_partkey", names.festival_key(title).alias("key"))
+    common = F.array(F.lit("festival"), F.lit("de"))
+    return table(spark, sf_dir, "part").select("p_partkey", names.festival_key(title, common).alias("key"))

@@ -78,7 +78,7 @@ def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([(1, DAY(2026, 5, 1), "A; b, " + "ñ" * 60, ["x", "y"], None)], "id int, day date, title string, tags array<string>, note string")
     assert rows_of(sinks.light(rows, "id", ["title", "note"]))[0][1].startswith('{"title":"A; b, ')
     event = sinks.calendar_events(rows, F.col("id").cast("string"), F.col("day"), F.col("title"), F.lit("here"), datetime.datetime(2026, 1, 1)).first()["vevent"]
-    assert "DTSTART;VALUE=DATE:20260501" in event and "A\; b\\, " in event.replace("\r\n ", "")
+    assert "DTSTART;VALUE=DATE:20260501" in event and "A\\; b\\, " in event.replace("\r\n ", "")
     assert all(len(x.encode()) <= 75 for x in event.split("\r\n"))
     sinks.write_csv(rows, str(tmp_path / "csv"))
     assert spark.read.csv(str(tmp_path / "csv"), sep=";", header=True).first()["tags"] == "x, y"
