@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .lookup import sized
+
 
 def hour_accuracy(agenda: DataFrame, official: DataFrame, keys: list[str], source: str, minutes: str, position: str) -> DataFrame:
     """Per source: comparisons with the first official time of the same keys, equal, earlier and later ones."""
@@ -41,15 +43,21 @@ def absences(rows: DataFrame, official: DataFrame, keys: list[str], day: str, pu
 
 
 def apply_rules(rows: DataFrame, rules: DataFrame, day: str, optional: list[str]) -> DataFrame:
-    """``rows`` with the action and note of the first rule (pos) of their day whose optional fields, where given, agree."""
-    marked = rows.withColumn("row_", F.monotonically_increasing_id())
-    known = rules.select(F.col(day).alias("rule_day"), *[F.col(c).alias(f"rule_{c}") for c in optional], "pos", "action", "note")
-    agree = F.col(day) == F.col("rule_day")
-    for c in optional:
-        agree &= F.col(f"rule_{c}").isNull() | (F.col(f"rule_{c}") == F.col(c))
-    w = Window.partitionBy("row_").orderBy("pos")
-    joined = marked.join(known, agree, "left").withColumn("rank_", F.row_number().over(w)).where("rank_ = 1")
-    return joined.drop("row_", "rank_", "pos", "rule_day", *[f"rule_{c}" for c in optional])
+    """``rows`` with the action and note of the first rule (pos) of their day whose optional fields, where given, agree.
+
+    A day's rules are one array, sent to the rows behind a check of their number; rows are not shuffled by it.
+    """
+    of_day = rules.groupBy(F.col(day).alias("rule_day")).agg(F.array_sort(F.collect_list(F.struct("pos", "action", "note", *[F.col(c).alias(f"rule_{c}") for c in optional]))).alias("rules_"))
+    joined = rows.join(sized(of_day), rows[day] == F.col("rule_day"), "left")
+
+    def agrees(rule: Column) -> Column:
+        out = F.lit(True)
+        for c in optional:
+            out &= rule[f"rule_{c}"].isNull() | F.coalesce(rule[f"rule_{c}"] == F.col(c), F.lit(False))
+        return out
+
+    first = F.get(F.filter("rules_", agrees), F.lit(0))
+    return joined.withColumns({"action": first["action"], "note": first["note"]}).drop("rule_day", "rules_")
 
 
 def unmatched_rules(rows: DataFrame, rules: DataFrame, day: str, optional: list[str]) -> DataFrame:

@@ -1,49 +1,88 @@
 """Entity resolution within a day: announcements of one event become one cluster.
 
-First-fit by (priority, unknown venue, position): each announcement joins the first cluster of its
-day with a like name at a like venue, else opens one. That is order-dependent by definition, so it
-runs per day in ``applyInPandas``, after a blocking split of each day into groups that can't touch:
-a day is bounded by what one region can announce; where it is not, ``block`` splits it further.
+First-fit by (priority, unknown venue, position): each announcement joins the first cluster of its day that holds one
+it belongs with (``matching.joins``), else opens one. That is order-dependent by definition. A day is first split, on
+Spark, into groups that cannot touch: two announcements can only belong together if they share a *trace* (``traces``),
+so those that share traces are tied by an equi-join with the trace's first row, and the connected components of these
+ties are the groups. Only inside a group the order counts, and only there Python runs.
+
+A trace is a key that every rule of ``joins`` needs at least one of: three-letter pieces of each name (a name of a
+ratio of 90 shares some), initials, telling words. Groups are thus a superset of what belongs together, and the result is
+that of first-fit over the whole day.
 """
 
 from __future__ import annotations
 
+from dataclasses import asdict
+
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..sources.tables import written
+from .matching import Announcement, Rules, joins
 
 SCHEMA = "row_id long, cluster_id long"
 
 
-def ratio(a: str, b: str) -> float:
-    """200 * LCS / (|a| + |b|)."""
-    if a == b:
-        return 100.0
-    before = [0] * (len(b) + 1)
-    for x in a:
-        now = [0]
-        for j, y in enumerate(b):
-            now.append(before[j] + 1 if x == y else max(before[j + 1], now[-1]))
-        before = now
-    return 200.0 * before[-1] / (len(a) + len(b)) if a or b else 100.0
+def traces(names: Column) -> Column:
+    """Three-letter pieces of the names (keys) without spaces, short names whole, and initials."""
+
+    def pieces(n: Column) -> Column:
+        plain = F.replace(n, F.lit(" "), F.lit(""))
+        cut = F.when(F.length(plain) > 3, F.transform(F.sequence(F.lit(1), F.length(plain) - 2), lambda i: F.substring(plain, i, F.lit(3)))).otherwise(F.array(plain))
+        initials = F.array_join(F.transform(F.split(n, " "), lambda w: F.left(w, F.lit(1))), "")
+        return F.concat(cut, F.array(F.concat(F.lit("="), initials), F.concat(F.lit("="), plain)))
+
+    return F.array_distinct(F.flatten(F.transform(names, pieces)))
+
+
+def groups(rows: DataFrame, block: list[str], most_rounds: int = 40) -> DataFrame:
+    """(row_id, group): rows of equal block columns that share traces, transitively; the group is the least row_id.
+
+    Each round every row takes the least label among the rows of its traces and, by pointer jumping, the label of
+    its label. Aggregations are partial, so a trace that very many rows have costs no hot task; no pair is made.
+    """
+    met = written(rows.select(F.xxhash64(*block).alias("b"), "row_id", F.explode(traces(F.col("names"))).alias("t")).select("row_id", F.xxhash64("b", "t").alias("t")), "traces")
+    labels = written(rows.select("row_id", F.col("row_id").alias("label")).distinct(), "labels")
+    for _ in range(most_rounds):
+        of_trace = met.join(labels, "row_id").groupBy("t").agg(F.min("label").alias("least"))
+        near = met.join(of_trace, "t").groupBy("row_id").agg(F.min("least").alias("near"))
+        step = labels.join(near, "row_id", "left").select("row_id", "label", F.coalesce("near", "label").alias("near"))
+        jump = step.select(F.col("row_id").alias("near"), F.col("near").alias("far"))
+        after = written(step.join(jump, "near", "left").select("row_id", F.least("near", F.coalesce("far", "near")).alias("label"), (F.col("near") < F.col("label")).alias("moved")), "labels")
+        labels = after.select("row_id", "label")
+        if not after.where("moved").take(1):
+            return labels.withColumnRenamed("label", "group")
+    raise RuntimeError("groups did not settle")
+
 
+def first_fit(announcements: list[Announcement], rules: Rules) -> list[list[Announcement]]:
+    """Clusters of one group, in the order in which they were opened."""
+    found: list[list[Announcement]] = []
+    for new in sorted(announcements, key=lambda a: (a.priority, a.venue == "", a.row_id)):
+        for cluster in found:
+            if any(joins(new, old, rules) for old in cluster):
+                cluster.append(new)
+                break
+        else:
+            found.append([new])
+    return found
 
-def alike(a: str, b: str, least: float) -> bool:
-    return a == b or (200.0 * min(len(a), len(b)) >= least * (len(a) + len(b)) and ratio(a, b) >= least)
 
+def clusters(rows: DataFrame, block: list[str], rules: Rules = Rules()) -> DataFrame:
+    """(row_id, cluster_id) of ``rows``: block columns, row_id, names (keys, headliner first), venue (key, '' unknown), priority, minutes.
 
-def clusters(rows: DataFrame, block: list[str], least_name: float = 90.0, least_venue: float = 90.0) -> DataFrame:
-    """``rows`` (block columns, row_id, name, venue, priority), names as keys, '' for an unknown venue; (row_id, cluster_id)."""
+    A row without names is a cluster of its own. ``row_id`` must be unique.
+    """
+    plain = rows.select(*block, "row_id", F.filter("names", lambda n: n.isNotNull() & (n != "")).alias("names"), F.coalesce("venue", F.lit("")).alias("venue"), "priority", F.col("minutes").cast("int").alias("minutes"))
+    named, bare = plain.where(F.size("names") > 0), plain.where(F.size("names") <= 0)
+    said = asdict(rules)
 
-    def first_fit(day: pd.DataFrame) -> pd.DataFrame:
-        day = day.assign(unknown=day["venue"].fillna("") == "").sort_values(["priority", "unknown", "row_id"], kind="stable")
-        found: list[list[tuple[int, str, str]]] = []
-        for row_id, name, venue in zip(day["row_id"], day["name"].fillna(""), day["venue"].fillna("")):
-            for cluster in found:
-                if any(alike(name, n, least_name) and (not venue or not v or alike(venue, v, least_venue)) for _, n, v in cluster):
-                    cluster.append((row_id, name, venue))
-                    break
-            else:
-                found.append([(row_id, name, venue)])
-        return pd.DataFrame([(r, min(x[0] for x in c)) for c in found for r, _, _ in c], columns=["row_id", "cluster_id"])
+    def fit(group: pd.DataFrame) -> pd.DataFrame:
+        minutes = [None if pd.isna(m) else int(m) for m in group["minutes"]]
+        own = [Announcement(int(r), list(n), v, int(p), m) for r, n, v, p, m in zip(group["row_id"], group["names"], group["venue"], group["priority"], minutes)]
+        return pd.DataFrame([(a.row_id, min(x.row_id for x in c)) for c in first_fit(own, Rules(**said)) for a in c], columns=["row_id", "cluster_id"])
 
-    return rows.select(*block, "row_id", "name", "venue", "priority").groupBy(*block).applyInPandas(first_fit, SCHEMA)
+    tied = named.join(groups(named, block), "row_id")
+    return tied.groupBy("group").applyInPandas(fit, SCHEMA).unionByName(bare.select(F.col("row_id").cast("long"), F.col("row_id").cast("long").alias("cluster_id")))

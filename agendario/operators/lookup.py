@@ -15,11 +15,10 @@ def sized(dictionary: DataFrame, most: int = SMALL) -> DataFrame:
 
 
 def first_hit(rows: DataFrame, key: str, candidates: str, dictionary: DataFrame, name: str, value: str) -> DataFrame:
-    """(key, value) of the first of each row's ordered candidates that the dictionary has; null if none."""
+    """(key, value) of the first of each key's ordered candidates that the dictionary has; null if none. One row per key, one scan."""
     known = sized(dictionary.select(F.col(name).alias("name_"), F.col(value).alias("value_")))
-    tried = rows.select(key, F.posexplode(candidates).alias("pos_", "name_"))
-    hits = tried.join(known, "name_").groupBy(key).agg(F.min_by("value_", "pos_").alias(value))
-    return rows.select(key).distinct().join(hits, key, "left")
+    tried = rows.select(key, F.posexplode_outer(candidates).alias("pos_", "name_")).join(known, "name_", "left")
+    return tried.groupBy(key).agg(F.min_by("value_", F.when(F.col("value_").isNotNull(), F.col("pos_"))).alias(value))
 
 
 def last_wins(entries: DataFrame, name: str, position: str) -> DataFrame:
@@ -31,21 +30,24 @@ def last_wins(entries: DataFrame, name: str, position: str) -> DataFrame:
 def longest_suffix(rows: DataFrame, key: str, suffixes: str, dictionary: DataFrame, name: str, value: str) -> DataFrame:
     """(key, value) of the longest of each row's suffixes that the dictionary has; null if none."""
     known = sized(dictionary.select(F.col(name).alias("name_"), F.col(value).alias("value_")))
-    tried = rows.select(key, F.explode(suffixes).alias("name_"))
-    hits = tried.join(known, "name_").groupBy(key).agg(F.max_by("value_", F.length("name_")).alias(value))
-    return rows.select(key).distinct().join(hits, key, "left")
+    tried = rows.select(key, F.explode_outer(suffixes).alias("name_")).join(known, "name_", "left")
+    return tried.groupBy(key).agg(F.max_by("value_", F.when(F.col("value_").isNotNull(), F.length("name_"))).alias(value))
 
 
 def first_keyword(rows: DataFrame, key: str, text: str, rules: DataFrame) -> DataFrame:
     """(key, label) of the first rule (pos, keyword, label) whose keyword the text has as whole words; null if none.
 
-    Keywords of one word are met in an equi-join on the text's words; longer ones are first met on
-    their first word and then looked for whole.
+    The distinct words of a text, without the text, meet the keywords' first words in an equi-join; only the hits of
+    longer keywords meet the text again and are looked for whole. ``key`` must be unique.
     """
-    words = rows.select(key, F.concat(F.lit(" "), text, F.lit(" ")).alias("t_"), F.explode(F.array_distinct(F.split(text, " "))).alias("w_"))
-    known = sized(rules.select("pos", "label", F.substring_index("keyword", " ", 1).alias("w_"), F.concat(F.lit(" "), "keyword", F.lit(" ")).alias("k_")))
-    hits = words.join(known, "w_").where(F.contains("t_", F.col("k_"))).groupBy(key).agg(F.min_by("label", "pos").alias("label"))
-    return rows.select(key).distinct().join(hits, key, "left")
+    words = rows.select(key, F.explode_outer(F.array_distinct(F.split(text, " "))).alias("w_"))
+    known = sized(rules.select("pos", "label", "keyword", F.substring_index("keyword", " ", 1).alias("w_")))
+    hits = words.join(known, "w_").select(key, "pos", "label", "keyword")
+    whole = F.contains(F.concat(F.lit(" "), text, F.lit(" ")), F.concat(F.lit(" "), "keyword", F.lit(" ")))
+    long = hits.where(F.contains("keyword", F.lit(" "))).join(rows.select(key, text), key).where(whole).select(key, "pos", "label")
+    none = rows.select(key, F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("label"))
+    every = hits.where(~F.contains("keyword", F.lit(" "))).select(key, "pos", "label").unionByName(long).unionByName(none)
+    return every.groupBy(key).agg(F.min_by("label", "pos").alias("label"))
 
 
 def inverted(taxonomy: DataFrame, genre: str, styles: str, position: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, names, similarity, text
-from ..operators import agenda, cluster, lookup, metrics, resolve, sinks, snapshot, temporal
+from ..operators import agenda, lookup, metrics, resolve, sinks, snapshot, temporal
 from ..sources import readers
 from ..sources.tables import table
 
@@ -368,14 +368,6 @@ def name_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.join(alike, ["name", "r_name"]).select("p_partkey", "r_partkey", "ratio")
 
 
-@query()
-def day_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select(
-        F.to_date("ts").alias("day"), F.col("user_id").alias("place"), F.col("event_id").alias("row_id"), F.concat_ws(" ", "event_type", F.hour("ts").cast("string")).alias("name"), F.lit("").alias("venue"), F.lit(1).alias("priority")
-    )
-    return cluster.clusters(rows, ["day", "place"])
-
-
 ALIASES = [("widget", "W"), ("ring", "R"), ("red", "colour"), ("blue", "colour")]
 _ALIAS = "CASE {} " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in ALIASES) + " END"
 
@@ -459,7 +451,7 @@ j AS (SELECT event_id, action, note, row_number() OVER (PARTITION BY event_id OR
 SELECT event_id, action, note FROM j WHERE r = 1""")
 def correction_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(FIXES, "day string, place long, source string, pos int, action string, note string").withColumn("day", F.to_date("day"))
-    return agenda.apply_rules(announcements(spark, sf_dir), F.broadcast(rules), "day", ["place", "source"]).select("event_id", "action", "note")
+    return agenda.apply_rules(announcements(spark, sf_dir), rules, "day", ["place", "source"]).select("event_id", "action", "note")
 
 
 @query(f"""WITH {_A}, i AS (SELECT DISTINCT source, place * 1000 + hour AS item FROM a WHERE day >= DATE '2024-01-16'), p AS (SELECT DISTINCT place * 1000 + hour AS item FROM a WHERE day < DATE '2024-01-16'), c AS (SELECT item, count(*) AS k FROM i GROUP BY item)

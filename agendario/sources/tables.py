@@ -1,10 +1,30 @@
-"""Readers of the driver's Parquet tables."""
+"""Readers of the driver's Parquet tables, and tables that cut lineage."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table ``name`` below ``sf_dir``, by Spark's own reader."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` below ``spark.checkpoint.dir`` and reads it again, so that lost executors cost no earlier work.
+
+    The folder must be shared by driver and executors; only local mode may go without the setting.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="agendario-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from agendario.functions import dates, similarity, text
-from agendario.operators.cluster import ratio
+from agendario.operators.matching import ratio
 
 DAY = datetime.date
 

@@ -55,7 +55,7 @@ def test_usual_value_levels(spark):
 
 def test_clusters_first_fit(spark):
     day = DAY(2026, 5, 1)
-    rows = spark.createDataFrame([(day, 1, "kings of noise", "sala sol", 2), (day, 2, "king of noise", "", 3), (day, 3, "kings of noise", "other hall", 2), (day, 4, "nobody", "sala sol", 1)], "day date, row_id long, name string, venue string, priority int")
+    rows = spark.createDataFrame([(day, 1, ["kings of noise"], "sala sol", 2, None), (day, 2, ["king of noise"], "", 3, None), (day, 3, ["kings of noise"], "other hall", 2, None), (day, 4, ["nobody"], "sala sol", 1, None)], "day date, row_id long, names array<string>, venue string, priority int, minutes int")
     assert rows_of(cluster.clusters(rows, ["day"])) == [(1, 1), (2, 1), (3, 3), (4, 4)]
 
 
