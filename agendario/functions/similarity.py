@@ -1,26 +1,29 @@
-"""Name similarity. ``indel_ratio`` is 200 * LCS / (|a| + |b|), computed inside the JVM."""
+"""Name similarity. ``indel_ratio`` is 200 * LCS / (|a| + |b|), in Arrow batches, to be used behind ``may_reach``."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 
-def lcs_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence: a fold over the rows of the usual table."""
-    letters_a, letters_b = F.split(a, ""), F.split(b, "")
-    zero = F.transform(letters_b, lambda _: F.lit(0))
+def lcs(a: str, b: str) -> int:
+    """Length of the longest common subsequence, by bit-parallel rows: one step for each letter of ``b``."""
+    at: dict[str, int] = {}
+    for i, c in enumerate(a):
+        at[c] = at.get(c, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    row = full
+    for c in b:
+        both = row & at.get(c, 0)
+        row = ((row + both) | (row - both)) & full
+    return len(a) - row.bit_count()
 
-    def row(before: Column, letter: Column) -> Column:
-        def cell(done: Column, i: Column) -> Column:
-            up, left = F.get(before, i), F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0))
-            corner = F.coalesce(F.get(before, i - 1), F.lit(0))
-            return F.concat(done, F.array(F.when(F.get(letters_b, i) == letter, corner + 1).otherwise(F.greatest(up, left))))
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(letters_b) - 1), F.array().cast("array<int>"), cell)
-
-    full = F.aggregate(letters_a, zero, row)
-    return F.when((F.length(a) > 0) & (F.length(b) > 0), F.try_element_at(full, F.lit(-1))).otherwise(0)
+@F.arrow_udf(IntegerType())
+def lcs_length(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array([None if x is None or y is None else lcs(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.int32())
 
 
 def indel_ratio(a: Column, b: Column) -> Column:

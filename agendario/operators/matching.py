@@ -8,6 +8,8 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
+from ..functions.similarity import lcs
+
 _FESTIVAL = re.compile(r"\bfest(ival)?\b")
 _SESSIONS = re.compile(r"\b(matinee|sesion|pase|turno)s?\b")
 
@@ -39,19 +41,6 @@ class Announcement:
     words: list[set[str]] = field(default_factory=list)
 
 
-def lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, by bit-parallel rows: one step for each letter of ``b``."""
-    at: dict[str, int] = {}
-    for i, c in enumerate(a):
-        at[c] = at.get(c, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    row = full
-    for c in b:
-        both = row & at.get(c, 0)
-        row = ((row + both) | (row - both)) & full
-    return len(a) - row.bit_count()
-
-
 def ratio(a: str, b: str) -> float:
     """200 * LCS / (|a| + |b|)."""
     return 100.0 if a == b else 200.0 * lcs(a, b) / (len(a) + len(b))

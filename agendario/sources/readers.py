@@ -63,3 +63,111 @@ def may_fetch(urls: DataFrame, rules: DataFrame, key: str, path: str) -> DataFra
     hits = urls.join(known, (F.col(key) == F.col("of")) & F.expr(f"`{path}` rlike pattern"))
     best = hits.groupBy(key, path).agg(F.max_by("allow", F.struct("size", "allow")).alias("allow"))
     return urls.select(key, path).distinct().join(best, [key, path], "left").withColumn("allow", F.coalesce("allow", F.lit(True)))
+
+
+def crawl_delay(files: DataFrame, key: str, text: str, agent: str) -> DataFrame:
+    """(key, delay): the seconds that a robots file asks of an agent, else of ``*``; null if none."""
+    lines = files.select(key, F.posexplode(F.split(text, r"\r?\n")).alias("pos", "line"))
+    fields = lines.select(key, "pos", F.lower(F.trim(F.substring_index("line", ":", 1))).alias("field"), F.lower(F.trim(F.regexp_replace(F.regexp_replace("line", "^[^:]*:", ""), "#.*$", ""))).alias("value"))
+    order = Window.partitionBy(key).orderBy("pos")
+    known = fields.where(F.col("field").isin("user-agent", "allow", "disallow", "crawl-delay"))
+    opens = (F.col("field") == "user-agent") & (F.coalesce(F.lag("field").over(order), F.lit("")) != "user-agent")
+    parts = known.withColumn("opens", opens.cast("int")).withColumn("part", F.sum("opens").over(order))
+    named = parts.where("field = 'user-agent'").select(key, "part", F.when(F.col("value") == agent.lower(), 2).when(F.col("value") == "*", 1).alias("rank")).where("rank IS NOT NULL")
+    asked = parts.where("field = 'crawl-delay'").select(key, "part", F.col("value").try_cast("double").alias("delay"))
+    return files.select(key).join(named.join(asked, [key, "part"]).groupBy(key).agg(F.max_by("delay", "rank").alias("delay")), key, "left")
+
+
+def retry_after(header: Column, now: Column, most: int = 600) -> Column:
+    """Seconds to wait by a Retry-After header (seconds, or an HTTP date), between 0 and ``most``; null without one."""
+    stamp = F.try_to_timestamp(F.regexp_extract(header, r"(\d{2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2})", 1), F.lit("dd MMM yyyy HH:mm:ss"))
+    seconds = F.coalesce(F.trim(header).try_cast("long"), F.unix_timestamp(stamp) - F.unix_timestamp(now))
+    return F.when(seconds.isNotNull(), F.greatest(F.lit(0), F.least(seconds, F.lit(most))))
+
+
+def is_challenge(html: Column, marks: tuple[str, ...], most: int = 20_000) -> Column:
+    """A short page with one of the marks of a check for robots."""
+    return (F.length(html) <= most) & F.exists(F.array(*map(F.lit, marks)), lambda m: F.contains(F.lower(html), m))
+
+
+def microdata(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """Schema.org events in ``itemprop`` attributes: one row per ``itemscope`` of an Event type.
+
+    A scope's part of the page runs to the next Event scope; ``content`` or ``datetime`` goes before the element's text.
+    """
+    parts = F.filter(F.split(html, r"(?i)itemtype=\"https?://schema.org/"), lambda p: p.rlike(r"^[A-Za-z]*Event\""))
+    one = pages.select(key, F.posexplode(parts).alias("pos", "part"))
+
+    def prop(name: str) -> Column:
+        said = F.regexp_extract("part", rf'(?is)itemprop="{name}"[^>]*?(?:content|datetime)="([^"]*)"', 1)
+        text = F.trim(F.regexp_extract("part", rf'(?is)itemprop="{name}"[^>]*>([^<]*)<', 1))
+        return F.nullif(F.when(said != "", said).otherwise(text), F.lit(""))
+
+    start = prop("startDate")
+    return one.select(key, "pos", prop("name").alias("name"), F.try_to_timestamp(F.left(start, F.lit(10)), F.lit("yyyy-MM-dd")).cast("date").alias("day"), F.nullif(F.regexp_extract(start, r"T(\d{2}:\d{2})", 1), F.lit("")).alias("hour"), prop("price").alias("price"))
+
+
+def calendar_json(files: DataFrame, key: str, raw: str) -> DataFrame:
+    """The rows of a calendar feed: an array of objects with title, start and url."""
+    kind = "array<struct<title:string,start:string,url:string>>"
+    rows = files.select(key, F.posexplode(F.from_json(raw, kind)).alias("pos", "e"))
+    return rows.select(key, "pos", F.col("e.title").alias("name"), F.try_to_timestamp(F.left("e.start", F.lit(10)), F.lit("yyyy-MM-dd")).cast("date").alias("day"), F.nullif(F.regexp_extract("e.start", r"T(\d{2}:\d{2})", 1), F.lit("")).alias("hour"), F.col("e.url").alias("url"))
+
+
+def graph_events(files: DataFrame, key: str, raw: str, depth: int = 4) -> DataFrame:
+    """Objects whose ``@type`` ends in Event, at any of ``depth`` levels below ``@graph``, ``itemListElement``, ``item`` or ``subEvent``.
+
+    Each level is one VARIANT step: what is not an event hands its children to the next one.
+    """
+    top = files.select(key, F.try_parse_json(raw).alias("v"))
+
+    def spread(df: DataFrame) -> DataFrame:
+        return df.select(key, F.when(F.schema_of_variant("v").startswith("ARRAY"), F.try_variant_get("v", "$", "array<variant>")).otherwise(F.array("v")).alias("vs")).select(key, F.explode("vs").alias("v")).where(F.col("v").isNotNull())
+
+    level, found = spread(top), None
+    for _ in range(depth):
+        events = level.where(F.try_variant_get("v", "$['@type']", "string").rlike("Event$"))
+        found = events if found is None else found.unionByName(events)
+        inner = [F.try_variant_get("v", f"$['{f}']", "variant") for f in ("@graph", "itemListElement", "item", "subEvent")]
+        level = spread(level.select(key, F.explode(F.array(*inner)).alias("v")).where(F.col("v").isNotNull()))
+
+    def text(path: str) -> Column:
+        return F.try_variant_get("v", path, "string")
+
+    return found.select(key, text("$.name").alias("name"), F.try_to_timestamp(F.left(text("$.startDate"), F.lit(10)), F.lit("yyyy-MM-dd")).cast("date").alias("day"), text("$.location.name").alias("venue"), text("$.offers.price").alias("price"))
+
+
+def first_that_reads(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """The events of the first scan that finds some on a page: JSON-LD, else microdata, else dated lines.
+
+    Columns: key, how, name, day, hour.
+    """
+    ld = json_ld(pages, key, html).select(key, F.lit("json_ld").alias("how"), "name", "day", "hour")
+    micro = microdata(pages, key, html).select(key, F.lit("microdata").alias("how"), "name", "day", "hour")
+    lines = dated_lines(pages.select(key, F.regexp_replace(html, "<[^>]*>", "\n").alias("text")), key, "text").select(key, F.lit("lines").alias("how"), "name", "day", F.lit(None).cast("string").alias("hour"))
+    every = ld.unionByName(micro).unionByName(lines)
+    rank = F.array_position(F.array(F.lit("json_ld"), F.lit("microdata"), F.lit("lines")), F.col("how"))
+    return every.withColumn("best_", F.min(rank).over(Window.partitionBy(key))).where(rank == F.col("best_")).drop("best_")
+
+
+def dated_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, pos, name, day): the next line with letters after each line that is an ISO or ``d/m/y`` date."""
+    lines = docs.select(key, F.posexplode(F.split(text, "\n")).alias("pos", "line")).where(F.trim("line") != "")
+    iso = F.regexp_extract("line", r"^\s*(\d{4}-\d{2}-\d{2})\s*$", 1)
+    d, m, y = (F.regexp_extract("line", r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s*$", i) for i in (1, 2, 3))
+    said = F.when(iso != "", iso).when(d != "", F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")))
+    w = Window.partitionBy(key).orderBy("pos")
+    marked = lines.withColumns({"day": F.try_to_timestamp(said, F.lit("yyyy-MM-dd")).cast("date"), "name": F.trim(F.lead("line").over(w))})
+    return marked.where(F.col("day").isNotNull() & F.col("name").rlike("[A-Za-z]")).select(key, "pos", "name", "day")
+
+
+def outbound(pages: DataFrame, key: str, url: str, html: str, buy: str) -> DataFrame:
+    """(key, href, rank): links to other hosts, each once, those whose text matches ``buy`` first, then by place."""
+    from ..functions.text import url_clean, url_domain
+
+    found = F.regexp_extract_all(html, F.lit(r'(?is)<a [^>]*href="(https?://[^"]*)"[^>]*>'), 1)
+    texts = F.regexp_extract_all(html, F.lit(r'(?is)<a [^>]*href="https?://[^"]*"[^>]*>([^<]*)'), 1)
+    rows = pages.select(key, url_domain(F.col(url)).alias("own"), F.posexplode(F.arrays_zip(found.alias("href"), texts.alias("said"))).alias("pos", "l"))
+    rows = rows.select(key, "own", "pos", url_clean(F.col("l.href")).alias("href"), F.lower("l.said").rlike(buy).alias("buy")).where(url_domain(F.col("href")) != F.col("own"))
+    once = rows.groupBy(key, "href").agg(F.min(F.struct(~F.col("buy"), F.col("pos"))).alias("place"))
+    return once.select(key, "href", F.row_number().over(Window.partitionBy(key).orderBy("place")).alias("rank"))

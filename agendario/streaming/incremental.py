@@ -20,19 +20,34 @@ def hourly(stream: DataFrame, time: str, source: str, late: str = "2 hours") ->
     return stream.withWatermark(time, late).groupBy(F.window(time, "1 hour"), source).agg(F.count("*").alias("n"))
 
 
-def value_changes(stream: DataFrame, key: str, time: str, value: str) -> DataFrame:
-    """A row whenever the value of a key differs from the one before it, by event time."""
+def value_changes(stream: DataFrame, key: str, time: str, value: str, late: str = "2 hours", forget_ms: int = 31 * 86_400_000) -> DataFrame:
+    """A row whenever the value of a key differs from the one before it, by event time.
+
+    Rows wait in the key's state until the watermark (``late``) has passed them and are then taken in order of time, so
+    a late row makes no false change; rows later than that are dropped. A key's state holds the rows of ``late`` and its last value, and
+    goes when the watermark is ``forget_ms`` past its last row.
+    """
 
     def step(name: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        rows = pd.concat(list(batches)).sort_values(time, kind="stable")
+        last, times, values = state.get if state.exists else (None, [], [])
+        waiting = list(zip(times, values))
+        mark = state.getCurrentWatermarkMs()
+        if state.hasTimedOut and not waiting:
+            state.remove()
+            return
+        for rows in batches:
+            waiting += [(int(t.value // 1_000_000), v) for t, v in zip(pd.to_datetime(rows[time]), rows[value]) if t.value // 1_000_000 >= mark]
+        waiting.sort(key=lambda x: (x[0], x[1] is None, x[1] or ""))
         out = []
-        for t, v in zip(rows[time], rows[value]):
+        while waiting and waiting[0][0] <= mark:
+            t, v = waiting.pop(0)
             if v != last:
-                out.append((name[0], t, last, v))
+                out.append((name[0], pd.Timestamp(t, unit="ms"), last, v))
                 last = v
-        state.update((last,))
-        yield pd.DataFrame(out, columns=["key", "at", "was", "now"])
+        state.update((last, [t for t, _ in waiting], [v for _, v in waiting]))
+        state.setTimeoutTimestamp(max(mark + 1, waiting[0][0] if waiting else mark + forget_ms))
+        if out:
+            yield pd.DataFrame(out, columns=["key", "at", "was", "now"])
 
-    flat = stream.select(F.col(key).cast("string").alias(key), time, F.col(value).cast("string").alias(value))
-    return flat.groupBy(key).applyInPandasWithState(step, "key string, at timestamp, was string, now string", "last string", "append", GroupStateTimeout.NoTimeout)
+    flat = stream.withWatermark(time, late).select(F.col(key).cast("string").alias(key), time, F.col(value).cast("string").alias(value))
+    return flat.groupBy(key).applyInPandasWithState(step, "key string, at timestamp, was string, now string", "last string, times array<bigint>, values array<string>", "append", GroupStateTimeout.EventTimeTimeout)

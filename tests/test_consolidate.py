@@ -4,8 +4,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from agendario.operators import cluster, consolidate
-from agendario.operators.matching import Announcement, Rules, far, headliner_meets, lcs, like, like_flexible, names_meet, ratio, same_act, same_venue
+from agendario.functions.similarity import lcs
+from agendario.operators import cluster, consolidate, evidence
+from agendario.operators.matching import Announcement, Rules, far, headliner_meets, like, like_flexible, names_meet, ratio, same_act, same_venue
 
 DAY = datetime.date
 RULES = Rules(generic=frozenset(["banda"]), kinds=frozenset(["sala", "club"]), common=frozenset(["festival", "the"]), never_same=frozenset([frozenset(["sala sol", "sala sola"])]))
@@ -106,3 +107,12 @@ def test_reconcile_in_passes(spark):
     complete = spark.createDataFrame([("web", True), ("blog", False)], "source string, complete boolean")
     got = consolidate.reconcile(spark.createDataFrame(now, schema), spark.createDataFrame(was, schema), complete, F.lit("2026-05-01").cast("date"), RULES)
     assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted([(1, 11, "kept"), (2, 12, "renamed"), (3, 13, "moved"), (4, None, "new"), (None, 14, "possibly_cancelled"), (None, 15, "carried"), (None, 16, "past")], key=repr)
+
+
+def test_alias_pairs_against_all_pairs(spark):
+    rng = random.Random(5)
+    words = ["luna", "lunas", "sol", "teatro", "real", "reales", "norte", "plaza"]
+    names = sorted({" ".join(rng.choice(words) for _ in range(rng.randint(1, 3))) for _ in range(60)})
+    got = {(r[0], r[1]) for r in evidence.alias_pairs(spark.createDataFrame([(n,) for n in names], "key string"), "key", 90.0).collect()}
+    alike = {(a, b) for a in names for b in names if a < b and ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split()))) >= 90}
+    assert got <= alike and len(got) >= 0.9 * len(alike) > 0
