@@ -203,22 +203,25 @@ def trained(groups: DataFrame, vocabulary: int, end: int) -> attention.Model:
             # What it learned, not what it is: unseen ids stay 0 and cost little to send.
             flat = np.concatenate([(copy.w[k] - weights[k]).ravel() for k in names]).astype("<f4")
             parts = np.array_split(flat, SLICES)
-            columns = [pa.array(range(SLICES), pa.int32()), pa.array([task] * SLICES, pa.int32()), pa.array([float(n)] * SLICES, pa.float64()), pa.array([p.tobytes() for p in parts], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["slice", "task", "n", "w"])
+            packed = [pa.compress(p.tobytes(), "zstd", asbytes=True) for p in parts]
+            columns = [pa.array(range(SLICES), pa.int32()), pa.array([task] * SLICES, pa.int32()), pa.array([float(n)] * SLICES, pa.float64()), pa.array([len(p) for p in parts], pa.int32()), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["slice", "task", "n", "size", "w"])
 
     def mean(out: pa.Table) -> pa.Table:
         total, w = 0.0, 0.0
+        size = out["size"][0].as_py()
         for n, x in zip(out["n"].to_pylist(), out["w"]):
-            w = w + n * np.frombuffer(x.as_py(), "<f4")
+            w = w + n * np.frombuffer(pa.decompress(x.as_py(), decompressed_size=4 * size, codec="zstd", asbytes=True), "<f4")
             total += n
-        return pa.table({"slice": out["slice"].slice(0, 1), "n": pa.array([total]), "w": pa.array([(w / total).astype("<f4").tobytes()], pa.binary())})
+        packed = pa.compress((w / total).astype("<f4").tobytes(), "zstd", asbytes=True)
+        return pa.table({"slice": out["slice"].slice(0, 1), "n": pa.array([total]), "size": out["size"].slice(0, 1), "w": pa.array([packed], pa.binary())})
 
-    copies = rows.mapInArrow(train, "slice int, task int, n double, w binary")
+    copies = rows.mapInArrow(train, "slice int, task int, n double, size int, w binary")
     # In two steps, so that no task adds up the copies of all others.
-    some = copies.groupBy("slice", F.pmod("task", F.lit(256)).alias("part")).applyInArrow(mean, "slice int, n double, w binary")
-    slices = some.groupBy("slice").applyInArrow(mean, "slice int, n double, w binary").collect()
+    some = copies.groupBy("slice", F.pmod("task", F.lit(256)).alias("part")).applyInArrow(mean, "slice int, n double, size int, w binary")
+    slices = some.groupBy("slice").applyInArrow(mean, "slice int, n double, size int, w binary").collect()
     if slices:
-        flat = np.concatenate([np.frombuffer(r["w"], "<f4") for r in sorted(slices, key=lambda r: r["slice"])])
+        flat = np.concatenate([np.frombuffer(pa.decompress(r["w"], decompressed_size=4 * r["size"], codec="zstd", asbytes=True), "<f4") for r in sorted(slices, key=lambda r: r["slice"])])
         at = 0
         for k in names:
             size = model.w[k].size
