@@ -53,10 +53,13 @@ def met(rows: DataFrame, keyed: DataFrame, key: str, total: int, least: int = 10
     """Inner join of ``rows`` with ``keyed`` (one row per key; ``k``: how many rows have it), without hot tasks.
 
     Keys of more than ``total / MOST_HUBS`` rows (``least`` at least) are met by broadcast: fewer than ``MOST_HUBS``
-    keys can be that frequent. All others are joined by a shuffle.
+    keys can be that frequent. All others are joined by a shuffle. At most ``MOST_HUBS`` rows in all have no more keys than
+    that, and are met by broadcast at once.
     """
     from pyspark.sql import functions as F
 
+    if total <= MOST_HUBS:
+        return rows.join(F.broadcast(keyed.drop("k")), key)
     hot = max(least, total // MOST_HUBS)
     hubs = keyed.where(F.col("k") > hot).drop("k")
     near = rows.join(F.broadcast(hubs.select(key)), key, "left_anti").join(keyed.where(F.col("k") <= hot).drop("k"), key)

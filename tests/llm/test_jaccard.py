@@ -78,6 +78,7 @@ def test_sets_that_share_all_but_their_own_words(spark):
 
 
 def test_hot_keys_are_met_by_broadcast_with_the_same_result(spark, monkeypatch):
+    monkeypatch.setattr(shared, "MOST_HUBS", 10)
     monkeypatch.setattr(components, "met", lambda rows, keyed, key, total: shared.met(rows, keyed, key, total, least=2))
     monkeypatch.setattr(jaccard, "met", lambda rows, keyed, key, total: shared.met(rows, keyed, key, total, least=2))
     docs = cases.documents(spark)
