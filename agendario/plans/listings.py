@@ -84,7 +84,7 @@ def day_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def consolidate_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole chain: scope, cleaning, clusters, resolution, venue conflicts (tested against a brute-force version)."""
+    """The whole chain: scope, cleaning, clusters, resolution, venue conflicts (tested on small listings with known results)."""
     events = consolidate.merge_venues(consolidate.records(_prepared(spark, sf_dir)[0], RULES))
     return events.select("event_id", F.col("day").cast("string").alias("day"), "artist", F.array_join("guests", "|").alias("guests"), "venue", "minutes", "price", F.size("sources").alias("n_sources"), F.array_join("conflicts", "|").alias("conflicts"), "state")
 
