@@ -5,7 +5,8 @@ Jaccard similarity is at least 0.8. The join works on distinct sets only (copies
 
 1. counts in how many sets each shingle occurs. Shingles travel as binary blocks dealt by hash,
    about ``BLOCK_TOKENS`` to a block, so a very common shingle costs once per set and no
-   row of its own; what is shared goes back to the group of rows that its set is from. A set links only if at least ceil(0.8 n) of its shingles are shared at all;
+   row of its own; what is shared goes back to the group of rows that its set is from, where the keys and
+   sizes of its sets are met. A set links only if at least ceil(0.8 n) of its shingles are shared at all;
    most documents of a corpus end here, exactly.
    Sets with the same shared shingles and the same size are one class: they link with the same other sets, and
    with each other or not at all by their size alone. Only one set of each class goes on.
@@ -19,7 +20,8 @@ Jaccard similarity is at least 0.8. The join works on distinct sets only (copies
    every set outside the pool's largest component is compared with all chunks, which makes the
    components exact.
 
-Shingles are compared by 64-bit and sets by 128-bit hashes.
+Shingles are compared by 56-bit and sets by 128-bit hashes; inside a block, by half of that and the sum of the
+shingles there.
 
 Defined cases: null, empty or blank text has an empty set, links with nothing and is its own
 component; fewer than five words make one shingle of the whole sequence; repeated rows are
@@ -33,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,8 +86,41 @@ def _digest(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit(""))))
 
 
+_TOKEN_BYTES = 7
+_TOKEN = np.uint64((1 << 8 * _TOKEN_BYTES) - 1)
+
+
+def _narrow(tokens: np.ndarray) -> bytes:
+    return np.ascontiguousarray(tokens.view(np.uint8).reshape(-1, 8)[:, :_TOKEN_BYTES]).tobytes()
+
+
+def _wide(column: pa.ChunkedArray) -> np.ndarray:
+    narrow = _joined(column, np.uint8).reshape(-1, _TOKEN_BYTES)
+    tokens = np.zeros((len(narrow), 8), np.uint8)
+    tokens[:, :_TOKEN_BYTES] = narrow
+    return tokens.view(np.uint64).ravel()
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Byte planes of 32-bit numbers, which are mostly small: the shuffle compresses them away."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _of_planes(column: pa.ChunkedArray) -> np.ndarray:
+    parts = [np.frombuffer(x.as_buffer(), np.uint8).reshape(4, -1).T for x in column]
+    return np.ascontiguousarray(np.concatenate(parts)).view("<u4").ravel() if parts else np.zeros(0, np.uint32)
+
+
+def _short(keys: np.ndarray) -> np.ndarray:
+    """The first half of each key."""
+    return np.ascontiguousarray(keys.view(np.uint64).reshape(-1, 2)[:, 0])
+
+
 def _dealt(docs: DataFrame, blocks: int) -> DataFrame:
-    """Shingles of the distinct sets of each group of rows, one row per block and group."""
+    """Shingles of the distinct sets of each group of rows, one row per block and group.
+
+    One more row per group (block below 0, no tokens) has the keys and sizes of its sets.
+    """
 
     def deal(texts: pa.Array, group: int) -> pa.RecordBatch | None:
         seen: dict[bytes, np.ndarray] = {}
@@ -94,20 +130,22 @@ def _dealt(docs: DataFrame, blocks: int) -> DataFrame:
         if not seen:
             return None
         keys = np.frombuffer(b"".join(seen), "V16")
-        tokens = np.concatenate(list(seen.values()))
+        short = _short(keys)
+        tokens = np.concatenate(list(seen.values())) & _TOKEN
         entry = np.repeat(np.arange(len(seen), dtype=np.int32), [len(x) for x in seen.values()])
         block = ((tokens >> np.uint64(32)) % np.uint64(blocks)).astype(np.uint16 if blocks < 65536 else np.uint32)
         order = np.argsort(block, kind="stable")
         tokens, entry, block = tokens[order], entry[order], block[order]
         cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-        out: list[list] = [[], [], [], []]
+        sizes = np.array([len(x) for x in seen.values()])
+        out: list[list] = [[-1 - (group + (group >> 32)) % blocks], [keys.tobytes()], [_planes(sizes)], [b""]]
         for lo, hi in zip(cuts, np.r_[cuts[1:], len(block)]):
             e = entry[lo:hi]
             at = np.flatnonzero(np.r_[True, e[1:] != e[:-1]])
             out[0].append(int(block[lo]))
-            out[1].append(keys[e[at]].tobytes())
-            out[2].append(np.diff(np.r_[at, hi - lo]).astype(np.uint32).tobytes())
-            out[3].append(tokens[lo:hi].tobytes())
+            out[1].append(short[e[at]].tobytes())
+            out[2].append(_planes(np.diff(np.r_[at, hi - lo])))
+            out[3].append(_narrow(tokens[lo:hi]))
         groups = pa.array([group] * len(out[0]), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), groups, *[pa.array(x, pa.binary()) for x in out[1:]]], ["block", "grp", "keys", "counts", "tokens"])
 
@@ -126,22 +164,25 @@ def _dealt(docs: DataFrame, blocks: int) -> DataFrame:
 def _joined(column: pa.ChunkedArray, dtype) -> np.ndarray:
     """The values of a binary column one after another."""
     parts = []
-    for chunk in column.chunks:
+    for chunk in filter(len, column.chunks):
         chunk = chunk.cast(pa.large_binary())
         offs = np.frombuffer(chunk.buffers()[1], np.int64)[chunk.offset : chunk.offset + len(chunk) + 1]
         parts.append(np.frombuffer(chunk.buffers()[2], np.uint8)[offs[0] : offs[-1]])
-    return (parts[0] if len(parts) == 1 else np.concatenate(parts)).view(dtype)
+    return (parts[0] if len(parts) == 1 else np.concatenate(parts or [np.zeros(0, np.uint8)])).view(dtype)
 
 
 def _shared_of_block(rows: pa.Table) -> pa.Table:
     """For each group with sets in the block: their shingles that other sets have too, with the number of sets.
 
-    A set that several groups have (copies) counts once, for the smallest group.
+    A set that several groups have (copies) counts once, for the smallest group. Rows of keys and sizes pass.
     """
+    if rows["block"][0].as_py() < 0:
+        return rows.select(["grp", "keys", "counts", "tokens"]).append_column("sets", rows["tokens"])
     rows = rows.sort_by("grp")
-    keys, counts, tokens = _joined(rows["keys"], "V16"), _joined(rows["counts"], np.uint32), _joined(rows["tokens"], np.uint64)
-    group = np.repeat(np.arange(rows.num_rows), [len(x.as_py()) // 16 for x in rows["keys"]])
-    _, first = np.unique(keys, return_index=True)
+    keys, counts, tokens = _joined(rows["keys"], np.uint64), _of_planes(rows["counts"]), _wide(rows["tokens"])
+    group = np.repeat(np.arange(rows.num_rows), [len(x.as_buffer()) // 8 for x in rows["keys"]])
+    sums = np.add.reduceat(tokens, np.cumsum(counts, dtype=np.int64) - counts)
+    _, first = np.unique(np.column_stack([keys, sums]).view("V16").ravel(), return_index=True)
     keep = np.zeros(len(keys), bool)
     keep[first] = True
     entry = np.repeat(np.arange(len(keys), dtype=np.int32), counts)
@@ -162,26 +203,32 @@ def _shared_of_block(rows: pa.Table) -> pa.Table:
     for g, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
         if hi > lo:
             at = np.flatnonzero(np.r_[True, entry[lo + 1 : hi] != entry[lo : hi - 1]])
-            size = np.diff(np.r_[at, hi - lo]).astype(np.uint32)
-            for column, value in zip(out, (names[g], keys[entry[lo:hi][at]].tobytes(), size.tobytes(), tokens[lo:hi].tobytes(), sets[lo:hi].tobytes())):
+            size = np.diff(np.r_[at, hi - lo])
+            for column, value in zip(out, (names[g], keys[entry[lo:hi][at]].tobytes(), _planes(size), _narrow(tokens[lo:hi]), _planes(sets[lo:hi]))):
                 column.append(value)
     return pa.table([pa.array(out[0], pa.int64()), *[pa.array(x, pa.binary()) for x in out[1:]]], ["grp", "keys", "counts", "tokens", "sets"])
 
 
 def _by_set(rows: pa.Table) -> pa.Table:
-    """One row per set of a group: its shared shingles of all blocks, ascending."""
-    keys, counts = _joined(rows["keys"], "V16"), _joined(rows["counts"], np.uint32)
-    tokens, sets = _joined(rows["tokens"], np.uint64), _joined(rows["sets"], np.uint32)
-    names, place = np.unique(keys, return_inverse=True)
-    owner = np.repeat(place, counts)
+    """One row per set of a group that may link: its shared shingles of all blocks, ascending."""
+    blank = pc.equal(pc.binary_length(rows["tokens"]), 0)
+    described, rows = rows.filter(blank), rows.filter(pc.invert(blank))
+    names, n = _joined(described["keys"], "V16"), _of_planes(described["counts"]).astype(np.int64)
+    short = _short(names)
+    by = np.argsort(short)
+    place = by[np.searchsorted(short, _joined(rows["keys"], np.uint64), sorter=by)]
+    owner = np.repeat(place, _of_planes(rows["counts"]))
+    tokens, sets = _wide(rows["tokens"]), _of_planes(rows["sets"])
     order = np.lexsort((tokens, owner))
     tokens, sets = tokens[order], sets[order]
     cuts = np.searchsorted(owner[order], np.arange(len(names) + 1))
-    ends = list(zip(cuts[:-1], cuts[1:]))
+    some = np.flatnonzero(np.diff(cuts) >= least_overlap(n))
+    ends = [(cuts[i], cuts[i + 1]) for i in some]
     return pa.table({
-        "set_key": pa.array([k.tobytes() for k in names], pa.binary()),
+        "set_key": pa.array([names[i].tobytes() for i in some], pa.binary()),
         "core": pa.array([_key(tokens[a:b]) for a, b in ends], pa.binary()),
-        "n_shared": pa.array(np.diff(cuts), pa.int64()),
+        "n": pa.array(n[some], pa.int64()),
+        "n_shared": pa.array(np.diff(cuts)[some], pa.int64()),
         "tokens": pa.array([tokens[a:b].tobytes() for a, b in ends], pa.binary()),
         "sets": pa.array([sets[a:b].tobytes() for a, b in ends], pa.binary()),
     })
@@ -192,10 +239,7 @@ def candidates(docs: DataFrame, sets: DataFrame) -> DataFrame:
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     blocks = max(1, -(-int(total) // BLOCK_TOKENS))
     shared = _dealt(docs, blocks).groupBy("block").applyInArrow(_shared_of_block, "grp long, keys binary, counts binary, tokens binary, sets binary")
-    per = shared.groupBy("grp").applyInArrow(_by_set, "set_key binary, core binary, n_shared long, tokens binary, sets binary")
-    sizes = sets.where(F.col("set_key").isNotNull()).groupBy("set_key").agg(F.max("n_shingles").alias("n"))
-    least = F.floor((PERCENT * F.col("n") + 99) / 100)
-    return per.join(sizes, "set_key").where(F.col("n_shared") >= least).select("set_key", "core", "n", "n_shared", "tokens", "sets")
+    return shared.groupBy("grp").applyInArrow(_by_set, "set_key binary, core binary, n long, n_shared long, tokens binary, sets binary")
 
 
 def _prefix(tokens: np.ndarray, sets: np.ndarray, n: int, order: int) -> np.ndarray:
