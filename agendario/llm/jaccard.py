@@ -178,13 +178,13 @@ def _shared_of_block(rows: pa.Table) -> pa.Table:
     """
     if rows["block"][0].as_py() < 0:
         return rows.select(["grp", "keys", "counts", "tokens"]).append_column("sets", rows["tokens"])
-    rows = rows.sort_by("grp")
     keys, counts, tokens = _joined(rows["keys"], np.uint64), _of_planes(rows["counts"]), _wide(rows["tokens"])
     group = np.repeat(np.arange(rows.num_rows), [len(x.as_buffer()) // 8 for x in rows["keys"]])
     sums = np.add.reduceat(tokens, np.cumsum(counts, dtype=np.int64) - counts)
-    _, first = np.unique(np.column_stack([keys, sums]).view("V16").ravel(), return_index=True)
-    keep = np.zeros(len(keys), bool)
-    keep[first] = True
+    order = np.lexsort((rows["grp"].to_numpy()[group], sums, keys))
+    again = np.r_[False, (keys[order[1:]] == keys[order[:-1]]) & (sums[order[1:]] == sums[order[:-1]])]
+    keep = np.ones(len(keys), bool)
+    keep[order[again]] = False
     entry = np.repeat(np.arange(len(keys), dtype=np.int32), counts)
     if not keep.all():
         mask = keep[entry]

@@ -12,8 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text hashed in one vectorised step.
-MAX_BYTES = 1 << 21
+#: Bytes of text hashed in one vectorised step; the step takes many times as much memory.
+MAX_BYTES = 1 << 19
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
