@@ -258,23 +258,28 @@ def _set_of(tokens: bytes, sets: bytes) -> tuple[np.ndarray, np.ndarray]:
 def _first_prefixes(alive: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, tokens = [], []
+            nodes, tokens = [], []
             for row in batch.to_pylist():
                 t, s = _set_of(row["tokens"], row["sets"])
-                keys.append(row["set_key"])
+                nodes.append(row["node"])
                 tokens.append(t[_prefix(t, s, row["n"], 0)].view(np.int64))
             lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, tokens)]).astype(np.int32), np.concatenate(tokens)) if tokens else pa.array([], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), lists], ["set_key", "prefix"])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), lists], ["node", "prefix"])
 
-    return alive.mapInArrow(run, "set_key binary, prefix array<long>").select("set_key", F.explode("prefix").alias("token"))
+    rows = alive.select(F.xxhash64("set_key").alias("node"), "n", "tokens", "sets")
+    return rows.mapInArrow(run, "node long, prefix array<long>").select("node", F.explode("prefix").alias("token"))
 
 
 def pools(alive: DataFrame) -> DataFrame:
-    """(node, root): sets that share a prefix token of the first order, transitively."""
+    """(set_key, pool): sets that share a prefix token of the first order, transitively.
+
+    Sets go by a 64-bit hash of their key here; two of one hash come into one pool, where all sets are compared anyway.
+    """
     rows = _first_prefixes(alive)
     most = alive.agg(F.sum(F.col("n") / 5 + 1).cast("long")).first()[0] or 0
-    heads = rows.groupBy("token").agg(F.min("set_key").alias("head"), F.count("*").alias("k")).where(F.col("k") > 1)
-    return components(met(rows, heads, "token", most).select(F.col("set_key").alias("a"), F.col("head").alias("b")))
+    heads = rows.groupBy("token").agg(F.min("node").alias("head"), F.count("*").alias("k")).where(F.col("k") > 1)
+    roots = components(met(rows, heads, "token", most).select(F.col("node").alias("a"), F.col("head").alias("b")))
+    return alive.select("set_key", F.xxhash64("set_key").alias("node")).join(roots, "node").select("set_key", F.col("root").alias("pool"))
 
 
 class _Members:
@@ -371,8 +376,7 @@ def linked_sets(alive: DataFrame) -> DataFrame:
 
 def linked_classes(alive: DataFrame) -> DataFrame:
     """(set_key, label) of sets that no other has both shared shingles and size of."""
-    pool = pools(alive).select(F.col("node").alias("set_key"), F.col("root").alias("pool"))
-    pool = stored(pool, "pools")
+    pool = stored(pools(alive), "pools")
     sizes = pool.groupBy("pool").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     placed = pool.join(sizes, "pool").withColumn("chunk", F.pmod(F.xxhash64("set_key"), F.col("chunks")).cast("int"))
     rows = alive.join(placed, "set_key")
