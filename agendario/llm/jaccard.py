@@ -47,7 +47,7 @@ from .wordhash import mix, shingle_sets
 SHINGLE = 5
 PERCENT = 80
 ORDERS = 3
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 1_500_000
 GROUP_ROWS = 2500
 CHUNK = 1024
 PIVOTS = 16
@@ -185,6 +185,7 @@ def _shared_of_block(rows: pa.Table) -> pa.Table:
     again = np.r_[False, (keys[order[1:]] == keys[order[:-1]]) & (sums[order[1:]] == sums[order[:-1]])]
     keep = np.ones(len(keys), bool)
     keep[order[again]] = False
+    del order, again, sums
     entry = np.repeat(np.arange(len(keys), dtype=np.int32), counts)
     if not keep.all():
         mask = keep[entry]
@@ -196,6 +197,7 @@ def _shared_of_block(rows: pa.Table) -> pa.Table:
     runs = np.diff(np.r_[cuts, len(tokens)])
     many = np.repeat(runs > 1, runs)
     tokens, entry, sets = tokens[many], entry[many], np.repeat(runs[runs > 1], runs[runs > 1]).astype(np.uint32)
+    del cuts, runs, many
     order = np.argsort(entry, kind="stable")
     tokens, entry, sets = tokens[order], entry[order], sets[order]
     names, out = rows["grp"].to_pylist(), [[], [], [], [], []]
