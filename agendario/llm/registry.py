@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, html_blocks, jaccard, lm_score, packing, pu_quality, quality_rules, urlfilter
+from . import bpe, chat, decontaminate, html_blocks, jaccard, lm_score, packing, periodic, pu_quality, quality_rules, urlfilter
 
 QUERIES = {
     "op1_html_extraction": html_blocks.op1_html_extraction,
     "op10_lm_scoring": lm_score.op10_lm_scoring,
+    "op12_periodic_runs": periodic.op12_periodic_runs,
     "op2_url_filter": urlfilter.op2_url_filter,
     "op3_token_id_output": packing.op3_token_id_output,
     "op4_byte_bpe": bpe.op4_byte_bpe,
