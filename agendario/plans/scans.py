@@ -63,7 +63,7 @@ _FILE = "'User-agent: *' || chr(10) || 'Disallow: /a' || (o_custkey % 3) || chr(
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 2.5 ELSE 5.0 END AS delay FROM orders""")
 def crawl_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(_FILE.replace("chr(10)", "'\\n'")).alias("text"))
-    return readers.crawl_delay(files, "o_orderkey", "text", "own")
+    return readers.crawl_delay(files, "o_orderkey", "text", "own", fallback=True)
 
 
 @query("""SELECT o_orderkey, '/a1/' || CASE WHEN o_orderkey % 4 = 0 THEN 'b' ELSE 'c' END AS path, o_custkey % 3 <> 1 OR o_orderkey % 4 = 0 AS allow FROM orders""")
@@ -74,11 +74,40 @@ def crawl_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.may_fetch(urls, rules, "o_orderkey", "path")
 
 
+_GROUPS = "concat_ws('\\n', 'User-agent: a' || o_custkey % 3, 'Crawl-delay: ' || o_orderkey % 4, 'User-agent: b', 'User-Agent: a1bot # both', 'Sitemap: x', 'Disallow: /p' || o_custkey % 2, 'Allow:', 'Crawl-delay: 7', 'user-agent: *', 'Disallow: /')"
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_custkey % 3 = 1 AND o_orderkey % 4 > 0 THEN (o_orderkey % 4)::DOUBLE ELSE 7.0 END AS delay,
+'/p' || o_orderkey % 2 || '/x$y' AS path, o_custkey % 2 <> o_orderkey % 2 AS allow FROM orders""")
+def crawl_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delays open and end groups; an agent has the groups whose names are part of its own, and ``*`` only without such."""
+    files = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(_GROUPS).alias("text"))
+    urls = table(spark, sf_dir, "orders").select("o_orderkey", F.expr("'/p' || o_orderkey % 2 || '/x$y'").alias("path"))
+    allowed = readers.may_fetch(urls, readers.rules_for(files, "o_orderkey", "text", "A1Bot/2.0 (+http://x)"), "o_orderkey", "path")
+    return readers.crawl_delay(files, "o_orderkey", "text", "A1Bot/2.0").join(allowed, "o_orderkey").select("o_orderkey", "delay", "path", "allow")
+
+
+@query("""SELECT event_id, event_type AS name, CAST(ts AS DATE) AS day, nullif(strftime(ts, '%H:%M'), '00:00') AS hour, user_id % 40 || ' EUR' AS price, 'Town ' || user_id % 7 AS town, CASE WHEN event_id % 2 = 0 THEN 'g' || user_id ELSE '' END AS guests, CAST(1 + event_id % 9 AS INT) AS depth
+FROM events WHERE user_id % 40 > 0 UNION ALL SELECT event_id, event_type, CAST(ts AS DATE), nullif(strftime(ts, '%H:%M'), '00:00'), NULL, 'Town ' || user_id % 7, CASE WHEN event_id % 2 = 0 THEN 'g' || user_id ELSE '' END, CAST(1 + event_id % 9 AS INT) FROM events WHERE user_id % 40 = 0""", days=("day",))
+def nested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events 1 to 9 levels deep below members of any name, with lists of types, offers and addresses."""
+    from ..sources import jsonwalk
+
+    stamp = F.concat("day", F.lit("T"), "hour")
+    people = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit(',"performer":[{"name":"'), "event_type", F.lit('"},{"name":"g'), "user", F.lit('"}]'))).otherwise("")
+    event = F.concat(F.lit('{"@type":["Thing","DanceEvent"],"name":"'), "event_type", F.lit('","startDate":"'), stamp, F.lit('","offers":[{"price":'), (F.col("user").cast("long") % 40).cast("string"), F.lit(',"priceCurrency":"EUR"}],"location":[{"address":[{"addressLocality":"Town '), (F.col("user").cast("long") % 7).cast("string"), F.lit('"}]}]'), people, F.lit("}"))
+    depth = (F.col("event_id") % 9).cast("int")
+    raw = F.concat(F.repeat(F.lit('{"n":1,"any":['), depth), F.lit('{"k":'), event, F.lit("}"), F.repeat(F.lit("]}"), depth))
+    files = _events(spark, sf_dir).select("event_id", F.try_parse_json(raw).alias("v"))
+    found = jsonwalk.event_fields(jsonwalk.walk(files, ["event_id"], "v", jsonwalk.typed("Event")), ["event_id"])
+    return found.select("event_id", "name", "day", "hour", "price", "town", F.array_join("guests", "").alias("guests"), (F.size(F.split("path", r"\.any\[0\]"))).cast("int").alias("depth"))
+
+
 @query("""SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN CAST(least(o_orderkey % 1000, 600) AS BIGINT) WHEN 1 THEN 90 END AS wait FROM orders""")
 def retry_waits(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     header = F.when(k % 3 == 0, (k % 1000).cast("string")).when(k % 3 == 1, "Fri, 01 May 2026 10:01:30 GMT")
-    return table(spark, sf_dir, "orders").select("o_orderkey", readers.retry_after(header, F.lit("2026-05-01 10:00:00").cast("timestamp")).alias("wait"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", readers.retry_after(header, F.lit("2026-05-01 10:00:00").cast("timestamp"), least=0.0, most=600.0).cast("long").alias("wait"))
 
 
 @query("""SELECT page_id, contains(lower(html), 'track(1') AND length(html) <= 20000 AS challenge FROM pages""")

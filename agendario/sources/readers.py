@@ -2,27 +2,25 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-EVENT = "struct<`@type`:string,name:string,startDate:string,url:string,eventStatus:string,location:struct<name:string,address:string>,offers:struct<price:string,url:string>>"
+from . import jsonwalk
 
 
 def json_ld(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """Schema.org events in the ``ld+json`` scripts of pages: one row per event, day and hour apart (00:00: no hour)."""
-    scripts = F.regexp_extract_all(html, F.lit(r'(?s)<script[^>]*application/ld\+json[^>]*>(.*?)</script>'), 1)
-    one = pages.select(key, F.explode(scripts).alias("raw"))
-    lists = F.when(F.ltrim("raw").startswith("["), F.col("raw")).otherwise(F.concat(F.lit("["), "raw", F.lit("]")))
-    events = one.select(key, F.explode(F.from_json(lists, f"array<{EVENT}>")).alias("e")).where(F.col("e.@type").rlike("Event$"))
-    hour = F.nullif(F.regexp_extract("e.startDate", r"T(\d{2}:\d{2})", 1), F.lit(""))
-    return events.select(
-        key,
-        F.col("e.name").alias("name"),
-        F.try_to_timestamp(F.left("e.startDate", F.lit(10)), F.lit("yyyy-MM-dd")).cast("date").alias("day"),
-        F.nullif(hour, F.lit("00:00")).alias("hour"),
-        F.col("e.location.name").alias("venue"),
-        F.col("e.offers.price").alias("price"),
-    )
+    """Schema.org events in the ``ld+json`` scripts of pages, at any depth: one row per event, day and hour apart (00:00: no hour)."""
+    return ld_events(pages, key, html).select(key, "name", "day", "hour", "venue", "price")
+
+
+def ld_events(pages: DataFrame, key: str, html: str, url: str | None = None) -> DataFrame:
+    """``json_ld`` with every field (``jsonwalk.event_fields``); ``url`` names the column of the page's address."""
+    scripts = F.regexp_extract_all(html, F.lit(r'(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>'), 1)
+    keys = [key, url] if url else [key]
+    files = pages.select(*keys, F.explode(scripts).alias("raw")).select(*keys, jsonwalk.parsed(F.col("raw")).alias("v"))
+    return jsonwalk.event_fields(jsonwalk.walk(files, keys, "v", jsonwalk.typed("Event")), [key], F.col(url) if url else None)
 
 
 def title_and_links(html: Column) -> tuple[Column, Column]:
@@ -43,46 +41,89 @@ def sheet(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema, mode="PERMISSIVE")
 
 
+def _crawl_groups(files: DataFrame, key: str, text: str) -> DataFrame:
+    """Each file's groups: key, part, agents, rules (allow, path) and delay (the last that is a number).
+
+    A group is one or more agents in a row and all rules and delays up to the next agent; lines of other kinds are skipped.
+    One fold over the file's lines, so that nothing is shuffled.
+    """
+    line = F.transform(F.split(F.coalesce(text, F.lit("")), r"\r\n|\r|\n"), lambda x: F.trim(F.substring_index(x, "#", 1)))
+    fields = F.transform(F.filter(line, lambda x: F.contains(x, F.lit(":"))), lambda x: F.struct(F.lower(F.trim(F.substring_index(x, ":", 1))).alias("field"), F.trim(F.regexp_replace(x, "^[^:]*:", "")).alias("value")))
+    known = F.filter(fields, lambda f: f["field"].isin("user-agent", "allow", "disallow", "crawl-delay"))
+    opens = F.transform("known", lambda f, i: (f["field"] == "user-agent") & ((i == 0) | (F.get(F.col("known"), i - 1)["field"] != "user-agent")))
+    starts = F.filter(F.transform(opens, lambda o, i: F.when(o, i)), lambda i: i.isNotNull())
+    cut = F.transform("starts", lambda s, n: F.slice(F.col("known"), s + 1, F.coalesce(F.get(F.col("starts"), n + 1), F.size("known")) - s))
+    cuts = files.select(key, known.alias("known")).select(key, "known", starts.alias("starts")).select(key, F.posexplode(cut).alias("part", "lines"))
+
+    def values(*names: str) -> Column:
+        return F.filter("lines", lambda f: f["field"].isin(*names))
+
+    delays = F.filter(F.transform(values("crawl-delay"), lambda f: f["value"].try_cast("double")), lambda d: d.isNotNull())
+    # An empty "disallow" forbids nothing, an empty "allow" allows everything.
+    rules = F.filter(values("allow", "disallow"), lambda f: (f["value"] != "") | (f["field"] == "allow"))
+    return cuts.select(key, "part", F.transform(values("user-agent"), lambda f: F.lower(f["value"])).alias("agents"), F.transform(rules, lambda f: F.struct((f["field"] == "allow").alias("allow"), f["value"].alias("path"))).alias("rules"), F.element_at(F.when(F.size(delays) > 0, delays), -1).alias("delay"))
+
+
 def crawl_rules(files: DataFrame, key: str, text: str) -> DataFrame:
     """robots.txt as rows: key, agent, allow, path. Agents in a row share the rules that follow them."""
-    lines = files.select(key, F.posexplode(F.split(text, r"\r?\n")).alias("pos", "line"))
-    fields = lines.select(key, "pos", F.lower(F.trim(F.substring_index("line", ":", 1))).alias("field"), F.trim(F.regexp_replace(F.regexp_replace("line", "^[^:]*:", ""), "#.*$", "")).alias("value"))
-    known = fields.where(F.col("field").isin("user-agent", "allow", "disallow"))
-    order = Window.partitionBy(key).orderBy("pos")
-    opens = (F.col("field") == "user-agent") & (F.coalesce(F.lag("field").over(order), F.lit("")) != "user-agent")
-    grouped = known.withColumn("opens", opens.cast("int")).withColumn("part", F.sum("opens").over(order))
-    agents = grouped.where("field = 'user-agent'").select(key, "part", F.lower("value").alias("agent"))
-    rules = grouped.where("field <> 'user-agent' AND value <> ''").select(key, "part", (F.col("field") == "allow").alias("allow"), F.col("value").alias("path"))
-    return agents.join(rules, [key, "part"]).drop("part")
+    return _crawl_groups(files, key, text).select(key, F.explode("agents").alias("agent"), "rules").select(key, "agent", F.explode("rules").alias("r")).select(key, "agent", "r.allow", "r.path")
+
+
+def groups_for(files: DataFrame, key: str, text: str, agent: str) -> DataFrame:
+    """The groups that hold for an agent: those whose agents' names are part of its own, else those for ``*``."""
+    token = re.split("[/ ]", agent.lower())[0]
+    named = F.exists("agents", lambda a: (a != "*") & F.contains(F.lit(token), a))
+    every = _crawl_groups(files, key, text).withColumn("rank", F.when(named, 2).when(F.array_contains("agents", "*"), 1).otherwise(0))
+    best = F.max("rank").over(Window.partitionBy(key))
+    return every.withColumn("best", best).where("rank = best AND rank > 0").drop("rank", "best")
+
+
+def rules_for(files: DataFrame, key: str, text: str, agent: str) -> DataFrame:
+    """(key, allow, path): the rules of all groups that hold for an agent."""
+    return groups_for(files, key, text, agent).select(key, F.explode("rules").alias("r")).select(key, "r.allow", "r.path")
 
 
 def may_fetch(urls: DataFrame, rules: DataFrame, key: str, path: str) -> DataFrame:
-    """Whether each path may be read: the longest matching rule decides, allow on a tie, yes without one."""
-    pattern = F.concat(F.lit("^"), F.regexp_replace(F.regexp_replace("path", r"([.+?()\[\]{}|\\^])", r"\\$1"), r"\*", ".*"))
+    """Whether each path may be read: the longest matching rule decides, allow on a tie, yes without one.
+
+    ``*`` in a rule stands for any characters and ``$`` at its end for the path's end; escapes are decoded on both sides.
+    """
+    plain = F.coalesce(F.try_url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), F.col("path"))
+    quoted = F.regexp_replace(F.regexp_replace(plain, r"([.+?()\[\]{}|\\^$])", r"\\$1"), r"\*", ".*")
+    pattern = F.concat(F.lit("(?s)^"), F.regexp_replace(quoted, r"\\\$$", r"\$"))
     known = rules.select(F.col(key).alias("of"), "allow", pattern.alias("pattern"), F.length("path").alias("size"))
-    hits = urls.join(known, (F.col(key) == F.col("of")) & F.expr(f"`{path}` rlike pattern"))
+    said = F.coalesce(F.try_url_decode(F.replace(F.substring_index(path, "?", 1), F.lit("+"), F.lit("%2B"))), F.col(path))
+    asked = urls.select(key, path).distinct().withColumn("read_", F.when(F.contains(path, F.lit("?")), F.concat(said, F.regexp_extract(path, r"(?s)\?.*$", 0))).otherwise(said))
+    hits = asked.join(known, (F.col(key) == F.col("of")) & F.expr("read_ rlike pattern"))
     best = hits.groupBy(key, path).agg(F.max_by("allow", F.struct("size", "allow")).alias("allow"))
-    return urls.select(key, path).distinct().join(best, [key, path], "left").withColumn("allow", F.coalesce("allow", F.lit(True)))
+    return asked.select(key, path).join(best, [key, path], "left").withColumn("allow", F.coalesce("allow", F.lit(True)))
+
 
+def crawl_delay(files: DataFrame, key: str, text: str, agent: str, fallback: bool = False) -> DataFrame:
+    """(key, delay): the seconds that a robots file asks of an agent: the first delay but 0 of the groups that hold for it; null if none.
 
-def crawl_delay(files: DataFrame, key: str, text: str, agent: str) -> DataFrame:
-    """(key, delay): the seconds that a robots file asks of an agent, else of ``*``; null if none."""
-    lines = files.select(key, F.posexplode(F.split(text, r"\r?\n")).alias("pos", "line"))
-    fields = lines.select(key, "pos", F.lower(F.trim(F.substring_index("line", ":", 1))).alias("field"), F.lower(F.trim(F.regexp_replace(F.regexp_replace("line", "^[^:]*:", ""), "#.*$", ""))).alias("value"))
-    order = Window.partitionBy(key).orderBy("pos")
-    known = fields.where(F.col("field").isin("user-agent", "allow", "disallow", "crawl-delay"))
-    opens = (F.col("field") == "user-agent") & (F.coalesce(F.lag("field").over(order), F.lit("")) != "user-agent")
-    parts = known.withColumn("opens", opens.cast("int")).withColumn("part", F.sum("opens").over(order))
-    named = parts.where("field = 'user-agent'").select(key, "part", F.when(F.col("value") == agent.lower(), 2).when(F.col("value") == "*", 1).alias("rank")).where("rank IS NOT NULL")
-    asked = parts.where("field = 'crawl-delay'").select(key, "part", F.col("value").try_cast("double").alias("delay"))
-    return files.select(key).join(named.join(asked, [key, "part"]).groupBy(key).agg(F.max_by("delay", "rank").alias("delay")), key, "left")
+    With ``fallback``, an agent whose own groups ask for none waits as long as ``*`` has to.
+    """
+    asked = groups_for(files, key, text, agent).where("delay <> 0").groupBy(key).agg(F.min_by("delay", "part").alias("delay"))
+    out = files.select(key).join(asked, key, "left")
+    if fallback:
+        every = groups_for(files, key, text, "*").where("delay <> 0").groupBy(key).agg(F.min_by("delay", "part").alias("any_"))
+        out = out.join(every, key, "left").select(key, F.coalesce("delay", "any_").alias("delay"))
+    return out
 
 
-def retry_after(header: Column, now: Column, most: int = 600) -> Column:
-    """Seconds to wait by a Retry-After header (seconds, or an HTTP date), between 0 and ``most``; null without one."""
-    stamp = F.try_to_timestamp(F.regexp_extract(header, r"(\d{2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2})", 1), F.lit("dd MMM yyyy HH:mm:ss"))
-    seconds = F.coalesce(F.trim(header).try_cast("long"), F.unix_timestamp(stamp) - F.unix_timestamp(now))
-    return F.when(seconds.isNotNull(), F.greatest(F.lit(0), F.least(seconds, F.lit(most))))
+def retry_after(header: Column, now: Column | None = None, default: Column | None = None, least: float = 1.0, most: float = 120.0) -> Column:
+    """Seconds to wait by a Retry-After header, between ``least`` and ``most``; the default (null) for anything else.
+
+    A header is a number of seconds; with ``now`` it may also be an HTTP date.
+    """
+    said = F.trim(header).try_cast("double")
+    said = F.when(~F.isnan(said), said)
+    if now is not None:
+        stamp = F.try_to_timestamp(F.regexp_extract(header, r"(\d{2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2})", 1), F.lit("dd MMM yyyy HH:mm:ss"))
+        said = F.coalesce(said, (F.unix_timestamp(stamp) - F.unix_timestamp(now)).cast("double"))
+    fallback = default.cast("double") if default is not None else F.lit(None).cast("double")
+    return F.when(said.isNull(), fallback).otherwise(F.greatest(F.lit(least), F.least(said, F.lit(most))))
 
 
 def is_challenge(html: Column, marks: tuple[str, ...], most: int = 20_000) -> Column:
@@ -90,75 +131,80 @@ def is_challenge(html: Column, marks: tuple[str, ...], most: int = 20_000) -> Co
     return (F.length(html) <= most) & F.exists(F.array(*map(F.lit, marks)), lambda m: F.contains(F.lower(html), m))
 
 
-def microdata(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """Schema.org events in ``itemprop`` attributes: one row per ``itemscope`` of an Event type.
-
-    A scope's part of the page runs to the next Event scope; ``content`` or ``datetime`` goes before the element's text.
-    """
+def _micro(html: Column) -> Column:
+    """The events in a page's ``itemprop`` attributes, in order: (name, day, hour, price)."""
     parts = F.filter(F.split(html, r"(?i)itemtype=\"https?://schema.org/"), lambda p: p.rlike(r"^[A-Za-z]*Event\""))
-    one = pages.select(key, F.posexplode(parts).alias("pos", "part"))
 
-    def prop(name: str) -> Column:
-        said = F.regexp_extract("part", rf'(?is)itemprop="{name}"[^>]*?(?:content|datetime)="([^"]*)"', 1)
-        text = F.trim(F.regexp_extract("part", rf'(?is)itemprop="{name}"[^>]*>([^<]*)<', 1))
+    def prop(part: Column, name: str) -> Column:
+        said = F.regexp_extract(part, rf'(?is)itemprop="{name}"[^>]*?(?:content|datetime)="([^"]*)"', 1)
+        text = F.trim(F.regexp_extract(part, rf'(?is)itemprop="{name}"[^>]*>([^<]*)<', 1))
         return F.nullif(F.when(said != "", said).otherwise(text), F.lit(""))
 
-    start = prop("startDate")
-    return one.select(key, "pos", prop("name").alias("name"), F.try_to_timestamp(F.left(start, F.lit(10)), F.lit("yyyy-MM-dd")).cast("date").alias("day"), F.nullif(F.regexp_extract(start, r"T(\d{2}:\d{2})", 1), F.lit("")).alias("hour"), prop("price").alias("price"))
-
+    def event(p: Column) -> Column:
+        start = prop(p, "startDate")
+        hour = F.nullif(F.regexp_extract(start, r"T(\d{2}:\d{2})", 1), F.lit(""))
+        return F.struct(prop(p, "name").alias("name"), jsonwalk.date_of(start).alias("day"), hour.alias("hour"), prop(p, "price").alias("price"))
 
-def calendar_json(files: DataFrame, key: str, raw: str) -> DataFrame:
-    """The rows of a calendar feed: an array of objects with title, start and url."""
-    kind = "array<struct<title:string,start:string,url:string>>"
-    rows = files.select(key, F.posexplode(F.from_json(raw, kind)).alias("pos", "e"))
-    return rows.select(key, "pos", F.col("e.title").alias("name"), F.try_to_timestamp(F.left("e.start", F.lit(10)), F.lit("yyyy-MM-dd")).cast("date").alias("day"), F.nullif(F.regexp_extract("e.start", r"T(\d{2}:\d{2})", 1), F.lit("")).alias("hour"), F.col("e.url").alias("url"))
+    return F.transform(parts, event)
 
 
-def graph_events(files: DataFrame, key: str, raw: str, depth: int = 4) -> DataFrame:
-    """Objects whose ``@type`` ends in Event, at any of ``depth`` levels below ``@graph``, ``itemListElement``, ``item`` or ``subEvent``.
+def microdata(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """Schema.org events in ``itemprop`` attributes: one row per ``itemscope`` of an Event type.
 
-    Each level is one VARIANT step: what is not an event hands its children to the next one.
+    A scope's part of the page runs to the next Event scope; ``content`` or ``datetime`` goes before the element's text.
     """
-    top = files.select(key, F.try_parse_json(raw).alias("v"))
+    return pages.select(key, F.posexplode(_micro(F.col(html))).alias("pos", "e")).select(key, "pos", "e.name", "e.day", "e.hour", "e.price")
 
-    def spread(df: DataFrame) -> DataFrame:
-        return df.select(key, F.when(F.schema_of_variant("v").startswith("ARRAY"), F.try_variant_get("v", "$", "array<variant>")).otherwise(F.array("v")).alias("vs")).select(key, F.explode("vs").alias("v")).where(F.col("v").isNotNull())
 
-    level, found = spread(top), None
-    for _ in range(depth):
-        events = level.where(F.try_variant_get("v", "$['@type']", "string").rlike("Event$"))
-        found = events if found is None else found.unionByName(events)
-        inner = [F.try_variant_get("v", f"$['{f}']", "variant") for f in ("@graph", "itemListElement", "item", "subEvent")]
-        level = spread(level.select(key, F.explode(F.array(*inner)).alias("v")).where(F.col("v").isNotNull()))
+def calendar_json(files: DataFrame, key: str, raw: str) -> DataFrame:
+    """The events of a calendar's settings: every object with a title and a start, at any depth, in JSON inside texts too."""
+    values = files.select(key, jsonwalk.parsed(F.col(raw)).alias("v"))
+    found = jsonwalk.walk(values, [key], "v", jsonwalk.having("title", "start"), in_texts=True)
+    v, start = F.col("v"), jsonwalk.text_of(jsonwalk.part(F.col("v"), "$.start"))
+    pos = F.row_number().over(Window.partitionBy(key).orderBy("place", "path")) - 1
+    return found.select(key, pos.alias("pos"), jsonwalk.text_of(jsonwalk.part(v, "$.title")).alias("name"), jsonwalk.date_of(start).alias("day"), F.nullif(F.regexp_extract(start, r"T(\d{2}:\d{2})", 1), F.lit("")).alias("hour"), jsonwalk.text_of(jsonwalk.part(v, "$.url")).alias("url"))
 
-    def text(path: str) -> Column:
-        return F.try_variant_get("v", path, "string")
 
-    return found.select(key, text("$.name").alias("name"), F.try_to_timestamp(F.left(text("$.startDate"), F.lit(10)), F.lit("yyyy-MM-dd")).cast("date").alias("day"), text("$.location.name").alias("venue"), text("$.offers.price").alias("price"))
+def graph_events(files: DataFrame, key: str, raw: str) -> DataFrame:
+    """Objects of a JSON file whose ``@type`` is or has a name that ends in Event, at any depth and below any member."""
+    values = files.select(key, jsonwalk.parsed(F.col(raw)).alias("v"))
+    return jsonwalk.event_fields(jsonwalk.walk(values, [key], "v", jsonwalk.typed("Event")), [key]).select(key, "name", "day", "venue", "price")
 
 
 def first_that_reads(pages: DataFrame, key: str, html: str) -> DataFrame:
     """The events of the first scan that finds some on a page: JSON-LD, else microdata, else dated lines.
 
-    Columns: key, how, name, day, hour.
+    Columns: key, how, name, day, hour. Only pages without JSON-LD events go through the other scans, which
+    are arrays of one row; the first that isn't empty is opened.
     """
     ld = json_ld(pages, key, html).select(key, F.lit("json_ld").alias("how"), "name", "day", "hour")
-    micro = microdata(pages, key, html).select(key, F.lit("microdata").alias("how"), "name", "day", "hour")
-    lines = dated_lines(pages.select(key, F.regexp_replace(html, "<[^>]*>", "\n").alias("text")), key, "text").select(key, F.lit("lines").alias("how"), "name", "day", F.lit(None).cast("string").alias("hour"))
-    every = ld.unionByName(micro).unionByName(lines)
-    rank = F.array_position(F.array(F.lit("json_ld"), F.lit("microdata"), F.lit("lines")), F.col("how"))
-    return every.withColumn("best_", F.min(rank).over(Window.partitionBy(key))).where(rank == F.col("best_")).drop("best_")
+    rest = pages.select(key, html).join(ld.select(key).distinct(), key, "left_anti")
+    micro = F.transform(_micro(F.col(html)), lambda e: F.struct(F.lit("microdata").alias("how"), e["name"].alias("name"), e["day"].alias("day"), e["hour"].alias("hour")))
+    lines = F.transform(_dated(F.regexp_replace(html, "<[^>]*>", "\n")), lambda e: F.struct(F.lit("lines").alias("how"), e["name"].alias("name"), e["day"].alias("day"), F.lit(None).cast("string").alias("hour")))
+    opened = rest.select(key, F.explode(F.when(F.size(micro) > 0, micro).otherwise(lines)).alias("e")).select(key, "e.how", "e.name", "e.day", "e.hour")
+    return ld.unionByName(opened)
+
+
+def _dated(text: Column) -> Column:
+    """(pos, name, day) of each line that is an ISO or ``d/m/y`` date and is followed by a line with letters; empty lines don't count."""
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("pos"), x.alias("line"))), lambda x: F.trim(x["line"]) != "")
+
+    def day(line: Column) -> Column:
+        iso = F.regexp_extract(line, r"^\s*(\d{4}-\d{2}-\d{2})\s*$", 1)
+        d, m, y = (F.regexp_extract(line, r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s*$", i) for i in (1, 2, 3))
+        said = F.when(iso != "", iso).when(d != "", F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")))
+        return F.try_to_timestamp(said, F.lit("yyyy-MM-dd")).cast("date")
+
+    def found(all_lines: Column) -> Column:
+        marked = F.transform(all_lines, lambda x, i: F.struct(x["pos"].alias("pos"), F.trim(F.get(all_lines, i + 1)["line"]).alias("name"), day(x["line"]).alias("day")))
+        return F.filter(marked, lambda x: x["day"].isNotNull() & F.coalesce(x["name"].rlike("[A-Za-z]"), F.lit(False)))
+
+    return F.get(F.transform(F.array(lines), found), F.lit(0))
 
 
 def dated_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, pos, name, day): the next line with letters after each line that is an ISO or ``d/m/y`` date."""
-    lines = docs.select(key, F.posexplode(F.split(text, "\n")).alias("pos", "line")).where(F.trim("line") != "")
-    iso = F.regexp_extract("line", r"^\s*(\d{4}-\d{2}-\d{2})\s*$", 1)
-    d, m, y = (F.regexp_extract("line", r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s*$", i) for i in (1, 2, 3))
-    said = F.when(iso != "", iso).when(d != "", F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")))
-    w = Window.partitionBy(key).orderBy("pos")
-    marked = lines.withColumns({"day": F.try_to_timestamp(said, F.lit("yyyy-MM-dd")).cast("date"), "name": F.trim(F.lead("line").over(w))})
-    return marked.where(F.col("day").isNotNull() & F.col("name").rlike("[A-Za-z]")).select(key, "pos", "name", "day")
+    return docs.select(key, F.explode(_dated(F.col(text))).alias("e")).select(key, "e.pos", "e.name", "e.day")
 
 
 def outbound(pages: DataFrame, key: str, url: str, html: str, buy: str) -> DataFrame:
