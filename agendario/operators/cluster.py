@@ -1,53 +1,51 @@
-"""Entity resolution within a day: announcements of one event become one cluster.
+"""Entity resolution within a day: announcements of one event become one cluster, by first fit.
 
-First-fit by (priority, unknown venue, position): each announcement joins the first cluster of its day that holds one
-it belongs with (``matching.joins``), else opens one. That is order-dependent by definition. A day is first split, on
-Spark, into groups that cannot touch: two announcements can only belong together if they share a *trace* (``traces``),
-so those that share traces are tied by an equi-join with the trace's first row, and the connected components of these
-ties are the groups. Only inside a group the order counts, and only there Python runs.
+Announcements are taken by (priority, unknown venue, row_id); each joins the first cluster of its day that takes it, else it opens
+one. A cluster takes an announcement if, in this order,
 
-A trace is a key that every rule of ``joins`` needs at least one of: three-letter pieces of each name (a name of a
-ratio of 90 shares some), initials, telling words. Groups are thus a superset of what belongs together, and the result is
-that of first-fit over the whole day.
+* one of its venues is the announcement's, or either has none,
+* the announcement isn't another showing of what its own source has in the cluster at another hour (shows with sessions),
+* its source isn't an institution that has another page in the cluster (each page is an act of its own),
+* its headliner is one of the cluster's names, or the opener's headliner is one of its names, or both are one festival, or (both
+  venues known) some announcement of the cluster is the same act under another name at an hour that isn't far.
+
+A support act that two events share joins nothing: a headliner must be met.
+
+*On Spark.* ``matching`` finds by joins which names, venues and acts are alike; each announcement carries what it may meet as arrays.
+Announcements can only meet through the same name, festival or act at the same class of venues, so the connected components
+over these nodes (rounds of partial aggregations) are groups that never touch; where nobody's venue is unknown, a
+name at two venues is two nodes. First fit is then a fold over each group's array in the JVM. Announcements that are equal
+in all that counts are one, at the place of the first, so that a group has the different ones only.
 """
 
 from __future__ import annotations
 
-from dataclasses import asdict
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.names import festival_key, is_festival
+from ..functions.text import norm_key
 from ..sources.tables import written
-from .matching import Announcement, Rules, joins
-
-SCHEMA = "row_id long, cluster_id long"
+from . import matching
+from .matching import Rules
 
+#: What an announcement may leave out, and what stands for it.
+OPTIONAL = {"source": "string", "url": "string", "institution": "boolean", "festival": "boolean"}
 
-def traces(names: Column) -> Column:
-    """Three-letter pieces of the names (keys) without spaces, short names whole, and initials."""
+_CLUSTER = "array<struct<rows:array<long>,opener:array<string>,names:array<string>,heads:array<struct<h:string,minutes:int>>,venues:array<string>,festivals:array<string>,said:array<struct<source:string,minutes:int,url:string>>>>"
 
-    def pieces(n: Column) -> Column:
-        plain = F.replace(n, F.lit(" "), F.lit(""))
-        cut = F.when(F.length(plain) > 3, F.transform(F.sequence(F.lit(1), F.length(plain) - 2), lambda i: F.substring(plain, i, F.lit(3)))).otherwise(F.array(plain))
-        initials = F.array_join(F.transform(F.split(n, " "), lambda w: F.left(w, F.lit(1))), "")
-        return F.concat(cut, F.array(F.concat(F.lit("="), initials), F.concat(F.lit("="), plain)))
 
-    return F.array_distinct(F.flatten(F.transform(names, pieces)))
+def groups(met: DataFrame, most_rounds: int = 40) -> DataFrame:
+    """(row_id, group): rows of ``met`` (row_id, t) that share nodes ``t``, transitively; the group is the least row_id.
 
-
-def groups(rows: DataFrame, block: list[str], most_rounds: int = 40) -> DataFrame:
-    """(row_id, group): rows of equal block columns that share traces, transitively; the group is the least row_id.
-
-    Each round every row takes the least label among the rows of its traces and, by pointer jumping, the label of
-    its label. Aggregations are partial, so a trace that very many rows have costs no hot task; no pair is made.
+    Each round every row takes the least label among the rows of its nodes and, by pointer jumping, the label of
+    its label. Aggregations are partial, and no pair is made.
     """
-    met = written(rows.select(F.xxhash64(*block).alias("b"), "row_id", F.explode(traces(F.col("names"))).alias("t")).select("row_id", F.xxhash64("b", "t").alias("t")), "traces")
-    labels = written(rows.select("row_id", F.col("row_id").alias("label")).distinct(), "labels")
+    met = written(met.select("row_id", "t").distinct(), "nodes")
+    labels = written(met.select("row_id", F.col("row_id").alias("label")).distinct(), "labels")
     for _ in range(most_rounds):
-        of_trace = met.join(labels, "row_id").groupBy("t").agg(F.min("label").alias("least"))
-        near = met.join(of_trace, "t").groupBy("row_id").agg(F.min("least").alias("near"))
+        of_node = met.join(labels, "row_id").groupBy("t").agg(F.min("label").alias("least"))
+        near = met.join(of_node, "t").groupBy("row_id").agg(F.min("least").alias("near"))
         step = labels.join(near, "row_id", "left").select("row_id", "label", F.coalesce("near", "label").alias("near"))
         jump = step.select(F.col("row_id").alias("near"), F.col("near").alias("far"))
         after = written(step.join(jump, "near", "left").select("row_id", F.least("near", F.coalesce("far", "near")).alias("label"), (F.col("near") < F.col("label")).alias("moved")), "labels")
@@ -57,32 +55,102 @@ def groups(rows: DataFrame, block: list[str], most_rounds: int = 40) -> DataFram
     raise RuntimeError("groups did not settle")
 
 
-def first_fit(announcements: list[Announcement], rules: Rules) -> list[list[Announcement]]:
-    """Clusters of one group, in the order in which they were opened."""
-    found: list[list[Announcement]] = []
-    for new in sorted(announcements, key=lambda a: (a.priority, a.venue == "", a.row_id)):
-        for cluster in found:
-            if any(joins(new, old, rules) for old in cluster):
-                cluster.append(new)
-                break
-        else:
-            found.append([new])
-    return found
+def announced(rows: DataFrame, block: list[str]) -> DataFrame:
+    """Rows with names, their keys, and ``mark``: a digest of all that counts, so that equal announcements have the same."""
+    for name, kind in OPTIONAL.items():
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast(kind))
+    names = F.filter("names", lambda n: F.coalesce(norm_key(n), F.lit("")) != "")
+    plain = rows.select(F.xxhash64(*block).alias("b"), F.col("row_id").cast("long").alias("row_id"), names.alias("names"), F.coalesce(norm_key(F.col("venue")), F.lit("")).alias("v"), "priority", F.col("minutes").cast("int").alias("minutes"), F.col("source").cast("string").alias("source"), F.col("url").cast("string").alias("url"), F.coalesce("institution", F.lit(False)).alias("institution"), F.coalesce("festival", F.lit(False)).alias("festival"))
+    plain = plain.where(F.size("names") > 0).withColumn("keys", F.transform("names", lambda n: norm_key(n)))
+    counts = F.to_json(F.struct("b", "names", "v", "priority", "minutes", "source", "url", "institution", "festival"))
+    return plain.withColumn("h", F.get("keys", F.lit(0))).withColumn("mark", F.md5(counts))
+
+
+def facts(rows: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
+    """(announcements with what each may meet, (row_id, t): the nodes through which they may meet)."""
+    common = F.array(*map(F.lit, rules.festival_words)).cast("array<string>")
+    title = F.get("names", F.lit(0))
+    shown = F.when(is_festival(title), title).when(F.col("festival"), F.concat(title, F.lit(" festival")))
+    session = matching.words(F.col("h"))
+    rows = rows.withColumns({
+        "fest": F.nullif(F.when(shown.isNotNull(), festival_key(F.regexp_replace(shown, r"\([^)]*\)", " "), common)), F.lit("")),
+        "session": F.arrays_overlap(session, F.array(*map(F.lit, rules.sessions))),
+    })
+    venues = matching.venues_near(rows.select("v"), rules)
+    venues = written(venues, "venues-near")
+    place = groups(venues.select(F.xxhash64("v").alias("row_id"), F.xxhash64("w").alias("t"))).select(F.col("row_id").alias("v_id"), F.col("group").alias("place"))
+    lists = venues.groupBy("v").agg(F.array_sort(F.collect_set("w")).alias("near_venues")).withColumn("v_id", F.xxhash64("v")).join(place, "v_id").drop("v_id")
+    rows = written(rows.join(lists, "v", "left"), "announced")
+
+    names = rows.select("b", F.posexplode("names").alias("at", "name")).select("b", "name", (F.col("at") == 0).alias("is_head")).groupBy("b", "name").agg(F.max("is_head").alias("is_head"))
+    near = written(matching.names_near(names, rules), "names-near")
+    acts = written(matching.acts_near(rows.select("b", "h", "v", "place"), rules), "acts-near")
+
+    told = rows.join(near.groupBy("b", "h").agg(F.array_sort(F.collect_list("n")).alias("near_names")), ["b", "h"])
+    told = told.join(acts.groupBy("b", "v", "h").agg(F.array_sort(F.collect_list("o")).alias("near_acts")), ["b", "v", "h"], "left")
+
+    by_name = rows.select("b", "row_id", "place", F.explode("keys").alias("n")).join(near.select("b", "h", "n"), ["b", "n"]).select("row_id", F.xxhash64("b", F.lit("name"), "h").alias("base"), "place")
+    by_festival = rows.where("fest IS NOT NULL").select("row_id", F.xxhash64("b", F.lit("festival"), "fest").alias("base"), "place")
+    their = rows.join(acts.select("b", F.col("o").alias("h")).distinct(), ["b", "h"], "left_semi").select("row_id", F.xxhash64("b", F.lit("act"), "h").alias("base"), "place")
+    own = rows.join(acts, ["b", "v", "h"]).select("row_id", F.xxhash64("b", F.lit("act"), "o").alias("base"), "place")
+    links = by_name.unionByName(by_festival).unionByName(their).unionByName(own)
+    # Where somebody's venue is unknown, all that have the name may meet; else only those of one class of venues.
+    open_bases = links.where("place IS NULL").select("base").distinct().withColumn("open", F.lit(True))
+    node = F.when(F.col("open"), F.xxhash64("base", F.lit("any"))).otherwise(F.xxhash64("base", "place"))
+    return told, links.join(open_bases, "base", "left").select("row_id", node.alias("t"))
+
+
+def _takes(c: Column, r: Column, rules: Rules) -> Column:
+    """Whether a cluster takes an announcement."""
+    known = (r["v"] != "") & (F.size(c["venues"]) > 0)
+    elsewhere = known & ~F.arrays_overlap(c["venues"], r["near_venues"])
+    again = r["session"] & r["minutes"].isNotNull() & F.exists(c["said"], lambda s: F.coalesce((s["source"] == r["source"]) & (s["minutes"] != r["minutes"]), F.lit(False)))
+    page = r["institution"] & F.exists(c["said"], lambda s: F.coalesce((s["source"] == r["source"]) & (s["url"] != r["url"]), F.lit(False)))
+    met = F.arrays_overlap(c["names"], r["near_names"]) | F.arrays_overlap(c["opener"], r["keys"])
+    met |= F.coalesce(F.array_contains(c["festivals"], r["fest"]), F.lit(False))
+    act = known & F.exists(c["heads"], lambda h: F.array_contains(r["near_acts"], h["h"]) & F.coalesce(F.abs(h["minutes"] - r["minutes"]) <= rules.far, F.lit(True)))
+    return F.coalesce(~elsewhere & ~again & ~page & (met | act), F.lit(False))
+
+
+def _with(c: Column, r: Column) -> Column:
+    """A cluster with one announcement more."""
+    said = F.array(F.struct(r["source"].alias("source"), r["minutes"].alias("minutes"), r["url"].alias("url")))
+    return F.struct(
+        F.concat(c["rows"], F.array(r["row_id"])).alias("rows"), c["opener"].alias("opener"), F.array_union(c["names"], r["keys"]).alias("names"), F.array_union(c["heads"], F.array(F.struct(r["h"].alias("h"), r["minutes"].alias("minutes")))).alias("heads"),
+        F.when(r["v"] != "", F.array_union(c["venues"], F.array(r["v"]))).otherwise(c["venues"]).alias("venues"), F.when(r["fest"].isNotNull(), F.array_union(c["festivals"], F.array(r["fest"]))).otherwise(c["festivals"]).alias("festivals"), F.array_union(c["said"], said).alias("said"),
+    )
+
+
+def first_fit(rows: Column, rules: Rules) -> Column:
+    """The clusters of a group's announcements, which are in order."""
+    strings = F.array().cast("array<string>")
+    blank = F.struct(F.array().cast("array<long>").alias("rows"), strings.alias("opener"), strings.alias("names"), F.array().cast("array<struct<h:string,minutes:int>>").alias("heads"), strings.alias("venues"), strings.alias("festivals"), F.array().cast("array<struct<source:string,minutes:int,url:string>>").alias("said"))
+
+    def add(clusters: Column, r: Column) -> Column:
+        at = F.array_position(F.transform(clusters, lambda c: _takes(c, r, rules)), F.lit(True))
+        opened = F.transform(F.array(_with(blank, r)), lambda c: c.withField("opener", r["near_names"]))
+        grown = F.transform(clusters, lambda c, i: F.when(i + 1 == at, _with(c, r)).otherwise(c))
+        return F.when(at > 0, grown).otherwise(F.concat(clusters, opened)).cast(_CLUSTER)
+
+    return F.aggregate(rows, F.array().cast(_CLUSTER), add)
 
 
 def clusters(rows: DataFrame, block: list[str], rules: Rules = Rules()) -> DataFrame:
-    """(row_id, cluster_id) of ``rows``: block columns, row_id, names (keys, headliner first), venue (key, '' unknown), priority, minutes.
+    """(row_id, cluster_id) of ``rows``: block columns, row_id (unique), names (headliner first), venue ('' or null: unknown), priority, minutes.
 
-    A row without names is a cluster of its own. ``row_id`` must be unique.
+    Further columns count where they are given: source and url (of the announcement's own page, null if it has none), institution
+    and festival (booleans). The cluster's id is its least row_id. A row without names is a cluster of its own.
     """
-    plain = rows.select(*block, "row_id", F.filter("names", lambda n: n.isNotNull() & (n != "")).alias("names"), F.coalesce("venue", F.lit("")).alias("venue"), "priority", F.col("minutes").cast("int").alias("minutes"))
-    named, bare = plain.where(F.size("names") > 0), plain.where(F.size("names") <= 0)
-    said = asdict(rules)
-
-    def fit(group: pd.DataFrame) -> pd.DataFrame:
-        minutes = [None if pd.isna(m) else int(m) for m in group["minutes"]]
-        own = [Announcement(int(r), list(n), v, int(p), m) for r, n, v, p, m in zip(group["row_id"], group["names"], group["venue"], group["priority"], minutes)]
-        return pd.DataFrame([(a.row_id, min(x.row_id for x in c)) for c in first_fit(own, Rules(**said)) for a in c], columns=["row_id", "cluster_id"])
-
-    tied = named.join(groups(named, block), "row_id")
-    return tied.groupBy("group").applyInPandas(fit, SCHEMA).unionByName(bare.select(F.col("row_id").cast("long"), F.col("row_id").cast("long").alias("cluster_id")))
+    every = written(announced(rows, block), "announcements")
+    first = every.groupBy("mark").agg(F.min("row_id").alias("row_id"))
+    told, nodes = facts(every.join(first, ["mark", "row_id"], "left_semi"), rules)
+    tied = told.join(groups(nodes), "row_id")
+    fields = ["row_id", "keys", "h", "v", "minutes", "source", "url", "institution", "session", "fest", "near_venues", "near_names"]
+    place = F.struct("priority", (F.col("v") == "").alias("nowhere"), F.col("row_id").alias("id"), *fields, F.coalesce("near_acts", F.array().cast("array<string>")).alias("near_acts"))
+    grouped = tied.groupBy("group").agg(F.array_sort(F.collect_list(place)).alias("rows"))
+    fitted = grouped.select(F.explode(first_fit(F.col("rows"), rules)).alias("c")).select(F.explode("c.rows").alias("first"), F.array_min("c.rows").alias("cluster_id"))
+    of_mark = first.withColumnRenamed("row_id", "first").join(fitted, "first").select("mark", "cluster_id")
+    found = every.select("row_id", "mark").join(of_mark, "mark").select("row_id", "cluster_id")
+    bare = rows.select(F.col("row_id").cast("long").alias("row_id")).join(every.select("row_id"), "row_id", "left_anti")
+    return found.unionByName(bare.select("row_id", F.col("row_id").alias("cluster_id")))

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fields import has_broken_encoding, is_filler, place_candidates, venue_words
+from ..functions.fields import has_broken_encoding, is_filler, place_candidates
 from ..functions.text import norm_key
 from ..sources.tables import written
 from . import cluster, lookup, resolve, temporal
@@ -45,9 +45,10 @@ def prepare(listings: DataFrame, sources: DataFrame, towns: DataFrame, venues: D
         .when(F.col("town").isNull(), "town")
     )
     marked = placed.withColumn("reason", reason).withColumn("broken", F.coalesce(broken, F.lit(False)))
-    clean = F.max((~F.col("broken") & F.col("reason").isNull()).cast("int")).over(Window.partitionBy("day", "town"))
-    marked = marked.withColumn("reason", F.when(F.col("reason").isNull() & F.col("broken") & (clean == 1), "encoding").otherwise(F.col("reason")))
-    marked = written(marked.drop("broken", "source_town", "city_town", "venue_town"), "prepared")
+    marked = written(marked.drop("source_town", "city_town", "venue_town"), "marked")
+    cleaner = marked.where("NOT broken AND reason IS NULL").select("day", "town").distinct().withColumn("clean", F.lit(True))
+    marked = marked.join(cleaner, ["day", "town"], "left")
+    marked = marked.withColumn("reason", F.when(F.col("reason").isNull() & F.col("broken") & F.col("clean"), "encoding").otherwise(F.col("reason"))).drop("broken", "clean")
     kept = marked.where(F.col("reason").isNull()).drop("reason")
     spelling = resolve.best_spelling(kept.where("venue_key <> ''"), "venue_key", "venue").select("venue_key", "spelling")
     kept = kept.join(spelling, "venue_key", "left").withColumn("venue", F.coalesce("spelling", "venue")).drop("spelling")
@@ -60,28 +61,35 @@ def records(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
     The headliner and the price are the first by priority. Venue and hour: the only version of the best priority stands;
     where several tie, the value is null and the field is listed in ``conflicts`` with its versions.
     """
-    names = F.transform(F.concat(F.array("name"), F.coalesce("guests", F.array().cast("array<string>"))), lambda n: norm_key(n))
-    keyed = rows.select("day", "row_id", names.alias("names"), F.array_join(F.split(venue_words(F.col("venue"), tuple(rules.kinds) or ("-",)), " "), " ").alias("venue"), "priority", "minutes")
-    ids = written(cluster.clusters(keyed, ["day"], rules), "clusters")
-    held = written(rows.join(ids, "row_id"), "held")
-    first = resolve.first_by_priority(held, ["cluster_id"], ["name", "price", "url", "day"], "priority", "row_id")
-    venue = resolve.resolve_by_priority(held.withColumn("venue", F.nullif("venue", F.lit(""))), ["cluster_id"], "venue", "priority")
-    hour = resolve.resolve_by_priority(held, ["cluster_id"], "minutes", "priority")
-    independent = resolve.independent_sources(held, ["cluster_id"], "grp").withColumnRenamed("state", "support")
-    people = held.select("cluster_id", F.explode(F.concat(F.array("name"), F.coalesce("guests", F.array().cast("array<string>")))).alias("who"))
-    people = people.select("cluster_id", norm_key(F.col("who")).alias("who_key"), "who").where("who_key <> ''").groupBy("cluster_id", "who_key").agg(F.min("who").alias("who"))
-    people = people.groupBy("cluster_id").agg(F.sort_array(F.collect_list(F.struct("who_key", "who"))).alias("people"))
-    links = held.groupBy("cluster_id").agg(F.array_sort(F.collect_set(F.struct("priority", "source", "url"))).alias("sources"))
-    out = (
-        first.withColumnRenamed("name", "artist")
-        .join(venue.select("cluster_id", F.col("value").alias("venue"), F.col("state").alias("venue_state")), "cluster_id", "left")
-        .join(hour.select("cluster_id", F.col("value").alias("minutes"), F.col("state").alias("hour_state")), "cluster_id", "left")
-        .join(independent, "cluster_id").join(people, "cluster_id", "left").join(links, "cluster_id")
+    billed = F.concat(F.array("name"), F.coalesce("guests", F.array().cast("array<string>")))
+    given = [c for c in cluster.OPTIONAL if c in rows.columns]
+    ids = written(cluster.clusters(rows.select("day", "row_id", billed.alias("names"), "venue", "priority", "minutes", *given), ["day"], rules), "clusters")
+    rank = F.struct("priority", "row_id")
+
+    def first(c: str) -> Column:
+        return F.min_by(c, F.when(F.col(c).isNotNull(), rank)).alias(c)
+
+    def versions(c: Column, name: str) -> Column:
+        return F.collect_set(F.when(c.isNotNull(), F.struct(F.col("priority"), c.alias("said")))).alias(name)
+
+    people = F.array_distinct(F.flatten(F.collect_set(F.filter(F.transform(billed, lambda n: F.struct(norm_key(n).alias("who_key"), n.alias("who"))), lambda p: p["who_key"] != ""))))
+    held = rows.join(ids, "row_id").groupBy("cluster_id").agg(
+        first("name"), first("price"), first("url"), first("day"), versions(F.nullif("venue", F.lit("")), "venues"), versions(F.col("minutes"), "hours"), F.count_distinct("grp").alias("n_groups"),
+        F.array_sort(people).alias("people"), F.array_sort(F.collect_set(F.struct("priority", "source", "url"))).alias("sources"),
     )
-    conflicts = F.array_compact(F.array(F.when(F.col("venue_state") == "conflict", "venue"), F.when(F.col("hour_state") == "conflict", "hour")))
-    guests = F.transform(F.filter("people", lambda p: p["who_key"] != norm_key(F.col("artist"))), lambda p: p["who"])
-    state = F.when(F.size(conflicts) > 0, "conflict").otherwise(F.col("support"))
-    return out.select(F.col("cluster_id").alias("event_id"), "day", "artist", guests.alias("guests"), "venue", "minutes", "price", "sources", conflicts.alias("conflicts"), state.alias("state"))
+
+    def best(found: str) -> Column:
+        """The different versions of the best priority that has one."""
+        return F.array_distinct(F.transform(F.filter(found, lambda x: x["priority"] == F.array_min(F.transform(found, lambda y: y["priority"]))), lambda x: x["said"]))
+
+    out = held.withColumns({"venue": best("venues"), "minutes": best("hours")})
+    conflicts = F.array_compact(F.array(F.when(F.size("venue") > 1, "venue"), F.when(F.size("minutes") > 1, "hour")))
+    out = out.withColumns({"conflicts": conflicts, "venue": F.when(F.size("venue") == 1, F.get("venue", F.lit(0))), "minutes": F.when(F.size("minutes") == 1, F.get("minutes", F.lit(0)))})
+    # People are in order of key and name: of one key the first spelling stays.
+    once = F.filter("people", lambda p, i: (i == 0) | (F.get(F.col("people"), i - 1)["who_key"] != p["who_key"]))
+    guests = F.transform(F.filter(once, lambda p: p["who_key"] != norm_key(F.col("name"))), lambda p: p["who"])
+    state = F.when(F.size("conflicts") > 0, "conflict").when(F.col("n_groups") >= 2, "contrasted").otherwise("one_source")
+    return out.select(F.col("cluster_id").alias("event_id"), "day", F.col("name").alias("artist"), guests.alias("guests"), "venue", "minutes", "price", "sources", "conflicts", state.alias("state"))
 
 
 def merge_venues(events: DataFrame) -> DataFrame:

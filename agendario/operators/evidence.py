@@ -208,18 +208,15 @@ def reading_queue(rows: DataFrame, cache: DataFrame, key: str, gap: Column, day:
     return found.orderBy(F.desc("gap"), day, key)
 
 
-def alias_pairs(names: DataFrame, key: str, least: float = 88.0, cut: int = 4) -> DataFrame:
-    """Pairs of names (keys) whose sorted words are alike: a report of likely aliases.
+def alias_pairs(names: DataFrame, key: str, least: float = 88.0) -> DataFrame:
+    """All pairs of names (keys) whose sorted words are alike by a ratio of ``least``: a report of likely aliases.
 
-    Candidates share the first letters of one of their three rarest words; a pair that differs in all of those is not looked for.
+    Exact: candidates come from the prefix filter of ``simjoin``. Names of the same words in another order are pairs, too.
     """
     from ..functions import similarity
+    from .simjoin import alike
 
-    words = names.select(key).distinct().select(key, F.explode(F.array_distinct(F.split(key, " "))).alias("w")).where(F.length("w") >= 3)
-    blocks = words.select(key, F.left("w", F.lit(cut)).alias("b")).distinct()
-    n = blocks.withColumn("n", F.count("*").over(Window.partitionBy("b")))
-    rare = n.withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy("n", "b"))).where("r <= 3").select(key, "b")
-    other = rare.select(F.col(key).alias("other"), "b")
-    pairs = rare.join(other, "b").where(F.col(key) < F.col("other")).select(key, "other").distinct()
-    a, b = similarity.token_sort(F.col(key)), similarity.token_sort(F.col("other"))
-    return pairs.where(similarity.may_reach(a, b, least)).withColumn("ratio", similarity.indel_ratio(a, b)).where(F.col("ratio") >= least)
+    known = names.select(key).where(F.col(key) != "").distinct().select(key, similarity.token_sort(F.col(key)).alias("s"))
+    pairs = alike(known, known, [], least)
+    left, right = known.withColumnRenamed("s", "a"), known.select(F.col(key).alias("other"), F.col("s").alias("b"))
+    return pairs.join(left, "a").join(right, "b").where(F.col(key) < F.col("other")).select(key, "other", "ratio")

@@ -1,17 +1,20 @@
-"""Whether two announcements are of one event: names, venues, hours, festivals, several shows a day.
+"""What makes two announcements one event, as tables of facts: names that are alike, venues that are one, acts under two names.
 
-The functions compare two single values; they run inside tasks, on pairs that a blocking join has brought together.
+Facts are about distinct names and venues of a block (a day), not about pairs of announcements: however many announcements
+have a name, it is compared once. Every comparison sits behind an equi-join: on rare grams (``simjoin``), on phrases, on words.
 """
 
 from __future__ import annotations
 
-import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from ..functions.similarity import lcs
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-_FESTIVAL = re.compile(r"\bfest(ival)?\b")
-_SESSIONS = re.compile(r"\b(matinee|sesion|pase|turno)s?\b")
+from ..functions.fields import head, words
+from ..functions.similarity import lcs
+from ..functions.text import norm_key
+from .simjoin import alike
 
 
 @dataclass(frozen=True)
@@ -26,19 +29,19 @@ class Rules:
     least_venue: float = 90.0
     least_sorted: float = 92.0
     far: int = 120
+    #: Phrases after which a name isn't the name any more, and words between parts of a title (fixed values of the language).
+    turns: tuple[str, ...] = ("presenta", "presentan", "presentando", "en concierto", "tour", "gira", "live in", "en madrid", "world tour")
+    between: tuple[str, ...] = ("by", "presenta", "presentan", "presentando", "con", "en concierto", "and friends", "feat", "ft")
+    #: Words of shows that are given several times a day (fixed values of the language).
+    sessions: tuple[str, ...] = ("tributo", "homenaje", "candlelight", "ballet", "musical", "espectaculo", "sesion", "matinal", "matinee", "infantil", "familiar", "cabaret", "opera", "zarzuela", "orquesta", "sinfonico", "sinfonica", "pase", "turno")
+    #: Words that tell no festival from another, and articles (fixed values of the language).
+    festival_words: tuple[str, ...] = ("madrid", "festival", "fest", "en", "de", "del", "la", "el", "los", "las", "y", "edicion", "the", "music", "primer", "primera", "segundo", "segunda", "tercer", "tercera")
+    articles: tuple[str, ...] = ("the", "los", "las", "del")
+    #: How much of two telling words (or of the only one) two names of one act must share.
+    least_act: float = 0.87
 
 
-@dataclass
-class Announcement:
-    """One listing, with join keys; ``names`` has the headliner first, ``minutes`` is null for an unknown hour."""
-
-    row_id: int
-    names: list[str]
-    venue: str
-    priority: int
-    minutes: int | None = None
-    source: str = ""
-    words: list[set[str]] = field(default_factory=list)
+# Two single values, for pairs that a join has brought together
 
 
 def ratio(a: str, b: str) -> float:
@@ -70,66 +73,120 @@ def like_flexible(a: str, b: str, rules: Rules) -> bool:
     return len(initials) > 2 and short.replace(" ", "") == initials
 
 
-def names_meet(a: list[str], b: list[str], rules: Rules, flexible: bool = False) -> bool:
-    """Any name of one side with any of the other."""
-    test = like_flexible if flexible else like
-    return any(test(x, y, rules) for x in a for y in b)
+# Names
 
 
-def headliner_meets(a: list[str], b: list[str], rules: Rules) -> bool:
-    """The headliner of one side with any name of the other."""
-    return names_meet(a[:1], b, rules) or names_meet(a, b[:1], rules)
+def forms(name: Column, rules: Rules) -> Column:
+    """The texts by which a name may be recognised: its key, its head, and its parts of four letters or more between signs and linking words."""
+    cut = r"(?i)\s*(?:[.:|–—&+]|\s-\s|\b(?:" + "|".join(w + (r"\.?" if w in ("feat", "ft") else "") for w in rules.between) + r")\b)\s*"
+    parts = F.filter(F.transform(F.split(name, cut), lambda p: norm_key(p)), lambda p: F.length(p) >= 4)
+    return F.array_distinct(F.filter(F.concat(F.array(norm_key(name), F.coalesce(head(name, rules.turns), F.lit(""))), parts), lambda f: f != ""))
 
 
-def same_venue(a: str, b: str, rules: Rules) -> bool:
-    """Equal, or alike without the words of kinds, in order or sorted, unless the pair is never one venue."""
-    if a == b:
-        return True
-    if frozenset((a, b)) in rules.never_same or not a or not b:
-        return False
-    x, y = (" ".join(w for w in v.split() if w not in rules.kinds) or v for v in (a, b))
-    if reaches(x, y, rules.least_venue) or x.replace(" ", "") == y.replace(" ", ""):
-        return True
-    return reaches(" ".join(sorted(x.split())), " ".join(sorted(y.split())), rules.least_sorted)
+def generic(key: Column, rules: Rules) -> Column:
+    return F.length(key) < 3 if not rules.generic else key.isin(*rules.generic) | (F.length(key) < 3)
 
 
-def same_act(a: str, b: str, venue: str, rules: Rules) -> bool:
-    """The same act under another name in one venue: the words of one are in the other, or two are shared, or alike with the same first word."""
-    out = set(venue.split()) | rules.common
-    x, y = ([w for w in n.split() if len(w) >= 3 and w not in out and not w.isdigit()] for n in (a, b))
-    if not x or not y:
-        return False
-    both = set(x) & set(y)
-    return both in (set(x), set(y)) or len(both) >= 2 or (x[0] == y[0] and reaches(a, b, 85.0))
+def names_near(names: DataFrame, rules: Rules) -> DataFrame:
+    """(b, h, n): the names ``n`` of each block by which the headliner ``h`` of an announcement is met, itself included.
+
+    ``names`` has b, name and is_head. Alike are two names that are equal; neither generic and with forms of the wanted
+    ratio, or equal without spaces; or one of which is in the other as whole words, if it is long enough or stands in front.
+    """
+    one = names.select("b", norm_key(F.col("name")).alias("key"), forms(F.col("name"), rules).alias("forms"), "is_head").where("key <> ''")
+    known = one.groupBy("b", "key").agg(F.array_distinct(F.flatten(F.collect_set("forms"))).alias("forms"), F.max("is_head").alias("is_head")).withColumn("generic", generic(F.col("key"), rules))
+
+    telling = known.where("NOT generic").select("b", "key", F.explode("forms").alias("s"))
+    short = telling.where(F.length("s") < 4).select("b", "s", F.col("s").alias("t")).distinct()
+    long = telling.where(F.length("s") >= 4).withColumnRenamed("b", "in")
+    fuzzy = alike(long, long, ["in"], rules.least_name).select(F.col("in").alias("b"), F.col("a").alias("s"), F.col("b").alias("t"))
+    like_forms = telling.withColumnRenamed("key", "x").join(fuzzy.unionByName(short), ["b", "s"]).join(telling.select("b", F.col("key").alias("y"), F.col("s").alias("t")), ["b", "t"]).select("b", "x", "y")
+
+    joined = known.where("NOT generic").select("b", "key", F.replace("key", F.lit(" "), F.lit("")).alias("plain")).where(F.length("plain") >= 3)
+    like_plain = joined.select("b", "plain", F.col("key").alias("x")).join(joined.select("b", "plain", F.col("key").alias("y")), ["b", "plain"]).where("x <> y").select("b", "x", "y")
 
+    split = F.split("key", " ")
+    ends = F.flatten(F.transform(F.sequence(F.lit(1), F.size(split)), lambda i: F.transform(F.sequence(F.lit(1), F.size(split) - i + 1), lambda n: F.struct(F.array_join(F.slice(split, i, n), " ").alias("phrase"), (i == 1).alias("front")))))
+    phrases = known.where(F.size(split) > 1).select("b", F.col("key").alias("long"), F.col("generic").alias("long_generic"), F.explode(ends).alias("p")).select("b", "long", "long_generic", "p.phrase", "p.front")
+    phrases = phrases.groupBy("b", "long", "long_generic", "phrase").agg(F.max("front").alias("front"))
+    within = phrases.join(known.select("b", F.col("key").alias("phrase"), F.col("generic").alias("short_generic")), ["b", "phrase"]).where("phrase <> long")
+    letters, size = F.length(F.replace("phrase", F.lit(" "), F.lit(""))), F.length("phrase")
+    either = F.col("long_generic") | F.col("short_generic")
+    enough = (letters >= 5) | F.col("phrase").rlike("^([a-z0-9] ){2,}[a-z0-9]$") | (F.col("front") & (size >= 5) & (size >= 0.35 * F.length("long")))
+    inside = within.where(F.when(either, size >= 4).otherwise((size >= 4) & enough)).select("b", F.col("phrase").alias("x"), F.col("long").alias("y"))
 
-def far(a: int | None, b: int | None, rules: Rules) -> bool:
-    return a is not None and b is not None and abs(a - b) > rules.far
+    every = like_forms.unionByName(like_plain).unionByName(inside).unionByName(inside.select("b", F.col("y").alias("x"), F.col("x").alias("y")))
+    heads = known.where("is_head").select("b", F.col("key").alias("x"))
+    met = every.join(heads, ["b", "x"], "left_semi").unionByName(heads.select("b", "x", F.col("x").alias("y")))
+    return met.select("b", F.col("x").alias("h"), F.col("y").alias("n")).distinct()
 
 
-def festival_words(names: list[str], common: frozenset[str]) -> frozenset[str] | None:
-    """The telling words of a festival's name; null for what is none."""
-    if not names or not _FESTIVAL.search(names[0]):
-        return None
-    return frozenset(w for w in names[0].split() if w not in common and not w.isdigit() and not _FESTIVAL.fullmatch(w))
+# Venues
 
 
-def joins(new: Announcement, old: Announcement, rules: Rules) -> bool:
-    """Whether an announcement belongs with one that is already in a cluster of its day.
+def venues_near(venues: DataFrame, rules: Rules) -> DataFrame:
+    """(v, w): venue keys that are one venue, each with itself too.
 
-    A show with sessions keeps its hours apart; else far hours need the same venue and exactly the same headliner.
-    Festivals meet by their words. Where a venue is unknown the headliner must be met.
+    Alike are two keys without words of kinds (the whole key if nothing is left): by the wanted ratio, equal without spaces, or by
+    the ratio of their sorted words; never a pair of ``never_same``.
     """
-    if _SESSIONS.search(new.names[0]) and _SESSIONS.search(old.names[0]) and new.minutes != old.minutes:
-        return False
-    known = bool(new.venue and old.venue)
-    a, b = festival_words(new.names, rules.common), festival_words(old.names, rules.common)
-    if a and b and a == b:
-        return True
-    if known and not same_venue(new.venue, old.venue, rules):
-        return False
-    if far(new.minutes, old.minutes, rules) and not (known and new.names[0] == old.names[0]):
-        return False
-    if not known:
-        return headliner_meets(new.names, old.names, rules)
-    return names_meet(new.names, old.names, rules, flexible=True) or same_act(new.names[0], old.names[0], new.venue, rules)
+    known = venues.select("v").where("v <> ''").distinct()
+    core = F.array_join(F.filter(words(F.col("v")), lambda w: ~w.isin(*(rules.kinds or ("-",)))), " ")
+    known = known.select("v", F.when(core != "", core).otherwise(F.col("v")).alias("core"))
+    ordered = F.array_join(F.array_sort(F.split("core", " ")), " ")
+    shapes = known.select("v", F.explode(F.array(F.struct(F.lit("core").alias("how"), F.col("core").alias("s")), F.struct(F.lit("sorted").alias("how"), ordered.alias("s")))).alias("x")).select("v", "x.how", "x.s")
+    pairs = alike(shapes, shapes, ["how"], min(rules.least_venue, rules.least_sorted)).where(F.col("ratio") >= F.when(F.col("how") == "core", rules.least_venue).otherwise(rules.least_sorted))
+    by_shape = shapes.join(pairs.withColumnsRenamed({"a": "s", "b": "t"}), ["how", "s"]).join(shapes.select("how", F.col("v").alias("w"), F.col("s").alias("t")), ["how", "t"]).select("v", "w")
+    joined = known.select("v", F.replace("core", F.lit(" "), F.lit("")).alias("s"))
+    every = by_shape.unionByName(joined.join(joined.withColumnRenamed("v", "w"), "s").select("v", "w")).distinct()
+    for pair in rules.never_same:
+        a, *rest = sorted(pair)
+        for b in rest:
+            every = every.where(~(((F.col("v") == a) & (F.col("w") == b)) | ((F.col("v") == b) & (F.col("w") == a))))
+    return every
+
+
+# Acts
+
+
+def act_score(a: Column, b: Column) -> Column:
+    """How much of two telling words, or of the only one, two sets of telling words share.
+
+    Each word of the smaller set counts as much as it is like the best of the other: 1 if it is there, its closeness by
+    letters if both have four or more and it is 0.7 or over. At least one must be there as it is.
+    """
+    small, large = F.when(F.size(a) <= F.size(b), a).otherwise(b), F.when(F.size(a) <= F.size(b), b).otherwise(a)
+
+    def close(w: Column, v: Column) -> Column:
+        near = 1 - F.levenshtein(w, v) / F.greatest(F.length(w), F.length(v))
+        return F.when(w == v, 1.0).when((F.length(w) >= 4) & (F.length(v) >= 4) & (near >= 0.7), near).otherwise(0.0)
+
+    soft = F.aggregate(F.transform(small, lambda w: F.array_max(F.transform(large, lambda v: close(w, v)))), F.lit(0.0), lambda s, x: s + x)
+    return F.when((F.size(small) > 0) & F.arrays_overlap(a, b), soft / F.least(F.lit(2), F.size(small))).otherwise(0.0)
+
+
+def acts_near(announced: DataFrame, rules: Rules) -> DataFrame:
+    """(b, v, h, o): the headliners ``o`` that are the act ``h`` announced at venue ``v`` under another name.
+
+    ``announced`` has b, h, v (empty: unknown) and place (the venue's class, null if unknown). The words of the venue weigh nothing,
+    nor do common words and numbers; names of nothing else are one act if they have the same two words or more. Only
+    announcements of the same class of venues, or without a venue, are looked at.
+    """
+    def long(key: Column) -> Column:
+        return F.array_distinct(F.filter(words(key), lambda w: F.length(w) >= 3))
+
+    def telling(ws: Column) -> Column:
+        return F.filter(ws, lambda w: ~w.isin(*(rules.common or ("-",))) & ~w.rlike("^[0-9]+$"))
+
+    own = announced.where("v <> ''").select("b", "place", "v", "h").distinct().withColumns({"of_venue": words(F.col("v")), "ws": long(F.col("h"))})
+    own = own.withColumns({"mine": telling(F.array_except("ws", "of_venue")), "bare": F.array_sort(F.filter(F.array_except("ws", "of_venue"), lambda w: ~w.isin(*rules.articles)))})
+    own = own.withColumn("w", F.explode(F.when(F.size("mine") > 0, F.col("mine")).otherwise(F.slice("bare", 1, 1))))
+    other = announced.select("b", F.col("place").alias("o_place"), F.col("h").alias("o")).distinct().withColumn("o_ws", long(F.col("o")))
+    other = other.withColumn("w", F.explode("o_ws"))
+    met = own.join(other, ["b", "w"]).where((F.col("h") != F.col("o")) & (F.col("o_place").isNull() | (F.col("o_place") == F.col("place"))))
+    met = met.dropDuplicates(["b", "v", "h", "o"])
+    theirs = telling(F.array_except("o_ws", "of_venue"))
+    their_bare = F.array_sort(F.filter(F.array_except("o_ws", "of_venue"), lambda w: ~w.isin(*rules.articles)))
+    nothing = (F.size("mine") == 0) | (F.size(theirs) == 0)
+    same = F.when(nothing, (F.col("bare") == their_bare) & (F.size("bare") >= 2)).otherwise(act_score(F.col("mine"), theirs) >= rules.least_act)
+    return met.where(same).select("b", "v", "h", "o")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, names, similarity, text
-from ..operators import agenda, lookup, metrics, resolve, sinks, snapshot, temporal
+from ..operators import agenda, lookup, metrics, resolve, simjoin, sinks, snapshot, temporal
 from ..sources import readers
 from ..sources.tables import table
 
@@ -362,10 +362,11 @@ def light_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 def name_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part names that are alike by ``indel_ratio``, within blocks of one brand and type."""
     names = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", F.col("p_name").alias("name"))
-    other = names.select("p_brand", "p_type", F.col("p_partkey").alias("r_partkey"), F.col("name").alias("r_name"))
-    pairs = names.join(other, ["p_brand", "p_type"]).where("p_partkey < r_partkey AND name <> r_name").where(similarity.may_reach(F.col("name"), F.col("r_name"), 75.0))
-    alike = pairs.select("name", "r_name").distinct().withColumn("ratio", similarity.indel_ratio(F.col("name"), F.col("r_name"))).where("ratio >= 75")
-    return pairs.join(alike, ["name", "r_name"]).select("p_partkey", "r_partkey", "ratio")
+    block = ["p_brand", "p_type"]
+    texts = names.select(*block, F.col("name").alias("s"))
+    alike = simjoin.alike(texts, texts, block, 75.0).where("a <> b").withColumnsRenamed({"a": "name", "b": "r_name"})
+    other = names.select(*block, F.col("p_partkey").alias("r_partkey"), F.col("name").alias("r_name"))
+    return alike.join(names, [*block, "name"]).join(other, [*block, "r_name"]).where("p_partkey < r_partkey").select("p_partkey", "r_partkey", "ratio")
 
 
 ALIASES = [("widget", "W"), ("ring", "R"), ("red", "colour"), ("blue", "colour")]

@@ -82,6 +82,15 @@ def day_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster.clusters(rows, ["day"], RULES)
 
 
+@query("""SELECT o_orderkey AS row_id, min(o_orderkey) OVER (PARTITION BY o_orderdate, o_custkey % 40, o_custkey % 7) AS cluster_id FROM orders""")
+def exact_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and venues that are only like themselves: the clusters are those of equal day, name and venue."""
+    o = table(spark, sf_dir, "orders")
+    names = F.array(F.md5(F.concat(F.lit("n"), (F.col("o_custkey") % 40).cast("string"))))
+    rows = o.select(F.to_date("o_orderdate").alias("day"), F.col("o_orderkey").alias("row_id"), names.alias("names"), F.md5(F.concat(F.lit("v"), (F.col("o_custkey") % 7).cast("string"))).alias("venue"), (F.col("o_orderkey") % 3).cast("int").alias("priority"), F.lit(None).cast("int").alias("minutes"))
+    return cluster.clusters(rows, ["day"], RULES)
+
+
 @query()
 def consolidate_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain: scope, cleaning, clusters, resolution, venue conflicts (tested on small listings with known results)."""

@@ -121,12 +121,12 @@ def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_READS}, l AS (SELECT source, max(day) FILTER (WHERE ok) AS last FROM r GROUP BY source), f AS (SELECT * FROM l WHERE last IS NULL OR last < DATE '2024-01-29'),
-m AS (SELECT DISTINCT event_type AS key, user_id AS source FROM events WHERE event_id % 50 = 0)
+m AS (SELECT DISTINCT event_type AS key, user_id AS source FROM events)
 SELECT key, min(CAST(f.source IS NOT NULL AS INT)) = 1 AS frozen, min(CAST(f.source IS NOT NULL AS INT)) = 1 AND coalesce(max(last) < DATE '2024-01-01', true) AS hidden FROM m LEFT JOIN f USING (source) GROUP BY key""")
 def frozen_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     today = F.lit("2024-01-31").cast("date")
     frozen = evidence.frozen_sources(_reads(spark, sf_dir), "source", "day", "ok", today)
-    rows = table(spark, sf_dir, "events").where("event_id % 50 = 0").select(F.col("event_type").alias("key"), F.col("user_id").alias("source"))
+    rows = table(spark, sf_dir, "events").select(F.col("event_type").alias("key"), F.col("user_id").alias("source"))
     return evidence.mark_frozen(rows, "key", "source", frozen, today)
 
 
@@ -207,6 +207,6 @@ def line_up_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def alias_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Venue-like names with alike words (tested against all pairs)."""
+    """Venue-like names with alike words (exact; tested against all pairs)."""
     names = table(spark, sf_dir, "part").select(F.concat_ws(" ", F.lower("p_name"), F.lower(F.replace("p_brand", F.lit("#"), F.lit(" ")))).alias("key"))
     return evidence.alias_pairs(names, "key", 95.0)

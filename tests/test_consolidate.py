@@ -1,12 +1,11 @@
 import datetime
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from agendario.functions.similarity import lcs
-from agendario.operators import cluster, consolidate, evidence
-from agendario.operators.matching import Announcement, Rules, far, headliner_meets, like, like_flexible, names_meet, ratio, same_act, same_venue
+from agendario.operators import consolidate, evidence
+from agendario.operators.matching import Rules, like, like_flexible, ratio
 
 DAY = datetime.date
 RULES = Rules(generic=frozenset(["banda"]), kinds=frozenset(["sala", "club"]), common=frozenset(["festival", "the"]), never_same=frozenset([frozenset(["sala sol", "sala sola"])]))
@@ -30,33 +29,9 @@ def test_bit_parallel_lcs_equals_the_table():
     assert ratio("", "") == 100.0
 
 
-def test_names_and_venues():
+def test_names():
     assert like("kings of noise", "king of noise", RULES) and not like("banda", "bandas", RULES) and like("banda", "banda", RULES) and not like("", "", RULES)
     assert like_flexible("los de siempre", "gira los de siempre 2026", RULES) and like_flexible("acdc", "alpha charlie delta charlie", RULES) and not like_flexible("rem", "blur", RULES)
-    assert names_meet(["x y z", "other name"], ["other name"], RULES) and headliner_meets(["first act"], ["second", "first act"], RULES)
-    assert same_venue("sala el sol", "el sol", RULES) and same_venue("sol teatro", "teatro sol", RULES) and not same_venue("sala sol", "sala sola", RULES)
-    assert same_act("maria lopez trio", "maria lopez", "sala sol", RULES) and not same_act("one two", "red blue", "sala", RULES)
-    assert far(1200, 1330, RULES) and not far(1200, None, RULES)
-
-
-def random_rows(n, seed):
-    rng = random.Random(seed)
-    acts = ["kings of noise", "king of noise", "los de siempre", "siempre", "banda", "sol fest 2026", "festival sol", "matinee kids", "u2", "the the", "maria lopez", "maria lopez trio", "abc def ghi", "adg", ""]
-    venues = ["", "sala sol", "sol", "sala sola", "club luna", "luna"]
-    return [(k, DAY(2026, 5, 1 + k % 3), [rng.choice(acts)] + [rng.choice(acts) for _ in range(rng.randint(0, 2))], rng.choice(venues), rng.randint(1, 4), rng.choice([None, 1080, 1200, 1260, 1380])) for k in range(n)]
-
-
-@pytest.mark.parametrize("seed", [1, 2])
-def test_clusters_equal_first_fit_over_whole_days(spark, seed):
-    rows = random_rows(150, seed)
-    got = {r[0]: r[1] for r in cluster.clusters(spark.createDataFrame(rows, "row_id long, day date, names array<string>, venue string, priority int, minutes int"), ["day"], RULES).collect()}
-    expected = {}
-    for day in {r[1] for r in rows}:
-        own = [Announcement(r[0], [n for n in r[2] if n], r[3], r[4], r[5]) for r in rows if r[1] == day]
-        for c in cluster.first_fit([a for a in own if a.names], RULES):
-            expected |= {a.row_id: min(x.row_id for x in c) for a in c}
-        expected |= {a.row_id: a.row_id for a in own if not a.names}
-    assert got == expected and len(set(got.values())) < len(rows)
 
 
 SCHEMA = "row_id long, day date, name string, guests array<string>, venue string, city string, minutes int, price string, url string, source string"
@@ -115,4 +90,4 @@ def test_alias_pairs_against_all_pairs(spark):
     names = sorted({" ".join(rng.choice(words) for _ in range(rng.randint(1, 3))) for _ in range(60)})
     got = {(r[0], r[1]) for r in evidence.alias_pairs(spark.createDataFrame([(n,) for n in names], "key string"), "key", 90.0).collect()}
     alike = {(a, b) for a in names for b in names if a < b and ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split()))) >= 90}
-    assert got <= alike and len(got) >= 0.9 * len(alike) > 0
+    assert got == alike and alike
