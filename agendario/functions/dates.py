@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import norm_key
+
 #: Month names of the listings' language (fixed values).
 MONTHS = ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto", "septiembre", "octubre", "noviembre", "diciembre")
+ENGLISH_MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 
 
 def parse_hour(text: Column) -> Column:
@@ -35,23 +38,43 @@ def infer_year(day: Column, month: Column, today: Column, back: int = 45) -> Col
     return F.when(now >= F.date_sub(today, back), now).otherwise(after)
 
 
-def parse_date(text: Column, today: Column) -> Column:
-    """ISO, ``d/m/y`` or ``17 de octubre [de 2026]``, in this order; null if none or no such day."""
-    iso = F.regexp_extract(text, r"(\d{4}-\d{2}-\d{2})", 1)
-    d, m, y = (F.regexp_extract(text, r"(\d{1,2})/(\d{1,2})/(\d{4}|\d{2})", i) for i in (1, 2, 3))
-    slashed = F.concat_ws("-", F.when(F.length(y) == 2, F.concat(F.lit("20"), y)).otherwise(y), F.lpad(m, 2, "0"), F.lpad(d, 2, "0"))
-    named = rf"(\d{{1,2}}) de ({'|'.join(MONTHS)})(?: de (\d{{4}}))?"
-    lower = F.lower(text)
-    day, name, year = (F.regexp_extract(lower, named, i) for i in (1, 2, 3))
-    month = F.array_position(F.array(*map(F.lit, MONTHS)), name).cast("int")
-    with_year = F.concat_ws("-", year, F.lpad(month.cast("string"), 2, "0"), F.lpad(day, 2, "0"))
-
-    def valid(x: Column) -> Column:
-        return F.try_to_timestamp(x, F.lit("yyyy-MM-dd")).cast("date")
-
+def _month_numbers() -> dict[str, int]:
+    """Names and usual short forms of the months in both languages, by their numbers."""
+    out = {name: i for i, name in enumerate(MONTHS, 1)} | {"setiembre": 9, "sept": 9, "set": 9}
+    for names in (MONTHS, ENGLISH_MONTHS):
+        out |= {name[:3]: i for i, name in enumerate(names, 1) if name[:3] not in out}
+    return out | {name: i for i, name in enumerate(ENGLISH_MONTHS, 1)}
+
+
+def parse_date(text: Column, today: Column, year: Column | None = None) -> Column:
+    """The date that a text names, by the first notation that it has; null if none, or if there is no such day.
+
+    In this order: ``2026-10-17``; ``17/10/2026``, ``17.10.26``, ``17-10-2026``; ``[sábado] 17 [de] octubre [[de] 2026]`` with short and
+    English names, where what is no month is passed over; ``October 17[, 2026]``. Without a year it is ``year``, else the
+    one nearest to ``today`` that isn't over 45 days past.
+    """
+    numbers = F.create_map(*[F.lit(x) for pair in _month_numbers().items() for x in pair])
+    key = norm_key(text)
+
+    def valid(y: Column, m: Column, d: Column) -> Column:
+        return F.try_to_timestamp(F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), F.lit("yyyy-MM-dd")).cast("date")
+
+    def spoken(d: Column, m: Column, y: Column) -> Column:
+        """Of a day, a month's number and a year that may be empty."""
+        day, month = d.cast("int"), m.cast("string")
+        there = valid(year.cast("string"), month, d) if year is not None else infer_year(day, m, today)
+        return F.when(y != "", valid(y, month, d)).otherwise(there)
+
+    iy, im, id_ = (F.regexp_extract(text, r"(20\d\d)-(\d{1,2})-(\d{1,2})", i) for i in (1, 2, 3))
+    d, m, y = (F.regexp_extract(text, r"\b(\d{1,2})[/.-](\d{1,2})[/.-](20\d\d|\d\d)\b", i) for i in (1, 2, 3))
+    day_first = r"\b(\d{1,2})\s+(?:de\s+)?([a-z]+)(?:\s+(?:de\s+)?(20\d\d))?\b"
+    named = F.transform(F.regexp_extract_all(key, F.lit(day_first), F.lit(0)), lambda x: F.struct(F.regexp_extract(x, day_first, 1).alias("d"), F.element_at(numbers, F.regexp_extract(x, day_first, 2)).alias("m"), F.regexp_extract(x, day_first, 3).alias("y")))
+    first = F.get(F.filter(named, lambda x: x["m"].isNotNull()), F.lit(0))
+    month_first = r"\b([a-z]+)\s+(\d{1,2})(?:\s+(20\d\d))?\b"
+    em, ed, ey = F.element_at(numbers, F.regexp_extract(key, month_first, 1)), F.regexp_extract(key, month_first, 2), F.regexp_extract(key, month_first, 3)
     return (
-        F.when(iso != "", valid(iso)).when(d != "", valid(slashed)).when(year != "", valid(with_year))
-        .when(day != "", infer_year(F.nullif(day, F.lit("")).cast("int"), month, today))
+        F.when(iy != "", valid(iy, im, id_)).when(d != "", valid(F.when(F.length(y) == 2, F.concat(F.lit("20"), y)).otherwise(y), m, d))
+        .when(first.isNotNull(), spoken(first["d"], first["m"], first["y"])).when(em.isNotNull(), spoken(F.nullif(ed, F.lit("")), em, ey))
     )
 
 
