@@ -65,12 +65,12 @@ def parse_date(text: Column, today: Column, year: Column | None = None) -> Colum
         there = valid(year.cast("string"), month, d) if year is not None else infer_year(day, m, today)
         return F.when(y != "", valid(y, month, d)).otherwise(there)
 
-    iy, im, id_ = (F.regexp_extract(text, r"(20\d\d)-(\d{1,2})-(\d{1,2})", i) for i in (1, 2, 3))
-    d, m, y = (F.regexp_extract(text, r"\b(\d{1,2})[/.-](\d{1,2})[/.-](20\d\d|\d\d)\b", i) for i in (1, 2, 3))
-    day_first = r"\b(\d{1,2})\s+(?:de\s+)?([a-z]+)(?:\s+(?:de\s+)?(20\d\d))?\b"
+    iy, im, id_ = (F.regexp_extract(text, r"((?:19|20)\d\d)-(\d{1,2})-(\d{1,2})", i) for i in (1, 2, 3))
+    d, m, y = (F.regexp_extract(text, r"\b(\d{1,2})[/.-](\d{1,2})[/.-]((?:19|20)\d\d|\d\d)\b", i) for i in (1, 2, 3))
+    day_first = r"\b(\d{1,2})\s+(?:de\s+)?([a-z]+)(?:\s+(?:de\s+)?((?:19|20)\d\d))?\b"
     named = F.transform(F.regexp_extract_all(key, F.lit(day_first), F.lit(0)), lambda x: F.struct(F.regexp_extract(x, day_first, 1).alias("d"), F.element_at(numbers, F.regexp_extract(x, day_first, 2)).alias("m"), F.regexp_extract(x, day_first, 3).alias("y")))
     first = F.get(F.filter(named, lambda x: x["m"].isNotNull()), F.lit(0))
-    month_first = r"\b([a-z]+)\s+(\d{1,2})(?:\s+(20\d\d))?\b"
+    month_first = r"\b([a-z]+)\s+(\d{1,2})(?:\s+((?:19|20)\d\d))?\b"
     em, ed, ey = F.element_at(numbers, F.regexp_extract(key, month_first, 1)), F.regexp_extract(key, month_first, 2), F.regexp_extract(key, month_first, 3)
     return (
         F.when(iy != "", valid(iy, im, id_)).when(d != "", valid(F.when(F.length(y) == 2, F.concat(F.lit("20"), y)).otherwise(y), m, d))
