@@ -22,7 +22,7 @@ def chosen_pages(pages: DataFrame, most: int = 3) -> DataFrame:
     rows = pages.select("*", best)
     first = rows.groupBy("record").agg(F.min("best").alias("b")).select("record", "b.url", "b.host", F.lit(0).alias("n"))
     rest = rows.where(F.col("gaps") & (F.col("host") != F.col("best.host"))).groupBy("record", "host").agg(F.min(F.struct("position", "url")).alias("p"))
-    placed = rest.select("record", "p.url", "host", F.row_number().over(Window.partitionBy("record").orderBy("p.position", "p.url")).alias("n")).where(F.col("n") < most)
+    placed = rest.select("record", "p.url", "host", F.row_number().over(Window.partitionBy("record").orderBy("p.position", "p.url", "host")).alias("n")).where(F.col("n") < most)
     return first.unionByName(placed)
 
 

@@ -24,7 +24,7 @@ def pages_within_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH p AS (SELECT l_orderkey AS record, 'u' || l_linenumber AS url, 'h' || l_suppkey % 5 AS host, l_linenumber AS position, l_returnflag = 'R' AS official, l_orderkey % 2 = 0 AS gaps FROM lineitem),
 b AS (SELECT record, arg_min(url, ROW(NOT official, position, url, host)) AS url, arg_min(host, ROW(NOT official, position, url, host)) AS host FROM p GROUP BY record),
-r AS (SELECT p.record, p.host, min(ROW(p.position, p.url)) AS x FROM p JOIN b USING (record) WHERE p.gaps AND p.host <> b.host GROUP BY ALL), n AS (SELECT record, arg.url, host, n FROM (SELECT record, host, row_number() OVER (PARTITION BY record ORDER BY x) AS n, x FROM r), LATERAL (SELECT x[2] AS url) AS arg WHERE n < 3)
+r AS (SELECT p.record, p.host, min(ROW(p.position, p.url)) AS x FROM p JOIN b USING (record) WHERE p.gaps AND p.host <> b.host GROUP BY ALL), n AS (SELECT record, arg.url, host, n FROM (SELECT record, host, row_number() OVER (PARTITION BY record ORDER BY x, host) AS n, x FROM r), LATERAL (SELECT x[2] AS url) AS arg WHERE n < 3)
 SELECT record, url, host, 0 AS n FROM b UNION ALL SELECT record, url, host, CAST(n AS INT) FROM n""")
 def pages_chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = table(spark, sf_dir, "lineitem")  # noqa: E741
