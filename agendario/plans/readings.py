@@ -84,3 +84,25 @@ def upsert_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = o.where("o_orderkey % 3 = 0").groupBy(F.col("o_custkey").alias("k")).agg(status).withColumn("status", F.when(F.col("k") % 7 > 0, F.col("status")))
     asked = c.where("c_custkey % 5 > 0").select(F.col("c_custkey").alias("k"))
     return deep.upsert(stored, batch, asked, "k", ["status"], F.lit("d1"))[1].select("k", "outcome")
+
+
+@query("""WITH o AS (SELECT o_custkey % 300 AS cluster_id, o_orderkey AS row_id, o_orderkey % 3 AS priority, CASE WHEN o_orderkey % 4 = 0 THEN [md5('a' || o_custkey % 11), md5('b' || o_orderkey % 5)] WHEN o_orderkey % 4 = 1 THEN [md5('a' || o_custkey % 11)] ELSE [md5('c' || o_orderkey % 4)] END AS names FROM orders WHERE o_orderkey % 6 < 5),
+e AS (SELECT cluster_id, priority, row_id, unnest(names) AS name, generate_subscripts(names, 1) AS n FROM o), f AS (SELECT cluster_id, name, min(ROW(priority, row_id, n)) AS place FROM e GROUP BY ALL)
+SELECT cluster_id, 'Fest ' || cluster_id AS festival, string_agg(name, ',' ORDER BY place) AS artists FROM f GROUP BY cluster_id""")
+def festival_line_ups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-ups out of titles with lists and of names beside titles; the names are only like themselves."""
+    from ..operators import lineups
+    from ..operators.matching import Rules
+
+    o = table(spark, sf_dir, "orders").where("o_orderkey % 6 < 5")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+
+    def code(letter: str, number):
+        return F.md5(F.concat(F.lit(letter), number.cast("string")))
+
+    title = F.concat(F.lit("Fest "), (c % 300).cast("string"))
+    names = (
+        F.when(k % 4 == 0, F.array(F.concat(title, F.lit(" ("), code("a", c % 11), F.lit(", "), code("b", k % 5), F.lit(")")))).when(k % 4 == 1, F.array(F.concat(title, F.lit(": "), code("a", c % 11)))).otherwise(F.array(title, code("c", k % 4)))
+    )
+    found = lineups.line_ups(o.select((c % 300).alias("cluster_id"), k.alias("row_id"), (k % 3).cast("int").alias("priority"), names.alias("names"), F.lit(None).cast("boolean").alias("festival")), Rules())
+    return found.select("cluster_id", "festival", F.array_join("artists", ",").alias("artists"))
