@@ -44,15 +44,16 @@ def prepare(listings: DataFrame, sources: DataFrame, towns: DataFrame, venues: D
         F.when(F.coalesce(is_filler(F.col("name"), filler), F.lit(True)), "no name").when(F.col("day").isNull() | (F.col("day") < first) | (F.col("day") > last), "day")
         .when(F.col("town").isNull(), "town")
     )
-    marked = placed.withColumn("reason", reason).withColumn("broken", F.coalesce(broken, F.lit(False)))
-    marked = written(marked.drop("source_town", "city_town", "venue_town"), "marked")
-    cleaner = marked.where("NOT broken AND reason IS NULL").select("day", "town").distinct().withColumn("clean", F.lit(True))
-    marked = marked.join(cleaner, ["day", "town"], "left")
-    marked = marked.withColumn("reason", F.when(F.col("reason").isNull() & F.col("broken") & F.col("clean"), "encoding").otherwise(F.col("reason"))).drop("broken", "clean")
-    kept = marked.where(F.col("reason").isNull()).drop("reason")
+    marked = placed.withColumn("reason", reason).withColumn("broken", F.coalesce(broken, F.lit(False))).drop("source_town", "city_town", "venue_town")
+    # Only what is in scope is written; the rest is counted where somebody asks for it.
+    likely = written(marked.where(F.col("reason").isNull()).drop("reason"), "in-scope")
+    cleaner = likely.where("NOT broken").select("day", "town").distinct().withColumn("clean", F.lit(True))
+    likely = likely.join(cleaner, ["day", "town"], "left").withColumn("worse", F.col("broken") & F.coalesce("clean", F.lit(False))).drop("broken", "clean")
+    kept = likely.where("NOT worse").drop("worse")
     spelling = resolve.best_spelling(kept.where("venue_key <> ''"), "venue_key", "venue").select("venue_key", "spelling")
     kept = kept.join(spelling, "venue_key", "left").withColumn("venue", F.coalesce("spelling", "venue")).drop("spelling")
-    return kept, marked.where(F.col("reason").isNotNull()).groupBy("source", "reason").agg(F.count("*").alias("n"))
+    rejected = marked.where(F.col("reason").isNotNull()).select("source", "reason").unionByName(likely.where("worse").select("source", F.lit("encoding").alias("reason")))
+    return kept, rejected.groupBy("source", "reason").agg(F.count("*").alias("n"))
 
 
 def records(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:

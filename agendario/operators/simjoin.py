@@ -32,8 +32,8 @@ def _grams(texts: DataFrame, block: list[str], least: float, q: int) -> DataFram
 def _prefixes(texts: DataFrame, block: list[str], frequency: DataFrame, least: float, q: int) -> DataFrame:
     placed = _grams(texts, block, least, q).join(frequency, "gram")
     each = placed.groupBy(*block, "s", "size").agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("grams"))
-    first = F.slice("grams", F.lit(1), q * _most(F.col("size"), least) + 1)
-    return each.select(*block, "s", "size", F.explode(first).alias("g")).select(*block, "s", "size", "g.gram")
+    first = F.transform(F.slice("grams", F.lit(1), q * _most(F.col("size"), least) + 1), lambda g: g["gram"])
+    return each.select(*block, "s", "size", first.alias("prefix")).select("*", F.explode("prefix").alias("gram"))
 
 
 def alike(left: DataFrame, right: DataFrame, block: list[str], least: float = 90.0) -> DataFrame:
@@ -47,12 +47,14 @@ def alike(left: DataFrame, right: DataFrame, block: list[str], least: float = 90
     a, b = (df.select(*block, "s").where("s <> ''").distinct() for df in (left, right))
     frequency = _grams(a.select("s").unionByName(b.select("s")), [], least, q).groupBy("gram").agg(F.count("*").alias("n"))
     # The grams' table is as small as the alphabet's powers; Spark broadcasts it where it is.
-    x = _prefixes(a, block, frequency, least, q).withColumnsRenamed({"s": "a", "size": "a_size"})
-    y = _prefixes(b, block, frequency, least, q).withColumnsRenamed({"s": "b", "size": "b_size"})
+    x = _prefixes(a, block, frequency, least, q).withColumnsRenamed({"s": "a", "size": "a_size", "prefix": "a_prefix"})
+    y = _prefixes(b, block, frequency, least, q).withColumnsRenamed({"s": "b", "size": "b_size", "prefix": "b_prefix"})
     far = (1 - least / 100) * (F.col("a_size") + F.col("b_size")) + 1e-9
     met = x.join(y, [*block, "gram"]).where((F.abs(F.col("a_size") - F.col("b_size")) <= far) & (F.col("a") != F.col("b")))
+    # A pair is taken where it meets first: at the rarest gram of both prefixes, which are in one order.
+    once = F.get(F.array_intersect("a_prefix", "b_prefix"), F.lit(0)) == F.col("gram")
     # A replacement counts two in an indel distance and one in Levenshtein's, which is banded and runs in the JVM.
     near = F.expr(f"levenshtein(a, b, CAST(floor({1 - least / 100!r}D * (a_size + b_size) + 1e-9D) AS INT)) >= 0")
-    pairs = met.select(*block, "a", "b", "a_size", "b_size").distinct().where(near).drop("a_size", "b_size").withColumn("ratio", indel_ratio(F.col("a"), F.col("b"))).where(F.col("ratio") >= least)
+    pairs = met.where(once & near).select(*block, "a", "b").withColumn("ratio", indel_ratio(F.col("a"), F.col("b"))).where(F.col("ratio") >= least)
     same = a.join(b, [*block, "s"], "left_semi").select(*block, F.col("s").alias("a"), F.col("s").alias("b"), F.lit(100.0).alias("ratio"))
     return pairs.unionByName(same)
