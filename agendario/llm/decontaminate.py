@@ -1,13 +1,21 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs without white space and ASCII punctuation, A-Z lower-cased. The ``SEED``-word grams of the
-test items are looked for in all documents, and every one is a seed, however many documents hold it:
-what is found in a document does not depend on the others. Passages around the seeds are cut out of the
-documents, once for each class of item lengths (powers of two), so that a long item widens no passage of shorter
-ones; passages and items meet in a join on class and seed, and each pair is aligned locally (match 1,
-mismatch and gap -1). A pair counts as contamination if its score is at least ``LEAST`` of the item's
-words, and ``LEAST_SCORE`` or the whole item. A score is at most the number of the item's words that the
-passage holds; pairs in which that is too low (most pairs that share only a phrase) are not aligned.
+test items are looked for in all documents. Passages around them are cut out of the documents, once for each class
+of item lengths (powers of two), so that a long item widens no passage of shorter ones.
+
+A passage is compared with an item if it holds at least ``SHARED`` of the item's distinct grams, rounded down, and
+one at least. The seeds of an item with n grams of which k are needed are its n - k + 1 rarest ones, by the number of
+passages that hold them: whatever holds k grams holds one of these. So the frequent phrases of an item join
+nothing, and still what is found in a document does not depend on the others: counts choose the way, never the
+result. Passages and seeds meet in a join on class and gram that carries ids only; each pair's words follow once.
+
+A pair is aligned locally (match 1, mismatch and gap -1) and counts as contamination if its score is at least
+``LEAST`` of the item's words, and ``LEAST_SCORE`` or the whole item. A score is at most the number of the item's
+words that the passage holds; pairs in which that or the shared grams are too few are not aligned.
+
+Up to ``MOST_EXACT`` seeds are counted and broadcast, so that no passage is shuffled to meet them; more of them meet the
+passages under ``SALTS`` salts, and so do the words of items, since one item may be in a third of all documents.
 
 Which grams occur in a document is first asked of a bit table of at most ``MAX_SLOTS`` bits for each class, and of at
 most ``MOST_EXACT`` grams, all that is broadcast; a larger benchmark makes it less selective, never wrong, because
@@ -24,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import stored, table
@@ -34,10 +42,14 @@ SEED = 3
 LEAST = 0.4
 #: Below this score, only a whole item counts: a few common words meet by chance.
 LEAST_SCORE = 8
+#: Share of an item's distinct grams that a passage must hold.
+SHARED = 0.15
 MAX_SLOTS = 1 << 28
 SLOTS_PER_GRAM = 64
 MOST_EXACT = 1 << 20
 CHUNK_BITS = 1 << 20
+#: Parts into which a gram or an item that very many passages hold is dealt.
+SALTS = 16
 #: Items of at most 2 ** LEAST_CLASS words are one class.
 LEAST_CLASS = 6
 #: Words of a passage at least, before passages of a long document are split (with overlap).
@@ -65,18 +77,45 @@ def item_words(items: DataFrame) -> DataFrame:
     return items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "item_id long, words binary, n_words int")
 
 
+def needed(n_grams: np.ndarray | int) -> np.ndarray | int:
+    """How many of an item's distinct grams a passage must hold."""
+    return np.maximum(1, np.floor(SHARED * np.asarray(n_grams))).astype(int)
+
+
 def item_grams(items: DataFrame) -> DataFrame:
-    """(item_id, words, class, gram) for every distinct gram of an item; its class is the power of two that bounds its words."""
+    """(item, class, need, gram) for every distinct gram of an item; its class is the power of two that bounds its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [np.frombuffer(w, np.uint64) for w in batch.column(1).to_pylist()]
             grams = [np.unique(window_hashes(w, SEED)).view(np.int64).tolist() for w in own]
             classes = [max(LEAST_CLASS, (max(len(w), 1) - 1).bit_length()) for w in own]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(classes, pa.int32()), pa.array(grams, pa.list_(pa.int64()))], ["item_id", "words", "class", "grams"])
+            columns = [batch.column(0), pa.array(classes, pa.int32()), pa.array(needed([len(g) for g in grams]), pa.int32()), pa.array(grams, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["item", "class", "need", "grams"])
+
+    found = items.select("item", "words").mapInArrow(run, "item long, class int, need int, grams array<long>")
+    return found.select("item", "class", "need", F.explode("grams").alias("gram"))
+
+
+def rare_seeds(grams: DataFrame, held: DataFrame) -> DataFrame:
+    """(item, class, gram): the grams of each item that fewest passages hold (``held``: passage, class, gram), as many as the docstring says."""
+    counts = held.groupBy("class", "gram").agg(F.count("*").alias("n"))
+    # One item's grams, which one row held before.
+    own = Window.partitionBy("item")
+    ranked = grams.join(counts, ["class", "gram"], "left").select(
+        "item", "class", "gram", "need", "n", F.row_number().over(own.orderBy(F.coalesce("n", F.lit(0)), "gram")).alias("rank"), F.count("*").over(own).alias("grams")
+    )
+    return ranked.where("rank <= grams - need + 1 AND n IS NOT NULL").select("item", "class", "gram")
+
 
-    found = items.select("item_id", "words").mapInArrow(run, "item_id long, words binary, class int, grams array<long>")
-    return found.select("item_id", "words", "class", F.explode("grams").alias("gram"))
+def meetings(held: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Distinct (passage, item) that share a seed."""
+    if seeds.count() <= MOST_EXACT:
+        met = held.join(F.broadcast(seeds), ["class", "gram"])
+    else:
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+        met = held.withColumn("salt", F.pmod(F.col("passage"), F.lit(SALTS)).cast("int")).join(seeds.select("*", salts), ["class", "gram", "salt"])
+    return met.select("passage", "item").distinct()
 
 
 class BitTable:
@@ -189,14 +228,18 @@ def least_score(n_words: np.ndarray, least: float) -> np.ndarray:
 
 def contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     """doc_id, item_id, score, n_words (of the item), start and end (words of the document)."""
-    tests = stored(item_words(items), "items")
+    tests = stored(item_words(items).withColumn("item", F.monotonically_increasing_id()), "items")
     grams = stored(item_grams(tests), "grams")
     found = stored(passages(docs, grams).withColumn("passage", F.monotonically_increasing_id()), "passages")
-    pairs = found.select("passage", "class", F.explode("grams").alias("gram")).join(grams, ["class", "gram"]).select("passage", "item_id", F.col("words").alias("item")).distinct()
+    held = found.select("passage", "class", F.explode("grams").alias("gram"))
+    pairs = meetings(held, stored(rare_seeds(grams, held), "seeds"))
 
     def may_count(passage: bytes, item: bytes) -> bool:
-        words = np.frombuffer(item, np.uint64)
-        return np.isin(words, np.frombuffer(passage, np.uint64)).sum() >= least_score(len(words), least)
+        words, own = np.frombuffer(item, np.uint64), np.frombuffer(passage, np.uint64)
+        if np.isin(words, own).sum() < least_score(len(words), least):
+            return False
+        grams = np.unique(window_hashes(words, SEED))
+        return np.isin(grams, window_hashes(own, SEED)).sum() >= needed(len(grams))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,7 +258,10 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Dat
                 )
                 yield rows.filter(pa.array(score >= least_score(n, least)))
 
-    met = pairs.join(found.select("passage", "doc_id", "start", "words"), "passage").select("doc_id", "start", "words", "item_id", "item")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    dealt = pairs.withColumn("salt", F.pmod(F.col("passage"), F.lit(SALTS)).cast("int"))
+    with_items = dealt.join(tests.select("item", "item_id", F.col("words").alias("item_words"), salts), ["item", "salt"])
+    met = with_items.join(found.select("passage", "doc_id", "start", "words"), "passage").select("doc_id", "start", "words", "item_id", "item_words")
     aligned = met.mapInArrow(run, "doc_id long, item_id long, score long, n_words long, start long, end long")
     best = F.max_by(F.struct("score", "n_words", "start", "end"), F.struct("score", -F.col("start"))).alias("best")
     return aligned.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")

@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 
@@ -83,13 +84,84 @@ def test_a_very_long_item_widens_no_passage_of_the_others(spark):
     rng = random.Random(6)
     short, long = cases.prose(rng, 20).replace("\n", " "), " ".join(f"long{k}" for k in range(3000))
     docs = spark.createDataFrame([(1, cases.prose(rng, 5000) + " " + short + " " + cases.prose(rng, 5000)), (2, "so " + long + " end"), (3, cases.prose(rng, 300))], "doc_id long, text string")
-    items = decontaminate.item_words(spark.createDataFrame([(1, short), (2, long)], "item_id long, text string"))
+    items = decontaminate.item_words(spark.createDataFrame([(1, short), (2, long)], "item_id long, text string")).selectExpr("item_id AS item", "words")
     found = decontaminate.passages(docs, decontaminate.item_grams(items)).collect()
     assert all(len(r["words"]) // 8 <= 400 for r in found if r["doc_id"] == 1)
     got = decontaminate.contaminated(docs, spark.createDataFrame([(1, short), (2, long)], "item_id long, text string")).collect()
     assert sorted((r["doc_id"], r["item_id"], r["score"]) for r in got) == [(1, 1, 20), (2, 2, 3000)]
 
 
+def corpus(seed):
+    """Documents with whole, edited and partial items and stray grams of them; all items begin with the same question."""
+    rng = random.Random(seed)
+    items = ["which of the following is true about " + cases.prose(rng, n).replace("\n", " ") for n in (3, 9, 20, 34, 60)]
+    docs = []
+    for k in range(120):
+        item = items[k % 5]
+        words = item.split(" ")
+        kind = k % 8
+        if kind < 3:
+            inside = edited(rng, item, 0.1 * kind)
+        elif kind == 3:
+            inside = " ".join(words[: len(words) // 2])
+        elif kind == 4:
+            inside = " ".join(words[len(words) // 3 :])
+        elif kind == 5:
+            inside = "which of the following is true about " + cases.prose(rng, 12)
+        else:
+            inside = " ".join(words[9:13])
+        docs.append((k, cases.prose(rng, 25) + " " + inside + " " + cases.prose(rng, 25)))
+    return docs, list(enumerate(items))
+
+
+def tokens(text):
+    return re.sub(r"[^0-9A-Za-z]+", " ", text).lower().split()
+
+
+def all_pairs(docs, items):
+    """Every pair of a document and an item, aligned plainly."""
+    numbers, out = {}, {}
+    for d, text in docs:
+        for i, item in items:
+            a, b = ([numbers.setdefault(w, len(numbers)) for w in tokens(t)] for t in (text, item))
+            grams, own = {tuple(b[k : k + 3]) for k in range(len(b) - 2)}, {tuple(a[k : k + 3]) for k in range(len(a) - 2)}
+            score = smith_waterman(a, b)
+            if len(grams & own) >= max(1, int(0.15 * len(grams))) and score >= min(len(b), max(decontaminate.LEAST * len(b), decontaminate.LEAST_SCORE)):
+                out[d, i] = score
+    return out
+
+
+def found_pairs(spark, docs, items):
+    rows = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    return {(r["doc_id"], r["item_id"]): r["score"] for r in rows}
+
+
+def test_against_all_pairs(spark):
+    docs, items = corpus(5)
+    expected = all_pairs(docs, items)
+    assert len(expected) > 40 and found_pairs(spark, docs, items) == expected
+
+
+def test_many_seeds_meet_under_salts(spark, monkeypatch):
+    docs, items = corpus(6)
+    monkeypatch.setattr(decontaminate, "MOST_EXACT", 10)
+    assert found_pairs(spark, docs, items) == all_pairs(docs, items)
+
+
+def test_frequent_grams_are_no_seeds_and_any_passage_with_enough_grams_has_a_seed(spark):
+    rng = random.Random(1)
+    grams = [(item, 6, int(decontaminate.needed(20)), item * 100 + g if g > 2 else g) for item in range(4) for g in range(20)]
+    held = [(p, 6, g) for p in range(300) for g in range(3)] + [(1000 + p, 6, item * 100 + g) for p in range(200) for item in [p % 4] for g in rng.sample(range(3, 20), 3)]
+    seeds = decontaminate.rare_seeds(spark.createDataFrame(grams, "item long, class int, need int, gram long"), spark.createDataFrame(held, "passage long, class int, gram long")).collect()
+    by_item = {i: {r["gram"] for r in seeds if r["item"] == i} for i in range(4)}
+    assert all(len(s & {0, 1, 2}) <= 1 for s in by_item.values())
+    of = {}
+    for p, _, g in held:
+        of.setdefault(p, set()).add(g)
+    own = {i: {g for j, _, _, g in grams if j == i} for i in range(4)}
+    assert all(of[p] & by_item[i] for p in of for i in range(4) if len(of[p] & own[i]) >= decontaminate.needed(20))
+
+
 def test_stage_decides_by_row(spark, tmp_path):
     rng = random.Random(2)
     item, clean = cases.prose(rng, 40).replace("\n", " "), cases.prose(rng, 60)
