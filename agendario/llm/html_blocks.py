@@ -3,8 +3,12 @@
 A page is cut into flat blocks at block-level tags. A block's features are its word count and
 link density, those of its two neighbours, and element facts: heading, list item, within an article, within
 navigation and the like by element or role, after the page's first heading, whether the page marks an
-article at all, and whether an enclosing element is named as a whole (class or id) by one of a few ``NAMES``. A decision
-tree over them is trained on ``LABELLED``, a small table of page layouts with a label for every block, filled with
+article at all, and whether a word of an enclosing element's class or id is one of ``NAMES``. Six more tell without
+names what is set apart from running text: whether a box (``div``, ``section``) among paragraphs holds the block, the
+box's share of the words there, whether it has a class or id of its own, whether it has a heading, how many boxes
+without a heading are alike (element and class) around, beside or in it, as comments of readers are, and whether the block stands
+in the box of the page's first heading. A decision
+tree over all of them is trained on ``LABELLED``, a small table of page layouts with a label for every block, filled with
 words of varying number, and decides which blocks are main text.
 
 Script, style, form controls, comments and markup never become text. Character references
@@ -51,11 +55,18 @@ _INLINE = frozenset(
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose nesting counts for where a block stands.
 _AREAS = frozenset("html head body nav header footer aside form dialog menu article main section div ul ol table details address figure blockquote span".split())
+#: Those of them that group blocks; within lists, quotations and the like blocks count as standing around these.
+_BOXES = frozenset("html body header footer nav aside form dialog article main section div".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _BOILER_TAGS = frozenset("head nav footer aside form dialog menu".split())
 _BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
-#: Whole class or id names of parts that no element tells.
-NAMES = frozenset("ad ads advert advertisement comments comment-list comment-respond cookie-banner cookie-notice newsletter sidebar related share".split())
+#: Words of class and id names of parts that no element tells, and words that make a name one of a state of the page.
+NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising sponsored sponsor promo promotion banner comment comments respond responses discussion disqus"
+    " cookie cookies consent gdpr notice newsletter subscribe sidebar related recommended share sharing social breadcrumb breadcrumbs pagination popup".split()
+)
+STATES = frozenset("has with without no not is open closed enabled disabled js".split())
+_NAME_WORD = re.compile(r"[a-z]+")
 _ATTR = re.compile(r"""(?<![\w-])(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 
 
@@ -71,6 +82,13 @@ class Block:
     outside: bool = False
     article: bool = False
     named: bool = False
+    at: int = 0
+    boxed: bool = False
+    share: float = 1.0
+    own_name: bool = False
+    box_headed: bool = False
+    alike: int = 0
+    with_head: bool = False
 
     @property
     def link_density(self) -> float:
@@ -83,6 +101,20 @@ class _Area:
     outside: bool = False
     article: bool = False
     named: bool = False
+    said: str = ""
+    at: int = 0
+
+
+@dataclass
+class _Box:
+    """An element that groups blocks; ``direct`` paragraphs stand in it and in no box within."""
+
+    parent: int
+    name: str
+    said: str
+    words: int = 0
+    direct: int = 0
+    headed: bool = False
 
 
 @dataclass
@@ -99,14 +131,61 @@ def _entered(name: str, attrs: str, outer: _Area) -> _Area:
     article = outer.article or name in ("article", "main") or said.get("role") in ("main", "article")
     hidden = "hidden" in said or said.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", said.get("style", "")))
     outside = name in _BOILER_TAGS or said.get("role") in _BOILER_ROLES or hidden or (name == "header" and not outer.article)
+    names = f"{said.get('class', '')} {said.get('id', '')}".strip()
     # The page's own frame may be named after what it holds.
-    named = name not in ("html", "body", "main", "article") and not NAMES.isdisjoint(f"{said.get('class', '')} {said.get('id', '')}".split())
-    return _Area(name, outer.outside or outside, article, outer.named or named)
+    named = name not in ("html", "body", "main") and (name != "article" or outer.article) and any(_names_a_part(n) for n in names.split())
+    return _Area(name, outer.outside or outside, article, outer.named or named, names)
+
+
+def _names_a_part(name: str) -> bool:
+    words = _NAME_WORD.findall(name)
+    return not NAMES.isdisjoint(words) and STATES.isdisjoint(words)
+
+
+def _set_apart(found: list[Block], boxes: list[_Box]) -> None:
+    """Fills in what the boxes of a page tell about its blocks."""
+    for b in found:
+        box = boxes[b.at]
+        box.words += b.words
+        box.headed |= b.heading
+        box.direct += not (b.heading or b.item) and b.link_density < 0.5
+    alike: dict[tuple[int, str, str], int] = {}
+    for k in range(len(boxes) - 1, 0, -1):
+        box = boxes[k]
+        outer = boxes[box.parent]
+        outer.words += box.words
+        outer.headed |= box.headed
+        if box.words and not box.headed and box.name in ("div", "section"):
+            key = box.parent, box.name, box.said
+            alike[key] = alike.get(key, 0) + 1
+    most = [0] * len(boxes)
+    for (k, _, _), n in alike.items():
+        most[k] = max(most[k], n)
+    # The box that sets a block apart: the outermost one below the article that stands among paragraphs.
+    apart, around = [-1] * len(boxes), [0] * len(boxes)
+    head = next((b.at for b in found if b.heading and not b.outside), -1)
+    head = boxes[head].parent if head > 0 and boxes[head].name == "header" else head
+    under = [k == head for k in range(len(boxes))]
+    for k, box in enumerate(boxes[1:], 1):
+        outer = boxes[box.parent]
+        under[k] |= under[box.parent]
+        around[k] = max(around[box.parent], alike.get((box.parent, box.name, box.said), 0))
+        if box.name in ("div", "section"):
+            apart[k] = k if apart[box.parent] < 0 and outer.direct >= 2 else apart[box.parent]
+    for b in found:
+        k = apart[b.at]
+        b.alike, b.with_head = max(around[b.at], most[b.at]), under[b.at]
+        if k >= 0:
+            box = boxes[k]
+            b.boxed, b.own_name, b.box_headed = True, bool(box.said), box.headed
+            b.share = box.words / max(1, boxes[box.parent].words)
+            b.alike = max(b.alike, most[k])
 
 
 def blocks(page: str) -> list[Block]:
     """The flat blocks of a page, in order, boilerplate included."""
     state, out, at = _State(), [], 0
+    boxes = [_Box(0, "", "")]
 
     def close() -> None:
         if state.parts:
@@ -114,7 +193,7 @@ def blocks(page: str) -> list[Block]:
             if text:
                 linked = " ".join("".join(t if link else " " for t, link in state.parts).split())
                 area = state.areas[-1]
-                out.append(Block(text, text.count(" ") + 1, linked.count(" ") + 1 if linked else 0, state.heading, state.item, area.outside, area.article, area.named))
+                out.append(Block(text, text.count(" ") + 1, linked.count(" ") + 1 if linked else 0, state.heading, state.item, area.outside, area.article, area.named, area.at))
             state.parts.clear()
 
     def said(raw: str) -> None:
@@ -142,17 +221,24 @@ def blocks(page: str) -> list[Block]:
                 while state.areas.pop().name != name:
                     pass
         elif name in _AREAS and name not in _VOID and not m["attrs"].endswith("/"):
-            state.areas.append(_entered(name, m["attrs"], state.areas[-1]) if name != "span" else _Area(name, state.areas[-1].outside, state.areas[-1].article, state.areas[-1].named))
+            outer = state.areas[-1]
+            inner = _entered(name, m["attrs"], outer) if name != "span" else _Area(name, outer.outside, outer.article, outer.named)
+            inner.at = outer.at
+            if name in _BOXES:
+                boxes.append(_Box(outer.at, name, inner.said))
+                inner.at = len(boxes) - 1
+            state.areas.append(inner)
         if name != "span":
             state.links = state.links if name in ("div", "section") else 0
             state.heading = name in _HEADINGS and not end
             state.item = name in ("li", "dt", "dd", "td", "th") and not end or (state.item and not end and name == "p")
     said(page[at:])
     close()
+    _set_apart(out, boxes)
     return out
 
 
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "heading", "item", "outside", "article", "named", "headed", "marked")
+FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "heading", "item", "outside", "article", "named", "headed", "marked", "boxed", "share", "own_name", "box_headed", "alike", "with_head")
 
 
 def features(page: list[Block]) -> np.ndarray:
@@ -161,12 +247,13 @@ def features(page: list[Block]) -> np.ndarray:
     rows = []
     for before, own, after in zip([edge, *page[:-1]], page, [*page[1:], edge]):
         headed |= own.heading and not own.outside
-        rows.append([own.words, own.link_density, before.words, before.link_density, after.words, after.link_density, own.heading, own.item, own.outside, own.article, own.named, headed, marked])
+        rows.append([own.words, own.link_density, before.words, before.link_density, after.words, after.link_density, own.heading, own.item, own.outside, own.article, own.named, headed, marked, own.boxed, own.share, own.own_name, own.box_headed, own.alike, own.with_head])
     return np.array(rows, float).reshape(len(rows), len(FEATURES))
 
 
 #: Layouts of pages. A letter after ``+`` (main text) or ``-`` (not) stands for a block: p long and s short
-#: paragraph, h heading, i list item, m paragraph with a link in it, k short link, l linked paragraph, t bare line.
+#: paragraph, h heading, i list item, m paragraph with a link in it, k short link, l linked paragraph, t line in a box, b bare
+#: text of any length. The classes x, y and z stand for any name that tells nothing.
 LABELLED = (
     "<nav><ul>-k-k-k</ul></nav><div>-t</div><article>+h+p+s+p+m+p</article><footer>-t</footer>",
     "<nav><ul>-k-k-k-k</ul></nav><div>-p</div><article>+h+s+p+p+s</article><footer>-p</footer>",
@@ -193,12 +280,38 @@ LABELLED = (
     "<nav>-k-k-k</nav><article>+h+s</article>", "<div>-t</div><article>+p+s+p</article>", "<div class=cookie-notice>-p</div><main>+h+m</main>", "<div>-p</div><article>+h+s+p</article>",
     "<div>-t</div><article>+h+s+s</article><footer>-t</footer>", "<nav>-k</nav>", "<nav><ul>-k-k-k</ul></nav><footer>-p</footer>", "<aside>-p</aside><article>+s+p+i+i</article>",
     "<div>+h+p+s</div>", "<div>+h+p+p+s</div>", "<div>-k-k-k</div><div>+h+p+s</div>", "<div>-k-k-k</div><div>+p+p+s</div><footer>-p</footer>", "<p>-k-k-k</p>", "<article>+s+l+s</article><div>-k-k</div>",
+    # Set apart within running text: adverts, notices, comments.
+    "<article>+h+p<div class=x>-b</div>+p+s</article>", "<article>+h+p+s<div class=x>-s</div>+p+p+s</article>", "<article>+h+p+p+s<div class=x>-p</div></article>",
+    "<article><div class=x>-p</div>+h+p+s+p</article>", "<article><div class=x>-b</div>+h+p+p+p</article>", "<nav>-k-k</nav><article><div class=x>-s-k</div>+h+p+p</article>",
+    "<article>+h+p+p<section class=x>-h<div class=y>-s-p</div><div class=y>-s-p</div><div class=y>-s-s</div></section></article>",
+    "<article>+h+p+s+p<div class=x><div class=y>-p</div><div class=y>-s</div><div class=y>-p</div></div></article>",
+    "<article>+h+p+s+p<div class=x>-s-p</div><div class=x>-s-s</div><div class=x>-s-p</div><div class=x>-t-p</div></article>",
+    "<div>+h+p+s+p<div class=x>-h<div class=y>-s-p</div><div class=y>-s-p</div></div></div>", "<div>+h+p+p<div class=x>-b</div>+p</div>", "<div>+h+p+p+s<div class=x><div class=y>-p</div><div class=y>-p</div><div class=y>-s</div></div></div>",
+    "<div>-k-k</div><div>+h+p+p<div class=comments>-p-s</div></div>", "<div>+h+p+p</div><div class=comments>-h<div class=comment>-s-p</div><div class=comment>-s-p</div></div>",
+    "<article>+h+p</article><div class=comments><div>-s-p</div><div>-p</div></div>", "<article>+h+p+p<div class=ad>-p</div></article>", "<article>+p<div class=ad>-b</div>+p<div class=comments>-s<div>-p</div></div></article>",
+    "<div class=ad>-b</div><div>+h+p+p</div>", "<div>+h+p<div class=ad>-b</div>+p</div><div class=comments>-p</div>", "<div>+p+p</div><div class=ad>-p</div>",
+    # Comments beside the text.
+    "<nav>-k-k</nav><div>+h+p+s+p</div><section class=x>-h<div class=y>-p</div><div class=y>-p</div><div class=y>-s</div></section><footer>-t</footer>", "<nav>-k-k</nav><div>+h+p+s+p</div><div class=x><div class=y>-s-p</div><div class=y>-s-p</div></div><footer>-t</footer>",
+    "<nav>-k-k</nav><div>+h+p+s+p</div><div class=x>-s-p</div><div class=x>-p-s</div><div class=x>-t-s</div><footer>-t</footer>", "<nav>-k</nav><div>+h+p+s+p</div><div class=x>-p</div><footer>-t</footer>", "<nav>-k</nav><div>+h+p+s+s</div><div class=x>-s-s</div><footer>-s</footer>",
+    "<nav>-k-k</nav><article>+h+p+s+p</article><section class=x>-h<div class=y>-s-p</div><div class=y>-s-p</div></section><footer>-t</footer>", "<nav>-k-k</nav><article>+h+p+s+p</article><div class=x>-s-s</div><div class=x>-p-p</div><footer>-t</footer>", "<nav>-k</nav><article>+h+p+s+p</article><div class=x>-t-s</div><footer>-t</footer>",
+    "<nav>-k</nav><div>+h</div><div>+p+p+s+p</div><footer>-t</footer>", "<div>+h</div><div>+p+s+p+p</div>", "<div>-k-k</div><div>+h+s</div><div>+p+p+s+p</div>",
+    "<nav>-k-k</nav><div>+h+p+s+p</div><div class=x>-s-p</div><footer>-s</footer>", "<nav>-k-k</nav><div>+h+p+p+s</div><div class=x>-t-p</div><footer>-t</footer>",
+    # Outside by element, in articles without a heading too.
+    "<article>+s<form>-p-s</form>+s</article><aside>-p</aside>", "<article>+s<div hidden>-p</div></article>", "<article>+p<div hidden>-p-s</div>+s</article>", "<main>+p<aside>-p</aside>+p</main>", "<main>+s<form>-s</form>+p</main>", "<article>+s+p<aside>-s-p</aside>+s</article>",
+    # Lists of links with a line to each.
+    "<article>+h+p+p<ul>-k-s-k-s-k</ul>+p</article>", "<div>+h+p+s<ul>-k-s-k-s-k</ul></div>", "<article>+h+s+p<ul>-k-k-s</ul>+p+s</article>", "<article>+h+p+s<ul>-k-s-k-s</ul>+p+s</article>",
+    "<article>+h+p<ul>+i+i+i</ul>+s+p+s</article>", "<article>+h+p+s+s+h+s+p</article>", "<main>+h+p+s<ul>+i+i</ul>+s<ul>+i+i+i</ul>+s</main>", "<article>+h+p<div class=x>-l</div>+s+p</article>", "<main>+h+p+i+i<div class=x>-l</div>+s+p</main>", "<div>+h+p+p<div class=x>-l</div>+s+s</div>", "<div>-p</div><div>+h+p+p+s</div>", "<div>-p</div><div>+h+p+s</div>",
+    # Not set apart: bare text, sections, plain boxes of the article.
+    "<article>+b+p+p</article>", "<article><div>+b</div>+p+p</article>", "<article>+h<div>+b+p+s+p</div></article>", "<div>+h+b+p+p</div>", "<div>+b+p+p+s</div>", "<div>-k-k-k</div><div>+b+p+p</div>", "<nav>-k</nav><div>+b+p+s+p</div><footer>-t</footer>",
+    "<article>+h+p+p<section class=x>+h+p+p</section><section class=x>+h+p+s</section></article>", "<article>+h+p+s<section>+h+p+p</section><section>+h+s+p+p</section></article>",
+    "<article>+h+p+s<div>+p</div>+p+s</article>", "<article>+s+p<div>+b</div>+p+s</article>", "<article>+h<div class=x>+p+p+s</div></article>", "<article>+h+s+s<div class=x>+p+p+s+p+p+p</div></article>", "<div class=x>+h<div class=y>+p+p+s+p</div></div>",
+    "<article>+h<div class=y>+p</div><div class=y>+p</div><div class=y>+s</div></article>", "<article>+h+s<div>+p+p</div><div>+s+p</div></article>",
 )
 _FORMS = {
     "p": ("<p>{}</p>", 9, 60), "s": ("<p>{}</p>", 1, 8), "h": ("<h2>{}</h2>", 1, 12), "i": ("<li>{}</li>", 1, 12), "m": ("<p>{} <a href=x>{}</a> {}</p>", 3, 20),
-    "k": ("<li><a href=x>{}</a></li>", 1, 4), "l": ("<p><a href=x>{}</a></p>", 5, 14), "t": ("<div>{}</div>", 3, 14),
+    "k": ("<li><a href=x>{}</a></li>", 1, 4), "l": ("<p><a href=x>{}</a></p>", 5, 14), "t": ("<div>{}</div>", 3, 14), "b": ("{} ", 3, 40),
 }
-_BLOCK = re.compile(r"([+-])([pshimklt])(?![a-z])")
+_BLOCK = re.compile(r"([+-])([pshimkltb])(?![a-z])")
 
 
 def labelled_table(copies: int = 10, seed: int = 4) -> tuple[np.ndarray, np.ndarray]:
@@ -214,7 +327,7 @@ def labelled_table(copies: int = 10, seed: int = 4) -> tuple[np.ndarray, np.ndar
     xs, ys = [], []
     for layout in LABELLED:
         for _ in range(copies):
-            found = blocks(re.sub(r"(?<=[>pshimklt])" + _BLOCK.pattern + r"|^" + _BLOCK.pattern, lambda m: filled(_BLOCK.fullmatch(m[0])), layout))
+            found = blocks(re.sub(r"(?<=[>pshimkltb])" + _BLOCK.pattern + r"|^" + _BLOCK.pattern, lambda m: filled(_BLOCK.fullmatch(m[0])), layout))
             xs.append(features(found))
             ys += [b.text[0] == "+" for b in found]
     return np.concatenate(xs), np.array(ys, int)
