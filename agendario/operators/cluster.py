@@ -11,29 +11,32 @@ one. A cluster takes an announcement if, in this order,
 
 A support act that two events share joins nothing: a headliner must be met.
 
-*On Spark.* ``matching`` finds by joins which names, venues and acts are alike; each announcement carries what it may meet as arrays.
+*On Spark.* ``matching`` finds by joins which names, venues and acts are alike, as facts about distinct names, venues and words of names.
 Announcements can only meet through the same name, festival or act at the same class of venues, so the connected components
 over these nodes (rounds of partial aggregations) are groups that never touch; where nobody's venue is unknown, a
-name at two venues is two nodes. First fit is then a fold over each group's array in the JVM. Announcements that are equal
+name at two venues is two nodes. Edges are between nodes, not announcements, so that their number is that of the facts. First fit is
+then a fold over each group in an Arrow task, which looks clusters up by (name, venue), not one after the other. Announcements that are equal
 in all that counts are one, at the place of the first, so that a group has the different ones only.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+from collections import defaultdict
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import festival_key, is_festival
 from ..functions.text import norm_key
 from ..sources.tables import written
-from . import matching
+from . import lookup, matching
 from .matching import Rules
 
 #: What an announcement may leave out, and what stands for it.
 OPTIONAL = {"source": "string", "url": "string", "institution": "boolean", "festival": "boolean"}
 
-_CLUSTER = "array<struct<rows:array<long>,opener:array<string>,names:array<string>,heads:array<struct<h:string,minutes:int>>,venues:array<string>,festivals:array<string>,said:array<struct<source:string,minutes:int,url:string>>>>"
-
 
 def groups(met: DataFrame, most_rounds: int = 40) -> DataFrame:
     """(row_id, group): rows of ``met`` (row_id, t) that share nodes ``t``, transitively; the group is the least row_id.
@@ -67,8 +70,8 @@ def announced(rows: DataFrame, block: list[str]) -> DataFrame:
     return plain.withColumn("h", F.get("keys", F.lit(0))).withColumn("mark", F.md5(counts))
 
 
-def facts(rows: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
-    """(announcements with what each may meet, (row_id, t): the nodes through which they may meet)."""
+def facts(rows: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(announcements with their group, near names (b, h, list), near acts (b, v, ws, list), near venues (v, list))."""
     common = F.array(*map(F.lit, rules.festival_words)).cast("array<string>")
     title = F.get("names", F.lit(0))
     shown = F.when(is_festival(title), title).when(F.col("festival"), F.concat(title, F.lit(" festival")))
@@ -76,64 +79,140 @@ def facts(rows: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
     rows = rows.withColumns({
         "fest": F.nullif(F.when(shown.isNotNull(), festival_key(F.regexp_replace(shown, r"\([^)]*\)", " "), common)), F.lit("")),
         "session": F.arrays_overlap(session, F.array(*map(F.lit, rules.sessions))),
+        "ws": matching.act_words(F.col("h")),
     })
-    venues = matching.venues_near(rows.select("v"), rules)
-    venues = written(venues, "venues-near")
+    venues = written(matching.venues_near(rows.select("v"), rules), "venues-near")
     place = groups(venues.select(F.xxhash64("v").alias("row_id"), F.xxhash64("w").alias("t"))).select(F.col("row_id").alias("v_id"), F.col("group").alias("place"))
-    lists = venues.groupBy("v").agg(F.array_sort(F.collect_set("w")).alias("near_venues")).withColumn("v_id", F.xxhash64("v")).join(place, "v_id").drop("v_id")
-    rows = written(rows.join(lists, "v", "left"), "announced")
+    places = venues.select("v").distinct().withColumn("v_id", F.xxhash64("v")).join(place, "v_id").drop("v_id")
+    rows = written(rows.join(lookup.sized(places), "v", "left"), "announced")
 
     names = rows.select("b", F.posexplode("names").alias("at", "name")).select("b", "name", (F.col("at") == 0).alias("is_head")).groupBy("b", "name").agg(F.max("is_head").alias("is_head"))
     near = written(matching.names_near(names, rules), "names-near")
-    acts = written(matching.acts_near(rows.select("b", "h", "v", "place"), rules), "acts-near")
-
-    told = rows.join(near.groupBy("b", "h").agg(F.array_sort(F.collect_list("n")).alias("near_names")), ["b", "h"])
-    told = told.join(acts.groupBy("b", "v", "h").agg(F.array_sort(F.collect_list("o")).alias("near_acts")), ["b", "v", "h"], "left")
-
-    by_name = rows.select("b", "row_id", "place", F.explode("keys").alias("n")).join(near.select("b", "h", "n"), ["b", "n"]).select("row_id", F.xxhash64("b", F.lit("name"), "h").alias("base"), "place")
-    by_festival = rows.where("fest IS NOT NULL").select("row_id", F.xxhash64("b", F.lit("festival"), "fest").alias("base"), "place")
-    their = rows.join(acts.select("b", F.col("o").alias("h")).distinct(), ["b", "h"], "left_semi").select("row_id", F.xxhash64("b", F.lit("act"), "h").alias("base"), "place")
-    own = rows.join(acts, ["b", "v", "h"]).select("row_id", F.xxhash64("b", F.lit("act"), "o").alias("base"), "place")
-    links = by_name.unionByName(by_festival).unionByName(their).unionByName(own)
-    # Where somebody's venue is unknown, all that have the name may meet; else only those of one class of venues.
-    open_bases = links.where("place IS NULL").select("base").distinct().withColumn("open", F.lit(True))
-    node = F.when(F.col("open"), F.xxhash64("base", F.lit("any"))).otherwise(F.xxhash64("base", "place"))
-    return told, links.join(open_bases, "base", "left").select("row_id", node.alias("t"))
-
-
-def _takes(c: Column, r: Column, rules: Rules) -> Column:
-    """Whether a cluster takes an announcement."""
-    known = (r["v"] != "") & (F.size(c["venues"]) > 0)
-    elsewhere = known & ~F.arrays_overlap(c["venues"], r["near_venues"])
-    again = r["session"] & r["minutes"].isNotNull() & F.exists(c["said"], lambda s: F.coalesce((s["source"] == r["source"]) & (s["minutes"] != r["minutes"]), F.lit(False)))
-    page = r["institution"] & F.exists(c["said"], lambda s: F.coalesce((s["source"] == r["source"]) & (s["url"] != r["url"]), F.lit(False)))
-    met = F.arrays_overlap(c["names"], r["near_names"]) | F.arrays_overlap(c["opener"], r["keys"])
-    met |= F.coalesce(F.array_contains(c["festivals"], r["fest"]), F.lit(False))
-    act = known & F.exists(c["heads"], lambda h: F.array_contains(r["near_acts"], h["h"]) & F.coalesce(F.abs(h["minutes"] - r["minutes"]) <= rules.far, F.lit(True)))
-    return F.coalesce(~elsewhere & ~again & ~page & (met | act), F.lit(False))
-
-
-def _with(c: Column, r: Column) -> Column:
-    """A cluster with one announcement more."""
-    said = F.array(F.struct(r["source"].alias("source"), r["minutes"].alias("minutes"), r["url"].alias("url")))
-    return F.struct(
-        F.concat(c["rows"], F.array(r["row_id"])).alias("rows"), c["opener"].alias("opener"), F.array_union(c["names"], r["keys"]).alias("names"), F.array_union(c["heads"], F.array(F.struct(r["h"].alias("h"), r["minutes"].alias("minutes")))).alias("heads"),
-        F.when(r["v"] != "", F.array_union(c["venues"], F.array(r["v"]))).otherwise(c["venues"]).alias("venues"), F.when(r["fest"].isNotNull(), F.array_union(c["festivals"], F.array(r["fest"]))).otherwise(c["festivals"]).alias("festivals"), F.array_union(c["said"], said).alias("said"),
-    )
-
-
-def first_fit(rows: Column, rules: Rules) -> Column:
-    """The clusters of a group's announcements, which are in order."""
-    strings = F.array().cast("array<string>")
-    blank = F.struct(F.array().cast("array<long>").alias("rows"), strings.alias("opener"), strings.alias("names"), F.array().cast("array<struct<h:string,minutes:int>>").alias("heads"), strings.alias("venues"), strings.alias("festivals"), F.array().cast("array<struct<source:string,minutes:int,url:string>>").alias("said"))
-
-    def add(clusters: Column, r: Column) -> Column:
-        at = F.array_position(F.transform(clusters, lambda c: _takes(c, r, rules)), F.lit(True))
-        opened = F.transform(F.array(_with(blank, r)), lambda c: c.withField("opener", r["near_names"]))
-        grown = F.transform(clusters, lambda c, i: F.when(i + 1 == at, _with(c, r)).otherwise(c))
-        return F.when(at > 0, grown).otherwise(F.concat(clusters, opened)).cast(_CLUSTER)
-
-    return F.aggregate(rows, F.array().cast(_CLUSTER), add)
+    acts = written(matching.acts_told(rows.select("b", "v", "place", "ws"), rules), "acts-near")
+
+    def base(kind: str, *columns: str) -> Column:
+        return F.xxhash64("b", F.lit(kind), *columns)
+
+    # Where somebody's venue is unknown, all that have the name, festival or act may meet; else only those of one class of venues.
+    nowhere = rows.where("place IS NULL")
+    by_name = nowhere.select("b", F.explode("keys").alias("n")).distinct().join(near, ["b", "n"]).select(base("name", "h").alias("base"))
+    by_act = nowhere.select("b", "ws").distinct().select(base("act", "ws").alias("base"))
+    opened = by_name.unionByName(nowhere.where("fest IS NOT NULL").select(base("festival", "fest").alias("base"))).unionByName(by_act)
+    opened = written(opened.distinct().withColumn("open", F.lit(True)), "open")
+
+    def node(base: Column, open_: Column) -> Column:
+        return F.when(open_, F.xxhash64(base, F.lit("any"))).otherwise(F.xxhash64(base, F.col("place")))
+
+    near_open = near.withColumn("base", base("name", "h")).join(opened, "base", "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    every_open = near_open.groupBy("b", "n").agg(F.min("open").alias("open"))
+    # The node of the headliner stands for all that announce it at the place; a place says nothing where all nodes are open.
+    heads = rows.select("b", "h", "place", F.explode("keys").alias("n")).distinct().join(every_open, ["b", "n"]).join(every_open.select("b", F.col("n").alias("h"), F.col("open").alias("h_open")), ["b", "h"])
+    heads = heads.withColumn("place", F.when(~(F.col("open") & F.col("h_open")), F.col("place"))).drop("open", "h_open").distinct()
+    names_met = heads.withColumnRenamed("h", "own").join(near_open, ["b", "n"]).select("b", "own", "place", node(F.col("base"), F.col("open")).alias("t"))
+    shown_at = rows.where("fest IS NOT NULL").select("b", F.col("h").alias("own"), "place", base("festival", "fest").alias("base"))
+    theirs = rows.select("b", F.col("h").alias("own"), "place", "ws").distinct().join(acts.select("b", F.col("o_ws").alias("ws")).distinct(), ["b", "ws"], "left_semi").select("b", "own", "place", base("act", "ws").alias("base"))
+    owns = rows.where("v <> ''").select("b", F.col("h").alias("own"), "place", "v", "ws").distinct().join(acts, ["b", "v", "ws"]).select("b", "own", "place", base("act", "o_ws").alias("base"))
+    others = shown_at.unionByName(theirs).unionByName(owns).distinct().join(opened, "base", "left").select("b", "own", "place", node(F.col("base"), F.col("open")).alias("t"))
+    met = names_met.unionByName(others).withColumn("base", base("name", "own")).join(opened, "base", "left").select(node(F.col("base"), F.col("open")).alias("row_id"), "t")
+    tied = groups(met.distinct()).select(F.col("row_id").alias("node"), "group")
+    told = rows.withColumn("base", base("name", "h")).join(opened, "base", "left").withColumn("node", node(F.col("base"), F.col("open"))).drop("base", "open").join(tied, "node")
+    lists = [near.groupBy("b", "h").agg(F.collect_list("n").alias("list")), acts.groupBy("b", "v", "ws").agg(F.collect_list("o_ws").alias("list")), venues.groupBy("v").agg(F.collect_list("w").alias("list"))]
+    return written(told.drop("node"), "tied"), *lists
+
+
+class _Found:
+    """The clusters of a group, in the order in which they were opened, by what leads to them: (fact, venue), and the fact alone."""
+
+    def __init__(self, far: int) -> None:
+        self.far, self.all, self.at, self.anywhere = far, [], defaultdict(list), defaultdict(list)
+
+    def _enter(self, i: int, facts: set, venues: set) -> None:
+        for f in facts:
+            for v in venues or ("",):
+                insort(self.at[f, v], i)
+
+    def _fits(self, i: int, r: dict) -> bool:
+        """The guards: not another showing of what the source has there, not another page of an institution."""
+        said = self.all[i]["said"].get(r["source"], ()) if r["source"] is not None else ()
+        if r["session"] and r["minutes"] is not None and any(m is not None and m != r["minutes"] for m, _ in said):
+            return False
+        return not (r["institution"] and r["url"] is not None and any(u is not None and u != r["url"] for _, u in said))
+
+    def first(self, r: dict, near_names: list, near_acts: list, near_venues: list) -> int | None:
+        """The first cluster that takes the announcement."""
+        facts = [("n", n) for n in near_names] + [("o", k) for k in r["keys"]] + ([("f", r["fest"])] if r["fest"] is not None else [])
+        best, guarded = len(self.all), r["session"] or r["institution"]
+        found = [self.at.get((f, v), ()) for f in facts for v in (*near_venues, "")] if r["v"] else [self.anywhere.get(f, ()) for f in facts]
+        for ids in found:
+            for i in ids:
+                if i >= best:
+                    break
+                if not guarded or self._fits(i, r):
+                    best = i
+                    break
+        for a in near_acts if r["v"] else ():
+            for v in near_venues:
+                for i in self.at.get((("a", a), v), ()):
+                    if i >= best:
+                        break
+                    hours = self.all[i]["hours"][a]
+                    if (r["minutes"] is None or None in hours or any(abs(m - r["minutes"]) <= self.far for m in hours)) and (not guarded or self._fits(i, r)):
+                        best = i
+                        break
+        return best if best < len(self.all) else None
+
+    def add(self, i: int | None, r: dict, near_names: list) -> None:
+        if i is None:
+            i = len(self.all)
+            self.all.append({"rows": [], "facts": set(), "venues": set(), "hours": defaultdict(set), "said": defaultdict(set)})
+            new = {("o", n) for n in near_names}
+        else:
+            new = set()
+        c = self.all[i]
+        c["rows"].append(r["row_id"])
+        c["said"][r["source"]].add((r["minutes"], r["url"]))
+        c["hours"][r["ws"]].add(r["minutes"])
+        new |= {("n", k) for k in r["keys"]} | {("a", r["ws"])} | ({("f", r["fest"])} if r["fest"] is not None else set())
+        new -= c["facts"]
+        if r["v"] and r["v"] not in c["venues"]:
+            if not c["venues"]:
+                for f in c["facts"]:
+                    ids = self.at[f, ""]
+                    del ids[bisect_left(ids, i)]
+            self._enter(i, c["facts"], {r["v"]})
+            c["venues"].add(r["v"])
+        self._enter(i, new, c["venues"])
+        for f in new:
+            insort(self.anywhere[f], i)
+        c["facts"] |= new
+
+
+_TAKEN = pa.schema([("first", pa.int64()), ("cluster_id", pa.int64())])
+
+
+def _first_fit(far: int):
+    """First fit over a group: its announcements, and the lists of near names, acts and venues that they need."""
+
+    def fold(table: pa.Table) -> pa.Table:
+        names, acts, venues, rows = {}, {}, {}, []
+        for r in table.to_pylist():
+            if r["kind"] == "name":
+                names[r["h"]] = r["list"]
+            elif r["kind"] == "act":
+                acts[r["v"], r["ws"]] = r["list"]
+            elif r["kind"] == "venue":
+                venues[r["v"]] = r["list"]
+            else:
+                rows.append(r)
+        rows.sort(key=lambda r: (r["priority"] is not None, r["priority"] or 0, r["v"] == "", r["row_id"]))
+        found = _Found(far)
+        for r in rows:
+            near = names.get(r["h"], [])
+            found.add(found.first(r, near, acts.get((r["v"], r["ws"]), []), venues.get(r["v"], [])), r, near)
+        taken = [(row, min(c["rows"])) for c in found.all for row in c["rows"]]
+        return pa.Table.from_arrays([pa.array([t[i] for t in taken], pa.int64()) for i in (0, 1)], schema=_TAKEN)
+
+    return fold
 
 
 def clusters(rows: DataFrame, block: list[str], rules: Rules = Rules()) -> DataFrame:
@@ -144,12 +223,17 @@ def clusters(rows: DataFrame, block: list[str], rules: Rules = Rules()) -> DataF
     """
     every = written(announced(rows, block), "announcements")
     first = every.groupBy("mark").agg(F.min("row_id").alias("row_id"))
-    told, nodes = facts(every.join(first, ["mark", "row_id"], "left_semi"), rules)
-    tied = told.join(groups(nodes), "row_id")
-    fields = ["row_id", "keys", "h", "v", "minutes", "source", "url", "institution", "session", "fest", "near_venues", "near_names"]
-    place = F.struct("priority", (F.col("v") == "").alias("nowhere"), F.col("row_id").alias("id"), *fields, F.coalesce("near_acts", F.array().cast("array<string>")).alias("near_acts"))
-    grouped = tied.groupBy("group").agg(F.array_sort(F.collect_list(place)).alias("rows"))
-    fitted = grouped.select(F.explode(first_fit(F.col("rows"), rules)).alias("c")).select(F.explode("c.rows").alias("first"), F.array_min("c.rows").alias("cluster_id"))
+    told, near, acts, venues = facts(every.join(first, ["mark", "row_id"], "left_semi"), rules)
+    fields = ["row_id", "keys", "h", "v", "ws", "priority", "minutes", "source", "url", "institution", "session", "fest"]
+    lists = [
+        told.select("group", "b", "h").distinct().join(near, ["b", "h"]).select("group", F.lit("name").alias("kind"), "h", "list"),
+        told.select("group", "b", "v", "ws").distinct().join(acts, ["b", "v", "ws"]).select("group", F.lit("act").alias("kind"), "v", "ws", "list"),
+        told.select("group", "v").distinct().join(lookup.sized(venues), "v").select("group", F.lit("venue").alias("kind"), "v", "list"),
+    ]
+    tagged = told.select("group", F.lit("row").alias("kind"), *fields)
+    for facts_ in lists:
+        tagged = tagged.unionByName(facts_, allowMissingColumns=True)
+    fitted = tagged.groupBy("group").applyInArrow(_first_fit(rules.far), "first long, cluster_id long")
     of_mark = first.withColumnRenamed("row_id", "first").join(fitted, "first").select("mark", "cluster_id")
     found = every.select("row_id", "mark").join(of_mark, "mark").select("row_id", "cluster_id")
     bare = rows.select(F.col("row_id").cast("long").alias("row_id")).join(every.select("row_id"), "row_id", "left_anti")

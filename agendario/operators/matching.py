@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.fields import head, words
 from ..functions.similarity import lcs
 from ..functions.text import norm_key
+from ..sources.tables import written
 from .simjoin import alike
 
 
@@ -95,6 +96,7 @@ def names_near(names: DataFrame, rules: Rules) -> DataFrame:
     """
     one = names.select("b", norm_key(F.col("name")).alias("key"), forms(F.col("name"), rules).alias("forms"), "is_head").where("key <> ''")
     known = one.groupBy("b", "key").agg(F.array_distinct(F.flatten(F.collect_set("forms"))).alias("forms"), F.max("is_head").alias("is_head")).withColumn("generic", generic(F.col("key"), rules))
+    known = written(known, "names-known")
 
     telling = known.where("NOT generic").select("b", "key", F.explode("forms").alias("s"))
     short = telling.where(F.length("s") < 4).select("b", "s", F.col("s").alias("t")).distinct()
@@ -165,28 +167,43 @@ def act_score(a: Column, b: Column) -> Column:
     return F.when((F.size(small) > 0) & F.arrays_overlap(a, b), soft / F.least(F.lit(2), F.size(small))).otherwise(0.0)
 
 
-def acts_near(announced: DataFrame, rules: Rules) -> DataFrame:
-    """(b, v, h, o): the headliners ``o`` that are the act ``h`` announced at venue ``v`` under another name.
+def act_words(key: Column) -> Column:
+    """The distinct words of three letters or more of a name's key, in order and joined by spaces."""
+    return F.array_join(F.array_distinct(F.filter(words(key), lambda w: F.length(w) >= 3)), " ")
+
+
+def acts_told(announced: DataFrame, rules: Rules) -> DataFrame:
+    """(b, v, ws, o_ws): the names of words ``o_ws`` that are the act that a name of words ``ws`` announces at venue ``v``.
 
-    ``announced`` has b, h, v (empty: unknown) and place (the venue's class, null if unknown). The words of the venue weigh nothing,
+    ``announced`` has b, v (empty: unknown), place (the venue's class, null if unknown) and ws (``act_words``). The words of the venue weigh nothing,
     nor do common words and numbers; names of nothing else are one act if they have the same two words or more. Only
-    announcements of the same class of venues, or without a venue, are looked at.
+    announcements of the same class of venues, or without a venue, are looked at. Names of the same words are looked at once.
     """
-    def long(key: Column) -> Column:
-        return F.array_distinct(F.filter(words(key), lambda w: F.length(w) >= 3))
-
     def telling(ws: Column) -> Column:
         return F.filter(ws, lambda w: ~w.isin(*(rules.common or ("-",))) & ~w.rlike("^[0-9]+$"))
 
-    own = announced.where("v <> ''").select("b", "place", "v", "h").distinct().withColumns({"of_venue": words(F.col("v")), "ws": long(F.col("h"))})
-    own = own.withColumns({"mine": telling(F.array_except("ws", "of_venue")), "bare": F.array_sort(F.filter(F.array_except("ws", "of_venue"), lambda w: ~w.isin(*rules.articles)))})
-    own = own.withColumn("w", F.explode(F.when(F.size("mine") > 0, F.col("mine")).otherwise(F.slice("bare", 1, 1))))
-    other = announced.select("b", F.col("place").alias("o_place"), F.col("h").alias("o")).distinct().withColumn("o_ws", long(F.col("o")))
-    other = other.withColumn("w", F.explode("o_ws"))
-    met = own.join(other, ["b", "w"]).where((F.col("h") != F.col("o")) & (F.col("o_place").isNull() | (F.col("o_place") == F.col("place"))))
-    met = met.dropDuplicates(["b", "v", "h", "o"])
-    theirs = telling(F.array_except("o_ws", "of_venue"))
-    their_bare = F.array_sort(F.filter(F.array_except("o_ws", "of_venue"), lambda w: ~w.isin(*rules.articles)))
-    nothing = (F.size("mine") == 0) | (F.size(theirs) == 0)
-    same = F.when(nothing, (F.col("bare") == their_bare) & (F.size("bare") >= 2)).otherwise(act_score(F.col("mine"), theirs) >= rules.least_act)
-    return met.where(same).select("b", "v", "h", "o")
+    own = announced.where("v <> ''").select("b", "place", "v", "ws").distinct().withColumns({"of_venue": words(F.col("v")), "all_ws": words(F.col("ws"))})
+    own = own.withColumns({"mine": telling(F.array_except("all_ws", "of_venue")), "bare": F.array_sort(F.filter(F.array_except("all_ws", "of_venue"), lambda w: ~w.isin(*rules.articles)))})
+    own = own.withColumn("w", F.explode(F.when(F.size("mine") > 0, F.col("mine")).otherwise(F.slice("bare", 1, 1)))).drop("all_ws")
+    other = announced.select("b", "place", F.col("ws").alias("o_ws")).distinct().withColumn("w", F.explode(words(F.col("o_ws"))))
+    near, nowhere = other.where("place IS NOT NULL"), other.where("place IS NULL").drop("place")
+    met = own.join(near, ["b", "place", "w"]).unionByName(own.join(nowhere, ["b", "w"])).dropDuplicates(["b", "v", "ws", "o_ws"])
+    o_ws = words(F.col("o_ws"))
+    theirs = telling(F.array_except(o_ws, "of_venue"))
+    their_bare = F.array_sort(F.filter(F.array_except(o_ws, "of_venue"), lambda w: ~w.isin(*rules.articles)))
+    met = met.withColumns({"theirs": theirs, "their_bare": their_bare})
+    nothing = (F.size("mine") == 0) | (F.size("theirs") == 0)
+    same = F.when(nothing, (F.col("bare") == F.col("their_bare")) & (F.size("bare") >= 2)).otherwise(act_score(F.col("mine"), F.col("theirs")) >= rules.least_act)
+    return met.where(same).select("b", "v", "ws", "o_ws")
+
+
+def acts_near(announced: DataFrame, rules: Rules) -> DataFrame:
+    """(b, v, h, o): the headliners ``o`` that are the act ``h`` announced at venue ``v`` under another name (``acts_told``).
+
+    ``announced`` has b, h, v and place.
+    """
+    told = announced.withColumn("ws", act_words(F.col("h")))
+    own = told.where("v <> ''").select("b", "v", "place", "h", "ws").distinct()
+    other = told.select("b", F.col("place").alias("o_place"), F.col("h").alias("o"), F.col("ws").alias("o_ws")).distinct()
+    met = own.join(acts_told(told, rules), ["b", "v", "ws"]).join(other, ["b", "o_ws"])
+    return met.where((F.col("h") != F.col("o")) & (F.col("o_place").isNull() | (F.col("o_place") == F.col("place")))).select("b", "v", "h", "o").distinct()

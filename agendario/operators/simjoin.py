@@ -3,7 +3,7 @@
 Two texts of a ratio of ``least`` are at most d = (1 - least / 100) * (|a| + |b|) insertions and deletions apart, and each of these
 touches at most q of a text's q-grams. So the two share one of their ``q * d + 1`` rarest q-grams (prefix filter): these meet in
 an equi-join, with a bound on lengths, and only what is left is measured. The order is by frequency over all texts; equal
-q-grams of one text are numbered (so their places say nothing). Texts too short for any difference meet by equality.
+q-grams of one text are numbered (so their places say nothing). Texts that many blocks share are compared once. Texts too short for any difference meet by equality.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.similarity import indel_ratio
+from ..sources.tables import written
 
 
 def _most(size: Column, least: float) -> Column:
@@ -45,6 +46,14 @@ def alike(left: DataFrame, right: DataFrame, block: list[str], least: float = 90
         raise ValueError("least must be over 60")
     q = 2 if least >= 90 else 1
     a, b = (df.select(*block, "s").where("s <> ''").distinct() for df in (left, right))
+    if block:
+        a = written(a, "left-texts")
+        b = a if right is left else written(b, "right-texts")
+        size = [df.agg(F.count("*"), F.count_distinct("s"), F.count_distinct(F.struct(*block))).first() for df in ((a,) if b is a else (a, b))]
+        # Texts that come back in most blocks are compared once for all blocks, where that is less than in each of them.
+        if size[0][1] * size[-1][1] * size[0][2] <= size[0][0] * size[-1][0]:
+            pairs = alike(a.select("s"), b.select("s"), [], least)
+            return a.withColumnRenamed("s", "a").join(pairs, "a").join(b.withColumnRenamed("s", "b"), [*block, "b"]).select(*block, "a", "b", "ratio")
     frequency = _grams(a.select("s").unionByName(b.select("s")), [], least, q).groupBy("gram").agg(F.count("*").alias("n"))
     # The grams' table is as small as the alphabet's powers; Spark broadcasts it where it is.
     x = _prefixes(a, block, frequency, least, q).withColumnsRenamed({"s": "a", "size": "a_size", "prefix": "a_prefix"})
