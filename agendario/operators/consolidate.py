@@ -32,28 +32,35 @@ def prepare(listings: DataFrame, sources: DataFrame, towns: DataFrame, venues: D
     but unknown; else the venue's (``venues``: venue key, town), else the source's. Rows with a broken encoding go where a clean row of
     the same day and venue exists. Venues get the most usual spelling of their key.
     """
-    small = lookup.sized(sources)
-    rows = listings.join(small, "source").withColumn("venue_key", norm_key(F.coalesce("venue", F.lit(""))))
-    rows = rows.withColumnRenamed("town", "source_town")
-    cities = towns_of(rows.where(F.coalesce("city", F.lit("")) != ""), "row_id", "city", towns).withColumnRenamed("town", "city_town")
-    placed = rows.join(cities, "row_id", "left").join(lookup.sized(venues.select("venue_key", F.col("town").alias("venue_town"))), "venue_key", "left")
-    unknown = (F.coalesce("city", F.lit("")) != "") & F.col("city_town").isNull()
-    placed = placed.withColumn("town", F.when(~unknown, F.coalesce("venue_town", "city_town", "source_town")))
-    broken = has_broken_encoding(F.concat_ws(" ", "name", "venue"))
-    reason = (
-        F.when(F.coalesce(is_filler(F.col("name"), filler), F.lit(True)), "no name").when(F.col("day").isNull() | (F.col("day") < first) | (F.col("day") > last), "day")
-        .when(F.col("town").isNull(), "town")
-    )
-    marked = placed.withColumn("reason", reason).withColumn("broken", F.coalesce(broken, F.lit(False))).drop("source_town", "city_town", "venue_town")
-    # Only what is in scope is written; the rest is counted where somebody asks for it.
-    likely = written(marked.where(F.col("reason").isNull()).drop("reason"), "in-scope")
+    small = lookup.sized(sources.withColumnRenamed("town", "source_town"))
+    keyed = listings.join(small, "source").withColumn("venue_key", norm_key(F.coalesce("venue", F.lit(""))))
+    inside = (F.col("day") >= first) & (F.col("day") <= last)
+    early = F.when(F.coalesce(is_filler(F.col("name"), filler), F.lit(True)), "no name").when(~F.coalesce(inside, F.lit(False)), "day")
+    given = F.coalesce("city", F.lit("")) != ""
+
+    def cities(rows: DataFrame) -> DataFrame:
+        """Each different city is looked up once, whatever the number of rows that name it."""
+        return towns_of(rows.where(given).select("city").distinct(), "city", "city", towns).withColumnRenamed("town", "city_town")
+
+    def placed(rows: DataFrame, known: DataFrame) -> DataFrame:
+        rows = rows.join(known, "city", "left").join(lookup.sized(venues.select("venue_key", F.col("town").alias("venue_town"))), "venue_key", "left")
+        unknown = given & F.col("city_town").isNull()
+        return rows.withColumn("town", F.when(~unknown, F.coalesce("venue_town", "city_town", "source_town"))).drop("source_town", "city_town", "venue_town")
+
+    broken = F.coalesce(has_broken_encoding(F.concat_ws(" ", "name", "venue")), F.lit(False))
+    # Only what is in scope is written; the rest is counted, by what its town hangs on, where somebody asks for it.
+    known = lookup.sized(written(cities(listings.where(inside)), "cities"))
+    likely = written(placed(keyed.where(inside).where(early.isNull()), known).where("town IS NOT NULL").withColumn("broken", broken), "in-scope")
+    told = keyed.select("source", "source_town", early.alias("reason"), "city", "venue_key")
+    told = told.withColumns({c: F.when(F.col("reason").isNull(), F.col(c)) for c in ("city", "venue_key")}).groupBy(*told.columns).agg(F.count("*").alias("n"))
+    out = placed(told, cities(told)).withColumn("reason", F.when(F.col("reason").isNull() & F.col("town").isNull(), "town").otherwise(F.col("reason")))
     cleaner = likely.where("NOT broken").select("day", "town").distinct().withColumn("clean", F.lit(True))
     likely = likely.join(cleaner, ["day", "town"], "left").withColumn("worse", F.col("broken") & F.coalesce("clean", F.lit(False))).drop("broken", "clean")
     kept = likely.where("NOT worse").drop("worse")
     spelling = resolve.best_spelling(kept.where("venue_key <> ''"), "venue_key", "venue").select("venue_key", "spelling")
     kept = kept.join(spelling, "venue_key", "left").withColumn("venue", F.coalesce("spelling", "venue")).drop("spelling")
-    rejected = marked.where(F.col("reason").isNotNull()).select("source", "reason").unionByName(likely.where("worse").select("source", F.lit("encoding").alias("reason")))
-    return kept, rejected.groupBy("source", "reason").agg(F.count("*").alias("n"))
+    rejected = out.where(F.col("reason").isNotNull()).select("source", "reason", "n").unionByName(likely.where("worse").select("source", F.lit("encoding").alias("reason"), F.lit(1).cast("long").alias("n")))
+    return kept, rejected.groupBy("source", "reason").agg(F.sum("n").alias("n"))
 
 
 def records(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
