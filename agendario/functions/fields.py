@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .dates import minutes
-from .text import norm_key
+from .text import let, norm_key
 
 
 def words(key: Column) -> Column:
@@ -22,7 +22,7 @@ def _spaced(key: Column) -> Column:
 
 def has_phrase(key: Column, phrases: tuple[str, ...]) -> Column:
     """A key has one of the phrases (keys themselves) as whole words."""
-    return F.exists(F.array(*map(F.lit, phrases)), lambda p: F.contains(_spaced(key), _spaced(p)))
+    return let(_spaced(key), lambda k: F.exists(F.array(*map(F.lit, phrases)), lambda p: F.contains(k, _spaced(p))))
 
 
 # Names and titles
@@ -30,8 +30,7 @@ def has_phrase(key: Column, phrases: tuple[str, ...]) -> Column:
 
 def is_filler(name: Column, phrases: tuple[str, ...]) -> Column:
     """A billing entry that names no one: it starts with one of the phrases, or is empty."""
-    key = norm_key(name)
-    return (key == "") | F.exists(F.array(*map(F.lit, phrases)), lambda p: F.startswith(_spaced(key), _spaced(p)))
+    return let(norm_key(name), lambda key: (key == "") | F.exists(F.array(*map(F.lit, phrases)), lambda p: F.startswith(_spaced(key), _spaced(p))))
 
 
 def is_generic(name: Column, generic: tuple[str, ...], least: int = 3) -> Column:
@@ -273,7 +272,10 @@ def country_in_text(text: Column, name: Column, demonyms: dict[str, str]) -> Col
 def styles_in_text(text: Column, styles: tuple[str, ...], most: int = 5) -> Column:
     """The styles (keys, the longest first) that a text names as whole words; parts of a longer one found do not count."""
     ordered = F.array(*map(F.lit, sorted(styles, key=lambda s: (-len(s), s))))
-    key = _spaced(norm_key(text))
-    found = F.filter(ordered, lambda s: F.contains(key, _spaced(s)))
-    own = F.filter(found, lambda s, i: ~F.exists(F.slice(found, 1, F.greatest(i, F.lit(0))), lambda longer: F.contains(_spaced(longer), _spaced(s))))
-    return F.slice(own, 1, most)
+
+    def own(found: Column) -> Column:
+        return F.filter(found, lambda s, i: ~F.exists(F.slice(found, 1, F.greatest(i, F.lit(0))), lambda longer: F.contains(_spaced(longer), _spaced(s))))
+
+    # The key of the text and what is found in it are worked out once, not for each style.
+    found = let(_spaced(norm_key(text)), lambda key: F.filter(ordered, lambda s: F.contains(key, _spaced(s))))
+    return F.slice(let(found, own), 1, most)

@@ -7,12 +7,10 @@ array, so it runs in the JVM; word lists are arguments.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import norm_key
+from .text import let, norm_key
 
 #: Words that link the parts of a name (fixed values of the languages), and quotation marks.
 LINKS = ("de", "del", "la", "las", "el", "los", "y", "e", "of", "the", "and", "van", "von", "da", "do", "dos", "di", "le", "les", "du")
@@ -21,11 +19,6 @@ QUOTES = "“”\"«»‘’'"
 _TOKEN = r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*|&|[^\s\p{L}\p{N}_]"
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` where ``value`` is worked out once, however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def sentences(text: Column, least: int = 11) -> Column:
     """The sentences of a text: cut after ``.``, ``!``, ``?`` and at line ends; shorter ones than ``least`` are left out."""
     return F.filter(F.transform(F.split(text, r"(?<=[.!?])\s+|\n+"), lambda s: F.trim(s)), lambda s: F.length(s) >= least)
