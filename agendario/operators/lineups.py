@@ -3,7 +3,8 @@
 A cluster is a festival if an announcement says so or its title does. Its name is that of the best announcement; its line-up is
 made of all announcements in the order of their priority: the lists in titles and the names beside them, each artist once in the
 first spelling, without the festival's own name, other festivals, generic names and fillers. Which names are one artist comes from
-``matching.names_near`` with the cluster as block; the rest is a fold over each cluster's names in the JVM.
+``matching.names_near`` with the cluster as block; the rest is a fold over each cluster's different names
+in the JVM, so that work grows with what is said, not with how often.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.fields import is_filler
 from ..functions.names import festival_key, is_festival
 from ..functions.text import clean, norm_key
+from ..sources.tables import written
 from . import matching
 from .matching import Rules
 
@@ -47,6 +49,9 @@ def line_ups(rows: DataFrame, rules: Rules = Rules(), filler: tuple[str, ...] =
     common = F.array(*map(F.lit, rules.festival_words)).cast("array<string>")
     title = F.get("names", F.lit(0))
     known = rows.where(F.size("names") > 0).withColumn("says", F.coalesce("festival", F.lit(False)))
+    # Of announcements that say the same the first counts; a cluster has as many rows as there are different ones.
+    known = known.groupBy("cluster_id", "names", "says").agg(F.min(F.struct("priority", "row_id")).alias("first")).select("cluster_id", "names", "says", "first.priority", "first.row_id")
+    known = written(known, "announced")
     fest = known.where(F.col("says") | is_festival(title)).groupBy("cluster_id").agg(F.min_by(title, F.struct("priority", (~F.col("says")).alias("late"), "row_id")).alias("title"))
     name, _, _ = listed(F.col("title"))
     key = festival_key(F.concat(F.col("festival_"), F.lit(" festival")), common)
@@ -61,7 +66,10 @@ def line_ups(rows: DataFrame, rules: Rules = Rules(), filler: tuple[str, ...] =
     other = each.join(fest, "cluster_id").where(~generic & ~fillers & ~is_festival(F.col("name")) & (festival_key(F.concat("name", F.lit(" festival")), common) != F.col("key_")))
     near = matching.names_near(other.select(F.col("cluster_id").alias("b"), "name", F.lit(True).alias("is_head")).distinct(), rules)
     near = near.groupBy("b", "h").agg(F.collect_list("n").alias("near"))
-    told = other.withColumn("h", norm_key(F.col("name"))).join(near.withColumnRenamed("b", "cluster_id"), ["cluster_id", "h"])
+    # A name that comes back is near itself, so that its first place decides.
+    place = F.struct("priority", "row_id", "at", "n", "name")
+    other = other.withColumn("h", norm_key(F.col("name"))).groupBy("cluster_id", "h").agg(F.min(place).alias("first")).select("cluster_id", "h", "first.*")
+    told = other.join(near.withColumnRenamed("b", "cluster_id"), ["cluster_id", "h"])
     grouped = told.groupBy("cluster_id").agg(F.array_sort(F.collect_list(F.struct("priority", "row_id", "at", "n", "name", "h", "near"))).alias("all"))
     kind = "struct<names:array<string>,keys:array<string>>"
 
