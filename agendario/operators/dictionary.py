@@ -2,23 +2,27 @@
 
 A text is read once, letter by letter, and every phrase that ends at a letter is reported there, so 10,000 phrases take about the time
 of 10. The automaton is built once, from a dictionary whose size is checked, and sent to each Python worker; a dictionary of
-more than ``MOST`` phrases is looked for by the positional index instead, with the same result. Phrases and texts are keys
+more than ``MOST`` phrases is looked for by windows of words behind a bitmap instead, with the same result. Phrases and texts are keys
 (``norm_key``), and phrases match whole words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import norm_key
+from ..functions.text import let, norm_key
+from ..sources.tables import written
 from .lookup import sized
-from .positions import index, occurrences
 
 MOST = 200_000
+#: Bits of the bitmap for each phrase, and the power of two that bounds all of them (128 MB).
+BITS_EACH, MOST_BITS = 32, 30
 
 _FOUND = pa.list_(pa.struct([("phrase", pa.string()), ("at", pa.int64())]))
 
@@ -54,6 +58,52 @@ def _by_automaton(keyed: DataFrame, key: str, phrases: list[str], longest: bool)
     return found.select(key, F.explode("found").alias("f")).select(key, "f.phrase", "f.at")
 
 
+def _by_windows(keyed: DataFrame, key: str, known: DataFrame) -> DataFrame:
+    """Every place of any number of phrases: windows of words whose digest a bitmap has meet the phrases in a join.
+
+    The bitmap has two bits for each phrase among ``BITS_EACH`` or more (``MOST_BITS`` at most), so that few windows are shuffled that are no phrase.
+    """
+    spark = keyed.sparkSession
+    known = written(known.withColumn("size", F.size(F.split("phrase", " "))), "phrases")
+    sizes = sorted(r["size"] for r in known.select("size").distinct().collect())
+    bits = 1 << min(MOST_BITS, max(20, (BITS_EACH * known.count()).bit_length()))
+    digest = F.xxhash64("phrase")
+    spots = known.select(F.explode(F.array(F.pmod(digest, F.lit(bits)), F.pmod(F.shiftrightunsigned(digest, 32), F.lit(bits)))).alias("spot"))
+    # Spark's bitmaps count from 1 in buckets of 32,768.
+    pieces = spots.groupBy(F.bitmap_bucket_number(F.col("spot") + 1).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("spot") + 1)).alias("bitmap"))
+    table = bytearray(bits // 8)
+    for r in pieces.toLocalIterator():
+        table[(r["bucket"] - 1) * 4096 : r["bucket"] * 4096] = r["bitmap"]
+    shared = spark.sparkContext.broadcast(bytes(table))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = np.frombuffer(shared.value, np.uint8)
+
+        def has(spot: np.ndarray) -> np.ndarray:
+            return bitmap[spot >> 3] >> (spot & 7).astype(np.uint8) & 1 == 1
+
+        for batch in batches:
+            digests = batch.column(1)
+            flat, starts = digests.flatten().to_numpy(zero_copy_only=False).view(np.uint64), digests.offsets.to_numpy()
+            hits = np.flatnonzero(has(flat % np.uint64(bits)) & has((flat >> np.uint64(32)) % np.uint64(bits))) if len(flat) else np.zeros(0, np.int64)
+            hits = hits + starts[0]
+            which = np.searchsorted(starts, hits, side="right") - 1
+            ends = np.searchsorted(which, np.arange(len(batch) + 1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hits - starts[which], pa.int32()))], [key, "t", "found"])
+
+    kind, ws = keyed.schema[key].dataType.simpleString(), F.split("t", " ")
+
+    def of_size(n: int) -> DataFrame:
+        windows = let(ws, lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.xxhash64(F.array_join(F.slice(w, i, n), " "))))
+        wide = keyed.where((F.col("t") != "") & (F.size(ws) >= n)).select(key, windows.alias("digests"), "t")
+        hits = wide.mapInArrow(work, f"`{key}` {kind}, t string, found array<int>").where(F.size("found") > 0)
+        cut = let(ws, lambda w: F.transform("found", lambda i: F.struct(F.array_join(F.slice(w, i + 1, n), " ").alias("phrase"), F.when(i == 0, 0).otherwise(F.length(F.array_join(F.slice(w, F.lit(1), i), " ")) + 1).cast("long").alias("at"))))
+        return hits.select(key, F.explode(cut).alias("f")).select(key, "f.phrase", "f.at")
+
+    found = reduce(DataFrame.unionByName, map(of_size, sizes))
+    return found.join(known.select("phrase"), "phrase", "left_semi").select(key, "phrase", "at")
+
+
 def phrases_in(rows: DataFrame, key: str, text: str, dictionary: DataFrame, phrase: str, longest: bool = True, most: int = MOST) -> DataFrame:
     """(``key``, phrase, at): the dictionary's phrases in each text, with the place of their first letter in the text's key.
 
@@ -67,7 +117,7 @@ def phrases_in(rows: DataFrame, key: str, text: str, dictionary: DataFrame, phra
     if len(some) <= most:
         keyed = rows.select(key, norm_key(F.col(text)).alias("t"))
         return _by_automaton(keyed, key, sorted(r["phrase"] for r in some), longest)
-    every = occurrences(index(rows, key, text), key, known).select(key, "phrase", "at")
+    every = written(_by_windows(rows.select(key, norm_key(F.col(text)).alias("t")), key, known), "phrases-found")
     if not longest:
         return every
     # From the left, the longest first, without overlap: a fold over each text's hits.
