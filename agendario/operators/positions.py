@@ -1,7 +1,8 @@
 """A positional word index, phrases found in it, and phrases near names: claims checked against texts.
 
 The index has a row per word and place of a text (keys as by ``norm_key``). A phrase is looked for by its rarest word: these rows
-alone become candidates, and the other words confirm them by equi-joins on (text, place, word). Whether a phrase is near a name is
+alone become candidates, and the other words confirm them by equi-joins on (text, place, word). Claims need no index: their phrases
+are found by ``dictionary.phrases_in``. Whether a phrase is near a name is
 decided by the last name before and the next one after it in order of place: no pair of places is made, however often both occur.
 """
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import norm_key
 from ..sources.tables import written
+from .dictionary import phrases_in
 from .lookup import sized
 
 
@@ -43,8 +45,10 @@ def near_names(docs: DataFrame, key: str, text: str, claims: DataFrame, reach: i
     ``distance`` is the least number of characters between a place of the phrase and one of the name, in the text's key; 0 where they overlap.
     """
     asked = claims.select("claim", norm_key(F.col("name")).alias("name"), norm_key(F.col("phrase")).alias("phrase")).where("name <> '' AND phrase <> ''")
-    places = written(index(docs, key, text), "positions")
-    found = written(occurrences(places, key, asked.select("phrase").unionByName(asked.select(F.col("name").alias("phrase")))), "occurrences")
+    phrases = asked.select("phrase").unionByName(asked.select(F.col("name").alias("phrase")))
+    # Each text is read once for all phrases; only places of phrases are written, not every word's.
+    found = phrases_in(docs, key, text, phrases, "phrase", longest=False).withColumn("end", F.col("at") + F.length("phrase"))
+    found = written(found, "occurrences")
     as_name = found.join(asked.select("claim", F.col("name").alias("phrase")), "phrase").select(key, "claim", "at", "end", F.lit(True).alias("is_name"))
     as_phrase = found.join(asked.select("claim", "phrase"), "phrase").select(key, "claim", "at", "end", F.lit(False).alias("is_name"))
     # A name of the same place comes first, so that it is before its phrase; both ways look at all rows of the text and claim.
