@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import let
 from . import jsonwalk
 
 
@@ -42,7 +43,7 @@ def sheet(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def _crawl_groups(files: DataFrame, key: str, text: str) -> DataFrame:
-    """Each file's groups: key, part, agents, rules (allow, path) and delay (the last that is a number).
+    """(key, groups): each file's groups, an array of part, agents, rules (allow, path) and delay (the last that is a number).
 
     A group is one or more agents in a row and all rules and delays up to the next agent; lines of other kinds are skipped.
     One fold over the file's lines, so that nothing is shuffled.
@@ -53,29 +54,39 @@ def _crawl_groups(files: DataFrame, key: str, text: str) -> DataFrame:
     opens = F.transform("known", lambda f, i: (f["field"] == "user-agent") & ((i == 0) | (F.get(F.col("known"), i - 1)["field"] != "user-agent")))
     starts = F.filter(F.transform(opens, lambda o, i: F.when(o, i)), lambda i: i.isNotNull())
     cut = F.transform("starts", lambda s, n: F.slice(F.col("known"), s + 1, F.coalesce(F.get(F.col("starts"), n + 1), F.size("known")) - s))
-    cuts = files.select(key, known.alias("known")).select(key, "known", starts.alias("starts")).select(key, F.posexplode(cut).alias("part", "lines"))
+    cuts = files.select(key, known.alias("known")).select(key, "known", starts.alias("starts")).select(key, cut.alias("cuts"))
 
-    def values(*names: str) -> Column:
-        return F.filter("lines", lambda f: f["field"].isin(*names))
+    def group(lines: Column, part: Column) -> Column:
+        def values(*names: str) -> Column:
+            return F.filter(lines, lambda f: f["field"].isin(*names))
 
-    delays = F.filter(F.transform(values("crawl-delay"), lambda f: f["value"].try_cast("double")), lambda d: d.isNotNull())
-    # An empty "disallow" forbids nothing, an empty "allow" allows everything.
-    rules = F.filter(values("allow", "disallow"), lambda f: (f["value"] != "") | (f["field"] == "allow"))
-    return cuts.select(key, "part", F.transform(values("user-agent"), lambda f: F.lower(f["value"])).alias("agents"), F.transform(rules, lambda f: F.struct((f["field"] == "allow").alias("allow"), f["value"].alias("path"))).alias("rules"), F.element_at(F.when(F.size(delays) > 0, delays), -1).alias("delay"))
+        delays = F.filter(F.transform(values("crawl-delay"), lambda f: f["value"].try_cast("double")), lambda d: d.isNotNull())
+        # An empty "disallow" forbids nothing, an empty "allow" allows everything.
+        rules = F.filter(values("allow", "disallow"), lambda f: (f["value"] != "") | (f["field"] == "allow"))
+        return F.struct(part.alias("part"), F.transform(values("user-agent"), lambda f: F.lower(f["value"])).alias("agents"), F.transform(rules, lambda f: F.struct((f["field"] == "allow").alias("allow"), f["value"].alias("path"))).alias("rules"), F.get(F.reverse(delays), F.lit(0)).alias("delay"))
+
+    return cuts.select(key, F.transform("cuts", group).alias("groups"))
 
 
 def crawl_rules(files: DataFrame, key: str, text: str) -> DataFrame:
     """robots.txt as rows: key, agent, allow, path. Agents in a row share the rules that follow them."""
-    return _crawl_groups(files, key, text).select(key, F.explode("agents").alias("agent"), "rules").select(key, "agent", F.explode("rules").alias("r")).select(key, "agent", "r.allow", "r.path")
+    return _crawl_groups(files, key, text).select(key, F.explode("groups").alias("g")).select(key, "g.agents", "g.rules").select(key, F.explode("agents").alias("agent"), "rules").select(key, "agent", F.explode("rules").alias("r")).select(key, "agent", "r.allow", "r.path")
 
 
-def groups_for(files: DataFrame, key: str, text: str, agent: str) -> DataFrame:
-    """The groups that hold for an agent: those whose agents' names are part of its own, else those for ``*``."""
+def _holding(agent: str) -> Column:
+    """Of ``groups`` those that hold for an agent."""
     token = re.split("[/ ]", agent.lower())[0]
-    named = F.exists("agents", lambda a: (a != "*") & F.contains(F.lit(token), a))
-    every = _crawl_groups(files, key, text).withColumn("rank", F.when(named, 2).when(F.array_contains("agents", "*"), 1).otherwise(0))
-    best = F.max("rank").over(Window.partitionBy(key))
-    return every.withColumn("best", best).where("rank = best AND rank > 0").drop("rank", "best")
+
+    def rank(g: Column) -> Column:
+        return F.when(F.exists(g["agents"], lambda a: (a != "*") & F.contains(F.lit(token), a)), 2).when(F.array_contains(g["agents"], "*"), 1).otherwise(0)
+
+    best = F.array_max(F.transform("groups", rank))
+    return let(best, lambda b: F.filter("groups", lambda g: (rank(g) == b) & (b > 0)))
+
+
+def groups_for(files: DataFrame, key: str, text: str, agent: str) -> DataFrame:
+    """The groups that hold for an agent: those whose agents' names are part of its own, else those for ``*``. Each file is decided in its own row."""
+    return _crawl_groups(files, key, text).select(key, F.explode(_holding(agent)).alias("g")).select(key, "g.*")
 
 
 def rules_for(files: DataFrame, key: str, text: str, agent: str) -> DataFrame:
@@ -104,12 +115,10 @@ def crawl_delay(files: DataFrame, key: str, text: str, agent: str, fallback: boo
 
     With ``fallback``, an agent whose own groups ask for none waits as long as ``*`` has to.
     """
-    asked = groups_for(files, key, text, agent).where("delay <> 0").groupBy(key).agg(F.min_by("delay", "part").alias("delay"))
-    out = files.select(key).join(asked, key, "left")
-    if fallback:
-        every = groups_for(files, key, text, "*").where("delay <> 0").groupBy(key).agg(F.min_by("delay", "part").alias("any_"))
-        out = out.join(every, key, "left").select(key, F.coalesce("delay", "any_").alias("delay"))
-    return out
+    def first(agent: str) -> Column:
+        return F.get(F.filter(F.transform(_holding(agent), lambda g: g["delay"]), lambda d: F.coalesce(d != 0, F.lit(False))), F.lit(0))
+
+    return _crawl_groups(files, key, text).select(key, (F.coalesce(first(agent), first("*")) if fallback else first(agent)).alias("delay"))
 
 
 def retry_after(header: Column, now: Column | None = None, default: Column | None = None, least: float = 1.0, most: float = 120.0) -> Column:
