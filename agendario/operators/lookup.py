@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+
 #: A dictionary of at most so many rows is sent to all tasks; a larger one is joined by a shuffle.
 SMALL = 50_000
+#: So many keyword rules are tried one after the other.
+FEW = 64
 
 
 def sized(dictionary: DataFrame, most: int = SMALL) -> DataFrame:
@@ -38,8 +42,13 @@ def first_keyword(rows: DataFrame, key: str, text: str, rules: DataFrame) -> Dat
     """(key, label) of the first rule (pos, keyword, label) whose keyword the text has as whole words; null if none.
 
     The distinct words of a text, without the text, meet the keywords' first words in an equi-join; only the hits of
-    longer keywords meet the text again and are looked for whole. ``key`` must be unique.
+    longer keywords meet the text again and are looked for whole. At most ``FEW`` rules are tried in each text's own row
+    instead, so that nothing is shuffled. ``key`` must be unique.
     """
+    if rules.limit(FEW + 1).count() <= FEW:
+        every = rules.where("pos IS NOT NULL").agg(F.array_sort(F.collect_list(F.struct("pos", "label", F.concat(F.lit(" "), "keyword", F.lit(" ")).alias("keyword")))).alias("rules_"))
+        first = let(F.concat(F.lit(" "), text, F.lit(" ")), lambda t: F.get(F.filter("rules_", lambda r: F.contains(t, r["keyword"])), F.lit(0)))
+        return rows.crossJoin(F.broadcast(every)).select(key, first["label"].alias("label"))
     words = rows.select(key, F.explode_outer(F.array_distinct(F.split(text, " "))).alias("w_"))
     known = sized(rules.select("pos", "label", "keyword", F.substring_index("keyword", " ", 1).alias("w_")))
     hits = words.join(known, "w_").select(key, "pos", "label", "keyword")

@@ -54,3 +54,38 @@ def test_a_text_is_read_once_for_all_styles(spark):
     out = df.select("k", fields.styles_in_text(F.col("t"), ("rock", "pop", "rock alternativo")).alias("s"))
     assert {r.k: r.s for r in out.collect()} == {1: ["rock alternativo"], 2: [], 3: ["rock", "pop"], 4: []}
     assert out._jdf.queryExecution().analyzed().toString().count("regexp_replace(") == 1
+
+
+def test_a_line_up_is_folded_over_what_is_said_and_not_how_often(spark, monkeypatch):
+    from agendario.operators import lineups
+
+    sizes = []
+    rows = [(1, k, k % 3, ["Sur Fest (Uno Dos, Tres Cuatro)"] if k % 2 else ["Sur Fest", "Cinco Seis"], None) for k in range(500)]
+    monkeypatch.setattr(lineups, "written", lambda df, name: (sizes.append(df.count()), df)[1])
+    got = lineups.line_ups(spark.createDataFrame(rows, "cluster_id long, row_id long, priority int, names array<string>, festival boolean")).collect()
+    assert [(r.festival, r.artists) for r in got] == [("Sur Fest", ["Cinco Seis", "Uno Dos", "Tres Cuatro"])] and sizes == [2]
+
+
+def test_crawl_files_and_keyword_rules_are_decided_in_their_rows(spark):
+    from agendario.operators import lookup
+    from agendario.sources import readers
+
+    said = "User-agent: *\nCrawl-delay: 5\nUser-agent: own\nCrawl-delay: 0\nUser-agent: own\nCrawl-delay: x\nCrawl-delay: 3"
+    delay = readers.crawl_delay(spark.createDataFrame([(1, said), (2, "User-agent: *\nCrawl-delay: 4"), (3, None)], "k int, t string"), "k", "t", "own", fallback=True)
+    assert {r.k: r.delay for r in delay.collect()} == {1: 3.0, 2: 4.0, 3: None}
+    rules = spark.createDataFrame([(2, "rock", "b"), (1, "hard rock", "a")], "pos int, keyword string, label string")
+    label = lookup.first_keyword(spark.createDataFrame([(1, "a hard rock"), (2, "rock"), (3, None), (4, "rocks")], "k int, t string"), "k", "t", rules)
+    assert {r.k: r.label for r in label.collect()} == {1: "a", 2: "b", 3: None, 4: None}
+    assert not any("hashpartitioning" in df._jdf.queryExecution().executedPlan().toString() for df in (delay, label))
+
+
+def test_phrases_and_claims_need_no_index(spark, monkeypatch):
+    from agendario.operators import dictionary, positions
+
+    for module in (dictionary, positions):
+        monkeypatch.setattr(module, "index", None, raising=False)
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "c d a")], "k int, t string")
+    phrases = spark.createDataFrame([("a b",), ("c d",)], "p string")
+    assert sorted(map(tuple, dictionary.phrases_in(docs, "k", "t", phrases, "p", most=1).collect())) == [(1, "a b", 0), (1, "c d", 4), (2, "c d", 0)]
+    claims = spark.createDataFrame([(1, "a b", "c d")], "claim int, name string, phrase string")
+    assert [tuple(r) for r in positions.near_names(docs, "k", "t", claims).collect()] == [(1, 1, 1)]
