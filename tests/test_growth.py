@@ -89,3 +89,17 @@ def test_phrases_and_claims_need_no_index(spark, monkeypatch):
     assert sorted(map(tuple, dictionary.phrases_in(docs, "k", "t", phrases, "p", most=1).collect())) == [(1, "a b", 0), (1, "c d", 4), (2, "c d", 0)]
     claims = spark.createDataFrame([(1, "a b", "c d")], "claim int, name string, phrase string")
     assert [tuple(r) for r in positions.near_names(docs, "k", "t", claims).collect()] == [(1, 1, 1)]
+
+
+def test_nested_values_are_written_whole(spark, tmp_path):
+    from agendario.sources import jsonwalk, tables
+
+    rows = spark.range(50).select("id", F.try_parse_json(F.lit('{"a":[{"b":{"@type":"Event","name":"x"}}],"n":1}')).alias("v"))
+    found = jsonwalk.walk(rows, ["id"], "v", jsonwalk.typed("Event"))
+    assert found.count() == 50 and {r.path for r in found.collect()} == {"$.a[0].b"}
+    out = tables.written(rows, "whole")
+    import pyarrow.parquet as pq
+
+    folder = out.inputFiles()[0].removeprefix("file://")
+    assert {f.name for f in pq.read_schema(folder).field("v").type} == {"value", "metadata"}
+    assert spark.conf.get("spark.sql.variant.inferShreddingSchema") == "true"
