@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import written
 from . import lookup, resolve
 
 
@@ -29,6 +30,15 @@ def grouped_votes(votes: DataFrame, groups: DataFrame) -> DataFrame:
     return votes.join(lookup.sized(clear), ["name", "kind"])
 
 
+def tallied(votes: DataFrame, keys: list[str]) -> DataFrame:
+    """Votes that count alike (same ``keys``, source, group, doubtful and weak) as one with their total weight.
+
+    ``doubted`` and ``groups_by_evidence`` say the same of it, and need not hold a key's votes one by one.
+    """
+    alike = votes.withColumn("weak", F.coalesce("weak", F.lit(False))).groupBy(*keys, "source", "group", "doubtful", "weak").agg(F.sum("weight").alias("weight"))
+    return written(alike, "votes")
+
+
 def doubted(votes: DataFrame, keys: list[str]) -> DataFrame:
     """Votes in which a doubtful source's (``doubtful``) are weak where none of its groups has a vote of any other source.
 

@@ -46,7 +46,7 @@ k AS (SELECT *, count(*) FILTER (WHERE weight = best) OVER (PARTITION BY l_suppk
 SELECT l_suppkey, "group", round(weight, 6) AS weight FROM k WHERE CASE WHEN weight = best THEN ties <= 2 ELSE weight >= 0.6 * best AND weight >= 0.25 * total END""")
 def groups_by_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     votes = evidence.grouped_votes(evidence.weighted(_votes(spark, sf_dir), _weights(spark)), _groups(spark, sf_dir))
-    found = evidence.groups_by_evidence(evidence.doubted(votes, ["l_suppkey"]), ["l_suppkey"])
+    found = evidence.groups_by_evidence(evidence.doubted(evidence.tallied(votes, ["l_suppkey"]), ["l_suppkey"]), ["l_suppkey"])
     return found.select("l_suppkey", "group", F.round("weight", 6).alias("weight"))
 
 

@@ -103,3 +103,17 @@ def test_nested_values_are_written_whole(spark, tmp_path):
     folder = out.inputFiles()[0].removeprefix("file://")
     assert {f.name for f in pq.read_schema(folder).field("v").type} == {"value", "metadata"}
     assert spark.conf.get("spark.sql.variant.inferShreddingSchema") == "true"
+
+
+def test_votes_that_count_alike_are_one(spark):
+    from agendario.operators import evidence
+
+    rows = [(k % 3, k % 5, "abc"[k % 7 % 3], k % 4 == 0 or None, k % 5 == 4, 1.0 + k % 2) for k in range(2000)]
+    votes = spark.createDataFrame(rows, "k int, source int, `group` string, weak boolean, doubtful boolean, weight double")
+    one = evidence.tallied(votes, ["k"])
+    assert one.count() <= 3 * 5 * 3 * 2 * 2
+
+    def found(v):
+        return sorted((r.k, r.group, round(r.weight, 6)) for r in evidence.groups_by_evidence(evidence.doubted(v, ["k"]), ["k"]).collect())
+
+    assert found(one) == found(votes) and found(one)
