@@ -20,13 +20,17 @@ def _members(v: Column) -> Column:
 
 def leaves(rows: DataFrame, key: str, value: str) -> DataFrame:
     """(``key``, path, v): the leaves of each value; ``path`` is the array of member names. A null value has none; JSON null is a leaf."""
-    level = rows.select(key, F.array().cast("array<string>").alias("path"), F.col(value).alias("v")).where("v IS NOT NULL")
+    return _leaves(rows, [key], value)
+
+
+def _leaves(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    level = rows.select(*keys, F.array().cast("array<string>").alias("path"), F.col(value).alias("v")).where("v IS NOT NULL")
     while True:
         for _ in range(STEPS):
             inner = F.transform(F.map_entries(_members(F.col("v"))), lambda e: F.struct(F.array(e["key"]).alias("name"), e["value"].alias("v")))
             itself = F.array(F.struct(F.array().cast("array<string>").alias("name"), F.col("v").alias("v")))
             opened = F.when(F.size(_members(F.col("v"))) > 0, inner).otherwise(itself)
-            level = level.select(key, "path", F.explode(opened).alias("c")).select(key, F.concat("path", "c.name").alias("path"), F.col("c.v").alias("v"))
+            level = level.select(*keys, "path", F.explode(opened).alias("c")).select(*keys, F.concat("path", "c.name").alias("path"), F.col("c.v").alias("v"))
         level = written(level, "leaves")
         if not level.where(F.size(_members(F.col("v"))) > 0).take(1):
             return level
@@ -46,7 +50,7 @@ def together(found: DataFrame, key: str) -> DataFrame:
 
 
 def deep_merge(ours: DataFrame, theirs: DataFrame, key: str, value: str, stamp: str | None = None, prefer: dict[str, str] | None = None) -> DataFrame:
-    """(``key``, ``value``): every key of either side, with the leaves of both.
+    """(``key``, ``value``): every key of either side, with the leaves of both. A side has a key once; a null value is none.
 
     Where both have a leaf: ``prefer`` maps a path's prefix (dotted) to "ours", "theirs" or "newest", the longest prefix decides; the
     default is "newest" if there is a ``stamp`` column (ours on a tie), else "ours". Where one side has a leaf and the other an object
@@ -55,13 +59,16 @@ def deep_merge(ours: DataFrame, theirs: DataFrame, key: str, value: str, stamp:
     rules = sorted((prefer or {}).items(), key=lambda r: -len(r[0].split(".")))
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        said = F.col(stamp).cast("string") if stamp else F.lit("")
-        flat = leaves(df.select(key, F.col(value).alias("value_")), key, "value_")
-        return flat.join(df.groupBy(key).agg(F.max(said).alias("stamp")), key).withColumn("side", F.lit(name))
-
-    both = written(side(ours, "ours").unionByName(side(theirs, "theirs")), "both-sides")
-    stamps = both.groupBy(key).agg(F.max(F.when(F.col("side") == "ours", F.coalesce("stamp", F.lit("")))).alias("a"), F.max(F.when(F.col("side") == "theirs", F.coalesce("stamp", F.lit("")))).alias("b"))
-    newest = F.when(F.col("b").isNull() | (F.col("a") >= F.col("b")), "ours").otherwise("theirs")
+        return df.where(F.col(value).isNotNull()).select(key, F.col(value).alias(name), F.coalesce(F.col(stamp).cast("string") if stamp else F.lit(""), F.lit("")).alias(f"{name}_stamp"))
+
+    # What one side has alone is whole already: only keys of both sides are taken apart.
+    pairs = written(side(ours, "ours").join(side(theirs, "theirs"), key, "full_outer"), "pairs")
+    alone = pairs.where("ours IS NULL OR theirs IS NULL").select(key, F.coalesce("ours", "theirs").alias(value))
+    pairs = pairs.where("ours IS NOT NULL AND theirs IS NOT NULL")
+    both = pairs.select(key, F.explode(F.array(*[F.struct(F.lit(n).alias("side"), F.col(n).alias("v")) for n in ("ours", "theirs")])).alias("s")).select(key, "s.side", F.col("s.v").alias("value_"))
+    both = _leaves(both, [key, "side"], "value_")
+    stamps = pairs.select(key, F.col("ours_stamp").alias("a"), F.col("theirs_stamp").alias("b"))
+    newest = F.when(F.col("a") >= F.col("b"), "ours").otherwise("theirs")
     wins = newest if stamp else F.lit("ours")
     decided = F.lit(None).cast("string")
     for prefix, who in reversed(rules):
@@ -74,7 +81,7 @@ def deep_merge(ours: DataFrame, theirs: DataFrame, key: str, value: str, stamp:
     lost = met.join(stamps, key).select(key, "path", F.when(F.coalesce(decided, wins) == "ours", "theirs").otherwise("ours").alias("side"))
     dropped = both.select(key, "side", F.col("path").alias("leaf"), F.explode(above).alias("path")).join(lost, [key, "side", "path"]).select(key, "side", F.col("leaf").alias("path"))
     kept = both.join(dropped, [key, "side", "path"], "left_anti")
-    return together(kept.select(key, "path", "v"), key).withColumnRenamed("v", value)
+    return together(kept.select(key, "path", "v"), key).withColumnRenamed("v", value).unionByName(alone)
 
 
 def upsert(stored: DataFrame, batch: DataFrame, asked: DataFrame, key: str, fields: list[str], stamp: Column) -> tuple[DataFrame, DataFrame]:

@@ -117,3 +117,15 @@ def test_votes_that_count_alike_are_one(spark):
         return sorted((r.k, r.group, round(r.weight, 6)) for r in evidence.groups_by_evidence(evidence.doubted(v, ["k"]), ["k"]).collect())
 
     assert found(one) == found(votes) and found(one)
+
+
+def test_only_keys_of_both_sides_are_taken_apart(spark, monkeypatch):
+    from agendario.operators import deep
+
+    sizes, real = [], deep.written
+    monkeypatch.setattr(deep, "written", lambda df, name: (out := real(df, name), name == "leaves" and sizes.append(out.count()))[0])
+    v = F.try_parse_json(F.concat(F.lit('{"a":{"n":'), F.col("id").cast("string"), F.lit("}}"))).alias("v")
+    ours, theirs = spark.range(40).select("id", v), spark.range(38, 80).select("id", F.when(F.col("id") != 79, F.try_parse_json(F.lit('{"a":{"m":1}}'))).alias("v"))
+    got = {r.id: r.v for r in deep.deep_merge(ours, theirs, "id", "v").select("id", F.to_json("v").alias("v")).collect()}
+    assert len(got) == 79 and got[3] == '{"a":{"n":3}}' and got[38] == '{"a":{"m":1,"n":38}}' and got[78] == '{"a":{"m":1}}'
+    assert sizes and max(sizes) == 4, sizes
