@@ -5,12 +5,15 @@ Jaccard similarity is at least 0.8. The join works on distinct sets only (copies
 
 1. counts in how many sets each shingle occurs. Shingles travel as binary blocks dealt by hash,
    about ``BLOCK_TOKENS`` to a block, so a very common shingle costs once per set and no
-   row of its own; what is shared goes back to the group of rows that its set is from, where the keys and
-   sizes of its sets are met. A set links only if at least ceil(0.8 n) of its shingles are shared at all;
-   most documents of a corpus end here, exactly.
+   row of its own; what is met again goes back to the group of rows that its set is from. In a block a set is
+   its place in its group, one byte mostly, so that bytes a shingle don't grow with the number of blocks.
+   Keys travel once for each set and group, in blocks of their own, which tell the first of the groups that have
+   a set in how many groups it is. There, a shingle met in more groups than its set is shared with another
+   set. A set links only if at least ceil(0.8 n) of its shingles are shared at all; most documents of a corpus end
+   here, exactly.
    Sets with the same shared shingles and the same size are one class: they link with the same other sets, and
    with each other or not at all by their size alone. Only one set of each class goes on.
-2. orders the shared shingles of each remaining set by (number of sets, hash_k), k = 0, 1, 2:
+2. orders the shared shingles of each remaining set by (times met, hash_k), k = 0, 1, 2:
    three global orders. In each, linked sets must share a shingle of their prefixes. Sets that share one
    in the first order are tied together into pools; no link leaves a pool.
 3. inside pools, dealt into chunks of about ``CHUNK`` sets, candidates must meet in the
@@ -20,8 +23,7 @@ Jaccard similarity is at least 0.8. The join works on distinct sets only (copies
    every set outside the pool's largest component is compared with all chunks, which makes the
    components exact.
 
-Shingles are compared by 56-bit and sets by 128-bit hashes; inside a block, by half of that and the sum of the
-shingles there.
+Shingles are compared by 56-bit and sets by 128-bit hashes.
 
 Defined cases: null, empty or blank text has an empty set, links with nothing and is its own
 component; fewer than five words make one shingle of the whole sequence; repeated rows are
@@ -41,13 +43,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import met, stored, table
+from .shared import MOST_HUBS, met, stored, table
 from .wordhash import mix, shingle_sets
 
 SHINGLE = 5
 PERCENT = 80
 ORDERS = 3
 BLOCK_TOKENS = 1_500_000
+BLOCK_KEYS = 250_000
 GROUP_ROWS = 2500
 CHUNK = 1024
 PIVOTS = 16
@@ -111,15 +114,24 @@ def _of_planes(column: pa.ChunkedArray) -> np.ndarray:
     return np.ascontiguousarray(np.concatenate(parts)).view("<u4").ravel() if parts else np.zeros(0, np.uint32)
 
 
-def _short(keys: np.ndarray) -> np.ndarray:
-    """The first half of each key."""
-    return np.ascontiguousarray(keys.view(np.uint64).reshape(-1, 2)[:, 0])
+def _steps(places: np.ndarray) -> bytes:
+    """Ascending places by their distances, which are small."""
+    return _planes(np.diff(places, prepend=0))
 
 
-def _dealt(docs: DataFrame, blocks: int) -> DataFrame:
+def _of_steps(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all rows one after another, and the row of each."""
+    steps = _of_planes(column).astype(np.int64)
+    size = pc.binary_length(column).to_numpy() // 4
+    ends = np.r_[0, np.cumsum(steps)]
+    begin = np.cumsum(size) - size
+    return ends[1:] - np.repeat(ends[begin], size), np.repeat(np.arange(len(size)), size)
+
+
+def _dealt(docs: DataFrame, blocks: int, key_blocks: int) -> DataFrame:
     """Shingles of the distinct sets of each group of rows, one row per block and group.
 
-    One more row per group (block below 0, no tokens) has the keys and sizes of its sets.
+    Blocks below 0 have the keys and sizes of sets (no tokens).
     """
 
     def deal(texts: pa.Array, group: int) -> pa.RecordBatch | None:
@@ -130,24 +142,26 @@ def _dealt(docs: DataFrame, blocks: int) -> DataFrame:
         if not seen:
             return None
         keys = np.frombuffer(b"".join(seen), "V16")
-        short = _short(keys)
+        sizes = np.array([len(x) for x in seen.values()])
         tokens = np.concatenate(list(seen.values())) & _TOKEN
-        entry = np.repeat(np.arange(len(seen), dtype=np.int32), [len(x) for x in seen.values()])
+        entry = np.repeat(np.arange(len(seen), dtype=np.int32), sizes)
         block = ((tokens >> np.uint64(32)) % np.uint64(blocks)).astype(np.uint16 if blocks < 65536 else np.uint32)
         order = np.argsort(block, kind="stable")
         tokens, entry, block = tokens[order], entry[order], block[order]
         cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-        sizes = np.array([len(x) for x in seen.values()])
-        out: list[list] = [[-1 - (group + (group >> 32)) % blocks], [keys.tobytes()], [_planes(sizes)], [b""]]
+        out: list[list] = [[], [], [], [], []]
         for lo, hi in zip(cuts, np.r_[cuts[1:], len(block)]):
             e = entry[lo:hi]
             at = np.flatnonzero(np.r_[True, e[1:] != e[:-1]])
-            out[0].append(int(block[lo]))
-            out[1].append(short[e[at]].tobytes())
-            out[2].append(_planes(np.diff(np.r_[at, hi - lo])))
-            out[3].append(_narrow(tokens[lo:hi]))
+            for column, value in zip(out, (int(block[lo]), _steps(e[at]), _planes(np.diff(np.r_[at, hi - lo])), _narrow(tokens[lo:hi]), b"")):
+                column.append(value)
+        of_key = keys.view(">u8").reshape(-1, 2)[:, 0] % np.uint64(key_blocks)
+        for k in np.unique(of_key):
+            at = np.flatnonzero(of_key == k)
+            for column, value in zip(out, (-1 - int(k), _steps(at), _planes(sizes[at]), b"", keys[at].tobytes())):
+                column.append(value)
         groups = pa.array([group] * len(out[0]), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), groups, *[pa.array(x, pa.binary()) for x in out[1:]]], ["block", "grp", "keys", "counts", "tokens"])
+        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), groups, *[pa.array(x, pa.binary()) for x in out[1:]]], ["block", "grp", "places", "counts", "tokens", "keys"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = TaskContext.get().partitionId() << 32
@@ -158,7 +172,7 @@ def _dealt(docs: DataFrame, blocks: int) -> DataFrame:
                 if rows is not None:
                     yield rows
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "block long, grp long, keys binary, counts binary, tokens binary")
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, f"block long, {_BLOCK}")
 
 
 def _joined(column: pa.ChunkedArray, dtype) -> np.ndarray:
@@ -171,56 +185,72 @@ def _joined(column: pa.ChunkedArray, dtype) -> np.ndarray:
     return (parts[0] if len(parts) == 1 else np.concatenate(parts or [np.zeros(0, np.uint8)])).view(dtype)
 
 
-def _shared_of_block(rows: pa.Table) -> pa.Table:
-    """For each group with sets in the block: their shingles that other sets have too, with the number of sets.
+_BLOCK = "grp long, places binary, counts binary, tokens binary, keys binary"
 
-    A set that several groups have (copies) counts once, for the smallest group. Rows of keys and sizes pass.
-    """
+
+def _met_in_block(rows: pa.Table) -> pa.Table:
+    """For each group with sets in the block: their shingles that are met again, with how often they are met."""
     if rows["block"][0].as_py() < 0:
-        return rows.select(["grp", "keys", "counts", "tokens"]).append_column("sets", rows["tokens"])
-    keys, counts, tokens = _joined(rows["keys"], np.uint64), _of_planes(rows["counts"]), _wide(rows["tokens"])
-    group = np.repeat(np.arange(rows.num_rows), [len(x.as_buffer()) // 8 for x in rows["keys"]])
-    sums = np.add.reduceat(tokens, np.cumsum(counts, dtype=np.int64) - counts)
-    order = np.lexsort((rows["grp"].to_numpy()[group], sums, keys))
-    again = np.r_[False, (keys[order[1:]] == keys[order[:-1]]) & (sums[order[1:]] == sums[order[:-1]])]
-    keep = np.ones(len(keys), bool)
-    keep[order[again]] = False
-    del order, again, sums
-    entry = np.repeat(np.arange(len(keys), dtype=np.int32), counts)
-    if not keep.all():
-        mask = keep[entry]
-        tokens, entry = tokens[mask], entry[mask]
+        return _first_of_keys(rows)
+    (places, group), counts, tokens = _of_steps(rows["places"]), _of_planes(rows["counts"]), _wide(rows["tokens"])
+    entry = np.repeat(np.arange(len(places), dtype=np.int32), counts)
     order = np.argsort(tokens)
     tokens, entry = tokens[order], entry[order]
     del order
     cuts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
     runs = np.diff(np.r_[cuts, len(tokens)])
     many = np.repeat(runs > 1, runs)
-    tokens, entry, sets = tokens[many], entry[many], np.repeat(runs[runs > 1], runs[runs > 1]).astype(np.uint32)
+    tokens, entry, times = tokens[many], entry[many], np.repeat(runs[runs > 1], runs[runs > 1]).astype(np.uint32)
     del cuts, runs, many
     order = np.argsort(entry, kind="stable")
-    tokens, entry, sets = tokens[order], entry[order], sets[order]
+    tokens, entry, times = tokens[order], entry[order], times[order]
     names, out = rows["grp"].to_pylist(), [[], [], [], [], []]
     cuts = np.searchsorted(group[entry], np.arange(rows.num_rows + 1))
     for g, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
         if hi > lo:
             at = np.flatnonzero(np.r_[True, entry[lo + 1 : hi] != entry[lo : hi - 1]])
             size = np.diff(np.r_[at, hi - lo])
-            for column, value in zip(out, (names[g], keys[entry[lo:hi][at]].tobytes(), _planes(size), _narrow(tokens[lo:hi]), _planes(sets[lo:hi]))):
+            for column, value in zip(out, (names[g], _steps(places[entry[lo:hi][at]]), _planes(size), _narrow(tokens[lo:hi]), _planes(times[lo:hi]))):
+                column.append(value)
+    none = pa.array([b""] * len(out[0]), pa.binary())
+    return pa.table([pa.array(out[0], pa.int64()), *[pa.array(x, pa.binary()) for x in out[1:4]], none, pa.array(out[4], pa.binary())], ["grp", "places", "counts", "tokens", "keys", "times"])
+
+
+def _first_of_keys(rows: pa.Table) -> pa.Table:
+    """The keys and sizes of the sets that each group is the first to have; ``times`` is how many groups have them."""
+    (places, group), sizes, keys = _of_steps(rows["places"]), _of_planes(rows["counts"]), _joined(rows["keys"], np.uint64).reshape(-1, 2)
+    names = rows["grp"].to_numpy()
+    order = np.lexsort((names[group], keys[:, 1], keys[:, 0]))
+    cuts = np.flatnonzero(np.r_[True, (keys[order[1:]] != keys[order[:-1]]).any(1)])
+    times = np.zeros(len(keys), np.int64)
+    times[order[cuts]] = np.diff(np.r_[cuts, len(keys)])
+    out: list[list] = [[], [], [], [], []]
+    ends = np.searchsorted(group, np.arange(rows.num_rows + 1))
+    for g, (lo, hi) in enumerate(zip(ends[:-1], ends[1:])):
+        at = lo + np.flatnonzero(times[lo:hi])
+        if len(at):
+            for column, value in zip(out, (names[g], _steps(places[at]), _planes(sizes[at]), keys[at].tobytes(), _planes(times[at]))):
                 column.append(value)
-    return pa.table([pa.array(out[0], pa.int64()), *[pa.array(x, pa.binary()) for x in out[1:]]], ["grp", "keys", "counts", "tokens", "sets"])
+    none = pa.array([b""] * len(out[0]), pa.binary())
+    return pa.table([pa.array(out[0], pa.int64()), *[pa.array(x, pa.binary()) for x in out[1:3]], none, *[pa.array(x, pa.binary()) for x in out[3:]]], ["grp", "places", "counts", "tokens", "keys", "times"])
 
 
 def _by_set(rows: pa.Table) -> pa.Table:
-    """One row per set of a group that may link: its shared shingles of all blocks, ascending."""
+    """One row per set that may link, in the first group that has it: its shared shingles of all blocks, ascending.
+
+    All groups that have a set have all its shingles, so those that are met in no other group are its own.
+    """
     blank = pc.equal(pc.binary_length(rows["tokens"]), 0)
     described, rows = rows.filter(blank), rows.filter(pc.invert(blank))
-    names, n = _joined(described["keys"], "V16"), _of_planes(described["counts"]).astype(np.int64)
-    short = _short(names)
-    by = np.argsort(short)
-    place = by[np.searchsorted(short, _joined(rows["keys"], np.uint64), sorter=by)]
-    owner = np.repeat(place, _of_planes(rows["counts"]))
-    tokens, sets = _wide(rows["tokens"]), _of_planes(rows["sets"])
+    names, n, copies = _joined(described["keys"], "V16"), _of_planes(described["counts"]).astype(np.int64), _of_planes(described["times"])
+    first, places = _of_steps(described["places"])[0], _of_steps(rows["places"])[0]
+    place = np.full(1 + max(first.max(initial=-1), places.max(initial=-1)), -1)
+    place[first] = np.arange(len(first))
+    owner = np.repeat(place[places], _of_planes(rows["counts"]))
+    tokens, sets = _wide(rows["tokens"]), _of_planes(rows["times"])
+    shared = owner >= 0
+    shared[shared] = sets[shared] > copies[owner[shared]]
+    owner, tokens, sets = owner[shared], tokens[shared], sets[shared]
     order = np.lexsort((tokens, owner))
     tokens, sets = tokens[order], sets[order]
     cuts = np.searchsorted(owner[order], np.arange(len(names) + 1))
@@ -237,17 +267,18 @@ def _by_set(rows: pa.Table) -> pa.Table:
 
 
 def candidates(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The sets that may link at all: set_key, core (key of the shared shingles), n, n_shared, tokens (ascending) and sets."""
-    total = sets.agg(F.sum("n_shingles")).first()[0] or 0
-    blocks = max(1, -(-int(total) // BLOCK_TOKENS))
-    shared = _dealt(docs, blocks).groupBy("block").applyInArrow(_shared_of_block, "grp long, keys binary, counts binary, tokens binary, sets binary")
-    return shared.groupBy("grp").applyInArrow(_by_set, "set_key binary, core binary, n long, n_shared long, tokens binary, sets binary")
+    """The sets that may link at all: set_key, core (key of the shared shingles), n, n_shared, tokens (ascending) and sets (times met)."""
+    total, n = sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count("set_key")).first()
+    blocks, key_blocks = max(1, -(-int(total) // BLOCK_TOKENS)), max(1, -(-n // BLOCK_KEYS))
+    met_again = _dealt(docs, blocks, key_blocks).groupBy("block").applyInArrow(_met_in_block, f"{_BLOCK}, times binary")
+    return met_again.groupBy("grp").applyInArrow(_by_set, "set_key binary, core binary, n long, n_shared long, tokens binary, sets binary")
 
 
 def _prefix(tokens: np.ndarray, sets: np.ndarray, n: int, order: int) -> np.ndarray:
-    """Places of the prefix tokens under global order (number of sets, hash of that order).
+    """Places of the prefix tokens under global order (times met, hash of that order).
 
-    Shingles of one set alone come first in every order; they can't be shared and are left out.
+    A set's shingles of its own are met as often as the set, all others more often: the former come first in
+    every order; they can't be shared and are left out.
     """
     size = len(tokens) - least_overlap(n) + 1
     return np.lexsort((mix(tokens * _ODD[order] + np.uint64(order)), sets))[:size]
@@ -450,6 +481,8 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     decided = met(rows, best, "label", rows.count()).where(~stays | (F.col("same") > 1))
     decided = stored(decided.select(F.col("doc_id").alias("row_id"), F.col("digest").alias("row_digest"), stays.alias("once")), "decided")
     many = decided.where("once")
+    # Few rows have an equal one; then the documents are shuffled once, for all other decisions.
+    many = F.broadcast(many) if many.count() <= MOST_HUBS else many
 
     def this(side: DataFrame) -> Column:
         return docs["doc_id"].cast("long").eqNullSafe(side["row_id"]) & (_digest(docs["text"]) == side["row_digest"])

@@ -2,6 +2,8 @@ import random
 import time
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+
 from agendario.llm import components, jaccard, shared
 
 from . import cases
@@ -87,3 +89,43 @@ def test_hot_keys_are_met_by_broadcast_with_the_same_result(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert jaccard.stage(spark, cases.empty(spark), "").collect() == []
+
+
+def test_bytes_of_a_shingle_whatever_the_number_of_blocks(spark):
+    rng = random.Random(3)
+    docs = spark.createDataFrame([(k, cases.prose(rng, 120)) for k in range(400)], "doc_id long, text string").coalesce(1)
+
+    def a_shingle(blocks):
+        rows = jaccard._dealt(docs, blocks, 1).collect()
+        n = sum(len(r["tokens"]) for r in rows) / 7
+        return sum(len(pa.compress(r[c], "lz4", asbytes=True)) if r[c] else 0 for r in rows for c in ("places", "counts", "tokens", "keys")) / n
+
+    few, many = a_shingle(1), a_shingle(200)
+    assert few < 7.5 and many < few + 2
+
+
+def test_copies_in_other_groups_are_no_other_sets(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "GROUP_ROWS", 7)
+    monkeypatch.setattr(jaccard, "BLOCK_TOKENS", 300)
+    monkeypatch.setattr(jaccard, "BLOCK_KEYS", 2)
+    rng = random.Random(4)
+    alone, a = cases.prose(rng, 150), cases.prose(rng, 150)
+    near = a + " ending otherwise"
+    docs = spark.createDataFrame([(k, (alone, a, near)[k % 3]) for k in range(90)] + [(100, cases.prose(rng, 150))], "doc_id long, text string").repartition(3)
+    sets = jaccard.stored(jaccard.described(docs), "sets")
+    assert sorted(r["n"] for r in jaccard.candidates(docs, sets).collect()) == sorted(len({tuple(w[i : i + 5]) for i in range(len(w) - 4)}) for w in (cases.lowered(a), cases.lowered(near)))
+    assert cases.rows_of(jaccard.similar(docs)) == brute([(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
+def test_stage_shuffles_documents_once(spark):
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rng = random.Random(6)
+        a, b = cases.prose(rng, 40), cases.prose(rng, 40)
+        got = jaccard.stage(spark, spark.createDataFrame([(1, a), (1, a), (2, a), (3, b)], "doc_id long, text string"), "")
+        plan = got._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1
+        assert sorted(got.collect()) == [(1, a), (3, b)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
