@@ -15,7 +15,7 @@ A support act that two events share joins nothing: a headliner must be met.
 Announcements can only meet through the same name, festival or act at the same class of venues, so the connected components
 over these nodes (rounds of partial aggregations) are groups that never touch; where nobody's venue is unknown, a
 name at two venues is two nodes. Edges are between nodes, not announcements, so that their number is that of the facts. First fit is
-then a fold over each group in an Arrow task, which looks clusters up by (name, venue), not one after the other. Announcements that are equal
+then a fold over each group in an Arrow task, many small groups to a call, which looks clusters up by (name, venue), not one after the other. Announcements that are equal
 in all that counts are one, at the place of the first, so that a group has the different ones only.
 """
 
@@ -34,6 +34,9 @@ from ..sources.tables import written
 from . import lookup, matching
 from .matching import Rules
 
+#: Different announcements that one Arrow call takes, about.
+PART_ROWS = 4000
+
 #: What an announcement may leave out, and what stands for it.
 OPTIONAL = {"source": "string", "url": "string", "institution": "boolean", "festival": "boolean"}
 
@@ -59,15 +62,20 @@ def groups(met: DataFrame, most_rounds: int = 40) -> DataFrame:
 
 
 def announced(rows: DataFrame, block: list[str]) -> DataFrame:
-    """Rows with names, their keys, and ``mark``: a digest of all that counts, so that equal announcements have the same."""
+    """All rows as they are given, and ``mark``: a digest of all that counts, so that equal announcements have the same."""
     for name, kind in OPTIONAL.items():
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast(kind))
-    names = F.filter("names", lambda n: F.coalesce(norm_key(n), F.lit("")) != "")
-    plain = rows.select(F.xxhash64(*block).alias("b"), F.col("row_id").cast("long").alias("row_id"), names.alias("names"), F.coalesce(norm_key(F.col("venue")), F.lit("")).alias("v"), "priority", F.col("minutes").cast("int").alias("minutes"), F.col("source").cast("string").alias("source"), F.col("url").cast("string").alias("url"), F.coalesce("institution", F.lit(False)).alias("institution"), F.coalesce("festival", F.lit(False)).alias("festival"))
-    plain = plain.where(F.size("names") > 0).withColumn("keys", F.transform("names", lambda n: norm_key(n)))
-    counts = F.to_json(F.struct("b", "names", "v", "priority", "minutes", "source", "url", "institution", "festival"))
-    return plain.withColumn("h", F.get("keys", F.lit(0))).withColumn("mark", F.md5(counts))
+    plain = rows.select(F.xxhash64(*block).alias("b"), F.col("row_id").cast("long").alias("row_id"), "names", F.col("venue").cast("string").alias("venue"), "priority", F.col("minutes").cast("int").alias("minutes"), F.col("source").cast("string").alias("source"), F.col("url").cast("string").alias("url"), F.coalesce("institution", F.lit(False)).alias("institution"), F.coalesce("festival", F.lit(False)).alias("festival"))
+    counts = F.to_json(F.struct("b", "names", "venue", "priority", "minutes", "source", "url", "institution", "festival"))
+    return plain.withColumn("mark", F.unhex(F.md5(counts)))
+
+
+def keyed(rows: DataFrame) -> DataFrame:
+    """The rows of ``announced`` that have names, with the keys of names and venue."""
+    named = rows.withColumn("both", F.transform("names", lambda n: F.struct(n.alias("name"), norm_key(n).alias("key"))))
+    named = named.withColumn("both", F.filter("both", lambda x: F.coalesce(x["key"], F.lit("")) != "")).where(F.size("both") > 0)
+    return named.select("b", "row_id", F.col("both.name").alias("names"), F.coalesce(norm_key(F.col("venue")), F.lit("")).alias("v"), "priority", "minutes", "source", "url", "institution", "festival", F.col("both.key").alias("keys"), F.get("both.key", F.lit(0)).alias("h"), "mark")
 
 
 def facts(rows: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -191,11 +199,19 @@ _TAKEN = pa.schema([("first", pa.int64()), ("cluster_id", pa.int64())])
 
 
 def _first_fit(far: int):
-    """First fit over a group: its announcements, and the lists of near names, acts and venues that they need."""
+    """First fit over each of some groups: its announcements, and the lists of near names, acts and venues that they need."""
 
     def fold(table: pa.Table) -> pa.Table:
-        names, acts, venues, rows = {}, {}, {}, []
+        by_group, taken = defaultdict(list), []
         for r in table.to_pylist():
+            by_group[r["group"]].append(r)
+        for own in by_group.values():
+            taken += fitted(own)
+        return pa.Table.from_arrays([pa.array([t[i] for t in taken], pa.int64()) for i in (0, 1)], schema=_TAKEN)
+
+    def fitted(own: list[dict]) -> list[tuple]:
+        names, acts, venues, rows = {}, {}, {}, []
+        for r in own:
             if r["kind"] == "name":
                 names[r["h"]] = r["list"]
             elif r["kind"] == "act":
@@ -209,8 +225,7 @@ def _first_fit(far: int):
         for r in rows:
             near = names.get(r["h"], [])
             found.add(found.first(r, near, acts.get((r["v"], r["ws"]), []), venues.get(r["v"], [])), r, near)
-        taken = [(row, min(c["rows"])) for c in found.all for row in c["rows"]]
-        return pa.Table.from_arrays([pa.array([t[i] for t in taken], pa.int64()) for i in (0, 1)], schema=_TAKEN)
+        return [(row, min(c["rows"])) for c in found.all for row in c["rows"]]
 
     return fold
 
@@ -223,7 +238,9 @@ def clusters(rows: DataFrame, block: list[str], rules: Rules = Rules()) -> DataF
     """
     every = written(announced(rows, block), "announcements")
     first = every.groupBy("mark").agg(F.min("row_id").alias("row_id"))
-    told, near, acts, venues = facts(every.join(first, ["mark", "row_id"], "left_semi"), rules)
+    # Keys are made for different announcements only, and once.
+    different = written(keyed(every.join(first, ["mark", "row_id"], "left_semi")), "different")
+    told, near, acts, venues = facts(different, rules)
     fields = ["row_id", "keys", "h", "v", "ws", "priority", "minutes", "source", "url", "institution", "session", "fest"]
     lists = [
         told.select("group", "b", "h").distinct().join(near, ["b", "h"]).select("group", F.lit("name").alias("kind"), "h", "list"),
@@ -233,8 +250,8 @@ def clusters(rows: DataFrame, block: list[str], rules: Rules = Rules()) -> DataF
     tagged = told.select("group", F.lit("row").alias("kind"), *fields)
     for facts_ in lists:
         tagged = tagged.unionByName(facts_, allowMissingColumns=True)
-    fitted = tagged.groupBy("group").applyInArrow(_first_fit(rules.far), "first long, cluster_id long")
+    # Most groups are small: a call has all groups of a part, whole.
+    parts = max(1, told.count() // PART_ROWS)
+    fitted = tagged.groupBy(F.pmod(F.xxhash64("group"), F.lit(parts)).alias("part")).applyInArrow(_first_fit(rules.far), "first long, cluster_id long")
     of_mark = first.withColumnRenamed("row_id", "first").join(fitted, "first").select("mark", "cluster_id")
-    found = every.select("row_id", "mark").join(of_mark, "mark").select("row_id", "cluster_id")
-    bare = rows.select(F.col("row_id").cast("long").alias("row_id")).join(every.select("row_id"), "row_id", "left_anti")
-    return found.unionByName(bare.select("row_id", F.col("row_id").alias("cluster_id")))
+    return every.select("row_id", "mark").join(of_mark, "mark", "left").select("row_id", F.coalesce("cluster_id", "row_id").alias("cluster_id"))

@@ -2,6 +2,7 @@ import datetime
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from agendario.functions.similarity import lcs
@@ -240,3 +241,15 @@ def test_venues(spark):
 def test_no_rows_and_no_names(spark):
     assert cluster.clusters(spark.createDataFrame([], SCHEMA), ["day"], RULES).collect() == []
     assert [tuple(r) for r in cluster.clusters(spark.createDataFrame([(5, DAY(2026, 5, 1), [], None, 1, None)], "row_id long, day date, names array<string>, venue string, priority int, minutes int"), ["day"]).collect()] == [(5, 5)]
+
+
+def test_a_call_keeps_its_groups_apart():
+    def row(group, row_id):
+        return {"group": group, "kind": "row", "row_id": row_id, "keys": ["ana"], "h": "ana", "v": "sol", "ws": "ana", "priority": 1, "minutes": None, "source": None, "url": None, "institution": False, "session": False, "fest": None, "list": None}
+
+    def near(group, kind, **key):
+        return row(group, None) | {"kind": kind, "list": ["ana" if kind != "venue" else "sol"]} | key
+
+    rows = [row(g, 10 * g + k) for g in (1, 2) for k in (1, 2)] + [near(g, kind) for g in (2, 1) for kind in ("name", "act", "venue")]
+    got = cluster._first_fit(120)(pa.Table.from_pylist(rows)).to_pylist()
+    assert sorted((r["first"], r["cluster_id"]) for r in got) == [(11, 11), (12, 11), (21, 21), (22, 21)]
