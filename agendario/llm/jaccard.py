@@ -54,6 +54,11 @@ BLOCK_KEYS = 250_000
 GROUP_ROWS = 2500
 CHUNK = 1024
 PIVOTS = 16
+#: Bits of the filter for a row that it holds; words of 64 bits that it has at most (8 MB); words of a slice.
+ROW_BITS = 16
+MOST_WORDS = 1 << 20
+SLICE_WORDS = 1 << 10
+_PROBES = 2
 
 _ODD = [np.uint64(0x9E3779B97F4A7C15 + 2 * 0x1234567 * k) for k in range(ORDERS + 2)]
 
@@ -481,15 +486,54 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     decided = met(rows, best, "label", rows.count()).where(~stays | (F.col("same") > 1))
     decided = stored(decided.select(F.col("doc_id").alias("row_id"), F.col("digest").alias("row_digest"), stays.alias("once")), "decided")
     many = decided.where("once")
-    # Few rows have an equal one; then the documents are shuffled once, for all other decisions.
+    # Few rows have an equal one; then only rows that may be decided are shuffled, once, for all other decisions.
     many = F.broadcast(many) if many.count() <= MOST_HUBS else many
+    mark = "digest"
+    while mark in docs.columns:
+        mark += "_"
+    bits = f"{mark}_bits"
+    held = _bits_of(decided, bits)
 
     def this(side: DataFrame) -> Column:
         return docs["doc_id"].cast("long").eqNullSafe(side["row_id"]) & (_digest(docs["text"]) == side["row_digest"])
 
-    left = docs.join(decided, this(decided), "left_anti")
-    mark = "digest"
-    while mark in docs.columns:
-        mark += "_"
+    may = _bit_set(F.col(bits), F.xxhash64(docs["doc_id"].cast("long"), _digest(docs["text"])))
+    # A row whose bits are not set is surely not decided: it stays where it is.
+    untouched, some = docs.join(held, may, "left_anti"), docs.join(held, may, "left_semi")
+    left = some.join(decided, this(decided), "left_anti")
     again = docs.join(many, this(many), "left_semi").withColumn(mark, _digest(docs["text"]))
-    return left.unionByName(again.dropDuplicates(["doc_id", mark]).drop(mark))
+    return untouched.unionByName(left).unionByName(again.dropDuplicates(["doc_id", mark]).drop(mark))
+
+
+def _places(key: Column, words: int) -> list[tuple[Column, Column]]:
+    """(word, bit) of each probe of a 64-bit hash."""
+    parts = [F.shiftrightunsigned(key, 32 * k) for k in range(_PROBES)]
+    return [(F.shiftrightunsigned(p, 6).bitwiseAND(F.lit(words - 1)).cast("int"), p.bitwiseAND(F.lit(63)).cast("int")) for p in parts]
+
+
+def _bits_of(rows: DataFrame, name: str) -> DataFrame:
+    """One row, broadcast: a Bloom filter of (row_id, row_digest), as slices of 64-bit words.
+
+    It has ``MOST_WORDS`` words however many rows there are; over about four million rows more keys that it doesn't
+    hold pass, which costs a shuffle of these and nothing else.
+    """
+    spark = rows.sparkSession
+    words = min(MOST_WORDS, max(SLICE_WORDS, 1 << (max(1, rows.count() * ROW_BITS // 64) - 1).bit_length()))
+    probes = F.array(*[F.struct(w.alias("word"), F.expr("1L").alias("one"), b.alias("bit")) for w, b in _places(F.col("key"), words)])
+    ones = rows.select(F.xxhash64("row_id", "row_digest").alias("key")).select(F.explode(probes).alias("p"))
+    ones = ones.select("p.word", F.call_function("shiftleft", "p.one", "p.bit").alias("bits"))
+    blank = spark.range(words).select(F.col("id").cast("int").alias("word"), F.lit(0).cast("long").alias("bits"))
+    whole = ones.unionByName(blank).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+
+    def in_order(by: str, value: str) -> Column:
+        return F.transform(F.array_sort(F.collect_list(F.struct(by, value))), lambda x: x[value])
+
+    slices = whole.groupBy(F.shiftright("word", SLICE_WORDS.bit_length() - 1).alias("slice")).agg(in_order("word", "bits").alias("words"))
+    return F.broadcast(stored(slices.agg(in_order("slice", "words").alias(name)), "filter"))
+
+
+def _bit_set(bits: Column, key: Column) -> Column:
+    """Whether a Bloom filter of ``_bits_of`` may hold a key."""
+    words = F.size(bits) * SLICE_WORDS
+    found = [F.call_function("getbit", bits[F.shiftright(w, SLICE_WORDS.bit_length() - 1)][w.bitwiseAND(F.lit(SLICE_WORDS - 1))], b) == 1 for w, b in _places(key, words)]
+    return found[0] & found[1]

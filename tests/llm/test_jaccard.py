@@ -3,6 +3,7 @@ import time
 from collections import Counter, defaultdict
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from agendario.llm import components, jaccard, shared
 
@@ -129,3 +130,41 @@ def test_stage_shuffles_documents_once(spark):
         assert sorted(got.collect()) == [(1, a), (3, b)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def shuffled(spark, frame):
+    """Bytes that writing ``frame`` shuffles."""
+
+    def so_far():
+        found = spark._jsc.sc().statusStore().executorList(False)
+        return sum(found.apply(i).totalShuffleWrite() for i in range(found.size()))
+
+    before = so_far()
+    frame.write.format("noop").mode("overwrite").save()
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    return so_far() - before
+
+
+def test_stage_leaves_undecided_documents_where_they_are(spark):
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rng = random.Random(8)
+        rows = [(k, " ".join(f"{rng.getrandbits(64):x}" for _ in range(60))) for k in range(400)]
+        docs = spark.createDataFrame(rows + [(400 + k, rows[k][1]) for k in range(9)] + [rows[0], (None, rows[1][1])], "doc_id long, text string")
+        got = jaccard.stage(spark, docs, "")
+        assert shuffled(spark, got) < sum(len(t) for _, t in rows) // 10
+        assert sorted(got.collect()) == rows
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_filter_of_few_words_loses_no_decision(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "MOST_WORDS", jaccard.SLICE_WORDS)
+    rng = random.Random(9)
+    rows = [(k, f"{rng.getrandbits(64):x}") for k in range(60_000)]
+    docs = spark.createDataFrame(rows, "row_id long, text string").withColumn("row_digest", jaccard._digest(F.col("text")))
+    for held, least in ((docs, 60_000), (docs.where("row_id < 100"), 100), (docs.where("row_id < 0"), 0)):
+        may = jaccard._bit_set(F.col("bits"), F.xxhash64("row_id", "row_digest"))
+        found = {r["row_id"] for r in docs.join(jaccard._bits_of(held, "bits"), may, "left_semi").select("row_id").collect()}
+        assert set(range(least)) <= found and (len(found) < least + 20 or least == 60_000)
