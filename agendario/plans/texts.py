@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, propernames
 from ..operators import dictionary, history, positions
-from ..sources.tables import table
+from ..sources.tables import table, written
 from .catalog import _NORM, query
 
 _N = _NORM.replace("TEXT", "text")
@@ -64,12 +64,9 @@ def claims_near_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM d), t AS (SELECT doc_id, word || ' ' || lead(word, 1) OVER v || ' ' || lead(word, 2) OVER v AS phrase FROM w WINDOW v AS (PARTITION BY doc_id ORDER BY pos))
 SELECT doc_id, phrase, count(*) AS n FROM t JOIN p USING (phrase) GROUP BY ALL""")
 def opening_phrases_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where the first three words of any document stand in all documents: as many phrases as documents, by the automaton."""
-    from ..functions.text import norm_key
-
+    """Where the first three words of any document stand in all documents: as many phrases as documents, by windows of words."""
     docs = table(spark, sf_dir, "documents")
-    k = F.split(norm_key(F.col("text")), " ")
-    phrases = docs.where(F.size(k) >= 3).select(F.array_join(F.slice(k, 1, 3), " ").alias("phrase"))
+    phrases = written(dictionary.openings(docs, "text", 3), "openings")
     return dictionary.phrases_in(docs, "doc_id", "text", phrases, "phrase", longest=False).groupBy("doc_id", "phrase").agg(F.count("*").alias("n"))
 
 
